@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import exact_mean
+from ..functions.stats import exact_mean, mean_from_units, sum_units
 from ..functions.params import (apply_filters, as_of_column, check_float, check_int, check_required,
                                 check_uf, eq, hours_interval)
 
@@ -25,15 +25,16 @@ def _window_flags(silver: DataFrame, as_of, hours: int):
 
 def _drop_agg(base: DataFrame, keys, in_last, in_prev) -> DataFrame:
     """One pass per station: mean price in the last and the previous window,
-    as conditional averages (no self-join).  Partial aggregation runs map-side,
-    so a station with a third of the rows ships one partial row per task."""
+    as conditional sums and counts (no self-join).  All buffers are fixed
+    width, so this is a hash aggregation whose partial step runs map-side:
+    a station with a third of the rows ships one partial row per task."""
     p = F.col("price_unit")
     return (base.groupBy(*keys)
-            .agg(F.max("station_name").alias("station_name"),
-                 F.max("city").alias("city"),
-                 F.max("uf").alias("uf"),
-                 exact_mean(F.when(in_last, p)).alias("avg_last"),
-                 exact_mean(F.when(in_prev, p)).alias("avg_prev")))
+            .agg(sum_units(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
+                 sum_units(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
+            .select(*keys,
+                    mean_from_units(F.col("_s_last"), F.col("_n_last")).alias("avg_last"),
+                    mean_from_units(F.col("_s_prev"), F.col("_n_prev")).alias("avg_prev")))
 
 
 def _drop_result(agg: DataFrame, pct_drop: float) -> DataFrame:
@@ -43,6 +44,19 @@ def _drop_result(agg: DataFrame, pct_drop: float) -> DataFrame:
             .filter(F.col("pct_drop") >= F.lit(pct_drop)))
 
 
+def _with_labels(alerts: DataFrame, base: DataFrame, keys, bounded: bool) -> DataFrame:
+    """Station labels (max over the station's filtered rows, as the source
+    did) for the alerting stations only: base rows are semi-joined to the
+    alert keys before the string aggregation, so the sort-based max over
+    text runs on the few alerting stations, not on the history.  When the
+    alert list is cut by a limit its size is bounded and it is broadcast."""
+    k = alerts.select(*keys)
+    labels = (base.join(F.broadcast(k) if bounded else k, list(keys), "left_semi")
+              .groupBy(*keys).agg(F.max("station_name").alias("station_name"), F.max("city").alias("city"),
+                                  F.max("uf").alias("uf")))
+    return alerts.join(labels, list(keys), "left")
+
+
 def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,
                hours: int = 24, pct_drop: float = 3.0, limit: int = 50, as_of="max",
                label_scope: str = "history") -> DataFrame:
@@ -67,9 +81,10 @@ def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: s
     if label_scope == "window":
         base = base.filter((F.col("price_ts") >= cut - h2) & (F.col("price_ts") <= cut))
     res = _drop_result(_drop_agg(base, ["cnpj"], in_last, in_prev), pct_drop)
-    return (res.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
-            .select("cnpj", "station_name", "city", "uf",
-                    "avg_last", "avg_prev", "pct_drop"))
+    top = res.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
+    return (_with_labels(top, base, ["cnpj"], bounded=True)
+            .orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc())
+            .select("cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
 
 
 def price_drop_all(silver: DataFrame, hours: int = 24, pct_drop: float = 3.0, as_of="max") -> DataFrame:
@@ -79,8 +94,8 @@ def price_drop_all(silver: DataFrame, hours: int = 24, pct_drop: float = 3.0, as
     base = silver.filter(F.col("cnpj").isNotNull() & F.col("fuel_type").isNotNull())
     in_last, in_prev, _, _ = _window_flags(silver, as_of, hours)
     res = _drop_result(_drop_agg(base, ["fuel_type", "cnpj"], in_last, in_prev), pct_drop)
-    return res.select("fuel_type", "cnpj", "station_name", "city", "uf",
-                      "avg_last", "avg_prev", "pct_drop")
+    return (_with_labels(res, base, ["fuel_type", "cnpj"], bounded=False)
+            .select("fuel_type", "cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
 
 
 def anomalies(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,
@@ -89,8 +104,8 @@ def anomalies(silver: DataFrame, fuel_type: str, uf: str | None = None, city: st
     sample standard deviation is at least ``z`` (the row itself counts in the
     statistics; n = 1 or sigma = 0 gives no rows).
 
-    The statistics are two scalar subqueries over the same filtered rows:
-    one partial+final aggregate each, no join.
+    The statistics are one scalar subquery over the same filtered rows (a
+    partial+final aggregate returning both figures), no join.
     """
     check_required("fuel_type", fuel_type)
     uf = check_uf(uf)
@@ -101,8 +116,9 @@ def anomalies(silver: DataFrame, fuel_type: str, uf: str | None = None, city: st
     recent = apply_filters(silver, eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city),
                            F.col("price_ts") >= cut - hours_interval(hours), F.col("price_ts") <= cut,
                            F.col("price_unit").isNotNull())
-    stats = recent.agg(exact_mean("price_unit").alias("mu"), F.stddev_samp("price_unit").alias("sigma"))
-    mu, sigma = stats.select("mu").scalar(), stats.select("sigma").scalar()
+    stats = recent.agg(F.struct(exact_mean("price_unit").alias("mu"),
+                                F.stddev_samp("price_unit").alias("sigma")).alias("s")).scalar()
+    mu, sigma = stats.getField("mu"), stats.getField("sigma")
     zcol = (F.col("price_unit") - mu) / sigma
     out = (recent.withColumn("mu", mu).withColumn("sigma", sigma)
            .filter(F.col("sigma").isNotNull() & (F.col("sigma") > 0))

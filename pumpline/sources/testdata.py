@@ -47,7 +47,11 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events projected to observation columns (no station attributes yet)."""
+    """events projected to observation columns (no station attributes yet).
+
+    Lineage columns of the adapter: an event is "collected" when it happens
+    (collected_at = price_ts) by no run (run_id null).
+    """
     ev = table(spark, sf_dir, "events")
     k = F.regexp_extract("props", r"(\d+)", 1).cast("bigint")
     return ev.select(
@@ -57,17 +61,16 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("event_type"), F.lit("-"), (k % 2).cast("string")).alias("product_code"),
         F.col("ts").alias("price_ts"),
         F.col("value").alias("price_unit"),
+        F.lit(None).cast("string").alias("run_id"),
+        F.col("ts").alias("collected_at"),
     )
 
 
-def silver(spark: SparkSession, sf_dir: str, with_obs_id: bool = False) -> DataFrame:
-    """Silver observations built from the driver's tables.
-
-    The one shuffle is the join of events to stations on the station key;
-    with one station holding a large share of events, AQE's skew-join split
-    takes the hot partition apart.
-    """
-    obs = observations(spark, sf_dir)
+def attach_stations(spark: SparkSession, sf_dir: str, obs: DataFrame, with_obs_id: bool = False) -> DataFrame:
+    """Observation rows + station attributes and derived columns -> silver
+    columns.  An equi-join on the station key: the planner broadcasts the
+    station side when its size statistics are under the threshold and
+    otherwise shuffles both sides, AQE splitting a hot station's partition."""
     st = stations(spark, sf_dir)
     j = obs.join(st, "cnpj")
     lat, lng = _lat(F.col("cnpj")), _lng(F.col("cnpj"))
@@ -85,13 +88,26 @@ def silver(spark: SparkSession, sf_dir: str, with_obs_id: bool = False) -> DataF
         F.col("price_unit").alias("price_net"),
         F.col("price_unit").alias("price_gross"),
         F.lit(None).cast("double").alias("discount"),
-        F.lit(None).cast("string").alias("run_id"),
-        F.col("price_ts").alias("collected_at"),
-        "obs_id",
+        "run_id", "collected_at", "obs_id",
     )
     return out if with_obs_id else out.select(*SILVER_COLUMNS)
 
 
+def silver(spark: SparkSession, sf_dir: str, with_obs_id: bool = False) -> DataFrame:
+    """Silver observations built from the driver's tables."""
+    return attach_stations(spark, sf_dir, observations(spark, sf_dir), with_obs_id)
+
+
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gold_latest of ``silver``, computed on the narrow observation rows
+    first (the latest-row window ships one partial row per key and map task)
+    and only then joined to station attributes, which depend on the station
+    key alone.  Same rows as ``gold_latest(silver(...))`` since the station
+    join is an inner equi-join on part of the gold key."""
+    from ..operators.gold import gold_latest
+    return attach_stations(spark, sf_dir, gold_latest(observations(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------------------
 # SQL twin (DuckDB dialect) for the oracle queries.
 # ---------------------------------------------------------------------------
