@@ -142,7 +142,34 @@ def q_run_overwrite(spark, sf):
     return q_raw_runs(spark, sf)
 
 
+_LAYERS: dict[str, object] = {}
+
+
+def layers(spark, sf):
+    from ..session import scratch_path
+    from . import medallion
+    key = f"{spark.sparkContext.applicationId}|{sf}"
+    if key not in _LAYERS:
+        _LAYERS[key] = medallion.run(spark, tree(spark, sf).data_root, scratch_path(spark, "layers"))
+    return _LAYERS[key]
+
+
+def q_layers_gold(spark, sf):
+    return rawsrc.scan_table(spark, layers(spark, sf).gold).select(*SILVER_COLUMNS)
+
+
+def q_layers_silver(spark, sf):
+    return rawsrc.scan_table(spark, layers(spark, sf).silver).select(*SILVER_COLUMNS)
+
+
+def q_layers_timeseries_base(spark, sf):
+    return rawsrc.scan_table(spark, layers(spark, sf).daily_base).drop("obs_date")
+
+
 QUERIES = {
+    "layers_silver": q_layers_silver,
+    "layers_gold": q_layers_gold,
+    "layers_timeseries_base": q_layers_timeseries_base,
     "raw_runs": q_raw_runs,
     "silver_from_raw": q_silver_from_raw,
     "gold_from_raw": q_gold_from_raw,
@@ -244,4 +271,11 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON
     "run_overwrite": None,
 }
 ORACLE_SQL["run_overwrite"] = ORACLE_SQL["raw_runs"]
+ORACLE_SQL["layers_silver"] = ORACLE_SQL["silver_from_raw"]
+ORACLE_SQL["layers_gold"] = ORACLE_SQL["gold_from_raw"]
+ORACLE_SQL["layers_timeseries_base"] = _raw_ctes("""
+SELECT fuel_type, uf, city, cnpj, CAST(date_trunc('day', price_ts) AS TIMESTAMP) AS day,
+       CAST(sum(CAST(round(price_unit * 10000) AS BIGINT)) AS BIGINT) AS sum_units, count(price_unit) AS n_price_unit,
+       count(*) AS samples, min(price_unit) AS min_price_unit, max(price_unit) AS max_price_unit
+FROM silver GROUP BY ALL""")
 ORACLE_SQL["silver_validate_raw"] = _raw_ctes(_validate_raw_sql())

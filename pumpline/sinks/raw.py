@@ -10,13 +10,13 @@ from ..schema import RAW_PARTITIONS
 SLUG_PATTERN = r"[^a-zA-Z0-9_\-=\.]"
 
 
-def clustered(df: DataFrame, cols, salts: int = 8, salt_key=None) -> DataFrame:
-    """Shuffle rows so each output partition folder is written by a few
-    tasks: hash on the partition columns plus a salt from ``salt_key`` (or
-    the whole row), so a folder holding a third of all rows is split over
-    ``salts`` tasks instead of landing in one."""
-    key = salt_key if salt_key is not None else F.hash(*[F.col(c) for c in df.columns])
-    return df.repartition(*[F.col(c) for c in cols], F.pmod(key, F.lit(salts)))
+def clustered(df: DataFrame, cols) -> DataFrame:
+    """Cluster rows by the output partition columns before a partitioned
+    write, with the ``rebalance`` hint: AQE sizes the shuffle partitions to
+    the advisory size, splits a partition folder holding a third of all rows
+    over many tasks and merges tiny ones, so files are neither huge nor
+    thousands of slivers."""
+    return df.hint("rebalance", *cols)
 
 
 def partition_slug(col: Column | str) -> Column:
