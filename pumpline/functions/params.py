@@ -106,7 +106,8 @@ def time_range(date_from, date_to) -> tuple[_dt.datetime | None, _dt.datetime |
 
 
 def ts_lit(value: _dt.datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+    """A UTC wall-clock literal (built from text, so no zone is applied)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def conjunction(preds) -> Column | None:
@@ -138,14 +139,15 @@ def between_ts(col: str, lo, hi) -> Column | None:
 def as_of_column(df: DataFrame, as_of, ts_col: str = "price_ts") -> Column:
     """The reference instant of sliding windows.
 
-    ``None`` -> the current time (UTC session clock); ``"max"`` -> the newest
+    ``None`` -> the current time (UTC wall clock); ``"max"`` -> the newest
     ``ts_col`` in ``df`` as a scalar subquery (one value, evaluated once);
     text/datetime -> that literal; a Column is used as is.
     """
     if isinstance(as_of, Column):
         return as_of
     if as_of is None:
-        return F.localtimestamp()
+        from .timeconv import utc_now
+        return utc_now()
     if isinstance(as_of, str) and as_of == "max":
         return df.agg(F.max(ts_col)).scalar()
     return ts_lit(parse_ts("as_of", as_of))

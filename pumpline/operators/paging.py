@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import (LATEST_ORDER_COLUMNS, ORDER_DIRECTIONS, apply_filters, between_ts,
-                                check_choice, check_int, eq, sort_col, tie_break, time_range)
+                                check_choice, check_int, eq, parse_ts, sort_col, tie_break, time_range,
+                                ts_lit)
 
 LATEST_COLUMNS = ["fuel_type", "uf", "city", "station_name", "cnpj", "product_desc", "unit",
                   "price_ts", "price_unit", "price_net", "price_gross", "discount", "lat", "lng", "distance_km"]
@@ -82,8 +83,8 @@ def keyset_page(df: DataFrame, cursor=None, page_size: int = 25, descending: boo
     """Cursor pagination on (price_ts, cnpj, product_code).
 
     ``cursor`` is the key of the last row of the previous page, as a tuple of
-    values or a one-row DataFrame with those three columns (used through
-    scalar subqueries).  The predicate is a lexicographic struct comparison,
+    values or a one-row DataFrame with those three columns (used through one
+    scalar subquery).  The predicate is a lexicographic struct comparison,
     so the next page costs a top-k over rows after the cursor, independent of
     the page depth (offset paging sorts away everything before it).
     """
@@ -91,10 +92,11 @@ def keyset_page(df: DataFrame, cursor=None, page_size: int = 25, descending: boo
     key = F.struct(*[F.col(c) for c in KEYSET_COLUMNS])
     if cursor is not None:
         if isinstance(cursor, DataFrame):
-            vals = [cursor.select(c).scalar() for c in KEYSET_COLUMNS]
+            packed = cursor.select(F.struct(*KEYSET_COLUMNS).alias("k")).scalar()
+            vals = [packed.getField(c) for c in KEYSET_COLUMNS]
         else:
             vals = [F.lit(v) for v in cursor]
-            vals[0] = vals[0].cast("timestamp_ntz")
+            vals[0] = ts_lit(parse_ts("cursor", cursor[0]))
         ck = F.struct(*[v.alias(c) for v, c in zip(vals, KEYSET_COLUMNS)])
         df = df.filter(key < ck if descending else key > ck)
     df = df.filter(F.col("price_ts").isNotNull() & F.col("cnpj").isNotNull() & F.col("product_code").isNotNull())

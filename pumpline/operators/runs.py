@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timeconv import parse_utc_text
 from ..schema import MANIFEST_SCHEMA
 
 MANIFEST_WITH_RUN = MANIFEST_SCHEMA
@@ -74,7 +75,7 @@ def run_rollup(manifests: DataFrame, out_dir: str = "", gap: str = "5 minutes")
 
 
 def _local(ts_text_col: str, offset_hours: int = -3):
-    t = F.try_to_timestamp(F.col(ts_text_col)).cast("timestamp_ntz")
+    t = parse_utc_text(F.col(ts_text_col))
     return t + F.make_dt_interval(F.lit(0), F.lit(offset_hours))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_km
+from ..functions.timeconv import parse_utc_text
 from ..schema import OBS_KEY, QUERY_HOURS, SILVER_COLUMNS
 
 # Spellings of the unit field seen for litres and for cubic metres.
@@ -52,9 +53,8 @@ def silver_flatten(raw: DataFrame) -> DataFrame:
 
 def parse_utc(text: Column) -> Column:
     """Text with a UTC offset (``2026-01-16 14:51:57-00:00`` or ISO) -> UTC
-    wall-clock timestamp_ntz; unparseable text -> null.  Assumes the UTC
-    session time zone set by ``pumpline.session.configure``."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    wall-clock timestamp_ntz; unparseable text -> null (any session zone)."""
+    return parse_utc_text(text)
 
 
 def silver_typed(flat: DataFrame, keep_query: bool = False) -> DataFrame:

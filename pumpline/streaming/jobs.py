@@ -10,8 +10,8 @@ the shared ``spark.checkpoint.dir``, so a lost executor or a restarted job
 re-runs the same epochs with the same result.
 
 Event time is ``price_ts`` (UTC wall clock, timestamp_ntz).  Watermarks need
-``timestamp``, so the streams carry ``event_time = cast(price_ts as
-timestamp)`` (UTC session).  The default watermark is the collector's 72 h
+``timestamp``, so the streams carry ``event_time``, the instant of
+``price_ts`` (converted through the session zone, so any zone works).  The default watermark is the collector's 72 h
 window: an observation can first be collected up to 72 h after it happened.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.stats import mean_from_units, sum_units
+from ..functions.timeconv import instant_to_utc_ntz, utc_ntz_to_instant
 from ..operators.silver import silver_flatten, silver_typed
 from ..schema import GOLD_KEY, OBS_KEY, QUERY_HOURS, RAW_SCHEMA, SILVER_COLUMNS
 from ..session import scratch_path
@@ -78,7 +79,7 @@ def silver_stream(spark: SparkSession, silver_path: str, max_files_per_trigger:
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(silver_path).withColumn("event_time", F.col("price_ts").cast("timestamp"))
+    return r.parquet(silver_path).withColumn("event_time", utc_ntz_to_instant(F.col("price_ts")))
 
 
 def stream_dedup(spark: SparkSession, silver_path: str, out: str | None = None, watermark: str = WATERMARK,
@@ -147,7 +148,7 @@ def stream_daily(spark: SparkSession, dedup_path: str, out: str | None = None, w
            .agg(sum_units("price_unit").alias("sum_units"), F.count("price_unit").alias("n_price"),
                 F.count(F.lit(1)).alias("samples"), F.min("price_unit").alias("min_price_unit"),
                 F.max("price_unit").alias("max_price_unit")))
-    daily = agg.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "fuel_type",
+    daily = agg.select(instant_to_utc_ntz(F.col("w.start")).alias("day"), "fuel_type",
                        mean_from_units(F.col("sum_units"), F.col("n_price")).alias("avg_price_unit"),
                        "min_price_unit", "max_price_unit", "samples")
 
@@ -174,7 +175,7 @@ def stream_window_means(spark: SparkSession, dedup_path: str, hours: int = 24, o
            .agg(sum_units("price_unit").alias("sum_units"), F.count("price_unit").alias("n_price"),
                 F.max("station_name").alias("station_name"), F.max("city").alias("city"),
                 F.max("uf").alias("uf")))
-    means = agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "fuel_type", "cnpj",
+    means = agg.select(instant_to_utc_ntz(F.col("w.start")).alias("window_start"), "fuel_type", "cnpj",
                        "station_name", "city", "uf", "sum_units", "n_price")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
