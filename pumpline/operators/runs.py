@@ -62,9 +62,13 @@ def run_rollup(manifests: DataFrame, out_dir: str = "", gap: str = "5 minutes")
     """One record per collection: the run manifests whose collection times
     are within ``gap`` of each other, with start/finish times taken from
     the runs (not from the collector's clock before its loop).  The runs list
-    per collection is bounded by the number of fuels."""
-    m = manifests.withColumn("_t", F.try_to_timestamp(F.col("collected_at_utc")))
-    g = m.groupBy(F.session_window("_t", gap).alias("collection")).agg(
+    per collection is bounded by the number of fuels.  Sessions are formed
+    within each UTC day (the day is a grouping key, so the work spreads over
+    days instead of one task holding every run ever made); a collection that
+    straddles midnight UTC yields one record per day."""
+    m = (manifests.withColumn("_t", F.try_to_timestamp(F.col("collected_at_utc")))
+         .withColumn("_day", F.to_date(parse_utc_text(F.col("collected_at_utc")))))
+    g = m.groupBy("_day", F.session_window("_t", gap).alias("collection")).agg(
         F.min("collected_at_utc").alias("started_at_utc"),
         F.max("collected_at_utc").alias("finished_at_utc"),
         F.count(F.lit(1)).alias("n_runs"),
