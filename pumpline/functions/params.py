@@ -136,6 +136,34 @@ def between_ts(col: str, lo, hi) -> Column | None:
     return conjunction(preds)
 
 
+# Day partition column of stored silver (to_date of price_ts, UTC).
+PARTITION_DATE = "obs_date"
+
+
+def time_range_pred(df: DataFrame, col: str, lo, hi) -> Column | None:
+    """``lo <= col <= hi`` plus, when ``df`` is stored silver with its day
+    partition column, the same range on the day so whole day folders are
+    pruned at planning time."""
+    pred = between_ts(col, lo, hi)
+    if pred is not None and PARTITION_DATE in df.columns:
+        if lo is not None:
+            pred = pred & (F.col(PARTITION_DATE) >= F.to_date(ts_lit(lo)))
+        if hi is not None:
+            pred = pred & (F.col(PARTITION_DATE) <= F.to_date(ts_lit(hi)))
+    return pred
+
+
+def window_pred(df: DataFrame, col: str, lo: Column, hi: Column) -> Column:
+    """``lo <= col <= hi`` for Column bounds (e.g. as_of minus hours), with
+    the day-partition range added on stored silver; the bounds are scalar
+    subqueries evaluated before the scan, so day folders are pruned at run
+    time."""
+    pred = (F.col(col) >= lo) & (F.col(col) <= hi)
+    if PARTITION_DATE in df.columns:
+        pred = pred & (F.col(PARTITION_DATE) >= F.to_date(lo)) & (F.col(PARTITION_DATE) <= F.to_date(hi))
+    return pred
+
+
 def as_of_column(df: DataFrame, as_of, ts_col: str = "price_ts") -> Column:
     """The reference instant of sliding windows.
 

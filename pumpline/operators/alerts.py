@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import exact_mean, mean_from_units, sum_units
 from ..functions.params import (apply_filters, as_of_column, check_float, check_int, check_required,
-                                check_uf, eq, hours_interval)
+                                check_uf, eq, hours_interval, window_pred)
 
 # sigma and z come from a square root; they are rounded to 6 decimals.
 ROUND = 6
@@ -79,7 +79,7 @@ def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: s
                          F.col("cnpj").isNotNull())
     in_last, in_prev, cut, h2 = _window_flags(silver, as_of, hours)
     if label_scope == "window":
-        base = base.filter((F.col("price_ts") >= cut - h2) & (F.col("price_ts") <= cut))
+        base = base.filter(window_pred(base, "price_ts", cut - h2, cut))
     res = _drop_result(_drop_agg(base, ["cnpj"], in_last, in_prev), pct_drop)
     top = res.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
     return (_with_labels(top, base, ["cnpj"], bounded=True)
@@ -114,7 +114,7 @@ def anomalies(silver: DataFrame, fuel_type: str, uf: str | None = None, city: st
     check_int("limit", limit, 1, 2000)
     cut = as_of_column(silver, as_of)
     recent = apply_filters(silver, eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city),
-                           F.col("price_ts") >= cut - hours_interval(hours), F.col("price_ts") <= cut,
+                           window_pred(silver, "price_ts", cut - hours_interval(hours), cut),
                            F.col("price_unit").isNotNull())
     stats = recent.agg(F.struct(exact_mean("price_unit").alias("mu"),
                                 F.stddev_samp("price_unit").alias("sigma")).alias("s")).scalar()
@@ -132,9 +132,6 @@ def anomalies(silver: DataFrame, fuel_type: str, uf: str | None = None, city: st
                     F.round("zscore", ROUND).alias("zscore")))
 
 
-SCOPES = {"fuel": ["fuel_type"], "fuel_uf": ["fuel_type", "uf"], "fuel_uf_city": ["fuel_type", "uf", "city"]}
-
-
 def anomalies_by_scope(silver: DataFrame, hours: int = 24, z: float = 3.0, as_of="max") -> DataFrame:
     """z-score anomalies for every (fuel), (fuel, uf) and (fuel, uf, city)
     scope at once.
@@ -148,7 +145,7 @@ def anomalies_by_scope(silver: DataFrame, hours: int = 24, z: float = 3.0, as_of
     check_int("hours", hours, 1, 168)
     check_float("z", z, 0.5, 10, lo_open=True)
     cut = as_of_column(silver, as_of)
-    recent = silver.filter((F.col("price_ts") >= cut - hours_interval(hours)) & (F.col("price_ts") <= cut)
+    recent = silver.filter(window_pred(silver, "price_ts", cut - hours_interval(hours), cut)
                            & F.col("price_unit").isNotNull() & F.col("fuel_type").isNotNull())
     k_uf, k_city = F.coalesce(F.col("uf"), F.lit("")), F.coalesce(F.col("city"), F.lit(""))
     levels = {"fuel": (F.lit(""), F.lit("")), "fuel_uf": (k_uf, F.lit("")), "fuel_uf_city": (k_uf, k_city)}

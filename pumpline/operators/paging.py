@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.params import (LATEST_ORDER_COLUMNS, ORDER_DIRECTIONS, apply_filters, between_ts,
+from ..functions.params import (LATEST_ORDER_COLUMNS, ORDER_DIRECTIONS, apply_filters,
                                 check_choice, check_int, eq, parse_ts, sort_col, tie_break, time_range,
-                                ts_lit)
+                                time_range_pred, ts_lit)
 
 LATEST_COLUMNS = ["fuel_type", "uf", "city", "station_name", "cnpj", "product_desc", "unit",
                   "price_ts", "price_unit", "price_net", "price_gross", "discount", "lat", "lng", "distance_km"]
@@ -70,7 +70,7 @@ def timeseries_station(silver: DataFrame, cnpj: int, fuel_type: str | None = Non
     check_int("page_size", page_size, 1, 2000)
     lo, hi = time_range(date_from, date_to)
     pop = apply_filters(silver, F.col("cnpj") == F.lit(cnpj), eq("fuel_type", fuel_type),
-                        between_ts("price_ts", lo, hi))
+                        time_range_pred(silver, "price_ts", lo, hi))
     order = [F.col("price_ts").desc_nulls_last(), F.col("product_code").asc_nulls_last()]
     items = _page_slice(pop, order, page, page_size).select(*STATION_SERIES_COLUMNS)
     return Page(page, page_size, items, pop)

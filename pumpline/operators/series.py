@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.params import apply_filters, between_ts, check_int, check_required, check_uf, eq, time_range
+from ..functions.params import (apply_filters, check_int, check_required, check_uf, eq, time_range,
+                                time_range_pred)
 from ..functions.stats import exact_mean, mean_from_units
 from .gold import day_of, rollup_daily, timeseries_base
 from .paging import Page
@@ -37,7 +38,7 @@ def timeseries_daily(silver: DataFrame, fuel_type: str | None = None, date_from=
     check_int("page", page, 1)
     check_int("page_size", page_size, 1, 200)
     lo, hi = time_range(date_from, date_to)
-    f = apply_filters(silver, eq("fuel_type", fuel_type), between_ts("price_ts", lo, hi))
+    f = apply_filters(silver, eq("fuel_type", fuel_type), time_range_pred(silver, "price_ts", lo, hi))
     return _paged_days(_daily(f), page, page_size)
 
 
@@ -49,7 +50,7 @@ def timeseries_city(silver: DataFrame, fuel_type: str, uf: str | None = None, ci
     check_int("page_size", page_size, 1, 500)
     lo, hi = time_range(date_from, date_to)
     f = apply_filters(silver, eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city),
-                      between_ts("price_ts", lo, hi))
+                      time_range_pred(silver, "price_ts", lo, hi))
     return _paged_days(_daily(f), page, page_size)
 
 
@@ -93,7 +94,7 @@ def stats_summary(silver: DataFrame, date_from=None, date_to=None, uf: str | Non
     """
     uf = check_uf(uf)
     lo, hi = time_range(date_from, date_to)
-    f = apply_filters(silver, between_ts("price_ts", lo, hi), eq("uf", uf), eq("city", city),
+    f = apply_filters(silver, time_range_pred(silver, "price_ts", lo, hi), eq("uf", uf), eq("city", city),
                       eq("fuel_type", fuel_type))
     dc = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
     return f.agg(F.count(F.lit(1)).alias("rows"),

@@ -45,12 +45,14 @@ def build_silver(spark: SparkSession, layers: Layers) -> None:
 
 
 def read_silver(spark: SparkSession, layers: Layers) -> DataFrame:
-    return rawsrc.scan_table(spark, layers.silver).select(*SILVER_COLUMNS)
+    """Stored silver with its day partition column ``obs_date`` (operators
+    add day predicates on it so time filters prune folders)."""
+    return rawsrc.scan_table(spark, layers.silver).select(*SILVER_COLUMNS, "obs_date")
 
 
 def build_gold(spark: SparkSession, layers: Layers) -> None:
     silver = read_silver(spark, layers)
-    sinks.write_gold(goldops.gold_latest(silver), layers.gold)
+    sinks.write_gold(goldops.gold_latest(silver).select(*SILVER_COLUMNS), layers.gold)
     b = goldops.timeseries_base(silver).withColumn("obs_date", F.to_date("day"))
     sinks.write_layer(b, layers.daily_base, ("obs_date",))
 

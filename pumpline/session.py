@@ -7,7 +7,6 @@ cluster's own sizing (shuffle partitions, executor memory) is left alone.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,15 +71,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/pumpline/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def to_local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def write_text_file(path: str, text: str) -> None:
-    """Driver-side write of one small text file (fixtures in tests only)."""
-    p = to_local_path(path)
-    os.makedirs(os.path.dirname(p), exist_ok=True)
-    with open(p, "w", encoding="utf-8") as fh:
-        fh.write(text)
