@@ -154,6 +154,43 @@ def layers(spark, sf):
     return _LAYERS[key]
 
 
+_INCR: dict[str, object] = {}
+
+
+def incremental_layers(spark, sf):
+    """Layers built from every run but the newest collection, then the newest
+    collection ingested incrementally."""
+    from ..session import scratch_path
+    from . import medallion
+    key = f"{spark.sparkContext.applicationId}|{sf}"
+    if key not in _INCR:
+        root = tree(spark, sf).data_root
+        newest = F.col("run_id").startswith("run-0000-")
+        lay = medallion.layer_paths(scratch_path(spark, "layers-incr"))
+        _write_bronze(spark, root, lay, ~newest)
+        medallion.build_silver(spark, lay)
+        medallion.build_gold(spark, lay)
+        medallion.ingest_runs(spark, root, lay, newest)
+        _INCR[key] = lay
+    return _INCR[key]
+
+
+def _write_bronze(spark, raw_root, lay, pred):
+    rawsink.write_bronze(rawsrc.scan_raw(spark, raw_root).filter(pred), lay.bronze)
+
+
+def q_incremental_gold(spark, sf):
+    return rawsrc.scan_table(spark, incremental_layers(spark, sf).gold).select(*SILVER_COLUMNS)
+
+
+def q_incremental_silver(spark, sf):
+    return rawsrc.scan_table(spark, incremental_layers(spark, sf).silver).select(*SILVER_COLUMNS)
+
+
+def q_incremental_timeseries_base(spark, sf):
+    return rawsrc.scan_table(spark, incremental_layers(spark, sf).daily_base).drop("obs_date")
+
+
 def q_layers_gold(spark, sf):
     return rawsrc.scan_table(spark, layers(spark, sf).gold).select(*SILVER_COLUMNS)
 
@@ -167,6 +204,9 @@ def q_layers_timeseries_base(spark, sf):
 
 
 QUERIES = {
+    "incremental_silver": q_incremental_silver,
+    "incremental_gold": q_incremental_gold,
+    "incremental_timeseries_base": q_incremental_timeseries_base,
     "layers_silver": q_layers_silver,
     "layers_gold": q_layers_gold,
     "layers_timeseries_base": q_layers_timeseries_base,
@@ -272,10 +312,13 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON
 }
 ORACLE_SQL["run_overwrite"] = ORACLE_SQL["raw_runs"]
 ORACLE_SQL["layers_silver"] = ORACLE_SQL["silver_from_raw"]
+ORACLE_SQL["incremental_silver"] = ORACLE_SQL["silver_from_raw"]
+ORACLE_SQL["incremental_gold"] = ORACLE_SQL["gold_from_raw"]
 ORACLE_SQL["layers_gold"] = ORACLE_SQL["gold_from_raw"]
 ORACLE_SQL["layers_timeseries_base"] = _raw_ctes("""
 SELECT fuel_type, uf, city, cnpj, CAST(date_trunc('day', price_ts) AS TIMESTAMP) AS day,
        CAST(sum(CAST(round(price_unit * 10000) AS BIGINT)) AS BIGINT) AS sum_units, count(price_unit) AS n_price_unit,
        count(*) AS samples, min(price_unit) AS min_price_unit, max(price_unit) AS max_price_unit
 FROM silver GROUP BY ALL""")
+ORACLE_SQL["incremental_timeseries_base"] = ORACLE_SQL["layers_timeseries_base"]
 ORACLE_SQL["silver_validate_raw"] = _raw_ctes(_validate_raw_sql())

@@ -68,8 +68,10 @@ def write_layer(df: DataFrame, path: str, partition_by=(), mode: str = "overwrit
 
 
 def write_bronze(raw: DataFrame, path: str) -> None:
-    """Bronze keeps every raw line as read (append-only audit copy)."""
-    raw.write.mode("append").partitionBy("anp", "dt").parquet(path)
+    """Bronze keeps every raw line as read (the audit copy), partitioned by
+    run: with dynamic overwrite, ingesting a run again replaces that run's
+    folder instead of duplicating it."""
+    write_layer(clustered(raw, RAW_PARTITIONS), path, RAW_PARTITIONS)
 
 
 def write_silver(silver: DataFrame, path: str) -> None:
