@@ -36,6 +36,8 @@ class Page:
         return self.population.agg(F.count(F.lit(1)).alias("total"))
 
     def as_dict(self) -> dict:
+        """The service response: one page (at most ``page_size`` rows, capped
+        by the caller's bounds) and the total."""
         return {"page": self.page, "page_size": self.page_size, "total": self.total(),
                 "items": [r.asDict() for r in self.items.collect()]}
 

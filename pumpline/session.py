@@ -51,13 +51,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared location every executor can reach; it is
-    only created here when the session has none (local tests).
+    On a cluster this must be set (a location every executor reaches); a
+    missing setting is an error there.  Only a local-mode session (tests)
+    gets a folder of its own when none is set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # pragma: no cover - Spark Connect has no SparkContext
+            root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: point it at a shared folder of the cluster")
         root = tempfile.mkdtemp(prefix="pumpline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:
