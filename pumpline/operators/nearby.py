@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_RADIUS_KM, KM_PER_DEG_LAT, box_predicate, haversine_km
 from ..functions.params import (LISTING_ORDERS, NEARBY_ORDER_COLUMNS, ORDER_DIRECTIONS, apply_filters,
                                 as_of_column, check_choice, check_float, check_int, eq, hours_interval,
-                                sort_col, tie_break)
+                                sort_col, tie_break, window_pred)
 from ..schema import PAGE_ROWS, QUERY_HOURS, QUERY_LAT, QUERY_LNG, QUERY_RADIUS_KM
 from .paging import Page
 
@@ -67,9 +67,9 @@ def source_listing(silver: DataFrame, fuel_type: str, as_of="max", hours: int =
         raise ValueError(f"order invalid: use one of {sorted(LISTING_ORDERS)}")
     col, direction = LISTING_ORDERS[order]
     cut = as_of_column(silver, as_of)
-    recent = silver.filter(eq("fuel_type", fuel_type)
-                           & (F.col("price_ts") > cut - hours_interval(hours))
-                           & (F.col("price_ts") <= cut))
+    lo = cut - hours_interval(hours)
+    recent = apply_filters(silver, eq("fuel_type", fuel_type), F.col("price_ts") > lo,
+                           window_pred(silver, "price_ts", lo, cut))
     pop = _within(recent, lat, lng, radius_km)
     offset = (page - 1) * page_rows
     items = pop.orderBy(sort_col(col, direction), *tie_break(exclude=(col,)))
@@ -79,10 +79,15 @@ def source_listing(silver: DataFrame, fuel_type: str, as_of="max", hours: int =
     return Page(page, page_rows, items.select(*NEARBY_COLUMNS), pop)
 
 
-def listing_totals(page: Page) -> DataFrame:
-    """totalRegistros / totalPaginas of a listing, as one row."""
-    return (page.population.agg(F.count(F.lit(1)).alias("total_records"))
-            .withColumn("total_pages", F.ceil(F.col("total_records") / F.lit(page.page_size))))
+def listing_totals(page: Page, max_pages: int | None = None) -> DataFrame:
+    """totalRegistros / totalPaginas of a listing, as one row.  The live
+    source reports at most a few pages however many records match; pass
+    ``max_pages`` to reproduce that cap."""
+    pages = F.ceil(F.col("total_records") / F.lit(page.page_size))
+    if max_pages is not None:
+        check_int("max_pages", max_pages, 1)
+        pages = F.least(pages, F.lit(max_pages).cast("bigint"))
+    return page.population.agg(F.count(F.lit(1)).alias("total_records")).withColumn("total_pages", pages)
 
 
 def _lng_cell_width(radius_km: float, max_abs_lat: Column) -> Column:

@@ -111,9 +111,10 @@ def q_response_check(spark, sf):
 
 
 def q_unit_canonical(spark, sf):
-    r = raw(spark, sf).select(F.col("raw.produto.unidade").alias("unit_raw"))
-    return (silverops.unit_canonical(r.withColumn("unit", F.col("unit_raw")))
-            .groupBy("unit_raw", "unit").agg(F.count(F.lit(1)).alias("rows")))
+    r = raw(spark, sf).select(F.col("raw.produto.unidade").alias("unit_raw"),
+                              F.col("raw.produto.anp").alias("fuel_type"))
+    flagged = silverops.unit_flags(silverops.unit_canonical(r.withColumn("unit", F.col("unit_raw"))))
+    return flagged.groupBy("unit_raw", "unit", "unit_suspect").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def q_distance_check(spark, sf):
@@ -298,7 +299,7 @@ FROM (SELECT run AS run_id, floor(obs_id / {PAGE_ROWS}) AS page, count(*) AS k F
 GROUP BY run_id"""),
     "unit_canonical": _raw_ctes(f"""
 SELECT {snapshots.UNIT_SPELLINGS!r}[(obs_id % {len(snapshots.UNIT_SPELLINGS)}) + 1] AS unit_raw, 'L' AS unit,
-       count(*) AS rows
+       fuel_type = 'GNV' AS unit_suspect, count(*) AS rows
 FROM snap GROUP BY ALL"""),
     "distance_check": _raw_ctes("""
 SELECT fuel_type, count(*) AS rows, count(lat) AS checked, CAST(0 AS BIGINT) AS bad,

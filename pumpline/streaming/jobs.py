@@ -166,12 +166,17 @@ def read_daily(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_window_means(spark: SparkSession, dedup_path: str, hours: int = 24, out: str | None = None,
-                        watermark: str = WATERMARK, available_now: bool = True) -> StreamRun:
-    """Per (fuel, station, aligned ``hours`` window): exact mean price, kept
-    by a streaming aggregation and upserted by window partition."""
+                        watermark: str = WATERMARK, available_now: bool = True,
+                        slide_hours: int | None = None) -> StreamRun:
+    """Per (fuel, station, ``hours`` window): exact mean price, kept by a
+    streaming aggregation and upserted by window partition.  Windows are
+    tumbling by default; ``slide_hours`` makes them slide (each row then
+    lands in hours / slide_hours windows, and state grows by that factor)."""
     out = out or scratch_path(spark, "stream-windows")
     s = silver_stream(spark, dedup_path).withWatermark("event_time", watermark)
-    agg = (s.groupBy(F.window("event_time", f"{hours} hours").alias("w"), "fuel_type", "cnpj")
+    win = (F.window("event_time", f"{hours} hours") if not slide_hours
+           else F.window("event_time", f"{hours} hours", f"{slide_hours} hours"))
+    agg = (s.groupBy(win.alias("w"), "fuel_type", "cnpj")
            .agg(sum_units("price_unit").alias("sum_units"), F.count("price_unit").alias("n_price"),
                 F.max("station_name").alias("station_name"), F.max("city").alias("city"),
                 F.max("uf").alias("uf")))
@@ -188,8 +193,9 @@ def stream_window_means(spark: SparkSession, dedup_path: str, hours: int = 24, o
 
 
 def window_drops(means: DataFrame, hours: int = 24, pct_drop: float = 3.0) -> DataFrame:
-    """Stations whose mean in an aligned window fell by >= pct_drop percent
-    against the window just before it.  An equi-join on (fuel, station,
+    """Stations whose mean in a window fell by >= pct_drop percent against
+    the ``hours`` window that ends where it starts (the previous tumbling
+    window, or with sliding windows the one ``hours`` earlier).  An equi-join on (fuel, station,
     window start) between two per-window tables (one row per station and
     window); AQE splits a skewed station if one dominates."""
     cur = means.select("fuel_type", "cnpj", "station_name", "city", "uf", "window_start",
