@@ -23,16 +23,25 @@ def _window_flags(silver: DataFrame, as_of, hours: int):
     return in_last, in_prev, cut, h2
 
 
+def _label(col: str):
+    """max(col) computed as array_max(collect_set(col)): the same value
+    (nulls ignored, null when none), but hash-aggregatable — a station's set
+    holds its few distinct labels — so the whole per-station pass stays one
+    hash aggregation instead of a sort-based one over the history."""
+    return F.array_max(F.collect_set(col)).alias(col)
+
+
 def _drop_agg(base: DataFrame, keys, in_last, in_prev) -> DataFrame:
-    """One pass per station: mean price in the last and the previous window,
-    as conditional sums and counts (no self-join).  All buffers are fixed
-    width, so this is a hash aggregation whose partial step runs map-side:
-    a station with a third of the rows ships one partial row per task."""
+    """One pass per station: mean price in the last and the previous window
+    as conditional sums and counts (no self-join), plus the station labels.
+    The partial step runs map-side: a station with a third of the rows ships
+    one partial row per task."""
     p = F.col("price_unit")
     return (base.groupBy(*keys)
-            .agg(sum_units(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
+            .agg(_label("station_name"), _label("city"), _label("uf"),
+                 sum_units(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
                  sum_units(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
-            .select(*keys,
+            .select(*keys, "station_name", "city", "uf",
                     mean_from_units(F.col("_s_last"), F.col("_n_last")).alias("avg_last"),
                     mean_from_units(F.col("_s_prev"), F.col("_n_prev")).alias("avg_prev")))
 
@@ -44,19 +53,6 @@ def _drop_result(agg: DataFrame, pct_drop: float) -> DataFrame:
             .filter(F.col("pct_drop") >= F.lit(pct_drop)))
 
 
-def _with_labels(alerts: DataFrame, base: DataFrame, keys, bounded: bool) -> DataFrame:
-    """Station labels (max over the station's filtered rows, as the source
-    did) for the alerting stations only: base rows are semi-joined to the
-    alert keys before the string aggregation, so the sort-based max over
-    text runs on the few alerting stations, not on the history.  When the
-    alert list is cut by a limit its size is bounded and it is broadcast."""
-    k = alerts.select(*keys)
-    labels = (base.join(F.broadcast(k) if bounded else k, list(keys), "left_semi")
-              .groupBy(*keys).agg(F.max("station_name").alias("station_name"), F.max("city").alias("city"),
-                                  F.max("uf").alias("uf")))
-    return alerts.join(labels, list(keys), "left")
-
-
 def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,
                hours: int = 24, pct_drop: float = 3.0, limit: int = 50, as_of="max",
                label_scope: str = "history") -> DataFrame:
@@ -81,9 +77,7 @@ def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: s
     if label_scope == "window":
         base = base.filter(window_pred(base, "price_ts", cut - h2, cut))
     res = _drop_result(_drop_agg(base, ["cnpj"], in_last, in_prev), pct_drop)
-    top = res.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
-    return (_with_labels(top, base, ["cnpj"], bounded=True)
-            .orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc())
+    return (res.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
             .select("cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
 
 
@@ -94,8 +88,7 @@ def price_drop_all(silver: DataFrame, hours: int = 24, pct_drop: float = 3.0, as
     base = silver.filter(F.col("cnpj").isNotNull() & F.col("fuel_type").isNotNull())
     in_last, in_prev, _, _ = _window_flags(silver, as_of, hours)
     res = _drop_result(_drop_agg(base, ["fuel_type", "cnpj"], in_last, in_prev), pct_drop)
-    return (_with_labels(res, base, ["fuel_type", "cnpj"], bounded=False)
-            .select("fuel_type", "cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
+    return res.select("fuel_type", "cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop")
 
 
 def anomalies(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,

@@ -106,18 +106,18 @@ def stats_summary(silver: DataFrame, date_from=None, date_to=None, uf: str | Non
                  exact_mean("price_unit").alias("avg_price_unit"))
 
 
-def kpi_consistency(silver: DataFrame, keys=("fuel_type", "uf", "city")) -> DataFrame:
+def kpi_consistency(silver: DataFrame, keys=("fuel_type", "uf", "city"), base: DataFrame | None = None) -> DataFrame:
     """Cross-check: per scope, the direct aggregate of silver against the
-    roll-up of ``timeseries_base``.  Returns one row per scope with both
-    figures and ``consistent``; an empty ``filter(~consistent)`` is the pass
-    condition."""
+    roll-up of the daily base (the stored table when ``base`` is given, else
+    computed from silver).  Returns one row per scope with both figures and
+    ``consistent``; an empty ``filter(~consistent)`` is the pass condition."""
     keys = list(keys)
     direct = (silver.groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("rows_direct"),
                    F.min("price_unit").alias("min_direct"),
                    F.max("price_unit").alias("max_direct"),
                    exact_mean("price_unit").alias("avg_direct")))
-    base = timeseries_base(silver)
+    base = base if base is not None else timeseries_base(silver)
     rolled = (base.groupBy(*[F.col(k).alias("_r_" + k) for k in keys])
               .agg(F.sum("samples").alias("rows_rollup"),
                    F.min("min_price_unit").alias("min_rollup"),

@@ -53,12 +53,10 @@ def test_column_pruning(stored):
     assert "station_name" not in read and "price_unit" in read
 
 
-def test_price_drop_main_pass_is_hash_aggregate(stored):
+def test_price_drop_is_one_hash_aggregation(stored):
     _, s = stored
-    p = plan(alerts.price_drop(s, "click", hours=48))
-    assert "HashAggregate" in p
-    # the string labels are aggregated only behind the broadcast semi-join
-    assert "LeftSemi" in p and "BroadcastExchange" in p
+    p = plan(alerts.price_drop_all(s, hours=48)).split("===== Subqueries")[0]
+    assert "ObjectHashAggregate" in p and "SortAggregate" not in p and "Join" not in p
 
 
 def test_no_cartesian_product(stored):
