@@ -33,6 +33,14 @@ def exact_mean(col: str | Column) -> Column:
     return mean_from_units(sum_units(c), F.count(c))
 
 
+def max_text(col: str) -> Column:
+    """max of a text column as array_max(collect_set(col)): the same value
+    (nulls ignored, null when there are none) but hash-aggregatable, for
+    labels that take a handful of distinct values per group — so a grouped
+    pass over a large table stays a hash aggregation instead of sorting it."""
+    return F.array_max(F.collect_set(col))
+
+
 # SQL spelling of the same expressions (DuckDB), for the oracle twins.
 def exact_mean_sql(expr: str) -> str:
     return f"(sum(CAST(round(({expr}) * {PRICE_SCALE}) AS BIGINT)) / count({expr}) / {PRICE_SCALE})"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import exact_mean, mean_from_units, sum_units
+from ..functions.stats import exact_mean, max_text, mean_from_units, sum_units
 from ..functions.params import (apply_filters, as_of_column, check_float, check_int, check_required,
                                 check_uf, eq, hours_interval, window_pred)
 
@@ -24,11 +24,9 @@ def _window_flags(silver: DataFrame, as_of, hours: int):
 
 
 def _label(col: str):
-    """max(col) computed as array_max(collect_set(col)): the same value
-    (nulls ignored, null when none), but hash-aggregatable — a station's set
-    holds its few distinct labels — so the whole per-station pass stays one
-    hash aggregation instead of a sort-based one over the history."""
-    return F.array_max(F.collect_set(col)).alias(col)
+    """The station label as the source took it (max over the rows), in its
+    hash-aggregatable form (a station's set holds its few distinct labels)."""
+    return max_text(col).alias(col)
 
 
 def _drop_agg(base: DataFrame, keys, in_last, in_prev) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.stats import max_text
 from ..functions.timeconv import parse_utc_text
 from ..schema import MANIFEST_SCHEMA
 
@@ -117,11 +118,11 @@ def run_reconcile(logs: DataFrame, raw: DataFrame, manifests: DataFrame) -> Data
     the full outer joins are between small per-run tables.
     """
     lg = (logs.filter(F.col("run_id").isNotNull())
-          .groupBy("run_id").agg(F.max("rows").alias("rows_logged"), F.max("fuel").alias("fuel_logged")))
-    dt = raw.groupBy("run_id").agg(F.count(F.lit(1)).alias("rows_present"), F.max("anp").alias("anp_data"))
+          .groupBy("run_id").agg(F.max("rows").alias("rows_logged"), max_text("fuel").alias("fuel_logged")))
+    dt = raw.groupBy("run_id").agg(F.count(F.lit(1)).alias("rows_present"), max_text("anp").alias("anp_data"))
     mf = manifests.groupBy("run_id").agg(F.max("response_stats.rows_written").alias("rows_written"),
                                          F.max("response_stats.totalRegistros_reported").alias("reported_total"),
-                                         F.max("anp").alias("anp_manifest"))
+                                         max_text("anp").alias("anp_manifest"))
     j = lg.join(dt, "run_id", "full_outer").join(mf, "run_id", "full_outer")
     in_log, in_data, in_man = (F.col("rows_logged").isNotNull() | F.col("fuel_logged").isNotNull(),
                                F.col("rows_present").isNotNull(), F.col("rows_written").isNotNull())
