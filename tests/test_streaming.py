@@ -40,9 +40,10 @@ def test_late_data_against_watermark(spark):
     _write_silver_batch(spark, [obs(2, 5.0, -100)], path)                    # advances event time to T0+100h
     jobs.stream_dedup(spark, path, out=out)
     _write_silver_batch(spark, [obs(3, 5.0, -40), obs(4, 5.0, -20)], path)   # 60 h and 80 h behind
-    jobs.stream_dedup(spark, path, out=out)
+    run = jobs.stream_dedup(spark, path, out=out)
     got = {r.cnpj for r in spark.read.parquet(out).collect()}
     assert got == {1, 2, 3}
+    assert jobs.watermark_drops(run) == 1
     assert base  # keep the reference date visible for readers
 
 
