@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold as goldops, runs, silver as silverops
-from ..schema import PAGE_ROWS, SILVER_COLUMNS
+from ..schema import PAGE_ROWS, QUERY_LAT, QUERY_LNG, SILVER_COLUMNS
 from ..sinks import raw as rawsink
 from ..sources import raw as rawsrc, testdata
 from . import snapshots
@@ -122,7 +122,7 @@ def q_distance_check(spark, sf):
     return d.groupBy("fuel_type").agg(F.count(F.lit(1)).alias("rows"),
                                       F.count("distance_diff_km").alias("checked"),
                                       F.count_if(~F.col("distance_ok")).alias("bad"),
-                                      F.max("distance_diff_km").alias("max_diff_km"))
+                                      F.round(F.max("distance_diff_km"), 3).alias("max_diff_km"))
 
 
 def q_silver_validate_raw(spark, sf):
@@ -301,10 +301,12 @@ GROUP BY run_id"""),
 SELECT {snapshots.UNIT_SPELLINGS!r}[(obs_id % {len(snapshots.UNIT_SPELLINGS)}) + 1] AS unit_raw, 'L' AS unit,
        fuel_type = 'GNV' AS unit_suspect, count(*) AS rows
 FROM snap GROUP BY ALL"""),
-    "distance_check": _raw_ctes("""
-SELECT fuel_type, count(*) AS rows, count(lat) AS checked, CAST(0 AS BIGINT) AS bad,
-       CASE WHEN count(lat) > 0 THEN CAST(0 AS DOUBLE) END AS max_diff_km
-FROM snap GROUP BY fuel_type"""),
+    "distance_check": _raw_ctes(f"""
+SELECT fuel_type, count(*) AS rows, count(d) AS checked, count(*) FILTER (WHERE d > 0.01) AS bad,
+       round(max(d), 3) AS max_diff_km
+FROM (SELECT fuel_type,
+             abs({testdata.haversine_sql(QUERY_LAT, QUERY_LNG, 'lat', 'lng')} - distance_km) AS d FROM snap)
+GROUP BY fuel_type"""),
     "partition_slug": f"""
 SELECT c.c_custkey AS cnpj, c.c_name AS station_name,
        regexp_replace(c.c_name, '[^a-zA-Z0-9_\\-=\\.]', '_', 'g') AS slug

@@ -15,6 +15,10 @@ from ..functions.geo import haversine_km
 from ..schema import QUERY_LAT, QUERY_LNG, SILVER_COLUMNS
 
 
+# The source publishes its distance (km from the query point) with 4 decimals.
+SOURCE_DISTANCE_DECIMALS = 4
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -83,7 +87,7 @@ def attach_stations(spark: SparkSession, sf_dir: str, obs: DataFrame, with_obs_i
         F.lit(None).cast("string").alias("number"),
         F.lit(None).cast("string").alias("zip_code"),
         lat.alias("lat"), lng.alias("lng"),
-        haversine_km(QUERY_LAT, QUERY_LNG, lat, lng).alias("distance_km"),
+        F.round(haversine_km(QUERY_LAT, QUERY_LNG, lat, lng), SOURCE_DISTANCE_DECIMALS).alias("distance_km"),
         "price_ts", "price_unit",
         F.col("price_unit").alias("price_net"),
         F.col("price_unit").alias("price_gross"),
@@ -134,7 +138,7 @@ SELECT
   e.user_id AS cnpj, c.c_name AS station_name, n.n_name AS city, r.r_name AS uf, c.c_mktsegment AS district,
   CAST(NULL AS VARCHAR) AS street, CAST(NULL AS VARCHAR) AS number, CAST(NULL AS VARCHAR) AS zip_code,
   CAST({_LAT_SQL} AS DOUBLE) AS lat, CAST({_LNG_SQL} AS DOUBLE) AS lng,
-  {haversine_sql(QUERY_LAT, QUERY_LNG, _LAT_SQL, _LNG_SQL)} AS distance_km,
+  round({haversine_sql(QUERY_LAT, QUERY_LNG, _LAT_SQL, _LNG_SQL)}, {SOURCE_DISTANCE_DECIMALS}) AS distance_km,
   e.ts AS price_ts, e.value AS price_unit, e.value AS price_net, e.value AS price_gross,
   CAST(NULL AS DOUBLE) AS discount, CAST(NULL AS VARCHAR) AS run_id, e.ts AS collected_at,
   e.event_id AS obs_id
