@@ -25,13 +25,8 @@ def chain(spark: SparkSession, sf: str) -> dict[str, str]:
     key = f"{spark.sparkContext.applicationId}|{sf}"
     c = _CHAIN.get(key)
     if c is None:
-        t = tree(spark, sf)
-        silver = jobs.stream_bronze_silver(spark, t.data_root).output
-        dedup = jobs.stream_dedup(spark, silver).output
-        c = {"silver": silver, "dedup": dedup,
-             "gold": jobs.stream_gold_latest(spark, dedup).output,
-             "daily": jobs.stream_daily(spark, dedup).output,
-             "windows": jobs.stream_window_means(spark, dedup, hours=DROP_HOURS).output}
+        ch = jobs.run_chain(spark, tree(spark, sf).data_root, window_hours=DROP_HOURS)
+        c = {"silver": ch.silver, "dedup": ch.dedup, "gold": ch.gold, "daily": ch.daily, "windows": ch.windows}
         _CHAIN[key] = c
     return c
 

@@ -234,3 +234,49 @@ def watermark_drops(run: StreamRun) -> int:
             v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
             total += int(v or 0)
     return total
+
+
+@dataclass
+class StreamChain:
+    silver: str
+    dedup: str
+    gold: str
+    daily: str
+    windows: str
+
+
+def run_chain(spark: SparkSession, raw_root: str, out_root: str | None = None, window_hours: int = 24,
+              available_now: bool = True) -> StreamChain:
+    """Start the whole chain: raw -> silver -> dedup -> gold / daily / window
+    means, each stage reading the previous stage's sink.
+
+    With ``available_now`` every stage drains what is present and stops, in
+    order (a scheduled incremental run).  Otherwise the stages run
+    continuously; the downstream stages are started once their source table
+    has its first files.
+    """
+    root = (out_root or scratch_path(spark, "stream-chain")).rstrip("/")
+    silver = stream_bronze_silver(spark, raw_root, out=f"{root}/silver", available_now=available_now).output
+    if not available_now:
+        _wait_for_files(spark, silver)
+    dedup = stream_dedup(spark, silver, out=f"{root}/dedup", available_now=available_now).output
+    if not available_now:
+        _wait_for_files(spark, dedup)
+    return StreamChain(
+        silver, dedup,
+        stream_gold_latest(spark, dedup, out=f"{root}/gold", available_now=available_now).output,
+        stream_daily(spark, dedup, out=f"{root}/daily", available_now=available_now).output,
+        stream_window_means(spark, dedup, hours=window_hours, out=f"{root}/windows",
+                            available_now=available_now).output)
+
+
+def _wait_for_files(spark: SparkSession, path: str, timeout_s: int = 600) -> None:
+    import time
+    deadline = time.time() + timeout_s
+    while time.time() < deadline:
+        try:
+            spark.read.parquet(path).schema
+            return
+        except Exception:  # noqa: BLE001 - not written yet
+            time.sleep(5)
+    raise TimeoutError(f"no files under {path} after {timeout_s}s")
