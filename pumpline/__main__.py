@@ -1,10 +1,11 @@
-"""Job entry point for spark-submit.
+"""Job entry point.
 
-  spark-submit -m pumpline build  --raw RAW_ROOT --out LAYERS_ROOT
-  spark-submit -m pumpline ingest --raw RAW_ROOT --out LAYERS_ROOT --dt 2026-01-16 [--run RUN_ID ...]
-  spark-submit -m pumpline stream --raw RAW_ROOT --out STREAM_ROOT [--continuous]
+  python -m pumpline build  --raw RAW_ROOT --out LAYERS_ROOT
+  python -m pumpline ingest --raw RAW_ROOT --out LAYERS_ROOT --dt 2026-01-16 [--run RUN_ID ...]
+  python -m pumpline stream --raw RAW_ROOT --out STREAM_ROOT [--continuous]
 
-(or ``python -m pumpline ...`` with a local session).  ``build`` runs the
+On a cluster the same commands go through ``scripts/pumpline_job.py``:
+``spark-submit --py-files pumpline.zip scripts/pumpline_job.py build ...``.  ``build`` runs the
 full medallion job; ``ingest`` adds the runs of one collection day (or the
 named runs) incrementally; ``stream`` runs the Structured Streaming chain.
 """
