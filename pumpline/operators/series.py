@@ -80,6 +80,25 @@ def price_compare(gold: DataFrame, fuel_type: str | None = None, uf: str | None
                  F.max("price_ts").alias("last_price_ts")))
 
 
+def price_compare_scope(gold: DataFrame, fuel_type: str, uf: str | None = None,
+                        city: str | None = None) -> DataFrame:
+    """The single-scope answer: exactly one row for the requested (fuel,
+    uf?, city?) scope, aggregated over all its rows; an empty scope gives
+    stations = 0 and null prices (the source's stub answer)."""
+    check_required("fuel_type", fuel_type)
+    uf = check_uf(uf)
+    f = apply_filters(gold, eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city))
+    return f.agg(F.lit(fuel_type).alias("fuel_type"),
+                 F.lit(uf or "").alias("uf"),
+                 F.lit(city or "").alias("city"),
+                 exact_mean("price_unit").alias("avg_price_unit"),
+                 F.min("price_unit").alias("min_price_unit"),
+                 F.max("price_unit").alias("max_price_unit"),
+                 F.count(F.lit(1)).alias("stations"),
+                 F.count_distinct("cnpj").alias("distinct_stations"),
+                 F.max("price_ts").alias("last_price_ts"))
+
+
 def price_compare_all(gold: DataFrame) -> DataFrame:
     return price_compare(gold)
 

@@ -135,3 +135,11 @@ def test_unit_canonical(spark):
     df = spark.createDataFrame([("L",), ("lt",), ("LTS",), ("LITRO",), ("M3",), ("KG",)], "unit string")
     got = [r.unit for r in silver.unit_canonical(df).collect()]
     assert got == ["L", "L", "L", "L", "M3", "KG"]
+
+
+def test_price_compare_scope_empty_and_one_row(spark):
+    g = silver_df(spark, [obs(1, 5.0, 1, city="A"), obs(2, 7.0, 1, city="A"), obs(3, 9.0, 1, city="B")])
+    one = series.price_compare_scope(g, "GASOLINA", city="A").collect()
+    assert len(one) == 1 and one[0].stations == 2 and one[0].avg_price_unit == 6.0
+    empty = series.price_compare_scope(g, "ETANOL").collect()
+    assert len(empty) == 1 and empty[0].stations == 0 and empty[0].avg_price_unit is None
