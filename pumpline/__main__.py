@@ -2,7 +2,7 @@
 
   python -m pumpline build  --raw RAW_ROOT --out LAYERS_ROOT
   python -m pumpline ingest --raw RAW_ROOT --out LAYERS_ROOT --dt 2026-01-16 [--run RUN_ID ...]
-  python -m pumpline stream --raw RAW_ROOT --out STREAM_ROOT [--continuous]
+  python -m pumpline stream --raw RAW_ROOT --out STREAM_ROOT [--continuous] [--into-layers]
 
 On a cluster the same commands go through ``scripts/pumpline_job.py``:
 ``spark-submit --py-files pumpline.zip scripts/pumpline_job.py build ...``.  ``build`` runs the
@@ -35,6 +35,8 @@ def main(argv=None) -> int:
             p.add_argument("--run", action="append", default=[], help="run_id to ingest (repeatable)")
         if name == "stream":
             p.add_argument("--continuous", action="store_true", help="keep running instead of draining once")
+            p.add_argument("--into-layers", action="store_true",
+                           help="merge each micro-batch into the stored layers instead of the stateful chain")
     args = ap.parse_args(argv)
     spark = configure(SparkSession.builder.appName(f"pumpline-{args.cmd}").getOrCreate())
     if args.cmd == "build":
@@ -48,6 +50,11 @@ def main(argv=None) -> int:
         if args.run:
             pred = pred & F.col("run_id").isin(*args.run)
         medallion.ingest_runs(spark, args.raw, medallion.layer_paths(args.out), pred)
+    elif args.into_layers:
+        jobs.stream_into_layers(spark, args.raw, medallion.layer_paths(args.out),
+                                checkpoint=args.out.rstrip("/") + "/_checkpoint", available_now=not args.continuous)
+        if args.continuous:
+            spark.streams.awaitAnyTermination()
     else:
         chain = jobs.run_chain(spark, args.raw, args.out, available_now=not args.continuous)
         if args.continuous:

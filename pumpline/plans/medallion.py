@@ -68,11 +68,28 @@ def run(spark: SparkSession, raw_root: str, out_root: str) -> Layers:
 
 def ingest_runs(spark: SparkSession, raw_root: str, layers: Layers, run_filter) -> None:
     """Incremental step for new runs (``run_filter``: a Column predicate on
-    the raw tree, e.g. on run_id or dt, pruning folders).
+    the raw tree, e.g. on run_id or dt, pruning folders): the new runs'
+    folders go to bronze (dynamic overwrite, idempotent) and their rows are
+    merged into silver, gold and the daily base by ``merge_new_rows``."""
+    new_raw = rawsrc.scan_raw(spark, raw_root).filter(run_filter)
+    sinks.write_bronze(new_raw, layers.bronze)
+    merge_new_rows(spark, rawsrc.scan_table(spark, layers.bronze).filter(run_filter), layers)
+
+
+def _stored_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The stored table, or an empty frame shaped like ``like`` before the
+    first write."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path).select(*like.columns)
+    except AnalysisException:
+        return spark.createDataFrame([], like.schema)
 
-    Only what the new runs touch is rewritten:
 
-    * bronze: the new run folders (dynamic overwrite, idempotent);
+def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> None:
+    """Merge newly collected raw lines into the stored layers, rewriting only
+    what they touch:
+
     * silver: the (fuel, day) partitions the new observations fall in — the
       stored rows of those partitions plus the new rows, deduplicated, staged
       to a written table (lineage cut; a path is never overwritten while it
@@ -82,21 +99,25 @@ def ingest_runs(spark: SparkSession, raw_root: str, layers: Layers, run_filter)
       the latest over the whole history because gold already holds each
       key's latest row;
     * daily base: the touched days, recomputed from silver.
+
+    Re-running the same input gives the same tables (idempotent), so a
+    retried job or streaming epoch is harmless.
     """
-    new_raw = rawsrc.scan_raw(spark, raw_root).filter(run_filter)
-    sinks.write_bronze(new_raw, layers.bronze)
-    bronze_new = rawsrc.scan_table(spark, layers.bronze).filter(run_filter)
-    new = (silverops.silver_typed(silverops.silver_flatten(bronze_new))
+    new = (silverops.silver_typed(silverops.silver_flatten(new_raw))
            .withColumn("obs_date", F.to_date("price_ts")))
+    stage_new = scratch_path(spark, "new-rows")
+    new.write.parquet(stage_new)
+    new = spark.read.parquet(stage_new)
+    new_rows = new.select(*SILVER_COLUMNS, "obs_date")
     touched = new.select("fuel_type", "obs_date").distinct()
-    current = read_silver(spark, layers).join(touched, ["fuel_type", "obs_date"], "left_semi")
-    merged = silverops.silver_dedup(current.unionByName(new.select(*SILVER_COLUMNS, "obs_date")))
+    current = _stored_or_empty(spark, layers.silver, new_rows).join(touched, ["fuel_type", "obs_date"], "left_semi")
+    merged = silverops.silver_dedup(current.unionByName(new_rows))
     stage = scratch_path(spark, "silver-stage")
     merged.write.parquet(stage)
     sinks.write_silver(spark.read.parquet(stage).drop("obs_date"), layers.silver)
 
     g_stage = scratch_path(spark, "gold-stage")
-    gold_now = rawsrc.scan_table(spark, layers.gold).select(*SILVER_COLUMNS)
+    gold_now = _stored_or_empty(spark, layers.gold, new.select(*SILVER_COLUMNS))
     candidates = gold_now.unionByName(new.select(*SILVER_COLUMNS))
     goldops.gold_latest(silverops.silver_dedup(candidates)).write.parquet(g_stage)
     sinks.write_gold(spark.read.parquet(g_stage), layers.gold)

@@ -31,6 +31,36 @@ def chain(spark: SparkSession, sf: str) -> dict[str, str]:
     return c
 
 
+_LAYERS: dict[str, object] = {}
+
+
+def stream_layers(spark: SparkSession, sf: str):
+    """Layers filled by the streaming merge, 25 files per micro-batch so the
+    merge runs over many epochs."""
+    from ..session import scratch_path
+    from . import medallion
+    key = f"{spark.sparkContext.applicationId}|{sf}"
+    if key not in _LAYERS:
+        lay = medallion.layer_paths(scratch_path(spark, "stream-layers"))
+        jobs.stream_into_layers(spark, tree(spark, sf).data_root, lay, max_files_per_trigger=25)
+        _LAYERS[key] = lay
+    return _LAYERS[key]
+
+
+def q_stream_layers_silver(spark, sf) -> DataFrame:
+    from ..schema import SILVER_COLUMNS
+    return spark.read.parquet(stream_layers(spark, sf).silver).select(*SILVER_COLUMNS)
+
+
+def q_stream_layers_gold(spark, sf) -> DataFrame:
+    from ..schema import SILVER_COLUMNS
+    return spark.read.parquet(stream_layers(spark, sf).gold).select(*SILVER_COLUMNS)
+
+
+def q_stream_layers_timeseries_base(spark, sf) -> DataFrame:
+    return spark.read.parquet(stream_layers(spark, sf).daily_base).drop("obs_date")
+
+
 def q_stream_bronze_silver(spark, sf) -> DataFrame:
     from ..schema import SILVER_COLUMNS
     return spark.read.parquet(chain(spark, sf)["silver"]).select(*SILVER_COLUMNS)
@@ -59,6 +89,9 @@ def q_late_data_report(spark, sf) -> DataFrame:
 
 
 QUERIES = {
+    "stream_layers_silver": q_stream_layers_silver,
+    "stream_layers_gold": q_stream_layers_gold,
+    "stream_layers_timeseries_base": q_stream_layers_timeseries_base,
     "stream_bronze_silver": q_stream_bronze_silver,
     "stream_dedup": q_stream_dedup,
     "stream_gold_latest": q_stream_gold_latest,
@@ -98,3 +131,12 @@ SELECT fuel_type, count(*) AS rows, max(s) / 3600.0 AS max_lag_h, sum(s) / count
 FROM l GROUP BY fuel_type"""),
 }
 ORACLE_SQL["stream_bronze_silver"] = _raw_ctes("SELECT * FROM raw_silver")
+
+
+def _layer_sql():
+    from .raw_registry import ORACLE_SQL as RAW
+    return {"stream_layers_silver": RAW["silver_from_raw"], "stream_layers_gold": RAW["gold_from_raw"],
+            "stream_layers_timeseries_base": RAW["layers_timeseries_base"]}
+
+
+ORACLE_SQL.update(_layer_sql())
