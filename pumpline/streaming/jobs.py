@@ -41,18 +41,26 @@ class StreamRun:
     checkpoint: str
 
 
-def _run(writer, output: str, checkpoint: str, available_now: bool = True, timeout_s: int = 600) -> StreamRun:
+def _run(writer, output: str, checkpoint: str, available_now: bool = True, timeout_s: int = 600,
+         wait: bool = True) -> StreamRun:
     w = writer.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    q = w.start()
-    if available_now:
-        q.awaitTermination(timeout_s)
-        if q.isActive:
-            q.stop()
-            raise TimeoutError(f"stream did not finish within {timeout_s}s")
-        if q.exception() is not None:
-            raise q.exception()
-    return StreamRun(q, output, checkpoint)
+    run = StreamRun(w.start(), output, checkpoint)
+    if available_now and wait:
+        finish(run, timeout_s)
+    return run
+
+
+def finish(run: StreamRun, timeout_s: int = 600) -> StreamRun:
+    """Wait for an availableNow query to drain; surface its failure."""
+    q = run.query
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError(f"stream did not finish within {timeout_s}s")
+    if q.exception() is not None:
+        raise q.exception()
+    return run
 
 
 def raw_stream(spark: SparkSession, raw_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -102,7 +110,7 @@ def stream_dedup(spark: SparkSession, silver_path: str, out: str | None = None,
 
 
 def stream_gold_latest(spark: SparkSession, dedup_path: str, out: str | None = None,
-                       available_now: bool = True) -> StreamRun:
+                       available_now: bool = True, wait: bool = True) -> StreamRun:
     """Latest row per (cnpj, product_code), kept current by a streaming
     aggregation (one state row per key: the number of station products, not
     of observations).
@@ -122,7 +130,7 @@ def stream_gold_latest(spark: SparkSession, dedup_path: str, out: str | None = N
         batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id:010d}")
 
     w = latest.writeStream.outputMode("complete").foreachBatch(write_epoch)
-    return _run(w, out, out + "-ckpt", available_now)
+    return _run(w, out, out + "-ckpt", available_now, wait=wait)
 
 
 def read_gold(spark: SparkSession, out: str) -> DataFrame:
@@ -133,7 +141,7 @@ def read_gold(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_daily(spark: SparkSession, dedup_path: str, out: str | None = None, watermark: str = WATERMARK,
-                 available_now: bool = True) -> StreamRun:
+                 available_now: bool = True, wait: bool = True) -> StreamRun:
     """Tumbling 1-day avg/min/max/count per fuel.
 
     Update mode: each epoch emits the full running aggregate of every
@@ -158,7 +166,7 @@ def stream_daily(spark: SparkSession, dedup_path: str, out: str | None = None, w
          .partitionBy("d", "fuel_type").parquet(out))
 
     w = daily.writeStream.outputMode("update").foreachBatch(upsert)
-    return _run(w, out, out + "-ckpt", available_now)
+    return _run(w, out, out + "-ckpt", available_now, wait=wait)
 
 
 def read_daily(spark: SparkSession, out: str) -> DataFrame:
@@ -167,7 +175,7 @@ def read_daily(spark: SparkSession, out: str) -> DataFrame:
 
 def stream_window_means(spark: SparkSession, dedup_path: str, hours: int = 24, out: str | None = None,
                         watermark: str = WATERMARK, available_now: bool = True,
-                        slide_hours: int | None = None) -> StreamRun:
+                        slide_hours: int | None = None, wait: bool = True) -> StreamRun:
     """Per (fuel, station, ``hours`` window): exact mean price, kept by a
     streaming aggregation and upserted by window partition.  Windows are
     tumbling by default; ``slide_hours`` makes them slide (each row then
@@ -189,7 +197,7 @@ def stream_window_means(spark: SparkSession, dedup_path: str, hours: int = 24, o
          .partitionBy("ws", "fuel_type").parquet(out))
 
     w = means.writeStream.outputMode("update").foreachBatch(upsert)
-    return _run(w, out, out + "-ckpt", available_now)
+    return _run(w, out, out + "-ckpt", available_now, wait=wait)
 
 
 def window_drops(means: DataFrame, hours: int = 24, pct_drop: float = 3.0) -> DataFrame:
@@ -262,12 +270,15 @@ def run_chain(spark: SparkSession, raw_root: str, out_root: str | None = None, w
     dedup = stream_dedup(spark, silver, out=f"{root}/dedup", available_now=available_now).output
     if not available_now:
         _wait_for_files(spark, dedup)
-    return StreamChain(
-        silver, dedup,
-        stream_gold_latest(spark, dedup, out=f"{root}/gold", available_now=available_now).output,
-        stream_daily(spark, dedup, out=f"{root}/daily", available_now=available_now).output,
-        stream_window_means(spark, dedup, hours=window_hours, out=f"{root}/windows",
-                            available_now=available_now).output)
+    # The three downstream streams read the same dedup table: run them side by side.
+    runs = [stream_gold_latest(spark, dedup, out=f"{root}/gold", available_now=available_now, wait=False),
+            stream_daily(spark, dedup, out=f"{root}/daily", available_now=available_now, wait=False),
+            stream_window_means(spark, dedup, hours=window_hours, out=f"{root}/windows",
+                                available_now=available_now, wait=False)]
+    if available_now:
+        for r in runs:
+            finish(r)
+    return StreamChain(silver, dedup, *[r.output for r in runs])
 
 
 def _wait_for_files(spark: SparkSession, path: str, timeout_s: int = 600) -> None:
