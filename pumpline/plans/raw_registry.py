@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold as goldops, runs, silver as silverops
+from ..session import app_key
 from ..schema import PAGE_ROWS, QUERY_LAT, QUERY_LNG, SILVER_COLUMNS
 from ..sinks import raw as rawsink
 from ..sources import raw as rawsrc, testdata
@@ -149,7 +150,7 @@ _LAYERS: dict[str, object] = {}
 def layers(spark, sf):
     from ..session import scratch_path
     from . import medallion
-    key = f"{spark.sparkContext.applicationId}|{sf}"
+    key = f"{app_key(spark)}|{sf}"
     if key not in _LAYERS:
         _LAYERS[key] = medallion.run(spark, tree(spark, sf).data_root, scratch_path(spark, "layers"))
     return _LAYERS[key]
@@ -163,7 +164,7 @@ def incremental_layers(spark, sf):
     collection ingested incrementally."""
     from ..session import scratch_path
     from . import medallion
-    key = f"{spark.sparkContext.applicationId}|{sf}"
+    key = f"{app_key(spark)}|{sf}"
     if key not in _INCR:
         root = tree(spark, sf).data_root
         newest = F.col("run_id").startswith("run-0000-")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..operators import runs as runops
 from ..schema import (PAGE_ROWS, QUERY_HOURS, QUERY_LAT, QUERY_LNG, QUERY_ORDER, QUERY_RADIUS_KM,
                       SOURCE_NAME)
-from ..session import scratch_path
+from ..session import app_key, scratch_path
 from ..sinks import raw as rawsink
 
 STEP_HOURS = 48
@@ -132,7 +132,7 @@ _TREES: dict[str, RawTree] = {}
 def raw_tree_for(spark: SparkSession, sf_dir: str, obs_factory) -> RawTree:
     """The raw tree derived from ``sf_dir``'s tables, written once per
     application and reused by later queries in it."""
-    key = f"{spark.sparkContext.applicationId}|{sf_dir}"
+    key = f"{app_key(spark)}|{sf_dir}"
     tree = _TREES.get(key)
     if tree is None:
         tree = write_raw_tree(spark, obs_factory(spark, sf_dir))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import GOLD_KEY
+from ..session import app_key
 from ..streaming import jobs
 from .raw_registry import _raw_ctes, raw_silver, tree
 
@@ -22,7 +23,7 @@ _CHAIN: dict[str, dict[str, str]] = {}
 
 
 def chain(spark: SparkSession, sf: str) -> dict[str, str]:
-    key = f"{spark.sparkContext.applicationId}|{sf}"
+    key = f"{app_key(spark)}|{sf}"
     c = _CHAIN.get(key)
     if c is None:
         ch = jobs.run_chain(spark, tree(spark, sf).data_root, window_hours=DROP_HOURS)
@@ -39,7 +40,7 @@ def stream_layers(spark: SparkSession, sf: str):
     merge runs over many epochs."""
     from ..session import scratch_path
     from . import medallion
-    key = f"{spark.sparkContext.applicationId}|{sf}"
+    key = f"{app_key(spark)}|{sf}"
     if key not in _LAYERS:
         lay = medallion.layer_paths(scratch_path(spark, "stream-layers"))
         jobs.stream_into_layers(spark, tree(spark, sf).data_root, lay, max_files_per_trigger=25)

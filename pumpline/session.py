@@ -78,3 +78,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/pumpline/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def app_key(spark: SparkSession) -> str:
+    """An id of the running application (works without a SparkContext)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # pragma: no cover - Spark Connect
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
