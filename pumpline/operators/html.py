@@ -15,13 +15,38 @@ def attr_pattern(tag: str, attr: str) -> str:
 SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
 
 
+URL_PARTS = r"^([a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/?#]*)?)?([^?#]*)(.*)$"
+
+
+def remove_dot_segments(url: Column) -> Column:
+    """Resolve ``.`` and ``..`` path segments (RFC 3986 5.2.4) of a URL:
+    the path is split into segments and folded with a stack
+    (``aggregate`` over the array, JVM-side); a trailing ``.``/``..``
+    leaves a trailing slash, and ``..`` above the root is dropped."""
+    prefix = F.regexp_extract(url, URL_PARTS, 1)
+    path = F.regexp_extract(url, URL_PARTS, 2)
+    rest = F.regexp_extract(url, URL_PARTS, 3)
+    segs = F.split(path, "/")
+    folded = F.aggregate(
+        segs, F.array().cast("array<string>"),
+        lambda acc, seg: F.when(seg == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.size(acc) - 1))
+                                .otherwise(acc))
+                          .when(seg == ".", acc)
+                          .otherwise(F.concat(acc, F.array(seg))))
+    last = F.element_at(segs, -1)
+    folded = F.when(last.isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
+    new_path = F.when(path.rlike(r"(^|/)\.{1,2}(/|$)"), F.array_join(folded, "/")).otherwise(path)
+    return F.concat(prefix, new_path, rest)
+
+
 def resolve_url(base: Column, link: Column) -> Column:
-    """Make ``link`` absolute against the page URL ``base``.
+    """Make ``link`` absolute against the page URL ``base``, as a browser
+    (or ``urllib.parse.urljoin``) does.
 
     Handles absolute URLs, scheme-relative (//host/...), host-relative
     (/path), query-only (?q), fragment-only (#f) and relative paths (against
-    the base's directory, leading ./ dropped).  ``..`` segments are kept as
-    written.
+    the base's directory); paths resolved against the base lose their
+    ``.``/``..`` segments.
     """
     origin = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
@@ -29,12 +54,14 @@ def resolve_url(base: Column, link: Column) -> Column:
     no_query = F.regexp_extract(base, r"^[^?#]*", 0)
     base_dir = F.when(no_query == origin, F.concat(origin, F.lit("/"))).otherwise(
         F.regexp_extract(no_query, r"^(.*/)", 1))
+    # Links that carry their own scheme or host are kept as written (as
+    # urljoin does); links resolved against the base get dot segments removed.
     return (F.when(link.rlike(SCHEME), link)
              .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-             .when(link.startswith("/"), F.concat(origin, link))
+             .when(link.startswith("/"), remove_dot_segments(F.concat(origin, link)))
              .when(link.startswith("?"), F.concat(no_query, link))
              .when(link.startswith("#"), F.concat(no_frag, link))
-             .otherwise(F.concat(base_dir, F.regexp_replace(link, r"^(\./)+", ""))))
+             .otherwise(remove_dot_segments(F.concat(base_dir, link))))
 
 
 def page_links(pages: DataFrame, tag: str = "a", attr: str = "href", id_col: str = "page_id",

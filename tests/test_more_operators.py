@@ -21,6 +21,8 @@ def test_resolve_url_cases(spark):
         "#frag": "https://site.example.com/a/b/page.html?x=1#frag",
         "rel/file.js": "https://site.example.com/a/b/rel/file.js",
         "./here.js": "https://site.example.com/a/b/here.js",
+        "../up.js": "https://site.example.com/a/up.js",
+        "x/../../y": "https://site.example.com/a/y",
         "mailto:x@example.com": "mailto:x@example.com",
     }
     df = spark.createDataFrame([(base, k) for k in cases], "base string, link string")
@@ -108,3 +110,14 @@ def test_silver_validate_flags(spark):
     bad = [obs(1, -1.0, 1), obs(2, 5.0, 1, lat=95.0), obs(3, 5.0, -2, collected_hours_ago=0)]
     v = {r.rule: r.failed for r in silver.silver_validate(silver_df(spark, bad)).collect()}
     assert v["price_out_of_range"] == 1 and v["lat_out_of_range"] == 1 and v["ts_after_collection"] == 1
+
+
+def test_resolve_url_matches_urljoin(spark):
+    from urllib.parse import urljoin
+    bases = ["https://s.example.com/a/b/c.html?x=1#f", "http://h.example.org", "http://h.example.org/",
+             "https://h.example.net/a/b/"]
+    links = ["../d", "../../d", "../../../../d", "./x/./y", "x/../y", "..", ".", "/a/./b/../c",
+             "//cdn.example.com/p/../q", "?q=1", "#z", "http://o.example.com/a/../b", "z", "a/b/..", "a/.", "/../x"]
+    df = spark.createDataFrame([(b, k) for b in bases for k in links], "base string, link string")
+    got = df.select("base", "link", html.resolve_url(F.col("base"), F.col("link")).alias("u")).collect()
+    assert [(r.base, r.link, r.u) for r in got if r.u != urljoin(r.base, r.link)] == []
