@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..operators import gold as goldops, silver as silverops
 from ..schema import SILVER_COLUMNS
 from ..sinks import raw as sinks
-from ..session import scratch_path
 from ..sources import raw as rawsrc
 
 
@@ -28,11 +27,18 @@ class Layers:
     silver: str
     gold: str
     daily_base: str
+    staging: str = ""
+
+    def stage(self, name: str) -> str:
+        """Fixed staging location of one merge step: each merge overwrites
+        it, so staged copies do not pile up across runs or epochs."""
+        return f"{self.staging or self.silver + '_staging'}/{name}"
 
 
 def layer_paths(root: str) -> Layers:
     root = root.rstrip("/")
-    return Layers(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/timeseries_base")
+    return Layers(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/timeseries_base",
+                  f"{root}/_staging")
 
 
 def build_bronze(spark: SparkSession, raw_root: str, layers: Layers) -> None:
@@ -105,21 +111,21 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     """
     new = (silverops.silver_typed(silverops.silver_flatten(new_raw))
            .withColumn("obs_date", F.to_date("price_ts")))
-    stage_new = scratch_path(spark, "new-rows")
-    new.write.parquet(stage_new)
+    stage_new = layers.stage("new")
+    new.write.mode("overwrite").parquet(stage_new)
     new = spark.read.parquet(stage_new)
     new_rows = new.select(*SILVER_COLUMNS, "obs_date")
     touched = new.select("fuel_type", "obs_date").distinct()
     current = _stored_or_empty(spark, layers.silver, new_rows).join(touched, ["fuel_type", "obs_date"], "left_semi")
     merged = silverops.silver_dedup(current.unionByName(new_rows))
-    stage = scratch_path(spark, "silver-stage")
-    merged.write.parquet(stage)
+    stage = layers.stage("silver")
+    merged.write.mode("overwrite").parquet(stage)
     sinks.write_silver(spark.read.parquet(stage).drop("obs_date"), layers.silver)
 
-    g_stage = scratch_path(spark, "gold-stage")
+    g_stage = layers.stage("gold")
     gold_now = _stored_or_empty(spark, layers.gold, new.select(*SILVER_COLUMNS))
     candidates = gold_now.unionByName(new.select(*SILVER_COLUMNS))
-    goldops.gold_latest(silverops.silver_dedup(candidates)).write.parquet(g_stage)
+    goldops.gold_latest(silverops.silver_dedup(candidates)).write.mode("overwrite").parquet(g_stage)
     sinks.write_gold(spark.read.parquet(g_stage), layers.gold)
 
     days = new.select("obs_date").distinct()

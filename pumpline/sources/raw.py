@@ -55,7 +55,7 @@ def scan_run_log(spark: SparkSession, root: str, glob: str = "*.log") -> DataFra
     Lines that do not match the format keep ts/level null.
     """
     lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-             .text(root).withColumn("file", F.input_file_name()))
+             .text(root).withColumn("file", F.col("_metadata.file_path")))
     ts_text = F.regexp_extract("value", LOG_LINE, 1)
     msg = F.regexp_extract("value", LOG_LINE, 3)
     fuel = F.regexp_extract(msg, r"^([A-Za-z0-9_]+): (fetching|wrote)", 1)
@@ -63,7 +63,7 @@ def scan_run_log(spark: SparkSession, root: str, glob: str = "*.log") -> DataFra
     run = F.regexp_extract(msg, r"run_id=([0-9A-Za-z_.=-]+)", 1)
     return lines.select(
         F.element_at(F.split("file", "/"), -1).alias("log_file"),
-        F.try_to_timestamp(F.nullif(ts_text, F.lit("")), F.lit(LOG_TS_FORMAT)).cast("timestamp_ntz").alias("ts"),
+        F.to_timestamp_ntz(F.nullif(ts_text, F.lit("")), F.lit(LOG_TS_FORMAT)).alias("ts"),
         F.nullif(F.regexp_extract("value", LOG_LINE, 2), F.lit("")).alias("level"),
         F.when(ts_text != "", msg).otherwise(F.col("value")).alias("message"),
         F.nullif(fuel, F.lit("")).alias("fuel"),
