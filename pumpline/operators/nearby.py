@@ -90,51 +90,60 @@ def listing_totals(page: Page, max_pages: int | None = None) -> DataFrame:
     return page.population.agg(F.count(F.lit(1)).alias("total_records")).withColumn("total_pages", pages)
 
 
-def _lng_cell_width(radius_km: float, max_abs_lat: Column) -> Column:
-    """Longitude width (deg) such that two points within radius_km at
-    latitudes up to max_abs_lat are in the same or adjacent cells: the widest
-    longitude gap a great circle of that length can span at that latitude."""
-    s = math.sin(radius_km / (2 * EARTH_RADIUS_KM))
-    c = F.cos(F.radians(F.least(max_abs_lat + F.lit(radius_km / KM_PER_DEG_LAT), F.lit(89.999999))))
-    ratio = F.least(F.lit(s) / c, F.lit(1.0))
-    return F.least(F.degrees(F.lit(2.0) * F.asin(ratio)) * F.lit(1.000001), F.lit(360.0))
+def _band_width(radius_km: float, band: Column, dlat: float) -> tuple[Column, Column]:
+    """Longitude cell width (deg) and cell count for latitude band ``band``.
+
+    Two points within radius_km, one in this band and one in an adjacent
+    band, have |lat| at most the band range's extreme, and at that latitude
+    a great circle of radius_km spans at most 2*asin(sin(r/2R) / cos(lat))
+    of longitude.  Cells are whole fractions of 360 degrees (n = floor(360 /
+    minimal width), width = 360 / n) so the grid wraps at the antimeridian
+    without a narrow last cell.
+    """
+    lo = band * F.lit(dlat) - F.lit(90.0 + dlat)          # lower edge of band - 1
+    hi = (band + 2) * F.lit(dlat) - F.lit(90.0)           # upper edge of band + 1
+    extreme = F.least(F.greatest(F.abs(lo), F.abs(hi)), F.lit(89.999999))
+    ratio = F.lit(math.sin(radius_km / (2 * EARTH_RADIUS_KM))) / F.cos(F.radians(extreme))
+    w_min = F.when(ratio >= 1, F.lit(360.0)).otherwise(F.degrees(F.lit(2.0) * F.asin(ratio)) * F.lit(1.000001))
+    n = F.greatest(F.floor(F.lit(360.0) / w_min), F.lit(1).cast("bigint"))
+    return F.lit(360.0) / n, n
 
 
 def nearby_join(points: DataFrame, sites: DataFrame, radius_km: float,
                 point_cols=("point_id", "p_lat", "p_lng"), site_lat: str = "lat", site_lng: str = "lng") -> DataFrame:
     """All (point, site) pairs within radius_km, without a Cartesian product.
 
-    Both sides are bucketed into lat/lng grid cells at least radius_km wide;
-    each point is replicated to its 3x3 neighbourhood (at most 9 copies) and
-    equi-joined to sites on the cell, then the exact haversine filter runs.
-    The cell width in longitude comes from the largest |lat| present (a
-    scalar subquery), so the result is exact at any latitude; longitudes wrap
-    at ±180.  A dense cell is one hot join key: AQE's skew-join split takes
+    Latitude bands are radius_km tall; each band has its own longitude cell
+    width, wide enough for its latitudes (``_band_width``).  A site falls in
+    one (band, cell); each point is replicated to the 3 bands around it and,
+    in each, to its 3 neighbouring cells (at most 9 copies), equi-joined on
+    (band, cell), then the exact haversine filter runs.  Exact at any
+    latitude and across the antimeridian, with no pass over the data to size
+    the grid.  A dense cell is one hot join key: AQE's skew-join split takes
     it apart.  Output: point columns, site columns, distance_km.
     """
     check_float("radius_km", radius_km, 0, 2000, lo_open=True)
     pid, plat, plng = point_cols
     dlat = radius_km / KM_PER_DEG_LAT
-    max_abs = F.greatest(
-        points.agg(F.max(F.abs(F.col(plat)))).scalar(),
-        sites.agg(F.max(F.abs(F.col(site_lat)))).scalar())
-    dlng = _lng_cell_width(radius_km, F.coalesce(max_abs, F.lit(0.0)))
-    n_lng = F.ceil(F.lit(360.0) / dlng)
 
-    def lat_cell(c):
-        return F.floor((F.col(c) + F.lit(90.0)) / F.lit(dlat))
+    def band_of(lat_col: Column) -> Column:
+        return F.floor((lat_col + F.lit(90.0)) / F.lit(dlat))
 
-    def lng_cell(c):
-        return F.pmod(F.floor((F.col(c) + F.lit(180.0)) / dlng), n_lng)
+    def cell_of(lng_col: Column, width: Column, n: Column) -> Column:
+        return F.pmod(F.floor((lng_col + F.lit(180.0)) / width), n)
 
+    s_band = band_of(F.col(site_lat))
+    s_w, s_n = _band_width(radius_km, s_band, dlat)
     site_cells = (sites.filter(F.col(site_lat).isNotNull() & F.col(site_lng).isNotNull())
-                  .withColumn("_clat", lat_cell(site_lat)).withColumn("_clng", lng_cell(site_lng)))
-    pts = points.filter(F.col(plat).isNotNull() & F.col(plng).isNotNull())
-    c_lat, c_lng = lat_cell(plat), lng_cell(plng)
-    pt_cells = (pts
-                .withColumn("_clat", F.explode(F.array(c_lat - 1, c_lat, c_lat + 1)))
-                .withColumn("_clng", F.explode(F.array_distinct(F.array(
-                    F.pmod(c_lng - 1, n_lng), c_lng, F.pmod(c_lng + 1, n_lng))))))
-    j = pt_cells.join(site_cells, ["_clat", "_clng"])
+                  .withColumn("_band", s_band)
+                  .withColumn("_cell", cell_of(F.col(site_lng), s_w, s_n)))
+
+    pts = (points.filter(F.col(plat).isNotNull() & F.col(plng).isNotNull())
+           .withColumn("_band", F.explode(F.sequence(band_of(F.col(plat)) - 1, band_of(F.col(plat)) + 1))))
+    p_w, p_n = _band_width(radius_km, F.col("_band"), dlat)
+    c = cell_of(F.col(plng), p_w, p_n)
+    pt_cells = pts.withColumn("_cell", F.explode(F.array_distinct(F.array(F.pmod(c - 1, p_n), c,
+                                                                          F.pmod(c + 1, p_n)))))
+    j = pt_cells.join(site_cells, ["_band", "_cell"])
     d = haversine_km(F.col(plat), F.col(plng), F.col(site_lat), F.col(site_lng))
-    return j.withColumn("distance_km", d).filter(F.col("distance_km") <= F.lit(radius_km)).drop("_clat", "_clng")
+    return j.withColumn("distance_km", d).filter(F.col("distance_km") <= F.lit(radius_km)).drop("_band", "_cell")

@@ -121,3 +121,22 @@ def test_resolve_url_matches_urljoin(spark):
     df = spark.createDataFrame([(b, k) for b in bases for k in links], "base string, link string")
     got = df.select("base", "link", html.resolve_url(F.col("base"), F.col("link")).alias("u")).collect()
     assert [(r.base, r.link, r.u) for r in got if r.u != urljoin(r.base, r.link)] == []
+
+
+def test_nearby_join_antimeridian_and_high_latitude(spark):
+    from math import asin, cos, radians, sin, sqrt
+
+    def hav(a, b, c, d):
+        return 2 * 6371 * asin(sqrt(sin(radians(c - a) / 2) ** 2
+                                    + cos(radians(a)) * cos(radians(c)) * sin(radians(d - b) / 2) ** 2))
+    sites_rows = [(i, lat, lng) for i, (lat, lng) in enumerate(
+        [(0.0, 179.95), (0.0, -179.95), (0.0, 179.2), (75.0, 178.0), (75.0, -177.0), (-80.0, 10.0),
+         (-80.0, 60.0), (10.0, 10.0), (10.05, 10.05), (89.9, 0.0), (89.9, 180.0), (-12.9, -38.5)])]
+    pts_rows = [(0, 0.0, -179.99), (1, 75.0, 179.9), (2, -80.0, 35.0), (3, 10.0, 10.02), (4, 89.95, 90.0),
+                (5, -12.95, -38.45)]
+    sites = spark.createDataFrame(sites_rows, "cnpj int, lat double, lng double")
+    pts = spark.createDataFrame(pts_rows, "point_id int, p_lat double, p_lng double")
+    for r in (5.0, 60.0, 150.0):
+        got = {(x.point_id, x.cnpj) for x in nearby.nearby_join(pts, sites, r).collect()}
+        want = {(p, s) for p, a, b in pts_rows for s, c, d in sites_rows if hav(a, b, c, d) <= r}
+        assert got == want, r
