@@ -143,3 +143,13 @@ def test_price_compare_scope_empty_and_one_row(spark):
     assert len(one) == 1 and one[0].stations == 2 and one[0].avg_price_unit == 6.0
     empty = series.price_compare_scope(g, "ETANOL").collect()
     assert len(empty) == 1 and empty[0].stations == 0 and empty[0].avg_price_unit is None
+
+
+def test_stats_summary_approx_close_to_exact(spark, sf_small):
+    from pumpline.sources import testdata
+    s = testdata.silver(spark, sf_small)
+    exact = series.stats_summary(s).first()
+    approx = series.stats_summary(s, approx=True).first()
+    assert exact.rows == approx.rows and exact.avg_price_unit == approx.avg_price_unit
+    for c in ("stations", "cities", "ufs"):
+        assert abs(getattr(approx, c) - getattr(exact, c)) <= max(1, 0.05 * getattr(exact, c))
