@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import max_text
 from ..functions.timeconv import parse_utc_text
-from ..schema import MANIFEST_SCHEMA
+from ..schema import MANIFEST_SCHEMA, SOURCE_NAME
 
 MANIFEST_WITH_RUN = MANIFEST_SCHEMA
 
 
-def snapshot_envelope(pages: DataFrame) -> DataFrame:
+def snapshot_envelope(pages: DataFrame, source: str = SOURCE_NAME) -> DataFrame:
     """One response page per row -> one snapshot line per result item.
 
     ``pages`` has collected_at_utc, run_id, anp, query and ``response``
@@ -21,7 +21,7 @@ def snapshot_envelope(pages: DataFrame) -> DataFrame:
     ``resultado`` yields no rows (``explode`` drops it), like the collector.
     """
     return pages.select(
-        "collected_at_utc", "run_id", F.lit("precodahora").alias("source"), "anp", "query",
+        "collected_at_utc", "run_id", F.lit(source).alias("source"), "anp", "query",
         F.explode("response.resultado").alias("raw"))
 
 

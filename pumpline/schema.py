@@ -128,4 +128,4 @@ QUERY_HOURS = 72
 QUERY_RADIUS_KM = 100
 QUERY_ORDER = "preco.asc"
 PAGE_ROWS = 25
-SOURCE_NAME = "precodahora"
+SOURCE_NAME = "pricesite"      # value of the source= partition written for derived snapshots

@@ -39,9 +39,9 @@ def tree(tmp_path_factory):
     }
     manifests = []
     for run_id, (coll, items) in runs_def.items():
-        d = root / "source=precodahora" / "anp=GASOLINA" / "dt=2026-01-16" / f"run_id={run_id}"
+        d = root / "source=pricesite" / "anp=GASOLINA" / "dt=2026-01-16" / f"run_id={run_id}"
         d.mkdir(parents=True)
-        lines = [json.dumps({"collected_at_utc": coll, "run_id": run_id, "source": "precodahora", "anp": "GASOLINA",
+        lines = [json.dumps({"collected_at_utc": coll, "run_id": run_id, "source": "pricesite", "anp": "GASOLINA",
                              "query": QUERY, "raw": _item(*it)}) for it in items]
         (d / "data.jsonl").write_text("\n".join(lines) + "\n")
         m = {"run_id": run_id, "collected_at_utc": coll, "anp": "GASOLINA", "base_url": "u", "out_root": str(d),
@@ -57,7 +57,7 @@ def tree(tmp_path_factory):
     (logs / "run_20260116_120000.log").write_text("\n".join([
         "[2026-01-16 09:00:00,100] [INFO] Starting run. Log file: x.log",
         "[2026-01-16 09:00:01,200] [INFO] GASOLINA: fetching page 1 (only) ...",
-        f"[2026-01-16 09:00:01,500] [INFO] GASOLINA: wrote 2 rows (page 1) -> {root}/source=precodahora/anp=GASOLINA/dt=2026-01-16/run_id=run-a/data.jsonl",
+        f"[2026-01-16 09:00:01,500] [INFO] GASOLINA: wrote 2 rows (page 1) -> {root}/source=pricesite/anp=GASOLINA/dt=2026-01-16/run_id=run-a/data.jsonl",
         "[2026-01-16 09:00:02,000] [INFO] ETANOL: fetching page 1 (only) ...",
         "[2026-01-16 09:00:02,300] [INFO] ETANOL: wrote 0 rows (page 1) -> /elsewhere/run_id=run-lost/data.jsonl",
         "a line without the format",
