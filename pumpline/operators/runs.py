@@ -139,3 +139,18 @@ def run_reconcile(logs: DataFrame, raw: DataFrame, manifests: DataFrame) -> Data
         "rows_logged", "rows_present", "rows_written", "reported_total",
         F.try_divide(F.col("rows_present"), F.col("reported_total")).alias("coverage"),
         status.alias("status"))
+
+
+def raw_line_quality(raw: DataFrame) -> DataFrame:
+    """Per run: lines, corrupt lines (text kept in ``_corrupt_record`` by
+    ``scan_raw(keep_corrupt=True)``), lines without an item, lines without
+    an observation key.  One partial aggregation per run."""
+    corrupt = (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in raw.columns
+               else F.lit(False))
+    no_item = F.col("raw").isNull() | F.col("raw.produto").isNull() | F.col("raw.estabelecimento").isNull()
+    no_key = (F.col("raw.estabelecimento.cnpj").isNull() | F.col("raw.produto.codProduto").isNull()
+              | F.col("raw.produto.data").isNull())
+    return raw.groupBy("run_id").agg(F.count(F.lit(1)).alias("lines"),
+                                     F.count_if(corrupt).alias("corrupt_lines"),
+                                     F.count_if(~corrupt & no_item).alias("lines_without_item"),
+                                     F.count_if(~corrupt & ~no_item & no_key).alias("lines_without_key"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import MANIFEST_SCHEMA, OVERALL_MANIFEST_SCHEMA, RAW_SCHEMA
 
@@ -12,17 +13,25 @@ from ..schema import MANIFEST_SCHEMA, OVERALL_MANIFEST_SCHEMA, RAW_SCHEMA
 DATA_GLOB = "{data.jsonl,part-*.json,part-*.json.*}"
 
 
-def scan_raw(spark: SparkSession, root: str, glob: str = DATA_GLOB) -> DataFrame:
+CORRUPT_COLUMN = "_corrupt_record"
+
+
+def scan_raw(spark: SparkSession, root: str, glob: str = DATA_GLOB, keep_corrupt: bool = False) -> DataFrame:
     """All snapshot lines under ``root`` with partition columns source, anp,
     dt, run_id taken from the directory names.
 
     The schema is explicit (no inference pass over the files; mostly-null
-    fields keep their types) and filters on anp/dt prune directories.
+    fields keep their types) and filters on anp/dt prune directories.  With
+    ``keep_corrupt`` a line that is not valid JSON for the schema keeps its
+    text in ``_corrupt_record`` (its other fields null) so it can be counted
+    or quarantined instead of passing as an empty row.
     """
-    return (spark.read.schema(RAW_SCHEMA)
-            .option("pathGlobFilter", glob)
-            .option("mode", "PERMISSIVE")
-            .json(root))
+    schema = RAW_SCHEMA
+    reader = spark.read.option("pathGlobFilter", glob).option("mode", "PERMISSIVE")
+    if keep_corrupt:
+        schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    return reader.schema(schema).json(root)
 
 
 def scan_manifest(spark: SparkSession, root: str, glob: str = "manifest.json", multiline: bool = True) -> DataFrame:

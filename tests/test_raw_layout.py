@@ -122,3 +122,18 @@ def test_envelope_null_resultado(spark):
     chk = {r.run_id: r for r in runs.response_check(df).collect()}
     assert chk["r1"].total_pages == 1 and chk["r1"].total_records == 7 and chk["r1"].page_records == 0
     assert chk["r1"].resultado_ok is False and chk["r2"].resultado_ok is True
+
+
+def test_corrupt_lines_are_counted(spark, tree):
+    root, _ = tree
+    import pathlib
+    bad = pathlib.Path(root) / "source=pricesite" / "anp=GASOLINA" / "dt=2026-01-16" / "run_id=run-c"
+    bad.mkdir(parents=True)
+    good = json.dumps({"collected_at_utc": "2026-01-16T18:00:00+00:00", "run_id": "run-c", "source": "pricesite",
+                       "anp": "GASOLINA", "query": QUERY, "raw": _item(9, "P9", 5.5, "2026-01-16 17:00:00-00:00")})
+    no_item = json.dumps({"collected_at_utc": "2026-01-16T18:00:00+00:00", "run_id": "run-c", "anp": "GASOLINA"})
+    (bad / "data.jsonl").write_text(good + "\n{not json\n" + no_item + "\n")
+    q = {r.run_id: r for r in runs.raw_line_quality(rawsrc.scan_raw(spark, root, keep_corrupt=True)).collect()}
+    assert (q["run-c"].lines, q["run-c"].corrupt_lines, q["run-c"].lines_without_item) == (3, 1, 1)
+    # an unparseable time is present text: it is caught after typing (silver_validate key_missing)
+    assert q["run-a"].corrupt_lines == 0 and q["run-b"].lines_without_key == 0
