@@ -63,6 +63,10 @@ def q_gold_from_raw(spark, sf):
     return goldops.gold_latest(silver_from_raw(spark, sf)).select(*SILVER_COLUMNS)
 
 
+def q_raw_line_quality(spark, sf):
+    return runs.raw_line_quality(rawsrc.scan_raw(spark, tree(spark, sf).data_root, keep_corrupt=True))
+
+
 def q_run_manifests(spark, sf):
     return manifests(spark, sf).select("run_id", "anp", "collected_at_utc", "response_stats.*")
 
@@ -213,6 +217,7 @@ QUERIES = {
     "layers_gold": q_layers_gold,
     "layers_timeseries_base": q_layers_timeseries_base,
     "raw_runs": q_raw_runs,
+    "raw_line_quality": q_raw_line_quality,
     "silver_from_raw": q_silver_from_raw,
     "gold_from_raw": q_gold_from_raw,
     "run_manifests": q_run_manifests,
@@ -274,6 +279,10 @@ def _validate_raw_sql() -> str:
 ORACLE_SQL = {
     "raw_runs": _raw_ctes("SELECT run AS run_id, fuel_type AS anp, dt, count(*) AS rows FROM snap GROUP BY ALL"),
     "silver_from_raw": _raw_ctes(f"SELECT {_COLS} FROM silver"),
+    "raw_line_quality": _raw_ctes("""
+SELECT run AS run_id, count(*) AS lines, CAST(0 AS BIGINT) AS corrupt_lines, CAST(0 AS BIGINT) AS lines_without_item,
+       count(*) FILTER (WHERE cnpj IS NULL OR product_code IS NULL OR price_ts IS NULL) AS lines_without_key
+FROM snap GROUP BY run"""),
     "gold_from_raw": _raw_ctes(f"""SELECT {_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY cnpj, product_code
                                ORDER BY price_ts DESC, collected_at DESC, run_id DESC) AS rn FROM silver) WHERE rn = 1"""),
