@@ -76,10 +76,15 @@ def write_bronze(raw: DataFrame, path: str) -> None:
 
 def write_silver(silver: DataFrame, path: str) -> None:
     """Silver partitioned by fuel and observation day: queries filtering on
-    fuel or a date range prune folders."""
+    fuel or a date range prune folders.  Inside each file rows are sorted by
+    station, product and time, so a station's rows sit in few row groups and
+    a lookup by cnpj skips the rest by their min/max statistics."""
     s = silver.withColumn("obs_date", F.to_date("price_ts"))
-    write_layer(clustered(s, ["fuel_type", "obs_date"]), path, ("fuel_type", "obs_date"))
+    s = clustered(s, ["fuel_type", "obs_date"]).sortWithinPartitions("cnpj", "product_code", "price_ts")
+    write_layer(s, path, ("fuel_type", "obs_date"))
 
 
 def write_gold(gold: DataFrame, path: str) -> None:
-    write_layer(gold, path)
+    """Gold range-sorted by fuel and latitude: each row group covers a narrow
+    latitude band, so the radius search's bounding box skips most of them."""
+    write_layer(gold.orderBy("fuel_type", "lat"), path)
