@@ -26,17 +26,21 @@ SESSION_SETTINGS = {
 
 
 def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int = 4,
-                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+                     target_partition_bytes: int = 256 << 20, shuffle_fraction: float = 0.1,
+                     max_partitions: int = 100_000) -> dict[str, str]:
     """Sizing for a cluster run over ``input_bytes`` of scanned data.
 
-    The initial shuffle partition count is set for the largest shuffle
-    (about the input size) at ~256 MB per partition, and never below twice
-    the task slots; AQE then coalesces small partitions to the advisory size
-    and splits skewed ones.  Scan splits of 512 MB keep the task count of a
-    100 TB scan near 200k.
+    Shuffles carry projected columns and partial aggregates, typically a
+    tenth of the scanned bytes or less (``shuffle_fraction``).  The initial
+    shuffle partition count gives ~256 MB per partition for that volume,
+    never below twice the task slots and capped (map-status metadata grows
+    with map tasks x partitions); AQE then coalesces small partitions to the
+    advisory size and splits skewed ones.  Scan splits of 512 MB keep the
+    task count of a 100 TB scan near 200k.
     """
     slots = max(1, executors * cores_per_executor)
-    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    partitions = min(max_partitions, max(2 * slots, -(-shuffle_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
