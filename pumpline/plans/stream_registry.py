@@ -36,14 +36,14 @@ _LAYERS: dict[str, object] = {}
 
 
 def stream_layers(spark: SparkSession, sf: str):
-    """Layers filled by the streaming merge, 25 files per micro-batch so the
+    """Layers filled by the streaming merge, 40 files per micro-batch so the
     merge runs over many epochs."""
     from ..session import scratch_path
     from . import medallion
     key = f"{app_key(spark)}|{sf}"
     if key not in _LAYERS:
         lay = medallion.layer_paths(scratch_path(spark, "stream-layers"))
-        jobs.stream_into_layers(spark, tree(spark, sf).data_root, lay, max_files_per_trigger=25)
+        jobs.stream_into_layers(spark, tree(spark, sf).data_root, lay, max_files_per_trigger=40)
         _LAYERS[key] = lay
     return _LAYERS[key]
 
