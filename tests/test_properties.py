@@ -74,3 +74,48 @@ def test_price_drop_matches_python(spark, raw, hours, pct):
     assert set(res) == set(want) or all(abs(want.get(k, res.get(k)) - pct) < 1e-6 for k in set(res) ^ set(want))
     for k in set(res) & set(want):
         assert abs(res[k] - want[k]) < 1e-9
+
+
+@SETTINGS
+@given(ROWS, st.sampled_from([1.0, 1.5, 2.0]))
+def test_anomalies_match_python(spark, raw, z):
+    import statistics
+    rows = _rows(raw)
+    got = {(r.cnpj, r.price_ts, r.price_unit) for r in alerts.anomalies(silver_df(spark, rows), "GASOLINA", hours=48,
+                                                                     z=z, limit=2000, as_of=T0).collect()}
+    recent = [r for r in rows if T0 - dt.timedelta(hours=48) <= r[15] <= T0]
+    want = set()
+    if len(recent) > 1:
+        prices = [r[16] for r in recent]
+        mu, sigma = statistics.fmean(prices), statistics.stdev(prices)
+        if sigma > 0:
+            want = {(r[4], r[15], r[16]) for r in recent if abs((r[16] - mu) / sigma) >= z + 1e-9}
+            border = {(r[4], r[15], r[16]) for r in recent if abs(abs((r[16] - mu) / sigma) - z) <= 1e-9}
+            assert want <= got <= want | border
+            return
+    assert got == set()
+
+
+POINTS = st.lists(st.tuples(st.floats(-89, 89), st.floats(-180, 180)), min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(POINTS, POINTS, st.sampled_from([1.0, 50.0, 400.0]))
+def test_nearby_join_matches_brute_force(spark, pts, sites, radius):
+    from math import asin, cos, radians, sin, sqrt
+
+    from pumpline.operators import nearby
+
+    def hav(a, b, c, d):
+        x = sin(radians(c - a) / 2) ** 2 + cos(radians(a)) * cos(radians(c)) * sin(radians(d - b) / 2) ** 2
+        return 2 * 6371 * asin(sqrt(min(1.0, x)))
+    # a few pairs placed across the antimeridian and near the poles
+    pts = pts + [(0.0, 179.999), (88.5, -179.5)]
+    sites = sites + [(0.0, -179.999), (88.5, 179.5), (-89.0, 0.0)]
+    p = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pts)], "point_id int, p_lat double, p_lng double")
+    s = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(sites)], "cnpj int, lat double, lng double")
+    got = {(r.point_id, r.cnpj) for r in nearby.nearby_join(p, s, radius).collect()}
+    want = {(i, j) for i, (a, b) in enumerate(pts) for j, (c, d) in enumerate(sites) if hav(a, b, c, d) <= radius}
+    edge = {(i, j) for i, (a, b) in enumerate(pts) for j, (c, d) in enumerate(sites)
+            if abs(hav(a, b, c, d) - radius) < 1e-6}
+    assert got ^ want <= edge
