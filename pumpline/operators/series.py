@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,26 +34,48 @@ def _paged_days(daily: DataFrame, page: int, page_size: int) -> Page:
     return Page(page, page_size, items.limit(page_size), daily)
 
 
+def _whole_days(lo, hi) -> bool:
+    """The range covers whole days: starts at midnight, ends at the last
+    instant of a day (or is open)."""
+    starts = lo is None or lo.time() == _dt.time(0)
+    ends = hi is None or hi.time() == _dt.time(23, 59, 59, 999999)
+    return starts and ends
+
+
+def _daily_from(silver: DataFrame, base: DataFrame | None, lo, hi, *preds) -> DataFrame:
+    """Daily series from the history, or — when a stored daily base is given
+    and the range is whole days — rolled up from the base (station-days
+    instead of observations; the same figures, bit for bit, since the base
+    keeps exact integer sums)."""
+    if base is not None and _whole_days(lo, hi):
+        lo_d = None if lo is None else _dt.datetime.combine(lo.date(), _dt.time(0))
+        hi_d = None if hi is None else _dt.datetime.combine(hi.date(), _dt.time(0))
+        f = apply_filters(base, *preds, time_range_pred(base, "day", lo_d, hi_d))
+        return rollup_daily(f, keys=("day",)).select("day", "avg_price_unit", "min_price_unit", "max_price_unit",
+                                                     "samples")
+    return _daily(apply_filters(silver, *preds, time_range_pred(silver, "price_ts", lo, hi)))
+
+
 def timeseries_daily(silver: DataFrame, fuel_type: str | None = None, date_from=None, date_to=None,
-                     page: int = 1, page_size: int = 50) -> Page:
-    """Per-day avg/min/max/count of price_unit; total = number of days."""
+                     page: int = 1, page_size: int = 50, base: DataFrame | None = None) -> Page:
+    """Per-day avg/min/max/count of price_unit; total = number of days.
+    ``base``: the stored daily base, used for whole-day ranges."""
     check_int("page", page, 1)
     check_int("page_size", page_size, 1, 200)
     lo, hi = time_range(date_from, date_to)
-    f = apply_filters(silver, eq("fuel_type", fuel_type), time_range_pred(silver, "price_ts", lo, hi))
-    return _paged_days(_daily(f), page, page_size)
+    return _paged_days(_daily_from(silver, base, lo, hi, eq("fuel_type", fuel_type)), page, page_size)
 
 
 def timeseries_city(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,
-                    date_from=None, date_to=None, page: int = 1, page_size: int = 50) -> Page:
+                    date_from=None, date_to=None, page: int = 1, page_size: int = 50,
+                    base: DataFrame | None = None) -> Page:
     check_required("fuel_type", fuel_type)
     uf = check_uf(uf)
     check_int("page", page, 1)
     check_int("page_size", page_size, 1, 500)
     lo, hi = time_range(date_from, date_to)
-    f = apply_filters(silver, eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city),
-                      time_range_pred(silver, "price_ts", lo, hi))
-    return _paged_days(_daily(f), page, page_size)
+    daily = _daily_from(silver, base, lo, hi, eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city))
+    return _paged_days(daily, page, page_size)
 
 
 def timeseries_city_all(silver: DataFrame) -> DataFrame:

@@ -153,3 +153,14 @@ def test_stats_summary_approx_close_to_exact(spark, sf_small):
     assert exact.rows == approx.rows and exact.avg_price_unit == approx.avg_price_unit
     for c in ("stations", "cities", "ufs"):
         assert abs(getattr(approx, c) - getattr(exact, c)) <= max(1, 0.05 * getattr(exact, c))
+
+
+def test_daily_series_from_base_equals_history(spark):
+    rows = [obs(i % 4, 3.0 + i * 0.01, i * 5, city="C" + str(i % 2)) for i in range(80)]
+    s = silver_df(spark, rows)
+    base = gold.timeseries_base(s)
+    for lo, hi in [(None, None), ("2024-01-02", "2024-01-08 23:59:59.999999"), ("2024-01-03 06:00:00", None)]:
+        direct = series.timeseries_city(s, "GASOLINA", city="C1", date_from=lo, date_to=hi, page_size=500).items
+        rolled = series.timeseries_city(s, "GASOLINA", city="C1", date_from=lo, date_to=hi, page_size=500,
+                                        base=base).items
+        assert sorted(direct.collect()) == sorted(rolled.collect())
