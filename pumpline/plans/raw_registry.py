@@ -272,8 +272,8 @@ def _runs_sql() -> str:
 
 
 def _validate_raw_sql() -> str:
-    from .registry import _VALIDATE_SQL
-    return _VALIDATE_SQL.replace("FROM silver GROUP BY fuel_type", "FROM raw_silver GROUP BY fuel_type")
+    from .sql_common import VALIDATE_SQL
+    return VALIDATE_SQL.replace("FROM silver GROUP BY fuel_type", "FROM raw_silver GROUP BY fuel_type")
 
 
 ORACLE_SQL = {

@@ -10,7 +10,6 @@ Their SQL twins are the batch answers over the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schema import GOLD_KEY
 from ..session import app_key

@@ -1,6 +1,5 @@
 """Operator semantics on small rows with known answers (FIXTURES.md §6)."""
 
-import datetime as dt
 
 from pyspark.sql import functions as F
 
