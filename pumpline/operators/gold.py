@@ -40,12 +40,13 @@ TIMESERIES_BASE_KEYS = ["fuel_type", "uf", "city", "cnpj", "day"]
 
 
 def timeseries_base(silver: DataFrame) -> DataFrame:
-    """Per (fuel, uf, city, station, day): sum, count, min, max of price_unit.
+    """Per (fuel, uf, city, station, day): sum, count, min, max of price_unit
+    and the first / last observation time.
 
     The sum is kept in exact integer units (``sum_units``), so every coarser
     daily series rolls up from it to exactly the figure the history gives
-    (avg = sum_units / n / scale); the series queries can read this table
-    instead of the history.
+    (avg = sum_units / n / scale); the series and summary queries can read
+    this table instead of the history for whole-day ranges.
     """
     return (silver.withColumn("day", day_of())
             .groupBy(*TIMESERIES_BASE_KEYS)
@@ -53,7 +54,9 @@ def timeseries_base(silver: DataFrame) -> DataFrame:
                  F.count("price_unit").alias("n_price_unit"),
                  F.count(F.lit(1)).alias("samples"),
                  F.min("price_unit").alias("min_price_unit"),
-                 F.max("price_unit").alias("max_price_unit")))
+                 F.max("price_unit").alias("max_price_unit"),
+                 F.min("price_ts").alias("min_price_ts"),
+                 F.max("price_ts").alias("max_price_ts")))
 
 
 def rollup_daily(base: DataFrame, keys=("day",)) -> DataFrame:

@@ -128,18 +128,32 @@ def price_compare_all(gold: DataFrame) -> DataFrame:
 
 
 def stats_summary(silver: DataFrame, date_from=None, date_to=None, uf: str | None = None,
-                  city: str | None = None, fuel_type: str | None = None, approx: bool = False) -> DataFrame:
+                  city: str | None = None, fuel_type: str | None = None, approx: bool = False,
+                  base: DataFrame | None = None) -> DataFrame:
     """One row: rows, distinct stations/cities/ufs, time span, mean price.
 
     Exact distinct counts plan as Expand + two-phase aggregation; with
     ``approx=True`` they become HyperLogLog++ sketches merged per task
-    (fixed memory, ~1% error) for very large scopes.
+    (fixed memory, ~1% error) for very large scopes.  With the stored daily
+    base (``base``) and a whole-day range, every figure rolls up from
+    station-days instead of observations, with identical results.
     """
     uf = check_uf(uf)
     lo, hi = time_range(date_from, date_to)
-    f = apply_filters(silver, time_range_pred(silver, "price_ts", lo, hi), eq("uf", uf), eq("city", city),
-                      eq("fuel_type", fuel_type))
     dc = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
+    preds = (eq("uf", uf), eq("city", city), eq("fuel_type", fuel_type))
+    if base is not None and _whole_days(lo, hi):
+        lo_d = None if lo is None else _dt.datetime.combine(lo.date(), _dt.time(0))
+        hi_d = None if hi is None else _dt.datetime.combine(hi.date(), _dt.time(0))
+        b = apply_filters(base, time_range_pred(base, "day", lo_d, hi_d), *preds)
+        return b.agg(F.coalesce(F.sum("samples"), F.lit(0)).cast("bigint").alias("rows"),
+                     dc("cnpj").alias("stations"),
+                     dc("city").alias("cities"),
+                     dc("uf").alias("ufs"),
+                     F.min("min_price_ts").alias("min_price_ts"),
+                     F.max("max_price_ts").alias("max_price_ts"),
+                     mean_from_units(F.sum("sum_units"), F.sum("n_price_unit")).alias("avg_price_unit"))
+    f = apply_filters(silver, time_range_pred(silver, "price_ts", lo, hi), *preds)
     return f.agg(F.count(F.lit(1)).alias("rows"),
                  dc("cnpj").alias("stations"),
                  dc("city").alias("cities"),

@@ -163,3 +163,14 @@ def test_daily_series_from_base_equals_history(spark):
         rolled = series.timeseries_city(s, "GASOLINA", city="C1", date_from=lo, date_to=hi, page_size=500,
                                         base=base).items
         assert sorted(direct.collect()) == sorted(rolled.collect())
+
+
+def test_stats_summary_from_base_equals_history(spark):
+    rows = [obs(i % 5, 3.0 + i * 0.01, i * 3, city="C" + str(i % 3)) for i in range(90)]
+    s = silver_df(spark, rows)
+    base = gold.timeseries_base(s)
+    for lo, hi, city in [(None, None, None), ("2024-01-03", "2024-01-08 23:59:59.999999", "C1"),
+                         ("2024-01-20", "2024-01-21 23:59:59.999999", None)]:
+        direct = series.stats_summary(s, date_from=lo, date_to=hi, city=city).collect()
+        rolled = series.stats_summary(s, date_from=lo, date_to=hi, city=city, base=base).collect()
+        assert direct == rolled
