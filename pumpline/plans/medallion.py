@@ -116,7 +116,13 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     new = spark.read.parquet(stage_new)
     new_rows = new.select(*SILVER_COLUMNS, "obs_date")
     touched = new.select("fuel_type", "obs_date").distinct()
-    current = _stored_or_empty(spark, layers.silver, new_rows).join(touched, ["fuel_type", "obs_date"], "left_semi")
+    # Day range of the new rows as one scalar subquery: a partition filter on
+    # the stored tables evaluated before their scan, so only the touched days'
+    # folders are listed and read (the semi-join alone would not prune).
+    span = new.agg(F.struct(F.min("obs_date").alias("lo"), F.max("obs_date").alias("hi"))).scalar()
+    in_span = F.col("obs_date").between(span.getField("lo"), span.getField("hi"))
+    current = (_stored_or_empty(spark, layers.silver, new_rows).filter(in_span)
+               .join(touched, ["fuel_type", "obs_date"], "left_semi"))
     merged = silverops.silver_dedup(current.unionByName(new_rows))
     stage = layers.stage("silver")
     merged.write.mode("overwrite").parquet(stage)
@@ -129,6 +135,6 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     sinks.write_gold(spark.read.parquet(g_stage), layers.gold)
 
     days = new.select("obs_date").distinct()
-    day_rows = read_silver(spark, layers).join(days, ["obs_date"], "left_semi")
+    day_rows = read_silver(spark, layers).filter(in_span).join(days, ["obs_date"], "left_semi")
     b = goldops.timeseries_base(day_rows.drop("obs_date")).withColumn("obs_date", F.to_date("day"))
     sinks.write_layer(b, layers.daily_base, ("obs_date",))
