@@ -177,6 +177,11 @@ def as_of_column(df: DataFrame, as_of, ts_col: str = "price_ts") -> Column:
         from .timeconv import utc_now
         return utc_now()
     if isinstance(as_of, str) and as_of == "max":
+        if PARTITION_DATE in df.columns and ts_col == "price_ts":
+            # obs_date = to_date(price_ts): the newest time lies in the newest
+            # day folder, so only that folder's time column is read.
+            newest_day = df.agg(F.max(PARTITION_DATE)).scalar()
+            return df.filter(F.col(PARTITION_DATE) == newest_day).agg(F.max(ts_col)).scalar()
         return df.agg(F.max(ts_col)).scalar()
     return ts_lit(parse_ts("as_of", as_of))
 
