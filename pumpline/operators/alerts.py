@@ -51,9 +51,27 @@ def _drop_result(agg: DataFrame, pct_drop: float) -> DataFrame:
             .filter(F.col("pct_drop") >= F.lit(pct_drop)))
 
 
+def _labels_from_table(labels: DataFrame, keys, *preds) -> DataFrame:
+    """Station labels as max over the matching label rows (see
+    ``gold.station_labels``): the same values as max over the history."""
+    f = apply_filters(labels, *preds)
+    return f.groupBy(*keys).agg(max_text("station_name").alias("station_name"), max_text("city").alias("city"),
+                                max_text("uf").alias("uf"))
+
+
+def _numeric_drop(base: DataFrame, keys, in_last, in_prev) -> DataFrame:
+    p = F.col("price_unit")
+    return (base.groupBy(*keys)
+            .agg(sum_units(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
+                 sum_units(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
+            .select(*keys,
+                    mean_from_units(F.col("_s_last"), F.col("_n_last")).alias("avg_last"),
+                    mean_from_units(F.col("_s_prev"), F.col("_n_prev")).alias("avg_prev")))
+
+
 def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,
                hours: int = 24, pct_drop: float = 3.0, limit: int = 50, as_of="max",
-               label_scope: str = "history") -> DataFrame:
+               label_scope: str = "history", labels: DataFrame | None = None) -> DataFrame:
     """Stations whose mean price over the last ``hours`` before ``as_of`` fell
     by at least ``pct_drop`` percent against the ``hours`` before that.
 
@@ -61,6 +79,9 @@ def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: s
     (``label_scope="history"``, the source's semantics); with
     ``label_scope="window"`` the scan is pruned to the two windows, which is
     the same answer whenever a station's labels do not change over time.
+    With the stored ``labels`` table (``gold.station_labels``) the history
+    semantics hold exactly while the price pass reads only the two windows'
+    days: the request cost no longer grows with the history.
     """
     check_required("fuel_type", fuel_type)
     uf = check_uf(uf)
@@ -69,9 +90,17 @@ def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: s
     check_int("limit", limit, 1, 500)
     if label_scope not in ("history", "window"):
         raise ValueError("label_scope must be 'history' or 'window'")
-    base = apply_filters(silver, eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city),
-                         F.col("cnpj").isNotNull())
+    preds = (eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city), F.col("cnpj").isNotNull())
+    base = apply_filters(silver, *preds)
     in_last, in_prev, cut, h2 = _window_flags(silver, as_of, hours)
+    if labels is not None:
+        windows = base.filter(window_pred(base, "price_ts", cut - h2, cut))
+        nums = _numeric_drop(windows, ["cnpj"], in_last, in_prev)
+        res = _drop_result(nums, pct_drop)
+        top = res.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
+        return (top.join(_labels_from_table(labels, ["cnpj"], *preds), ["cnpj"], "left")
+                .orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc())
+                .select("cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
     if label_scope == "window":
         base = base.filter(window_pred(base, "price_ts", cut - h2, cut))
     res = _drop_result(_drop_agg(base, ["cnpj"], in_last, in_prev), pct_drop)
@@ -79,12 +108,20 @@ def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: s
             .select("cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
 
 
-def price_drop_all(silver: DataFrame, hours: int = 24, pct_drop: float = 3.0, as_of="max") -> DataFrame:
-    """Drops for every (fuel, station) at once; no limit."""
+def price_drop_all(silver: DataFrame, hours: int = 24, pct_drop: float = 3.0, as_of="max",
+                   labels: DataFrame | None = None) -> DataFrame:
+    """Drops for every (fuel, station) at once; no limit.  ``labels`` as in
+    ``price_drop``."""
     check_int("hours", hours, 1, 168)
     check_float("pct_drop", pct_drop, 0, 50, lo_open=True)
     base = silver.filter(F.col("cnpj").isNotNull() & F.col("fuel_type").isNotNull())
-    in_last, in_prev, _, _ = _window_flags(silver, as_of, hours)
+    in_last, in_prev, cut, h2 = _window_flags(silver, as_of, hours)
+    if labels is not None:
+        keys = ["fuel_type", "cnpj"]
+        nums = _numeric_drop(base.filter(window_pred(base, "price_ts", cut - h2, cut)), keys, in_last, in_prev)
+        res = _drop_result(nums, pct_drop)
+        return (res.join(_labels_from_table(labels, keys, F.col("cnpj").isNotNull()), keys, "left")
+                .select("fuel_type", "cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
     res = _drop_result(_drop_agg(base, ["fuel_type", "cnpj"], in_last, in_prev), pct_drop)
     return res.select("fuel_type", "cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop")
 

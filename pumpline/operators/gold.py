@@ -59,6 +59,22 @@ def timeseries_base(silver: DataFrame) -> DataFrame:
                  F.max("price_ts").alias("max_price_ts")))
 
 
+LABEL_KEYS = ["fuel_type", "uf", "city", "cnpj"]
+
+
+def station_labels(silver: DataFrame) -> DataFrame:
+    """Per (fuel, uf, city, station): the max station name over its rows.
+
+    A small table (one row per station and place) that lets the price-drop
+    alert label stations exactly as the source did (max over the filtered
+    history) without scanning the history: max over the rows matching a
+    fuel/uf/city filter is the max over the matching label rows.  Max is
+    mergeable, so the table is maintained incrementally.
+    """
+    from ..functions.stats import max_text
+    return silver.groupBy(*LABEL_KEYS).agg(max_text("station_name").alias("station_name"))
+
+
 def rollup_daily(base: DataFrame, keys=("day",)) -> DataFrame:
     """Coarser daily series from ``timeseries_base``."""
     return (base.groupBy(*keys)

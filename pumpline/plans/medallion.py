@@ -28,6 +28,7 @@ class Layers:
     gold: str
     daily_base: str
     staging: str = ""
+    labels: str = ""
 
     def stage(self, name: str) -> str:
         """Fixed staging location of one merge step: each merge overwrites
@@ -38,7 +39,7 @@ class Layers:
 def layer_paths(root: str) -> Layers:
     root = root.rstrip("/")
     return Layers(f"{root}/bronze", f"{root}/silver", f"{root}/gold", f"{root}/timeseries_base",
-                  f"{root}/_staging")
+                  f"{root}/_staging", f"{root}/station_labels")
 
 
 def build_bronze(spark: SparkSession, raw_root: str, layers: Layers) -> None:
@@ -60,6 +61,8 @@ def read_silver(spark: SparkSession, layers: Layers) -> DataFrame:
 def build_gold(spark: SparkSession, layers: Layers) -> None:
     silver = read_silver(spark, layers)
     sinks.write_gold(goldops.gold_latest(silver).select(*SILVER_COLUMNS), layers.gold)
+    if layers.labels:
+        sinks.write_layer(goldops.station_labels(silver), layers.labels)
     b = goldops.timeseries_base(silver).withColumn("obs_date", F.to_date("day"))
     sinks.write_layer(b, layers.daily_base, ("obs_date",))
 
@@ -104,7 +107,8 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
       (a re-collected observation keeps its first collection), which equals
       the latest over the whole history because gold already holds each
       key's latest row;
-    * daily base: the touched days, recomputed from silver.
+    * daily base: the touched days, recomputed from silver;
+    * station labels: max of (stored labels, new rows' labels) per key.
 
     Re-running the same input gives the same tables (idempotent), so a
     retried job or streaming epoch is harmless.
@@ -134,6 +138,14 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     goldops.gold_latest(silverops.silver_dedup(candidates)).write.mode("overwrite").parquet(g_stage)
     sinks.write_gold(spark.read.parquet(g_stage), layers.gold)
 
+    if layers.labels:
+        l_new = goldops.station_labels(new)
+        l_all = _stored_or_empty(spark, layers.labels, l_new).unionByName(l_new)
+        l_stage = layers.stage("labels")
+        (l_all.groupBy(*goldops.LABEL_KEYS).agg(F.max("station_name").alias("station_name"))
+         .write.mode("overwrite").parquet(l_stage))
+        sinks.write_layer(spark.read.parquet(l_stage), layers.labels)
+
     days = new.select("obs_date").distinct()
     day_rows = read_silver(spark, layers).filter(in_span).join(days, ["obs_date"], "left_semi")
     b = goldops.timeseries_base(day_rows.drop("obs_date")).withColumn("obs_date", F.to_date("day"))

@@ -209,7 +209,50 @@ def q_layers_timeseries_base(spark, sf):
     return rawsrc.scan_table(spark, layers(spark, sf).daily_base).drop("obs_date")
 
 
+def _stored(spark, sf):
+    from . import medallion
+    lay = layers(spark, sf)
+    return (medallion.read_silver(spark, lay), rawsrc.scan_table(spark, lay.daily_base),
+            rawsrc.scan_table(spark, lay.labels))
+
+
+def q_price_drop_stored(spark, sf):
+    from ..operators import alerts
+    s, _, lab = _stored(spark, sf)
+    return alerts.price_drop(s, "click", hours=72, pct_drop=3.0, limit=50, labels=lab)
+
+
+def q_price_drop_all_stored(spark, sf):
+    from ..operators import alerts
+    s, _, lab = _stored(spark, sf)
+    return alerts.price_drop_all(s, hours=24, pct_drop=3.0, labels=lab)
+
+
+def q_anomalies_stored(spark, sf):
+    from ..operators import alerts
+    s, _, _ = _stored(spark, sf)
+    return alerts.anomalies(s, "click", hours=168, z=2.0, limit=100)
+
+
+def q_timeseries_city_stored(spark, sf):
+    from ..operators import series
+    s, base, _ = _stored(spark, sf)
+    return series.timeseries_city(s, "click", city="NATION_3", page=1, page_size=500, base=base).items
+
+
+def q_stats_summary_stored(spark, sf):
+    from ..operators import series
+    s, base, _ = _stored(spark, sf)
+    return series.stats_summary(s, date_from="2024-01-05", date_to="2024-01-20 23:59:59.999999", fuel_type="click",
+                                base=base)
+
+
 QUERIES = {
+    "price_drop_stored": q_price_drop_stored,
+    "price_drop_all_stored": q_price_drop_all_stored,
+    "anomalies_stored": q_anomalies_stored,
+    "timeseries_city_stored": q_timeseries_city_stored,
+    "stats_summary_stored": q_stats_summary_stored,
     "incremental_silver": q_incremental_silver,
     "incremental_gold": q_incremental_gold,
     "incremental_timeseries_base": q_incremental_timeseries_base,

@@ -16,6 +16,7 @@ def test_incremental_equals_full_and_is_idempotent(spark, sf_small):
     inc = raw_registry.incremental_layers(spark, sf_small)
     assert _rows(spark, inc.silver) == _rows(spark, full.silver)
     assert _rows(spark, inc.gold) == _rows(spark, full.gold)
+    assert sorted(spark.read.parquet(inc.labels).collect()) == sorted(spark.read.parquet(full.labels).collect())
     before = (_rows(spark, inc.silver), _rows(spark, inc.gold), rawsrc.scan_table(spark, inc.bronze).count())
     medallion.ingest_runs(spark, raw_registry.tree(spark, sf_small).data_root, inc,
                           F.col("run_id").startswith("run-0000-"))
