@@ -70,3 +70,20 @@ def test_stream_into_layers_equals_batch_and_replays_safely(spark, sf_small):
     medallion.merge_new_rows(spark, epoch0, lay)
     assert rows(lay.silver) == rows(full.silver)
     assert rows(lay.gold) == rows(full.gold)
+
+
+def test_stream_into_layers_continuous_mode(spark, sf_small):
+    import time
+
+    from pumpline.plans import medallion, raw_registry
+    t = raw_registry.tree(spark, sf_small)
+    lay = medallion.layer_paths(scratch_path(spark, "stream-layers-continuous"))
+    run = jobs.stream_into_layers(spark, t.data_root, lay, available_now=False)
+    try:
+        deadline = time.time() + 180
+        while time.time() < deadline and run.query.lastProgress is None:
+            time.sleep(2)
+        run.query.processAllAvailable()
+    finally:
+        run.query.stop()
+    assert spark.read.parquet(lay.gold).count() == testdata.gold(spark, sf_small).count()
