@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold as goldops, silver as silverops
-from ..schema import SILVER_COLUMNS
+from ..schema import OBS_KEY, SILVER_COLUMNS
 from ..sinks import raw as sinks
 from ..sources import raw as rawsrc
 
@@ -99,10 +99,13 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     """Merge newly collected raw lines into the stored layers, rewriting only
     what they touch:
 
-    * silver: the (fuel, day) partitions the new observations fall in — the
-      stored rows of those partitions plus the new rows, deduplicated, staged
-      to a written table (lineage cut; a path is never overwritten while it
-      is read) and written back with dynamic partition overwrite;
+    * silver: the batch's observations (earliest copy each) are anti-joined
+      with the stored observation keys of the touched days (key columns
+      only) and the new ones appended; only when the batch holds an earlier
+      collection of an already stored observation (runs out of order) are
+      the touched (fuel, day) partitions rewritten — stored rows plus new,
+      deduplicated, staged to a written table (a path is never overwritten
+      while it is read) and written back with dynamic partition overwrite;
     * gold: latest of (current gold, new rows) after the same dedup rule
       (a re-collected observation keeps its first collection), which equals
       the latest over the whole history because gold already holds each
@@ -125,12 +128,28 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     # folders are listed and read (the semi-join alone would not prune).
     span = new.agg(F.struct(F.min("obs_date").alias("lo"), F.max("obs_date").alias("hi"))).scalar()
     in_span = F.col("obs_date").between(span.getField("lo"), span.getField("hi"))
-    current = (_stored_or_empty(spark, layers.silver, new_rows).filter(in_span)
-               .join(touched, ["fuel_type", "obs_date"], "left_semi"))
-    merged = silverops.silver_dedup(current.unionByName(new_rows))
-    stage = layers.stage("silver")
-    merged.write.mode("overwrite").parquet(stage)
-    sinks.write_silver(spark.read.parquet(stage).drop("obs_date"), layers.silver)
+    stored = _stored_or_empty(spark, layers.silver, new_rows).filter(in_span)
+
+    # One row per observation of the batch (its earliest copy), compared with
+    # the stored observation keys of the touched days (key columns only).
+    batch = silverops.silver_dedup(new_rows)
+    stored_keys = stored.select(*OBS_KEY, F.col("collected_at").alias("_s_col"), F.col("run_id").alias("_s_run"))
+    earlier = batch.join(stored_keys, OBS_KEY).filter(
+        F.struct(F.col("collected_at"), F.col("run_id")) < F.struct(F.col("_s_col"), F.col("_s_run")))
+    if earlier.isEmpty():
+        # Common case: append the genuinely new observations only.  A retried
+        # batch finds them stored already and appends nothing.
+        fresh_stage = layers.stage("fresh")
+        batch.join(stored.select(*OBS_KEY), OBS_KEY, "left_anti").write.mode("overwrite").parquet(fresh_stage)
+        sinks.write_silver(spark.read.parquet(fresh_stage).drop("obs_date"), layers.silver, mode="append")
+    else:
+        # A run arrived out of order with an earlier collection of stored
+        # observations: rewrite the touched partitions so the earliest copy wins.
+        current = stored.join(touched, ["fuel_type", "obs_date"], "left_semi")
+        merged = silverops.silver_dedup(current.unionByName(new_rows))
+        stage = layers.stage("silver")
+        merged.write.mode("overwrite").parquet(stage)
+        sinks.write_silver(spark.read.parquet(stage).drop("obs_date"), layers.silver)
 
     g_stage = layers.stage("gold")
     gold_now = _stored_or_empty(spark, layers.gold, new.select(*SILVER_COLUMNS))

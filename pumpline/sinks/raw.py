@@ -74,14 +74,14 @@ def write_bronze(raw: DataFrame, path: str) -> None:
     write_layer(clustered(raw, RAW_PARTITIONS), path, RAW_PARTITIONS)
 
 
-def write_silver(silver: DataFrame, path: str) -> None:
+def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Silver partitioned by fuel and observation day: queries filtering on
     fuel or a date range prune folders.  Inside each file rows are sorted by
     station, product and time, so a station's rows sit in few row groups and
     a lookup by cnpj skips the rest by their min/max statistics."""
     s = silver.withColumn("obs_date", F.to_date("price_ts"))
     s = clustered(s, ["fuel_type", "obs_date"]).sortWithinPartitions("cnpj", "product_code", "price_ts")
-    write_layer(s, path, ("fuel_type", "obs_date"))
+    write_layer(s, path, ("fuel_type", "obs_date"), mode=mode)
 
 
 def write_gold(gold: DataFrame, path: str) -> None:
