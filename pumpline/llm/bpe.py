@@ -156,6 +156,8 @@ class Encoder:
         self.known: dict[str, tuple[int, str, str]] = {}
         self.marks = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.v.special, key=len, reverse=True)) + ")") if self.v.special else None
         self.white = regex.compile(r"\s+")
+        self.seen: set[str] = set()  # characters met so far
+        self.new: dict[int, str] = {}  # those that are letters or digits only in a later Unicode version than Python's
 
     def pieces(self, text: str) -> list[str]:
         """The split pieces of a text; special tokens come as they are."""
@@ -164,9 +166,20 @@ class Encoder:
             if part in self.v.special:
                 out.append(part)
             elif part:
-                out += self.v.pattern.findall(_lower(self.white.sub(" ", unicodedata.normalize("NFC", part))))
+                out += self.split(_lower(self.white.sub(" ", unicodedata.normalize("NFC", part))))
         return out
 
+    def split(self, text: str) -> list[str]:
+        """The matches of the split pattern, whose classes follow Python's
+        version of Unicode: the regex package may already know more letters."""
+        if not text.isascii():
+            fresh = set(text) - self.seen
+            self.seen |= fresh
+            self.new |= {ord(c): "\ue000" for c in fresh if unicodedata.category(c) == "Cn" and regex.match(r"[\p{L}\p{N}]", c)}
+            if self.new and not self.new.keys().isdisjoint(map(ord, set(text))):
+                return [text[m.start():m.end()] for m in self.v.pattern.finditer(text.translate(self.new))]
+        return self.v.pattern.findall(text)
+
     def learn(self, pieces: set[str]) -> None:
         fresh = [p for p in pieces if p not in self.known]
         if len(self.known) + len(fresh) > KNOWN_PIECES:
