@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pumpline.llm import bpe, langid, mixing, quality, simhash
-from pumpline.llm.common import is_fold, read_table, stored
+from pumpline.llm.common import free_name, is_fold, read_table, stored
 from pumpline.llm.registry import ENCODING_VOCABULARY
 
 ORACLE_SQL = None  # the classifiers and fingerprints have no SQL form
@@ -22,14 +22,16 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters or without a clearly best language."""
     learn = read_table(spark, sf_dir, "documents").where(~is_fold(F.col("doc_id"), 4, 2))
     model = langid.fit_language_model(learn)
-    return langid.predict_language(docs, model, out="_language").where(langid.accepted("_language")).select(*docs.columns)
+    out = free_name(docs, "_language")
+    return langid.predict_language(docs, model, out=out).where(langid.accepted(out)).select(*docs.columns)
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that score under the keeping score."""
     labels = read_table(spark, sf_dir, "labels").where(~is_fold(F.col("doc_id"), 4, 2))
     model = quality.fit_quality(read_table(spark, sf_dir, "documents"), labels)
-    return quality.score_quality(docs, model, out="_quality").where(F.col("_quality") >= quality.KEEP_SCORE).select(*docs.columns)
+    out = free_name(docs, "_quality")
+    return quality.score_quality(docs, model, out=out).where(F.col(out) >= quality.KEEP_SCORE).select(*docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +46,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with the digests of ids and decoded text."""
-    done = bpe.encode_documents(docs, public_tokenizers.path(ENCODING_VOCABULARY))
-    return done.select("doc_id", "source", "bpe.n_tokens", "bpe.ids", "bpe.ids_sha256", "bpe.decoded_sha256")
+    out = free_name(docs, "_bpe")
+    done = bpe.encode_documents(docs, public_tokenizers.path(ENCODING_VOCABULARY), out=out)
+    return done.select("doc_id", "source", *[f"{out}.{c}" for c in ("n_tokens", "ids", "ids_sha256", "decoded_sha256")])
 
 
 STAGES = [

@@ -226,7 +226,7 @@ def _chunks(texts: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, list[s
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", out: str = "bpe", with_ids: bool = True) -> DataFrame:
-    """``docs`` with a struct column ``out``: n_tokens, ids_sha256 (of the
+    """``docs`` (a column of the name ``out`` is replaced) with a struct column ``out``: n_tokens, ids_sha256 (of the
     decimal ids joined by one space), decoded_sha256 and, with ``with_ids``,
     ids (array<int>).  A null text counts as empty: no ids."""
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]

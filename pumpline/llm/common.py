@@ -44,6 +44,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def utf8(texts: pa.Array) -> tuple[memoryview, np.ndarray]:
     """The bytes of a string array and its n + 1 offsets; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -155,7 +155,7 @@ def measure(texts: pa.Array, v: Vocabularies, hashes: WordHash) -> list[np.ndarr
 
 
 def with_measures(docs: DataFrame, piece_path: str, byte_path: str, text: str = "text", out: str = "fertility") -> DataFrame:
-    """``docs`` with a struct column ``out`` of the counts and measures; null
+    """``docs`` (a column of the name ``out`` is replaced) with a struct column ``out`` of the counts and measures; null
     and empty texts have no words and no tokens."""
 
     @F.arrow_udf(RESULT)

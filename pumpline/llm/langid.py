@@ -177,7 +177,7 @@ def score_batch(model: PpmModel, texts: pa.Array) -> tuple[np.ndarray, np.ndarra
 
 
 def predict_language(docs: DataFrame, model: PpmModel | None, text: str = "text", out: str = "language") -> DataFrame:
-    """``docs`` with a struct column ``out`` (lang_pred, score, bits_per_byte).
+    """``docs`` (a column of the name ``out`` is replaced) with a struct column ``out`` (lang_pred, score, bits_per_byte).
 
     score is the posterior of the language under equal priors.  A text that is
     null or has no letter (``\\p{L}``), or any text when nothing could be

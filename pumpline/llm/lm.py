@@ -172,7 +172,7 @@ class LanguageModel:
     end_count: int
 
 
-def fit_language_model(docs: DataFrame, text: str = "text") -> tuple[LanguageModel, DataFrame]:
+def fit_language_model(docs: DataFrame, text: str = "text", epochs: int = EPOCHS) -> tuple[LanguageModel, DataFrame]:
     """The model of all texts of ``docs``, and the stored counts (h, c) of all
     words.  Null and empty texts are texts of one end."""
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -186,7 +186,7 @@ def fit_language_model(docs: DataFrame, text: str = "text") -> tuple[LanguageMod
     log = np.zeros(BUCKETS)
     for row in rare.groupBy("b").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
         log[row.b] = np.log10(row.n + row.v + 1)
-    logp = (train(successor_counts(texts, top)) / np.log(10)).astype(np.float32)
+    logp = (train(successor_counts(texts, top), epochs=epochs) / np.log(10)).astype(np.float32)
     return LanguageModel(top, logp, log, known, known_counts, int(sizes.n) + ends, int(sizes.v) + (ends > 0), ends), counts
 
 

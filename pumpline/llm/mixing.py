@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pumpline.llm.common import WORD_PATTERN, stored
+from pumpline.llm.common import WORD_PATTERN, free_name, stored
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -96,20 +96,21 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     """The mix itself: every row of ``docs`` as often as it is taken, with the
     columns of ``docs``.  Rows equal in key, source and size share their copies
     evenly."""
-    def keyed(df: DataFrame, size: Column) -> DataFrame:
-        return df.withColumns({"_kn": F.col(key).isNull().cast("int"), "_sn": F.col(source).isNull().cast("int"),
-                               "_kv": F.coalesce(F.col(key).cast("string"), F.lit("")), "_sv": F.coalesce(F.col(source).cast("string"), F.lit("")),
-                               "_size": size})
+    kn, kv, sn, sv, size, copies, rows, row, mine, copy = [free_name(docs, f"_{c}") for c in
+                                                            ("kn", "kv", "sn", "sv", "size", "copies", "rows", "row", "mine", "copy")]
 
-    same = ["_kn", "_kv", "_sn", "_sv", "_size"]
+    def keyed(df: DataFrame, words: Column) -> DataFrame:
+        return df.withColumns({kn: F.col(key).isNull().cast("int"), kv: F.coalesce(F.col(key).cast("string"), F.lit("")),
+                               sn: F.col(source).isNull().cast("int"), sv: F.coalesce(F.col(source).cast("string"), F.lit("")), size: words})
+
+    same = [kn, kv, sn, sv, size]
     share = keyed(mix_sources(docs, key, text, source, weights, cap).where("taken > 0"), F.col("size")).groupBy(*same) \
-        .agg(F.sum(F.col("taken") / F.col("size")).cast("bigint").alias("_copies"))
-    rows = keyed(docs, word_count(F.col(text)))
+        .agg(F.sum(F.col("taken") / F.col("size")).cast("bigint").alias(copies))
     one_of = Window.partitionBy(*same)
-    rows = rows.withColumn("_rows", F.count("*").over(one_of)).withColumn("_row", F.row_number().over(one_of.orderBy(*same)))
-    mine = F.floor(F.col("_copies") * F.col("_row") / F.col("_rows")) - F.floor(F.col("_copies") * (F.col("_row") - 1) / F.col("_rows"))
-    return (rows.join(share, same).withColumn("_mine", mine).where("_mine > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_mine").cast("int")))).select(*docs.columns))
+    numbered = keyed(docs, word_count(F.col(text))).withColumn(rows, F.count("*").over(one_of)).withColumn(row, F.row_number().over(one_of.orderBy(*same)))
+    given = F.floor(F.col(copies) * F.col(row) / F.col(rows)) - F.floor(F.col(copies) * (F.col(row) - 1) / F.col(rows))
+    return (numbered.join(share, same).withColumn(mine, given).where(F.col(mine) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(mine).cast("int")))).select(*docs.columns))
 
 
 OP8_SQL = rf"""

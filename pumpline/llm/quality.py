@@ -55,7 +55,8 @@ def _blocks(texts: pa.Array, hashes: WordHash):
             roll = (roll[:-1] << np.uint64(8)) | buf[n - 1:]
             if n in GRAMS:
                 found.append((starts, np.maximum(ends - n + 1, starts), ((roll * _PAIR) >> _TOP).astype(np.int32)))
-        yield rows, found
+        # A segment shorter than a feature has none; its places may lie beyond the list.
+        yield rows, [(np.minimum(s, len(b)), np.minimum(e, len(b)), b) for s, e, b in found]
 
 
 @F.arrow_udf(T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType()))]))
@@ -156,7 +157,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
 
 
 def score_quality(docs: DataFrame, model: QualityModel | None, text: str = "text", out: str = "quality_score") -> DataFrame:
-    """``docs`` with the probability of label 1 in ``out``.  Null and empty
+    """``docs`` (a column of the name ``out`` is replaced) with the probability of label 1 in ``out``.  Null and empty
     texts have no feature and get the learned bias alone; without a model
     every score is 0.5."""
     if model is None:

@@ -67,7 +67,7 @@ def fingerprint(data: memoryview, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "fp", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with the fingerprint (bigint) in ``out``; null texts count as empty."""
+    """``docs`` (a column of the name ``out`` is replaced) with the fingerprint (bigint) in ``out``; null texts count as empty."""
 
     @F.arrow_udf(T.LongType())
     def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -306,7 +306,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
     fits = np.cumsum([x.n for x in lengths]) <= max_units
     if not fits.any():
         return None
-    rows = found.where(F.col("r") <= lengths[int(np.flatnonzero(fits)[-1])].r).orderBy("r", "k").limit(2 * max_per_label).toArrow()
+    rows = found.where(F.col("r") <= lengths[int(np.flatnonzero(fits)[-1])].r).toArrow().sort_by([("r", "ascending"), ("k", "ascending")])
     y = rows.column("y").to_numpy().astype(np.int64)
     weight = np.array([size.get(c, 0) for c in (0, 1)]) / np.maximum(np.bincount(y, minlength=2), 1)
     return train(rows.column("bag").to_pylist(), y == 1, weight[y])
@@ -324,7 +324,7 @@ def text_values(texts: list[str], model: ToxicityModel, kernel: Kernel, known: d
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, text: str = "text", out: str = "toxicity") -> DataFrame:
-    """``docs`` with the probability of label 1 in ``out``.  Null and empty
+    """``docs`` (a column of the name ``out`` is replaced) with the probability of label 1 in ``out``.  Null and empty
     texts get the lowest value met in training; without a model all get 0."""
     if model is None:
         return docs.withColumn(out, F.lit(0.0))
