@@ -198,10 +198,11 @@ def test_tree_spares_distances():
     rng = np.random.default_rng(1)
     v = np.concatenate([rng.normal(c * 100, 5, (300, 6)) for c in range(6)]).astype(np.int64)
     longest = float((v * v).sum(1).max())
-    tree = topk.MTree(topk.lift(v, longest))
-    assert all(len(p[0]) <= topk.PAGE or p[3][0] >= 0 for p in tree.pages)
+    tree = topk.MTree(topk.lift(v, longest), page=16)
+    assert all(len(p[0]) <= 16 or p[3][0] >= 0 for p in tree.pages)
     own = len(v) - 5
-    best = topk.Best(v[own], own, longest, 5, -np.inf)
+    fifth = np.sort((v @ v[own])[np.arange(len(v)) != own])[-5]
+    best = topk.Best(v[own], own, longest, 5, float(fifth))  # as known from the shard searched first
     computed, spared = tree.search(np.append(v[own].astype(float), 0.0), lambda r: best.offer(v[r], [[int(i)] for i in r]), best.bound())
     assert [s for s, _ in best.found] == sorted((v @ v[own])[np.arange(len(v)) != own].tolist(), reverse=True)[:5]
     assert spared and computed < len(v)
