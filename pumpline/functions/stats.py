@@ -1,50 +1,15 @@
-"""Exact means of price-like values.
-
-Prices carry at most 4 decimals, so they are summed as integer units of
-1/10000: the sum is exact whatever the task order, and the mean is one IEEE
-division of two integers.  Results are then identical across runs and
-engines, and roll-ups of pre-aggregates give exactly the direct figure.
-"""
+"""Aggregates of text labels."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRICE_SCALE = 10000
-
-
-def units(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return F.round(c * F.lit(PRICE_SCALE)).cast("bigint")
-
-
-def sum_units(col: str | Column) -> Column:
-    return F.sum(units(col))
-
-
-def mean_from_units(total_units: Column, n: Column) -> Column:
-    return total_units / n / F.lit(PRICE_SCALE)
 
-
-def exact_mean(col: str | Column) -> Column:
-    """avg(col) for values with <= 4 decimals, independent of summation order."""
-    c = F.col(col) if isinstance(col, str) else col
-    return mean_from_units(sum_units(c), F.count(c))
-
-
-def max_text(col: str) -> Column:
+def max_text(col: str):
     """max of a text column as array_max(collect_set(col)): the same value
-    (nulls ignored, null when there are none) but hash-aggregatable, for
-    labels that take a handful of distinct values per group — so a grouped
-    pass over a large table stays a hash aggregation instead of sorting it."""
+    (nulls ignored, null when there are none) without the sort-based
+    aggregation that max over strings plans as.  Use it only where a group
+    takes a handful of distinct values, and on rows that are distinct per
+    (group, value) already where there are many: the object aggregate falls
+    back to sorting when a task holds many groups."""
     return F.array_max(F.collect_set(col))
-
-
-# SQL spelling of the same expressions (DuckDB), for the oracle twins.
-def exact_mean_sql(expr: str) -> str:
-    return f"(sum(CAST(round(({expr}) * {PRICE_SCALE}) AS BIGINT)) / count({expr}) / {PRICE_SCALE})"
-
-
-def sum_units_sql(expr: str) -> str:
-    return f"sum(CAST(round(({expr}) * {PRICE_SCALE}) AS BIGINT))"

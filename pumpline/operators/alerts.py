@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import exact_mean, max_text, mean_from_units, sum_units
+from ..functions.stats import max_text
 from ..functions.params import (apply_filters, as_of_column, check_float, check_int, check_required,
                                 check_uf, eq, hours_interval, window_pred)
 
@@ -37,11 +37,11 @@ def _drop_agg(base: DataFrame, keys, in_last, in_prev) -> DataFrame:
     p = F.col("price_unit")
     return (base.groupBy(*keys)
             .agg(_label("station_name"), _label("city"), _label("uf"),
-                 sum_units(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
-                 sum_units(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
+                 F.sum(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
+                 F.sum(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
             .select(*keys, "station_name", "city", "uf",
-                    mean_from_units(F.col("_s_last"), F.col("_n_last")).alias("avg_last"),
-                    mean_from_units(F.col("_s_prev"), F.col("_n_prev")).alias("avg_prev")))
+                    (F.col("_s_last") / F.col("_n_last")).alias("avg_last"),
+                    (F.col("_s_prev") / F.col("_n_prev")).alias("avg_prev")))
 
 
 def _drop_result(agg: DataFrame, pct_drop: float) -> DataFrame:
@@ -62,11 +62,11 @@ def _labels_from_table(labels: DataFrame, keys, *preds) -> DataFrame:
 def _numeric_drop(base: DataFrame, keys, in_last, in_prev) -> DataFrame:
     p = F.col("price_unit")
     return (base.groupBy(*keys)
-            .agg(sum_units(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
-                 sum_units(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
+            .agg(F.sum(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
+                 F.sum(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
             .select(*keys,
-                    mean_from_units(F.col("_s_last"), F.col("_n_last")).alias("avg_last"),
-                    mean_from_units(F.col("_s_prev"), F.col("_n_prev")).alias("avg_prev")))
+                    (F.col("_s_last") / F.col("_n_last")).alias("avg_last"),
+                    (F.col("_s_prev") / F.col("_n_prev")).alias("avg_prev")))
 
 
 def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,
@@ -144,7 +144,7 @@ def anomalies(silver: DataFrame, fuel_type: str, uf: str | None = None, city: st
     recent = apply_filters(silver, eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city),
                            window_pred(silver, "price_ts", cut - hours_interval(hours), cut),
                            F.col("price_unit").isNotNull())
-    stats = recent.agg(F.struct(exact_mean("price_unit").alias("mu"),
+    stats = recent.agg(F.struct(F.avg("price_unit").alias("mu"),
                                 F.stddev_samp("price_unit").alias("sigma")).alias("s")).scalar()
     mu, sigma = stats.getField("mu"), stats.getField("sigma")
     zcol = (F.col("price_unit") - mu) / sigma
@@ -185,7 +185,7 @@ def anomalies_by_scope(silver: DataFrame, hours: int = 24, z: float = 3.0, as_of
              .select("_s.scope", "fuel_type", "_s.scope_uf", "_s.scope_city", "price_ts", "cnpj",
                      "product_code", "station_name", "city", "uf", "price_unit"))
     stats = (keyed.groupBy("scope", "fuel_type", "scope_uf", "scope_city")
-             .agg(exact_mean("price_unit").alias("mu"), F.stddev_samp("price_unit").alias("sigma"))
+             .agg(F.avg("price_unit").alias("mu"), F.stddev_samp("price_unit").alias("sigma"))
              .filter(F.col("sigma").isNotNull() & (F.col("sigma") > 0)))
     j = keyed.join(stats, ["scope", "fuel_type", "scope_uf", "scope_city"])
     zc = (F.col("price_unit") - F.col("mu")) / F.col("sigma")

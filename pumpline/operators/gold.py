@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.params import as_of_column
-from ..functions.stats import mean_from_units, sum_units
 from ..schema import GOLD_KEY
 
 
@@ -43,14 +42,14 @@ def timeseries_base(silver: DataFrame) -> DataFrame:
     """Per (fuel, uf, city, station, day): sum, count, min, max of price_unit
     and the first / last observation time.
 
-    The sum is kept in exact integer units (``sum_units``), so every coarser
-    daily series rolls up from it to exactly the figure the history gives
-    (avg = sum_units / n / scale); the series and summary queries can read
+    The sum is kept unrounded (``sum_price``), so every coarser daily series
+    rolls up from it to the figure the history gives, up to the rounding of
+    double sums (avg = sum_price / n); the series and summary queries can read
     this table instead of the history for whole-day ranges.
     """
     return (silver.withColumn("day", day_of())
             .groupBy(*TIMESERIES_BASE_KEYS)
-            .agg(sum_units("price_unit").alias("sum_units"),
+            .agg(F.sum("price_unit").alias("sum_price"),
                  F.count("price_unit").alias("n_price_unit"),
                  F.count(F.lit(1)).alias("samples"),
                  F.min("price_unit").alias("min_price_unit"),
@@ -78,7 +77,7 @@ def station_labels(silver: DataFrame) -> DataFrame:
 def rollup_daily(base: DataFrame, keys=("day",)) -> DataFrame:
     """Coarser daily series from ``timeseries_base``."""
     return (base.groupBy(*keys)
-            .agg(mean_from_units(F.sum("sum_units"), F.sum("n_price_unit")).alias("avg_price_unit"),
+            .agg((F.sum("sum_price") / F.sum("n_price_unit")).alias("avg_price_unit"),
                  F.min("min_price_unit").alias("min_price_unit"),
                  F.max("max_price_unit").alias("max_price_unit"),
                  F.sum("samples").alias("samples")))

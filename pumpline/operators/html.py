@@ -6,10 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Start tags as HTML writes them: a name, then attributes after white space,
+# each a name with perhaps "=" and a value in double, single or no quotes.
+_QUOTED = r"""(?:"[^"]*"|'[^']*')"""
+_BARE = r"""[^\s>"']"""
+_OTHERS = rf"(?:\s+(?:{_BARE}+|{_QUOTED}{_BARE}*)(?:{_QUOTED}{_BARE}*)*)*?"
+VALUE = r"""("[^"]*"|'[^']*'|[^\s"'=<>`]+)"""
+
+
 def attr_pattern(tag: str, attr: str) -> str:
-    """Case-insensitive pattern whose group 1 is the quoted value of
-    ``attr`` inside a ``tag`` element."""
-    return rf"(?i)<{tag}[^>]+{attr}=[\"']([^\"']+)[\"']"
+    """Case-insensitive pattern of a ``tag`` start tag with ``attr``; group 1
+    is the value as written, quotes included (see ``unquoted``)."""
+    return rf"(?i)<{tag}{_OTHERS}\s+{attr}\s*=\s*{VALUE}"
+
+
+def unquoted(value: Column) -> Column:
+    """An attribute value without the quotes around it."""
+    return F.regexp_replace(value, r"""^["']|["']$""", "")
 
 
 SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
@@ -76,27 +89,35 @@ def page_links(pages: DataFrame, tag: str = "a", attr: str = "href", id_col: str
     found = pages.select(id_col, url_col,
                          F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(attr_pattern(tag, attr)), 1))
                          .alias("raw_pos", "raw_link"))
+    found = found.withColumn("raw_link", unquoted(F.col("raw_link"))).filter(F.col("raw_link") != "")
     resolved = found.withColumn("link", resolve_url(F.col(url_col), F.col("raw_link")))
     return resolved.groupBy(id_col, "link").agg(F.min("raw_pos").alias("first_pos"))
 
 
-# Ordered patterns for the page fields (first match wins).
-TITLE_PATTERNS = [
-    r"(?i)<meta[^>]+property=[\"']og:title[\"'][^>]+content=[\"']([^\"']+)[\"']",
-    r"(?i)<title[^>]*>([^<]*)</title>",
-    r"(?i)<h1[^>]*>([^<]*)</h1>",
-]
-CHARSET_PATTERNS = [
-    r"(?i)<meta[^>]+charset=[\"']?([A-Za-z0-9_-]+)",
-    r"(?i)<meta[^>]+content=[\"'][^\"']*charset=([A-Za-z0-9_-]+)",
-]
-LANG_PATTERNS = [r"(?i)<html[^>]+lang=[\"']([^\"']+)[\"']"]
+def _meta_pair(name: str, value: str) -> list[str]:
+    """Patterns for the content of the meta tag whose ``name`` is ``value``,
+    for either order of the two attributes."""
+    named = rf"\s+{name}\s*=\s*[\"']?{value}[\"']?"
+    return [rf"(?i)<meta{_OTHERS}{named}{_OTHERS}\s+content\s*=\s*{VALUE}",
+            rf"(?i)<meta{_OTHERS}\s+content\s*=\s*{VALUE}{_OTHERS}{named}[\s/>]"]
+
+
+def _element_text(tag: str) -> str:
+    return rf"(?i)<{tag}{_OTHERS}\s*>([^<]*)</{tag}\s*>"
+
+
+# Ordered patterns for the page fields (first match wins).
+TITLE_PATTERNS = [*_meta_pair("property", "og:title"), _element_text("title"), _element_text("h1")]
+CHARSET_PATTERNS = [attr_pattern("meta", "charset"),
+                    rf"(?i)<meta{_OTHERS}\s+content\s*=\s*[\"'][^\"'>]*;\s*charset\s*=\s*([A-Za-z0-9_-]+)"]
+LANG_PATTERNS = [attr_pattern("html", "lang")]
 
 
 def first_match(text: Column, patterns: list[str], group: int = 1) -> Column:
-    """Group ``group`` of the first pattern that matches, else null
-    (``regexp_extract`` gives '' on no match, hence the ``nullif``)."""
-    return F.coalesce(*[F.nullif(F.regexp_extract(text, p, group), F.lit("")) for p in patterns])
+    """Group ``group`` of the first pattern that matches and is not empty,
+    else null; values of attributes come without their quotes."""
+    found = [(F.regexp_extract(text, p, group), p) for p in patterns]
+    return F.coalesce(*[F.nullif(unquoted(v) if VALUE in p else v, F.lit("")) for v, p in found])
 
 
 def first_match_extract(pages: DataFrame, fields: dict[str, list[str]] | None = None,

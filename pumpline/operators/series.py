@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.params import (apply_filters, check_int, check_required, check_uf, eq, time_range,
                                 time_range_pred)
-from ..functions.stats import exact_mean, mean_from_units
 from .gold import day_of, rollup_daily, timeseries_base
 from .paging import Page
 
@@ -20,7 +19,7 @@ from .paging import Page
 def _daily(df: DataFrame, keys=()) -> DataFrame:
     return (df.withColumn("day", day_of())
             .groupBy(*keys, "day")
-            .agg(exact_mean("price_unit").alias("avg_price_unit"),
+            .agg(F.avg("price_unit").alias("avg_price_unit"),
                  F.min("price_unit").alias("min_price_unit"),
                  F.max("price_unit").alias("max_price_unit"),
                  F.count(F.lit(1)).alias("samples")))
@@ -96,7 +95,7 @@ def price_compare(gold: DataFrame, fuel_type: str | None = None, uf: str | None
     return (f.groupBy(F.col("fuel_type"),
                       F.coalesce(F.col("uf"), F.lit("")).alias("uf"),
                       F.coalesce(F.col("city"), F.lit("")).alias("city"))
-            .agg(exact_mean("price_unit").alias("avg_price_unit"),
+            .agg(F.avg("price_unit").alias("avg_price_unit"),
                  F.min("price_unit").alias("min_price_unit"),
                  F.max("price_unit").alias("max_price_unit"),
                  F.count(F.lit(1)).alias("stations"),
@@ -115,7 +114,7 @@ def price_compare_scope(gold: DataFrame, fuel_type: str, uf: str | None = None,
     return f.agg(F.lit(fuel_type).alias("fuel_type"),
                  F.lit(uf or "").alias("uf"),
                  F.lit(city or "").alias("city"),
-                 exact_mean("price_unit").alias("avg_price_unit"),
+                 F.avg("price_unit").alias("avg_price_unit"),
                  F.min("price_unit").alias("min_price_unit"),
                  F.max("price_unit").alias("max_price_unit"),
                  F.count(F.lit(1)).alias("stations"),
@@ -152,7 +151,7 @@ def stats_summary(silver: DataFrame, date_from=None, date_to=None, uf: str | Non
                      dc("uf").alias("ufs"),
                      F.min("min_price_ts").alias("min_price_ts"),
                      F.max("max_price_ts").alias("max_price_ts"),
-                     mean_from_units(F.sum("sum_units"), F.sum("n_price_unit")).alias("avg_price_unit"))
+                     (F.sum("sum_price") / F.sum("n_price_unit")).alias("avg_price_unit"))
     f = apply_filters(silver, time_range_pred(silver, "price_ts", lo, hi), *preds)
     return f.agg(F.count(F.lit(1)).alias("rows"),
                  dc("cnpj").alias("stations"),
@@ -160,7 +159,7 @@ def stats_summary(silver: DataFrame, date_from=None, date_to=None, uf: str | Non
                  dc("uf").alias("ufs"),
                  F.min("price_ts").alias("min_price_ts"),
                  F.max("price_ts").alias("max_price_ts"),
-                 exact_mean("price_unit").alias("avg_price_unit"))
+                 F.avg("price_unit").alias("avg_price_unit"))
 
 
 def kpi_consistency(silver: DataFrame, keys=("fuel_type", "uf", "city"), base: DataFrame | None = None) -> DataFrame:
@@ -173,13 +172,13 @@ def kpi_consistency(silver: DataFrame, keys=("fuel_type", "uf", "city"), base: D
               .agg(F.count(F.lit(1)).alias("rows_direct"),
                    F.min("price_unit").alias("min_direct"),
                    F.max("price_unit").alias("max_direct"),
-                   exact_mean("price_unit").alias("avg_direct")))
+                   F.avg("price_unit").alias("avg_direct")))
     base = base if base is not None else timeseries_base(silver)
     rolled = (base.groupBy(*[F.col(k).alias("_r_" + k) for k in keys])
               .agg(F.sum("samples").alias("rows_rollup"),
                    F.min("min_price_unit").alias("min_rollup"),
                    F.max("max_price_unit").alias("max_rollup"),
-                   mean_from_units(F.sum("sum_units"), F.sum("n_price_unit")).alias("avg_rollup")))
+                   (F.sum("sum_price") / F.sum("n_price_unit")).alias("avg_rollup")))
     cond = [F.col(k).eqNullSafe(F.col("_r_" + k)) for k in keys]
     j = direct.join(rolled, cond, "full_outer")
     out = j.select(*[F.coalesce(F.col(k), F.col("_r_" + k)).alias(k) for k in keys],
@@ -188,7 +187,8 @@ def kpi_consistency(silver: DataFrame, keys=("fuel_type", "uf", "city"), base: D
     ok = ((F.col("rows_direct") == F.col("rows_rollup"))
           & F.col("min_direct").eqNullSafe(F.col("min_rollup"))
           & F.col("max_direct").eqNullSafe(F.col("max_rollup"))
-          & F.col("avg_direct").eqNullSafe(F.col("avg_rollup")))
+          & F.coalesce(F.abs(F.col("avg_direct") - F.col("avg_rollup")) <= F.abs(F.col("avg_direct")) * F.lit(1e-9),
+                       F.col("avg_direct").isNull() & F.col("avg_rollup").isNull()))
     return out.withColumn("consistent", F.coalesce(ok, F.lit(False)))
 
 

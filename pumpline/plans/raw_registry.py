@@ -373,7 +373,7 @@ ORACLE_SQL["incremental_gold"] = ORACLE_SQL["gold_from_raw"]
 ORACLE_SQL["layers_gold"] = ORACLE_SQL["gold_from_raw"]
 ORACLE_SQL["layers_timeseries_base"] = _raw_ctes("""
 SELECT fuel_type, uf, city, cnpj, CAST(date_trunc('day', price_ts) AS TIMESTAMP) AS day,
-       CAST(sum(CAST(round(price_unit * 10000) AS BIGINT)) AS BIGINT) AS sum_units, count(price_unit) AS n_price_unit,
+       sum(price_unit) AS sum_price, count(price_unit) AS n_price_unit,
        count(*) AS samples, min(price_unit) AS min_price_unit, max(price_unit) AS max_price_unit,
        min(price_ts) AS min_price_ts, max(price_ts) AS max_price_ts
 FROM silver GROUP BY ALL""")
