@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold as goldops, silver as silverops
 from ..schema import OBS_KEY, SILVER_COLUMNS
-from ..sinks import raw as sinks
+from ..sinks import raw as sinks, versions
 from ..sources import raw as rawsrc
 
 
@@ -62,7 +62,7 @@ def build_gold(spark: SparkSession, layers: Layers) -> None:
     silver = read_silver(spark, layers)
     sinks.write_gold(goldops.gold_latest(silver).select(*SILVER_COLUMNS), layers.gold)
     if layers.labels:
-        sinks.write_layer(goldops.station_labels(silver), layers.labels)
+        sinks.write_labels(goldops.station_labels(silver), layers.labels)
     b = goldops.timeseries_base(silver).withColumn("obs_date", F.to_date("day"))
     sinks.write_layer(b, layers.daily_base, ("obs_date",))
 
@@ -77,22 +77,36 @@ def run(spark: SparkSession, raw_root: str, out_root: str) -> Layers:
 
 def ingest_runs(spark: SparkSession, raw_root: str, layers: Layers, run_filter) -> None:
     """Incremental step for new runs (``run_filter``: a Column predicate on
-    the raw tree, e.g. on run_id or dt, pruning folders): the new runs'
-    folders go to bronze (dynamic overwrite, idempotent) and their rows are
-    merged into silver, gold and the daily base by ``merge_new_rows``."""
-    new_raw = rawsrc.scan_raw(spark, raw_root).filter(run_filter)
-    sinks.write_bronze(new_raw, layers.bronze)
-    merge_new_rows(spark, rawsrc.scan_table(spark, layers.bronze).filter(run_filter), layers)
+    the raw tree, e.g. on run_id or dt, pruning folders): the new runs go to
+    bronze and their rows are merged into silver, gold and the daily base by
+    ``merge_new_rows``."""
+    merge_new_rows(spark, add_to_bronze(spark, rawsrc.scan_raw(spark, raw_root).filter(run_filter), layers), layers)
+
+
+def add_to_bronze(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> DataFrame:
+    """Put the lines of new or repeated runs into bronze and return them as
+    stored.  The days they touch are rewritten: their lines of other runs and
+    the new ones, staged first."""
+    stage = layers.stage("raw")
+    new_raw.write.mode("overwrite").parquet(stage)
+    new = spark.read.schema(new_raw.schema).parquet(stage)
+    if versions.exists(spark, layers.bronze):
+        runs = new.select(*sinks.BRONZE_PARTITIONS, "run_id").distinct()
+        days = new.select(*sinks.BRONZE_PARTITIONS).distinct()
+        others = rawsrc.scan_table(spark, layers.bronze).select(*new.columns) \
+            .join(days, sinks.BRONZE_PARTITIONS, "left_semi").join(runs, [*sinks.BRONZE_PARTITIONS, "run_id"], "left_anti")
+        days_stage = layers.stage("raw_days")
+        others.unionByName(new).write.mode("overwrite").parquet(days_stage)
+        sinks.write_bronze(spark.read.schema(new.schema).parquet(days_stage), layers.bronze)
+    else:
+        sinks.write_bronze(new, layers.bronze)
+    return new
 
 
-def _stored_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The stored table, or an empty frame shaped like ``like`` before the
-    first write."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path).select(*like.columns)
-    except AnalysisException:
-        return spark.createDataFrame([], like.schema)
+def _in_touched_buckets(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
+    """The stored rows of the buckets that ``new`` (with cnpj) touches."""
+    touched = new.select(versions.bucket_of("cnpj").alias("bucket")).distinct()
+    return versions.read_current(spark, path, keep_bucket=True).join(touched, "bucket", "left_semi").drop("bucket")
 
 
 def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> None:
@@ -106,16 +120,26 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
       the touched (fuel, day) partitions rewritten — stored rows plus new,
       deduplicated, staged to a written table (a path is never overwritten
       while it is read) and written back with dynamic partition overwrite;
-    * gold: latest of (current gold, new rows) after the same dedup rule
+    * gold: in the buckets of the new rows' stations, latest of (current
+      gold, new rows) after the same dedup rule
       (a re-collected observation keeps its first collection), which equals
       the latest over the whole history because gold already holds each
       key's latest row;
     * daily base: the touched days, recomputed from silver;
-    * station labels: max of (stored labels, new rows' labels) per key.
-
-    Re-running the same input gives the same tables (idempotent), so a
-    retried job or streaming epoch is harmless.
+    * station labels: in the same buckets, max of (stored labels, new rows'
+      labels) per key.
+
+    Re-running the same input gives the same tables (idempotent), and gold
+    and labels are never overwritten in place, so a job killed anywhere can
+    be run again.  Where silver is stored but gold or labels are missing,
+    they are rebuilt from silver; missing silver beside stored gold is an
+    error.
     """
+    first = not versions.exists(spark, layers.silver)
+    if first and versions.exists(spark, layers.gold):
+        raise FileNotFoundError(f"{layers.gold} is stored, but {layers.silver} is missing")
+    whole = [p for p in (layers.gold, layers.labels) if p]
+    rebuild = not first and not all(versions.current_paths(spark, p) for p in whole)
     new = (silverops.silver_typed(silverops.silver_flatten(new_raw))
            .withColumn("obs_date", F.to_date("price_ts")))
     stage_new = layers.stage("new")
@@ -128,7 +152,8 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     # folders are listed and read (the semi-join alone would not prune).
     span = new.agg(F.struct(F.min("obs_date").alias("lo"), F.max("obs_date").alias("hi"))).scalar()
     in_span = F.col("obs_date").between(span.getField("lo"), span.getField("hi"))
-    stored = _stored_or_empty(spark, layers.silver, new_rows).filter(in_span)
+    stored = (spark.createDataFrame([], new_rows.schema) if first
+              else spark.read.parquet(layers.silver).select(*new_rows.columns)).filter(in_span)
 
     # One row per observation of the batch (its earliest copy), compared with
     # the stored observation keys of the touched days (key columns only).
@@ -151,19 +176,20 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
         merged.write.mode("overwrite").parquet(stage)
         sinks.write_silver(spark.read.parquet(stage).drop("obs_date"), layers.silver)
 
-    g_stage = layers.stage("gold")
-    gold_now = _stored_or_empty(spark, layers.gold, new.select(*SILVER_COLUMNS))
-    candidates = gold_now.unionByName(new.select(*SILVER_COLUMNS))
-    goldops.gold_latest(silverops.silver_dedup(candidates)).write.mode("overwrite").parquet(g_stage)
-    sinks.write_gold(spark.read.parquet(g_stage), layers.gold)
+    if rebuild:
+        build_gold(spark, layers)
+        return
+
+    candidates = new.select(*SILVER_COLUMNS)
+    if not first:
+        candidates = candidates.unionByName(_in_touched_buckets(spark, layers.gold, new).select(*SILVER_COLUMNS))
+    sinks.write_gold(goldops.gold_latest(silverops.silver_dedup(candidates)), layers.gold)
 
     if layers.labels:
-        l_new = goldops.station_labels(new)
-        l_all = _stored_or_empty(spark, layers.labels, l_new).unionByName(l_new)
-        l_stage = layers.stage("labels")
-        (l_all.groupBy(*goldops.LABEL_KEYS).agg(F.max("station_name").alias("station_name"))
-         .write.mode("overwrite").parquet(l_stage))
-        sinks.write_layer(spark.read.parquet(l_stage), layers.labels)
+        names = goldops.station_labels(new)
+        if not first:
+            names = names.unionByName(_in_touched_buckets(spark, layers.labels, new).select(*names.columns))
+        sinks.write_labels(names.groupBy(*goldops.LABEL_KEYS).agg(F.max("station_name").alias("station_name")), layers.labels)
 
     days = new.select("obs_date").distinct()
     day_rows = read_silver(spark, layers).filter(in_span).join(days, ["obs_date"], "left_semi")

@@ -91,7 +91,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set: point it at a shared folder of the cluster")
         root = tempfile.mkdtemp(prefix="pumpline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)  # found again by getCheckpointDir
     try:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(root)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import versions
+
 from ..schema import RAW_PARTITIONS
 
 SLUG_PATTERN = r"[^a-zA-Z0-9_\-=\.]"
@@ -67,11 +69,14 @@ def write_layer(df: DataFrame, path: str, partition_by=(), mode: str = "overwrit
     w.parquet(path)
 
 
+BRONZE_PARTITIONS = [c for c in RAW_PARTITIONS if c != "run_id"]
+
+
 def write_bronze(raw: DataFrame, path: str) -> None:
-    """Bronze keeps every raw line as read (the audit copy), partitioned by
-    run: with dynamic overwrite, ingesting a run again replaces that run's
-    folder instead of duplicating it."""
-    write_layer(clustered(raw, RAW_PARTITIONS), path, RAW_PARTITIONS)
+    """Bronze keeps every raw line as read (the audit copy), a folder per
+    source, product and day; the run is a column.  Whole days must be given:
+    dynamic overwrite replaces the days present in ``raw``."""
+    write_layer(clustered(raw, BRONZE_PARTITIONS).sortWithinPartitions("run_id"), path, BRONZE_PARTITIONS)
 
 
 def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -85,6 +90,11 @@ def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_gold(gold: DataFrame, path: str) -> None:
-    """Gold range-sorted by fuel and latitude: each row group covers a narrow
-    latitude band, so the radius search's bounding box skips most of them."""
-    write_layer(gold.orderBy("fuel_type", "lat"), path)
+    """Gold in buckets of stations, sorted by fuel and latitude inside: each
+    row group covers a narrow latitude band, so the radius search's bounding
+    box skips most of them."""
+    versions.write_version(gold, path, "cnpj", ("fuel_type", "lat"))
+
+
+def write_labels(labels: DataFrame, path: str) -> None:
+    versions.write_version(labels, path, "cnpj", ("cnpj",))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from ..sinks import versions
 from pyspark.sql import types as T
 
 from ..schema import MANIFEST_SCHEMA, OVERALL_MANIFEST_SCHEMA, RAW_SCHEMA
@@ -84,5 +86,7 @@ def scan_run_log(spark: SparkSession, root: str, glob: str = "*.log") -> DataFra
 def scan_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A stored layer by catalog name (``catalog.table``) or by path."""
     if "/" in name_or_path or name_or_path.startswith("file:"):
+        if versions.current_paths(spark, name_or_path):
+            return versions.read_current(spark, name_or_path)
         return spark.read.parquet(name_or_path)
     return spark.read.table(name_or_path)

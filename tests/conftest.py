@@ -22,7 +22,7 @@ def spark():
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pumpline-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pumpline-test-ckpt-"))
     yield s
 
 
