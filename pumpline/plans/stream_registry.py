@@ -2,7 +2,9 @@
 
 The streams run over the raw tree derived from the driver's tables
 (``plans.snapshots``) with ``availableNow`` triggers: each processes every
-file present and stops.  The chain (silver -> dedup -> gold / daily / window
+file present, in several micro-batches, and stops.  The tree's files come in
+no order of event time, so the watermark here spans the whole history and no
+row is late.  The chain (silver -> dedup -> gold / daily / window
 means) runs once per application and sf and is reused by later queries.
 Their SQL twins are the batch answers over the same rows.
 """
@@ -10,13 +12,16 @@ Their SQL twins are the batch answers over the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import GOLD_KEY
 from ..session import app_key
+from ..sources.raw import scan_table
 from ..streaming import jobs
 from .raw_registry import _raw_ctes, raw_silver, tree
 
-DROP_HOURS, DROP_PCT = 24, 3.0
+DROP_HOURS, DROP_PCT, SLIDE_HOURS = 24, 3.0, 12
+RAW_FILES, FILES, WATERMARK = 40, 6, "3650 days"
 _OBS = jobs.OBS_COLUMNS
 _CHAIN: dict[str, dict[str, str]] = {}
 
@@ -25,7 +30,8 @@ def chain(spark: SparkSession, sf: str) -> dict[str, str]:
     key = f"{app_key(spark)}|{sf}"
     c = _CHAIN.get(key)
     if c is None:
-        ch = jobs.run_chain(spark, tree(spark, sf).data_root, window_hours=DROP_HOURS)
+        ch = jobs.run_chain(spark, tree(spark, sf).data_root, window_hours=DROP_HOURS, watermark=WATERMARK,
+                            raw_files_per_trigger=RAW_FILES, files_per_trigger=FILES)
         c = {"silver": ch.silver, "dedup": ch.dedup, "gold": ch.gold, "daily": ch.daily, "windows": ch.windows}
         _CHAIN[key] = c
     return c
@@ -54,7 +60,7 @@ def q_stream_layers_silver(spark, sf) -> DataFrame:
 
 def q_stream_layers_gold(spark, sf) -> DataFrame:
     from ..schema import SILVER_COLUMNS
-    return spark.read.parquet(stream_layers(spark, sf).gold).select(*SILVER_COLUMNS)
+    return scan_table(spark, stream_layers(spark, sf).gold).select(*SILVER_COLUMNS)
 
 
 def q_stream_layers_timeseries_base(spark, sf) -> DataFrame:
@@ -80,12 +86,26 @@ def q_stream_daily(spark, sf) -> DataFrame:
 
 
 def q_stream_price_drop(spark, sf) -> DataFrame:
-    means = spark.read.parquet(chain(spark, sf)["windows"]).drop("ws")
+    means = jobs.read_windows(spark, chain(spark, sf)["windows"])
     return jobs.window_drops(means, hours=DROP_HOURS, pct_drop=DROP_PCT)
 
 
+def q_stream_price_drop_sliding(spark, sf) -> DataFrame:
+    c = chain(spark, sf)
+    if "sliding" not in c:
+        c["sliding"] = jobs.stream_window_means(spark, c["dedup"], hours=DROP_HOURS, slide_hours=SLIDE_HOURS,
+                                                watermark=WATERMARK, max_files_per_trigger=FILES).output
+    return jobs.window_drops(jobs.read_windows(spark, c["sliding"]), hours=DROP_HOURS, pct_drop=DROP_PCT)
+
+
 def q_late_data_report(spark, sf) -> DataFrame:
-    return jobs.late_data_report(raw_silver(spark, sf))
+    rep = jobs.late_data_report(raw_silver(spark, sf), quantiles=True)
+    exact = raw_silver(spark, sf).groupBy("fuel_type").agg(
+        F.percentile(F.timestamp_diff("SECOND", "price_ts", "collected_at") / 3600.0, F.lit(0.5)).alias("p50"),
+        F.percentile(F.timestamp_diff("SECOND", "price_ts", "collected_at") / 3600.0, F.lit(0.95)).alias("p95"))
+    near = lambda c, i: F.abs(F.col("lag_h_p50_p95")[i] - F.col(c)) <= 0.02 * F.col(c) + 0.1
+    return (rep.join(exact, "fuel_type").withColumn("quantiles_near_exact", near("p50", 0) & near("p95", 1))
+            .withColumns({"lag_h_p50": F.round("p50", 6), "lag_h_p95": F.round("p95", 6)}).drop("lag_h_p50_p95", "p50", "p95"))
 
 
 QUERIES = {
@@ -97,13 +117,15 @@ QUERIES = {
     "stream_gold_latest": q_stream_gold_latest,
     "stream_daily": q_stream_daily,
     "stream_price_drop": q_stream_price_drop,
+    "stream_price_drop_sliding": q_stream_price_drop_sliding,
     "late_data_report": q_late_data_report,
 }
 
 _OBS_SQL = ", ".join(_OBS)
 _BUCKET_US = DROP_HOURS * 3_600_000_000
+_SLIDE_US = SLIDE_HOURS * 3_600_000_000
 _WIN = f"make_timestamp((epoch_us(price_ts) // {_BUCKET_US}) * {_BUCKET_US})"
-_MEAN = "(sum(CAST(round(price_unit * 10000) AS BIGINT)) / count(price_unit) / 10000)"
+_MEAN = "avg(price_unit)"
 
 ORACLE_SQL = {
     "stream_bronze_silver": _raw_ctes("SELECT * EXCLUDE () FROM raw_silver".replace(" EXCLUDE ()", "")),
@@ -123,11 +145,22 @@ SELECT c.fuel_type, c.cnpj, c.station_name, c.city, c.uf, c.window_start, c.m AS
 FROM w c JOIN w p ON c.fuel_type = p.fuel_type AND c.cnpj = p.cnpj
  AND c.window_start = p.window_start + INTERVAL {DROP_HOURS} HOUR
 WHERE (p.m - c.m) / nullif(p.m, 0) * 100 >= {DROP_PCT}"""),
+    "stream_price_drop_sliding": _raw_ctes(f"""
+, w AS (SELECT fuel_type, cnpj, ws, max(station_name) AS station_name, max(city) AS city, max(uf) AS uf, {_MEAN} AS m
+        FROM (SELECT *, unnest(range({DROP_HOURS // SLIDE_HOURS})) AS k FROM silver) s,
+             LATERAL (SELECT make_timestamp((epoch_us(price_ts) // {_SLIDE_US} - k) * {_SLIDE_US}) AS ws) l
+        GROUP BY fuel_type, cnpj, ws)
+SELECT c.fuel_type, c.cnpj, c.station_name, c.city, c.uf, c.ws AS window_start, c.m AS avg_last, p.m AS avg_prev,
+       100 * (1 - c.m / p.m) AS pct_drop
+FROM w c JOIN w p ON c.fuel_type = p.fuel_type AND c.cnpj = p.cnpj AND c.ws = p.ws + INTERVAL {DROP_HOURS} HOUR
+WHERE 100 * (1 - c.m / p.m) >= {DROP_PCT}"""),
     "late_data_report": _raw_ctes("""
 , l AS (SELECT fuel_type, (epoch_us(collected_at) - epoch_us(price_ts)) // 1000000 AS s FROM raw_silver)
 SELECT fuel_type, count(*) AS rows, max(s) / 3600.0 AS max_lag_h, sum(s) / count(s) / 3600.0 AS mean_lag_h,
        count(*) FILTER (WHERE s > 86400) AS later_than_24h, count(*) FILTER (WHERE s > 172800) AS later_than_48h,
-       count(*) FILTER (WHERE s > 259200) AS later_than_72h
+       count(*) FILTER (WHERE s > 259200) AS later_than_72h,
+       round(quantile_cont(s / 3600.0, 0.5), 6) AS lag_h_p50, round(quantile_cont(s / 3600.0, 0.95), 6) AS lag_h_p95,
+       true AS quantiles_near_exact
 FROM l GROUP BY fuel_type"""),
 }
 ORACLE_SQL["stream_bronze_silver"] = _raw_ctes("SELECT * FROM raw_silver")

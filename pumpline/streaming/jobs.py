@@ -21,13 +21,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..functions.stats import mean_from_units, sum_units
 from ..functions.timeconv import instant_to_utc_ntz, utc_ntz_to_instant
 from ..operators.silver import silver_flatten, silver_typed
 from ..schema import GOLD_KEY, OBS_KEY, QUERY_HOURS, RAW_SCHEMA, SILVER_COLUMNS
-from ..session import scratch_path
+from ..session import app_key, scratch_path
 from ..sources.raw import DATA_GLOB
 
 WATERMARK = f"{QUERY_HOURS} hours"
@@ -41,8 +40,44 @@ class StreamRun:
     checkpoint: str
 
 
-def _run(writer, output: str, checkpoint: str, available_now: bool = True, timeout_s: int = 600,
+class _LateRows(StreamingQueryListener):
+    """Rows each query dropped as late, per epoch (a query's own progress
+    keeps only the newest epochs)."""
+
+    def __init__(self):
+        self.epochs: dict[tuple[str, int], int] = {}
+
+    def note(self, progress) -> None:
+        self.epochs[str(progress.runId), progress.batchId] = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.note(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_LISTENERS: dict[str, _LateRows] = {}
+
+
+def _late_rows(spark: SparkSession) -> _LateRows:
+    """The session's listener, added once."""
+    app = app_key(spark)
+    if app not in _LISTENERS:
+        _LISTENERS[app] = _LateRows()
+        spark.streams.addListener(_LISTENERS[app])
+    return _LISTENERS[app]
+
+
+def _run(writer, output: str, checkpoint: str, available_now: bool = True, timeout_s: int | None = None,
          wait: bool = True) -> StreamRun:
+    _late_rows(SparkSession.active())
     w = writer.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     run = StreamRun(w.start(), output, checkpoint)
@@ -51,11 +86,13 @@ def _run(writer, output: str, checkpoint: str, available_now: bool = True, timeo
     return run
 
 
-def finish(run: StreamRun, timeout_s: int = 600) -> StreamRun:
-    """Wait for an availableNow query to drain; surface its failure."""
+def finish(run: StreamRun, timeout_s: int | None = None) -> StreamRun:
+    """Wait until an availableNow query has drained, however long that takes
+    unless the caller sets a limit; surface its failure."""
     q = run.query
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
     if q.exception() is not None:
@@ -110,7 +147,7 @@ def stream_dedup(spark: SparkSession, silver_path: str, out: str | None = None,
 
 
 def stream_gold_latest(spark: SparkSession, dedup_path: str, out: str | None = None,
-                       available_now: bool = True, wait: bool = True) -> StreamRun:
+                       available_now: bool = True, wait: bool = True, max_files_per_trigger: int | None = None) -> StreamRun:
     """Latest row per (cnpj, product_code), kept current by a streaming
     aggregation (one state row per key: the number of station products, not
     of observations).
@@ -120,7 +157,7 @@ def stream_gold_latest(spark: SparkSession, dedup_path: str, out: str | None = N
     newest epoch (``read_gold``).
     """
     out = out or scratch_path(spark, "stream-gold")
-    s = silver_stream(spark, dedup_path)
+    s = silver_stream(spark, dedup_path, max_files_per_trigger)
     cols = [c for c in s.columns if c not in GOLD_KEY and c != "event_time"]
     order = F.struct(F.col("price_ts"), F.col("collected_at"), F.col("run_id"))
     agg = s.groupBy(*GOLD_KEY).agg(F.max_by(F.struct(*cols), order).alias("_row"))
@@ -141,7 +178,7 @@ def read_gold(spark: SparkSession, out: str) -> DataFrame:
 
 
 def stream_daily(spark: SparkSession, dedup_path: str, out: str | None = None, watermark: str = WATERMARK,
-                 available_now: bool = True, wait: bool = True) -> StreamRun:
+                 available_now: bool = True, wait: bool = True, max_files_per_trigger: int | None = None) -> StreamRun:
     """Tumbling 1-day avg/min/max/count per fuel.
 
     Update mode: each epoch emits the full running aggregate of every
@@ -151,13 +188,13 @@ def stream_daily(spark: SparkSession, dedup_path: str, out: str | None = None, w
     Windows older than the watermark are final and leave the state.
     """
     out = out or scratch_path(spark, "stream-daily")
-    s = silver_stream(spark, dedup_path).withWatermark("event_time", watermark)
+    s = silver_stream(spark, dedup_path, max_files_per_trigger).withWatermark("event_time", watermark)
     agg = (s.groupBy(F.window("event_time", "1 day").alias("w"), "fuel_type")
-           .agg(sum_units("price_unit").alias("sum_units"), F.count("price_unit").alias("n_price"),
+           .agg(F.sum("price_unit").alias("sum_price"), F.count("price_unit").alias("n_price"),
                 F.count(F.lit(1)).alias("samples"), F.min("price_unit").alias("min_price_unit"),
                 F.max("price_unit").alias("max_price_unit")))
     daily = agg.select(instant_to_utc_ntz(F.col("w.start")).alias("day"), "fuel_type",
-                       mean_from_units(F.col("sum_units"), F.col("n_price")).alias("avg_price_unit"),
+                       (F.col("sum_price") / F.col("n_price")).alias("avg_price_unit"),
                        "min_price_unit", "max_price_unit", "samples")
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
@@ -175,31 +212,41 @@ def read_daily(spark: SparkSession, out: str) -> DataFrame:
 
 def stream_window_means(spark: SparkSession, dedup_path: str, hours: int = 24, out: str | None = None,
                         watermark: str = WATERMARK, available_now: bool = True,
-                        slide_hours: int | None = None, wait: bool = True) -> StreamRun:
-    """Per (fuel, station, ``hours`` window): exact mean price, kept by a
-    streaming aggregation and upserted by window partition.  Windows are
-    tumbling by default; ``slide_hours`` makes them slide (each row then
+                        slide_hours: int | None = None, wait: bool = True,
+                        max_files_per_trigger: int | None = None) -> StreamRun:
+    """Per (fuel, station, ``hours`` window): price sum and count, kept by a
+    streaming aggregation.  Update mode emits only the groups an epoch
+    touched, so each epoch is written to its own ``epoch=<n>`` folder
+    (overwritten on retry) and ``read_windows`` takes the newest row of each
+    group.  Windows are tumbling by default; ``slide_hours`` makes them slide (each row then
     lands in hours / slide_hours windows, and state grows by that factor)."""
     out = out or scratch_path(spark, "stream-windows")
-    s = silver_stream(spark, dedup_path).withWatermark("event_time", watermark)
+    s = silver_stream(spark, dedup_path, max_files_per_trigger).withWatermark("event_time", watermark)
     win = (F.window("event_time", f"{hours} hours") if not slide_hours
            else F.window("event_time", f"{hours} hours", f"{slide_hours} hours"))
     agg = (s.groupBy(win.alias("w"), "fuel_type", "cnpj")
-           .agg(sum_units("price_unit").alias("sum_units"), F.count("price_unit").alias("n_price"),
+           .agg(F.sum("price_unit").alias("sum_price"), F.count("price_unit").alias("n_price"),
                 F.max("station_name").alias("station_name"), F.max("city").alias("city"),
                 F.max("uf").alias("uf")))
     means = agg.select(instant_to_utc_ntz(F.col("w.start")).alias("window_start"), "fuel_type", "cnpj",
-                       "station_name", "city", "uf", "sum_units", "n_price")
+                       "station_name", "city", "uf", "sum_price", "n_price")
 
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        (batch.withColumn("ws", F.date_format("window_start", "yyyyMMddHH"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ws", "fuel_type").parquet(out))
+    def write_epoch(batch: DataFrame, epoch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id:010d}")
 
-    w = means.writeStream.outputMode("update").foreachBatch(upsert)
+    w = means.writeStream.outputMode("update").foreachBatch(write_epoch)
     return _run(w, out, out + "-ckpt", available_now, wait=wait)
 
 
+def read_windows(spark: SparkSession, out: str) -> DataFrame:
+    """The current figures of every (window, fuel, station) written by
+    ``stream_window_means``: one grouped max_by, partial before the shuffle."""
+    rows = spark.read.parquet(out)
+    keys = ["window_start", "fuel_type", "cnpj"]
+    rest = [c for c in rows.columns if c not in (*keys, "epoch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("_row")).select(*keys, "_row.*")
+
+
 def window_drops(means: DataFrame, hours: int = 24, pct_drop: float = 3.0) -> DataFrame:
     """Stations whose mean in a window fell by >= pct_drop percent against
     the ``hours`` window that ends where it starts (the previous tumbling
@@ -207,10 +254,10 @@ def window_drops(means: DataFrame, hours: int = 24, pct_drop: float = 3.0) -> Da
     window start) between two per-window tables (one row per station and
     window); AQE splits a skewed station if one dominates."""
     cur = means.select("fuel_type", "cnpj", "station_name", "city", "uf", "window_start",
-                       mean_from_units(F.col("sum_units"), F.col("n_price")).alias("avg_last"))
+                       (F.col("sum_price") / F.col("n_price")).alias("avg_last"))
     prev = means.select("fuel_type", "cnpj",
                         (F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(hours))).alias("window_start"),
-                        mean_from_units(F.col("sum_units"), F.col("n_price")).alias("avg_prev"))
+                        (F.col("sum_price") / F.col("n_price")).alias("avg_prev"))
     j = cur.join(prev, ["fuel_type", "cnpj", "window_start"])
     pct = F.try_divide(F.col("avg_prev") - F.col("avg_last"), F.col("avg_prev")) * F.lit(100.0)
     return (j.withColumn("pct_drop", pct).filter(F.col("pct_drop") >= F.lit(pct_drop))
@@ -235,13 +282,12 @@ def late_data_report(silver_copies: DataFrame, thresholds_h=(24, 48, 72), quanti
 
 
 def watermark_drops(run: StreamRun) -> int:
-    """Rows the stream dropped as later than its watermark (all epochs)."""
-    total = 0
-    for p in run.query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else (p.stateOperators or []):
-            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-            total += int(v or 0)
-    return total
+    """Rows the stream dropped as later than its watermark, over all epochs
+    of this run."""
+    seen = _late_rows(SparkSession.active())
+    for p in run.query.recentProgress:  # those whose event may not have arrived yet
+        seen.note(p)
+    return sum(n for (run_id, _), n in list(seen.epochs.items()) if run_id == str(run.query.runId))
 
 
 @dataclass
@@ -254,43 +300,56 @@ class StreamChain:
 
 
 def run_chain(spark: SparkSession, raw_root: str, out_root: str | None = None, window_hours: int = 24,
-              available_now: bool = True) -> StreamChain:
+              available_now: bool = True, watermark: str = WATERMARK, slide_hours: int | None = None,
+              raw_files_per_trigger: int | None = None, files_per_trigger: int | None = None) -> StreamChain:
     """Start the whole chain: raw -> silver -> dedup -> gold / daily / window
     means, each stage reading the previous stage's sink.
 
     With ``available_now`` every stage drains what is present and stops, in
-    order (a scheduled incremental run).  Otherwise the stages run
+    order (a scheduled incremental run), in micro-batches of at most
+    ``raw_files_per_trigger`` raw files and ``files_per_trigger`` files of the
+    stages after.  Otherwise the stages run
     continuously; the downstream stages are started once their source table
     has its first files.
     """
     root = (out_root or scratch_path(spark, "stream-chain")).rstrip("/")
-    silver = stream_bronze_silver(spark, raw_root, out=f"{root}/silver", available_now=available_now).output
+    run = stream_bronze_silver(spark, raw_root, out=f"{root}/silver", available_now=available_now,
+                               max_files_per_trigger=raw_files_per_trigger)
+    silver = run.output
     if not available_now:
-        _wait_for_files(spark, silver)
-    dedup = stream_dedup(spark, silver, out=f"{root}/dedup", available_now=available_now).output
+        _wait_for_files(spark, run)
+    run = stream_dedup(spark, silver, out=f"{root}/dedup", watermark=watermark, available_now=available_now,
+                       max_files_per_trigger=files_per_trigger)
+    dedup = run.output
     if not available_now:
-        _wait_for_files(spark, dedup)
+        _wait_for_files(spark, run)
     # The three downstream streams read the same dedup table: run them side by side.
-    runs = [stream_gold_latest(spark, dedup, out=f"{root}/gold", available_now=available_now, wait=False),
-            stream_daily(spark, dedup, out=f"{root}/daily", available_now=available_now, wait=False),
-            stream_window_means(spark, dedup, hours=window_hours, out=f"{root}/windows",
-                                available_now=available_now, wait=False)]
+    same = {"available_now": available_now, "wait": False, "max_files_per_trigger": files_per_trigger}
+    runs = [stream_gold_latest(spark, dedup, out=f"{root}/gold", **same),
+            stream_daily(spark, dedup, out=f"{root}/daily", watermark=watermark, **same),
+            stream_window_means(spark, dedup, hours=window_hours, out=f"{root}/windows", watermark=watermark,
+                                slide_hours=slide_hours, **same)]
     if available_now:
         for r in runs:
             finish(r)
     return StreamChain(silver, dedup, *[r.output for r in runs])
 
 
-def _wait_for_files(spark: SparkSession, path: str, timeout_s: int = 600) -> None:
+def _wait_for_files(spark: SparkSession, run: StreamRun) -> None:
+    """Wait until a running stream has written its first files; a stream that
+    ends without any raises its own failure."""
     import time
-    deadline = time.time() + timeout_s
-    while time.time() < deadline:
+
+    from pyspark.errors import AnalysisException
+    while True:
         try:
-            spark.read.parquet(path).schema
+            spark.read.parquet(run.output).schema
             return
-        except Exception:  # noqa: BLE001 - not written yet
+        except AnalysisException:
+            if not run.query.isActive:
+                finish(run)
+                raise
             time.sleep(5)
-    raise TimeoutError(f"no files under {path} after {timeout_s}s")
 
 
 def stream_into_layers(spark: SparkSession, raw_root: str, layers, checkpoint: str | None = None,
@@ -304,8 +363,8 @@ def stream_into_layers(spark: SparkSession, raw_root: str, layers, checkpoint: s
     observation arriving after any watermark still lands in its day), holds
     no unbounded state, and its dedup runs with a partial limit before the
     shuffle, so a hot observation key or station costs one row per task.
-    Each epoch's raw lines are also kept as bronze under ``epoch=<id>``
-    (overwritten on retry), and the merge itself is idempotent, so a
+    Each epoch's raw lines go to the same bronze table as a batch run's (a
+    repeated run replaces itself), and the merge itself is idempotent, so a
     retried epoch leaves the same tables.
     """
     from ..plans import medallion
@@ -313,9 +372,7 @@ def stream_into_layers(spark: SparkSession, raw_root: str, layers, checkpoint: s
     ckpt = checkpoint or scratch_path(spark, "stream-layers-ckpt")
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{layers.bronze}_stream/epoch={epoch_id:010d}")
-        medallion.merge_new_rows(spark, spark.read.parquet(f"{layers.bronze}_stream/epoch={epoch_id:010d}"),
-                                 layers)
+        medallion.merge_new_rows(spark, medallion.add_to_bronze(spark, batch, layers), layers)
 
     w = raw_stream(spark, raw_root, max_files_per_trigger).writeStream.foreachBatch(merge)
     return _run(w, layers.silver, ckpt, available_now)
