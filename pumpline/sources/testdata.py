@@ -46,7 +46,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .select(F.col("c_custkey").alias("cnpj"),
                         F.col("c_name").alias("station_name"),
                         F.col("n_name").alias("city"),
-                        F.col("r_name").alias("uf"),
+                        F.substring("r_name", 1, 2).alias("uf"),
                         F.col("c_mktsegment").alias("district")))
 
 
@@ -135,7 +135,7 @@ SELECT
   concat(e.event_type, '-', CAST(CAST(regexp_extract(e.props, '(\\d+)', 1) AS BIGINT) % 2 AS VARCHAR)) AS product_code,
   upper(concat(e.event_type, ' ', e.event_type, '-', CAST(CAST(regexp_extract(e.props, '(\\d+)', 1) AS BIGINT) % 2 AS VARCHAR))) AS product_desc,
   'L' AS unit,
-  e.user_id AS cnpj, c.c_name AS station_name, n.n_name AS city, r.r_name AS uf, c.c_mktsegment AS district,
+  e.user_id AS cnpj, c.c_name AS station_name, n.n_name AS city, substr(r.r_name, 1, 2) AS uf, c.c_mktsegment AS district,
   CAST(NULL AS VARCHAR) AS street, CAST(NULL AS VARCHAR) AS number, CAST(NULL AS VARCHAR) AS zip_code,
   CAST({_LAT_SQL} AS DOUBLE) AS lat, CAST({_LNG_SQL} AS DOUBLE) AS lng,
   round({haversine_sql(QUERY_LAT, QUERY_LNG, _LAT_SQL, _LNG_SQL)}, {SOURCE_DISTANCE_DECIMALS}) AS distance_km,
