@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import max_text
+from .gold import distinct_by_hash
 from ..functions.params import (apply_filters, as_of_column, check_float, check_int, check_required,
                                 check_uf, eq, hours_interval, window_pred)
 
@@ -23,27 +23,6 @@ def _window_flags(silver: DataFrame, as_of, hours: int):
     return in_last, in_prev, cut, h2
 
 
-def _label(col: str):
-    """The station label as the source took it (max over the rows), in its
-    hash-aggregatable form (a station's set holds its few distinct labels)."""
-    return max_text(col).alias(col)
-
-
-def _drop_agg(base: DataFrame, keys, in_last, in_prev) -> DataFrame:
-    """One pass per station: mean price in the last and the previous window
-    as conditional sums and counts (no self-join), plus the station labels.
-    The partial step runs map-side: a station with a third of the rows ships
-    one partial row per task."""
-    p = F.col("price_unit")
-    return (base.groupBy(*keys)
-            .agg(_label("station_name"), _label("city"), _label("uf"),
-                 F.sum(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
-                 F.sum(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
-            .select(*keys, "station_name", "city", "uf",
-                    (F.col("_s_last") / F.col("_n_last")).alias("avg_last"),
-                    (F.col("_s_prev") / F.col("_n_prev")).alias("avg_prev")))
-
-
 def _drop_result(agg: DataFrame, pct_drop: float) -> DataFrame:
     pct = F.try_divide(F.col("avg_prev") - F.col("avg_last"), F.col("avg_prev")) * F.lit(100.0)
     return (agg.filter(F.col("avg_last").isNotNull() & F.col("avg_prev").isNotNull())
@@ -51,17 +30,12 @@ def _drop_result(agg: DataFrame, pct_drop: float) -> DataFrame:
             .filter(F.col("pct_drop") >= F.lit(pct_drop)))
 
 
-def _labels_from_table(labels: DataFrame, keys, *preds) -> DataFrame:
-    """Station labels as max over the matching label rows (see
-    ``gold.station_labels``): the same values as max over the history."""
-    f = apply_filters(labels, *preds)
-    return f.groupBy(*keys).agg(max_text("station_name").alias("station_name"), max_text("city").alias("city"),
-                                max_text("uf").alias("uf"))
-
-
-def _numeric_drop(base: DataFrame, keys, in_last, in_prev) -> DataFrame:
+def _numeric_drop(windows: DataFrame, keys, in_last, in_prev) -> DataFrame:
+    """Mean price of each station in the last and the previous window, as
+    conditional sums and counts in one hash aggregation (no self-join); a
+    station with a third of the rows ships one partial row per task."""
     p = F.col("price_unit")
-    return (base.groupBy(*keys)
+    return (windows.groupBy(*keys)
             .agg(F.sum(F.when(in_last, p)).alias("_s_last"), F.count(F.when(in_last, p)).alias("_n_last"),
                  F.sum(F.when(in_prev, p)).alias("_s_prev"), F.count(F.when(in_prev, p)).alias("_n_prev"))
             .select(*keys,
@@ -69,6 +43,16 @@ def _numeric_drop(base: DataFrame, keys, in_last, in_prev) -> DataFrame:
                     (F.col("_s_prev") / F.col("_n_prev")).alias("avg_prev")))
 
 
+def _with_labels(drops: DataFrame, source: DataFrame, keys) -> DataFrame:
+    """Add the label each source takes, the max over its rows in ``source``.
+    Only rows of stations in ``drops`` count, and they are made distinct by a
+    hash aggregation first, so the max over texts sees a few rows a station."""
+    rows = source.select(*keys, *[c for c in ("station_name", "city", "uf") if c not in keys]) \
+        .join(drops.select(*keys), keys, "left_semi")
+    names = distinct_by_hash(rows).groupBy(*keys).agg(*[F.max(c).alias(c) for c in ("station_name", "city", "uf")])
+    return drops.join(names, keys, "left")
+
+
 def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,
                hours: int = 24, pct_drop: float = 3.0, limit: int = 50, as_of="max",
                label_scope: str = "history", labels: DataFrame | None = None) -> DataFrame:
@@ -93,18 +77,12 @@ def price_drop(silver: DataFrame, fuel_type: str, uf: str | None = None, city: s
     preds = (eq("fuel_type", fuel_type), eq("uf", uf), eq("city", city), F.col("cnpj").isNotNull())
     base = apply_filters(silver, *preds)
     in_last, in_prev, cut, h2 = _window_flags(silver, as_of, hours)
-    if labels is not None:
-        windows = base.filter(window_pred(base, "price_ts", cut - h2, cut))
-        nums = _numeric_drop(windows, ["cnpj"], in_last, in_prev)
-        res = _drop_result(nums, pct_drop)
-        top = res.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
-        return (top.join(_labels_from_table(labels, ["cnpj"], *preds), ["cnpj"], "left")
-                .orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc())
-                .select("cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
-    if label_scope == "window":
-        base = base.filter(window_pred(base, "price_ts", cut - h2, cut))
-    res = _drop_result(_drop_agg(base, ["cnpj"], in_last, in_prev), pct_drop)
-    return (res.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
+    windows = base.filter(window_pred(base, "price_ts", cut - h2, cut))
+    drops = _drop_result(_numeric_drop(windows, ["cnpj"], in_last, in_prev), pct_drop)
+    top = drops.orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc()).limit(limit)
+    source = (apply_filters(labels, *preds) if labels is not None else windows if label_scope == "window" else base)
+    return (_with_labels(top, source, ["cnpj"])
+            .orderBy(F.col("pct_drop").desc(), F.col("cnpj").asc())
             .select("cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
 
 
@@ -114,16 +92,14 @@ def price_drop_all(silver: DataFrame, hours: int = 24, pct_drop: float = 3.0, as
     ``price_drop``."""
     check_int("hours", hours, 1, 168)
     check_float("pct_drop", pct_drop, 0, 50, lo_open=True)
+    keys = ["fuel_type", "cnpj"]
     base = silver.filter(F.col("cnpj").isNotNull() & F.col("fuel_type").isNotNull())
     in_last, in_prev, cut, h2 = _window_flags(silver, as_of, hours)
-    if labels is not None:
-        keys = ["fuel_type", "cnpj"]
-        nums = _numeric_drop(base.filter(window_pred(base, "price_ts", cut - h2, cut)), keys, in_last, in_prev)
-        res = _drop_result(nums, pct_drop)
-        return (res.join(_labels_from_table(labels, keys, F.col("cnpj").isNotNull()), keys, "left")
-                .select("fuel_type", "cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
-    res = _drop_result(_drop_agg(base, ["fuel_type", "cnpj"], in_last, in_prev), pct_drop)
-    return res.select("fuel_type", "cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop")
+    windows = base.filter(window_pred(base, "price_ts", cut - h2, cut))
+    drops = _drop_result(_numeric_drop(windows, keys, in_last, in_prev), pct_drop)
+    source = labels.filter(F.col("cnpj").isNotNull()) if labels is not None else base
+    return (_with_labels(drops, source, keys)
+            .select("fuel_type", "cnpj", "station_name", "city", "uf", "avg_last", "avg_prev", "pct_drop"))
 
 
 def anomalies(silver: DataFrame, fuel_type: str, uf: str | None = None, city: str | None = None,

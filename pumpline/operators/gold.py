@@ -70,8 +70,15 @@ def station_labels(silver: DataFrame) -> DataFrame:
     fuel/uf/city filter is the max over the matching label rows.  Max is
     mergeable, so the table is maintained incrementally.
     """
-    from ..functions.stats import max_text
-    return silver.groupBy(*LABEL_KEYS).agg(max_text("station_name").alias("station_name"))
+    names = distinct_by_hash(silver.select(*LABEL_KEYS, "station_name"))
+    return names.groupBy(*LABEL_KEYS).agg(F.max("station_name").alias("station_name"))
+
+
+def distinct_by_hash(rows: DataFrame) -> DataFrame:
+    """Distinct rows ahead of a max over texts.  A plain ``distinct`` there is
+    optimised away, and the max over texts sorts all rows instead; the count
+    that is asked about keeps this hash aggregation in the plan."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0).drop("_n")
 
 
 def rollup_daily(base: DataFrame, keys=("day",)) -> DataFrame:

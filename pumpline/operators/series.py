@@ -12,8 +12,8 @@ from ..functions.params import (apply_filters, check_int, check_required, check_
 from .gold import day_of, rollup_daily, timeseries_base
 from .paging import Page
 
-# Means come from exact fixed-point sums (functions.stats), so they do not
-# depend on summation order and roll-ups reproduce them exactly.
+# Means are plain averages; a roll-up of stored sums agrees with the direct
+# figure up to the rounding of double sums.
 
 
 def _daily(df: DataFrame, keys=()) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import runs as runops
-from ..schema import (PAGE_ROWS, QUERY_HOURS, QUERY_LAT, QUERY_LNG, QUERY_ORDER, QUERY_RADIUS_KM,
+from ..schema import (MANIFEST_SCHEMA, PAGE_ROWS, QUERY_HOURS, QUERY_LAT, QUERY_LNG, QUERY_ORDER, QUERY_RADIUS_KM,
                       SOURCE_NAME)
 from ..session import app_key, scratch_path
 from ..sinks import raw as rawsink
@@ -120,7 +120,7 @@ def write_raw_tree(spark: SparkSession, obs: DataFrame, root: str | None = None)
     written = scan_raw(spark, tree.data_root)
     manifests = runops.run_manifest(written, out_root=tree.data_root, page_rows=PAGE_ROWS)
     rawsink.write_manifests(manifests, tree.manifest_root)
-    man = spark.read.schema(runops.MANIFEST_WITH_RUN).json(tree.manifest_root)
+    man = spark.read.schema(MANIFEST_SCHEMA).json(tree.manifest_root)
     runops.run_rollup(man, out_dir=tree.data_root).write.mode("overwrite").json(tree.overall_root)
     rawsink.write_text_lines(runops.run_log_lines(man, tree.data_root), tree.log_root, "log")
     return tree

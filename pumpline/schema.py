@@ -114,7 +114,7 @@ SILVER_COLUMNS = [
     "run_id", "collected_at",
 ]
 
-STATION_COLUMNS = ["cnpj", "station_name", "city", "uf", "district", "street", "number", "zip_code", "lat", "lng"]
+
 
 # Observation identity (dedup key) and the gold key.
 OBS_KEY = ["cnpj", "product_code", "price_ts"]
