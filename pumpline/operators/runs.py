@@ -37,21 +37,35 @@ def response_check(pages: DataFrame) -> DataFrame:
         r.getField("resultado").isNotNull().alias("resultado_ok"))
 
 
-def run_manifest(raw: DataFrame, out_root: str = "", page_rows: int = 25) -> DataFrame:
-    """Per-run manifest from the lines a run left on disk."""
+def reported_totals(checked: DataFrame) -> DataFrame:
+    """Per run what its response pages reported (rows of ``response_check``):
+    totals are repeated on every page, page records add up."""
+    return checked.groupBy("run_id").agg(F.max("total_pages").alias("total_pages"), F.max("total_records").alias("total_records"),
+                                         F.sum("page_records").alias("page_records"))
+
+
+def run_manifest(raw: DataFrame, out_root: str = "", reported: DataFrame | None = None) -> DataFrame:
+    """Per-run manifest: rows written from the lines a run left on disk, the
+    source's totals from ``reported`` (see ``reported_totals``); without it
+    they are null, never made up from the rows."""
     agg = raw.groupBy("run_id", "anp", "dt", "source").agg(
         F.min("collected_at_utc").alias("collected_at_utc"),
         F.any_value("query").alias("query"),
         F.count(F.lit(1)).alias("n"))
+    if reported is None:
+        none = F.lit(None).cast("bigint")
+        agg = agg.withColumns({"total_pages": none, "total_records": none, "page_records": none})
+    else:
+        agg = agg.join(reported, "run_id", "left")
     path = F.concat_ws("/", F.lit(out_root.rstrip("/")), F.concat(F.lit("source="), F.col("source")),
                        F.concat(F.lit("anp="), F.col("anp")), F.concat(F.lit("dt="), F.col("dt").cast("string")),
                        F.concat(F.lit("run_id="), F.col("run_id")))
     return agg.select(
         "run_id", "collected_at_utc", "anp", F.lit(None).cast("string").alias("base_url"),
         path.alias("out_root"), F.lit(None).cast("string").alias("data_file"), "query",
-        F.struct(F.ceil(F.col("n") / F.lit(page_rows)).alias("totalPaginas_reported"),
-                 F.col("n").alias("totalRegistros_reported"),
-                 F.col("n").alias("registrosdaPagina_reported"),
+        F.struct(F.col("total_pages").alias("totalPaginas_reported"),
+                 F.col("total_records").alias("totalRegistros_reported"),
+                 F.col("page_records").alias("registrosdaPagina_reported"),
                  F.col("n").alias("rows_written")).alias("response_stats"))
 
 

@@ -311,7 +311,20 @@ silver AS (SELECT {_COLS} FROM (
 
 def _runs_sql() -> str:
     return ("SELECT run AS run_id, fuel_type AS anp, dt, min(collected_at_utc) AS collected_at_utc, "
-            "count(*) AS n, min(coll_at) AS coll_at FROM snap GROUP BY ALL")
+            "count(*) AS n, min(coll_at) AS coll_at, collection AS i FROM snap GROUP BY ALL")
+
+
+def _manifests_sql() -> str:
+    """Runs with a manifest, with the faults planted in the derived tree."""
+    return (f"SELECT *, n + CAST(i % {snapshots.FAULT_EVERY} = {snapshots.SHORT} AS BIGINT) AS written, n + 3 * i AS total "
+            f"FROM ({_runs_sql()}) WHERE i % {snapshots.FAULT_EVERY} <> {snapshots.NO_MANIFEST}")
+
+
+def _logged_sql() -> str:
+    """Runs in the logs: those with a manifest, and the ones only logged."""
+    return (f"SELECT run_id, anp, written AS logged, coll_at FROM ({_manifests_sql()}) UNION ALL "
+            f"SELECT 'run-' || ({snapshots.GHOSTS} + i) || '-' || anp, anp, {snapshots.GHOST_ROWS}, coll_at "
+            f"FROM ({_runs_sql()}) WHERE i % {snapshots.FAULT_EVERY} = {snapshots.GHOST}")
 
 
 def _validate_raw_sql() -> str:
@@ -330,18 +343,23 @@ FROM snap GROUP BY run"""),
   SELECT *, row_number() OVER (PARTITION BY cnpj, product_code
                                ORDER BY price_ts DESC, collected_at DESC, run_id DESC) AS rn FROM silver) WHERE rn = 1"""),
     "run_manifests": _raw_ctes(f"""
-SELECT run_id, anp, collected_at_utc, CAST(ceil(n / {PAGE_ROWS}) AS BIGINT) AS totalPaginas_reported,
-       n AS totalRegistros_reported, n AS registrosdaPagina_reported, n AS rows_written
-FROM ({_runs_sql()})"""),
+SELECT run_id, anp, collected_at_utc, CAST(ceil(total / {PAGE_ROWS}) AS BIGINT) AS totalPaginas_reported,
+       total AS totalRegistros_reported, n AS registrosdaPagina_reported, written AS rows_written
+FROM ({_manifests_sql()})"""),
     "overall_manifest": _raw_ctes(f"""
-SELECT collected_at_utc AS finished_at_utc, run_id, anp, n AS rows_written FROM ({_runs_sql()})"""),
+SELECT collected_at_utc AS finished_at_utc, run_id, anp, written AS rows_written FROM ({_manifests_sql()})"""),
     "run_log": _raw_ctes(f"""
-SELECT run_id, anp AS fuel, n AS "rows",
+SELECT run_id, anp AS fuel, CAST(logged AS BIGINT) AS "rows",
        date_trunc('millisecond', coll_at + INTERVAL ({snapshots.LOCAL_OFFSET_HOURS}) HOUR) AS ts, 'INFO' AS level
-FROM ({_runs_sql()})"""),
+FROM ({_logged_sql()})"""),
     "run_reconcile": _raw_ctes(f"""
-SELECT run_id, anp, true AS in_log, true AS in_data, true AS in_manifest, n AS rows_logged, n AS rows_present,
-       n AS rows_written, n AS reported_total, n / n AS coverage, 'ok' AS status FROM ({_runs_sql()})"""),
+SELECT coalesce(r.run_id, l.run_id) AS run_id, coalesce(r.anp, l.anp) AS anp, l.run_id IS NOT NULL AS in_log,
+       r.run_id IS NOT NULL AS in_data, m.run_id IS NOT NULL AS in_manifest, CAST(l.logged AS BIGINT) AS rows_logged,
+       r.n AS rows_present, m.written AS rows_written, m.total AS reported_total, r.n / m.total AS coverage,
+       CASE WHEN r.run_id IS NULL THEN 'log_only' WHEN m.run_id IS NULL THEN 'data_without_manifest'
+            WHEN r.n <> m.written THEN 'row_count_mismatch' ELSE 'ok' END AS status
+FROM ({_runs_sql()}) r LEFT JOIN ({_manifests_sql()}) m ON r.run_id = m.run_id
+FULL JOIN ({_logged_sql()}) l ON r.run_id = l.run_id"""),
     "snapshot_envelope": _raw_ctes("""
 SELECT run AS run_id, fuel_type AS anp, count(*) AS rows, count(DISTINCT obs_id) AS observations
 FROM snap GROUP BY ALL"""),

@@ -107,6 +107,39 @@ class RawTree:
     log_root: str
 
 
+def run_number(run_id: str = "run_id") -> Column:
+    return F.substring(run_id, 5, 4).cast("bigint")
+
+
+def reported(written: DataFrame) -> DataFrame:
+    """What the source is taken to have reported for each derived run: three
+    records more than it returned for every earlier collection, on pages of
+    PAGE_ROWS."""
+    n = written.groupBy("run_id").agg(F.count(F.lit(1)).alias("page_records"))
+    total = F.col("page_records") + 3 * run_number()
+    return n.select("run_id", F.ceil(total / F.lit(PAGE_ROWS)).alias("total_pages"), total.alias("total_records"), "page_records")
+
+
+# Faults planted by run number modulo FAULT_EVERY, so that reconciling has
+# something to find: runs whose manifest counts one row too many, runs that
+# only the log knows (numbered from GHOSTS on), runs without a manifest.
+FAULT_EVERY, SHORT, GHOST, NO_MANIFEST = 7, 2, 3, 5
+GHOSTS, GHOST_ROWS = 5000, 7
+
+
+def _faulty(manifests: DataFrame) -> DataFrame:
+    kind = run_number() % FAULT_EVERY
+    stats = F.col("response_stats").withField("rows_written", F.col("response_stats.rows_written") + F.when(kind == SHORT, 1).otherwise(0))
+    return manifests.filter(kind != NO_MANIFEST).withColumn("response_stats", stats)
+
+
+def _ghosts(manifests: DataFrame) -> DataFrame:
+    ghost = manifests.filter(run_number() % FAULT_EVERY == GHOST)
+    run = F.concat(F.lit("run-"), (run_number() + GHOSTS).cast("string"), F.lit("-"), F.col("anp"))
+    return ghost.withColumn("out_root", F.replace("out_root", "run_id", run)).withColumn("run_id", run).withColumn(
+        "response_stats", F.col("response_stats").withField("rows_written", F.lit(GHOST_ROWS).cast("bigint")))
+
+
 def write_raw_tree(spark: SparkSession, obs: DataFrame, root: str | None = None) -> RawTree:
     """Write snapshots, manifests, roll-ups and logs; returns their paths.
 
@@ -118,11 +151,11 @@ def write_raw_tree(spark: SparkSession, obs: DataFrame, root: str | None = None)
     rawsink.write_raw_jsonl(raw_records(snapshot_rows(obs)), tree.data_root)
     from ..sources.raw import scan_raw
     written = scan_raw(spark, tree.data_root)
-    manifests = runops.run_manifest(written, out_root=tree.data_root, page_rows=PAGE_ROWS)
+    manifests = _faulty(runops.run_manifest(written, out_root=tree.data_root, reported=reported(written)))
     rawsink.write_manifests(manifests, tree.manifest_root)
     man = spark.read.schema(MANIFEST_SCHEMA).json(tree.manifest_root)
     runops.run_rollup(man, out_dir=tree.data_root).write.mode("overwrite").json(tree.overall_root)
-    rawsink.write_text_lines(runops.run_log_lines(man, tree.data_root), tree.log_root, "log")
+    rawsink.write_text_lines(runops.run_log_lines(man.unionByName(_ghosts(man)), tree.data_root), tree.log_root, "log")
     return tree
 
 

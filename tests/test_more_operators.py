@@ -140,3 +140,29 @@ def test_nearby_join_antimeridian_and_high_latitude(spark):
         got = {(x.point_id, x.cnpj) for x in nearby.nearby_join(pts, sites, r).collect()}
         want = {(p, s) for p, a, b in pts_rows for s, c, d in sites_rows if hav(a, b, c, d) <= r}
         assert got == want, r
+
+
+def test_links_follow_the_attribute_grammar(spark):
+    html_text = ("<area href='/no1'><a data-href='/no2'>x</a><abbr href='/no3'><A CLASS=\"x > y\" HREF = '/yes1'>"
+                 "<a\n  title='a \"b\" c'\n  href=/yes2>z</a><a href=\"\">empty</a><a href=\"it's\">q</a>")
+    df = spark.createDataFrame([(1, "https://h.example.com/d/p", html_text)], "page_id bigint, url string, html string")
+    got = {r.link for r in html.page_links(df).collect()}
+    assert got == {"https://h.example.com/yes1", "https://h.example.com/yes2", "https://h.example.com/d/it's"}
+
+
+def test_titles_in_either_attribute_order(spark):
+    pages = [(1, '<meta content="T1" property="og:title"><title>no</title>'), (2, "<meta property=og:title content='T2'>"),
+             (3, "<title>T3</title>"), (4, "<h1 class=x>T4</h1>"), (5, "<p>none</p>")]
+    df = spark.createDataFrame(pages, "page_id bigint, html string")
+    assert {r.page_id: r.title for r in html.first_match_extract(df).collect()} == {1: "T1", 2: "T2", 3: "T3", 4: "T4", 5: None}
+
+
+def test_means_use_prices_as_they_are(spark):
+    """Prices with five and eight decimals are not rounded before the mean."""
+    from pumpline.operators import gold as goldops, series
+    from tests.helpers import obs, silver_df
+    s = silver_df(spark, [obs(1, 1.00004, 3), obs(2, 1.00004, 2), obs(3, 4.12345678, 30)])
+    day = {r.samples: r.avg_price_unit for r in series.timeseries_daily(s, "GASOLINA").items.collect()}
+    assert abs(day[2] - 1.00004) < 1e-12 and abs(day[1] - 4.12345678) < 1e-12
+    rolled = {r.samples: r.avg_price_unit for r in goldops.rollup_daily(goldops.timeseries_base(s)).collect()}
+    assert all(abs(rolled[k] - day[k]) < 1e-12 for k in day)
