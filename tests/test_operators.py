@@ -96,7 +96,8 @@ def test_daily_rollup_equals_direct(spark):
     assert series.kpi_consistency(s).filter(~F.col("consistent")).count() == 0
     direct = {r.day: r.avg_price_unit for r in series.timeseries_daily(s, page_size=200).items.collect()}
     rolled = {r.day: r.avg_price_unit for r in series.daily_from_base(gold.timeseries_base(s)).collect()}
-    assert direct == rolled
+    # Plain double sums: equal up to the order of addition.
+    assert direct.keys() == rolled.keys() and all(abs(direct[d] - rolled[d]) <= 1e-12 * abs(direct[d]) for d in direct)
 
 
 def test_station_detail_and_unknown_station(spark):
@@ -149,11 +150,16 @@ def test_stats_summary_approx_close_to_exact(spark, sf_small):
     s = testdata.silver(spark, sf_small)
     exact = series.stats_summary(s).first()
     approx = series.stats_summary(s, approx=True).first()
-    assert exact.rows == approx.rows and exact.avg_price_unit == approx.avg_price_unit
+    assert exact.rows == approx.rows and abs(exact.avg_price_unit - approx.avg_price_unit) < 1e-9
     for c in ("stations", "cities", "ufs"):
         assert abs(getattr(approx, c) - getattr(exact, c)) <= max(1, 0.05 * getattr(exact, c))
 
 
+def _rounded(rows):
+    """Rows with doubles to 9 decimals: sums of doubles differ beyond."""
+    return sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in rows), key=str)
+
+
 def test_daily_series_from_base_equals_history(spark):
     rows = [obs(i % 4, 3.0 + i * 0.01, i * 5, city="C" + str(i % 2)) for i in range(80)]
     s = silver_df(spark, rows)
@@ -162,7 +168,7 @@ def test_daily_series_from_base_equals_history(spark):
         direct = series.timeseries_city(s, "GASOLINA", city="C1", date_from=lo, date_to=hi, page_size=500).items
         rolled = series.timeseries_city(s, "GASOLINA", city="C1", date_from=lo, date_to=hi, page_size=500,
                                         base=base).items
-        assert sorted(direct.collect()) == sorted(rolled.collect())
+        assert _rounded(direct.collect()) == _rounded(rolled.collect())
 
 
 def test_stats_summary_from_base_equals_history(spark):
@@ -173,4 +179,4 @@ def test_stats_summary_from_base_equals_history(spark):
                          ("2024-01-20", "2024-01-21 23:59:59.999999", None)]:
         direct = series.stats_summary(s, date_from=lo, date_to=hi, city=city).collect()
         rolled = series.stats_summary(s, date_from=lo, date_to=hi, city=city, base=base).collect()
-        assert direct == rolled
+        assert _rounded(direct) == _rounded(rolled)
