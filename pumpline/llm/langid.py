@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,10 +154,10 @@ def fit_language_model(docs: DataFrame, text: str = "text", lang: str = "lang",
 
     found = sample.select("l", "t").mapInArrow(count, "l string, g bigint, n bigint") \
         .groupBy("l", "g").agg(F.sum("n").alias("n")).toArrow()
-    names = np.array(found.column("l").to_pylist(), dtype=object)
-    grams, n = found.column("g").to_numpy().astype(np.uint64), found.column("n").to_numpy().astype(np.float64)
-    langs = sorted(set(names))
-    return build_model(langs, {x: (grams[names == x], n[names == x]) for x in langs}, order) if langs else None
+    langs = sorted(found.column("l").unique().to_pylist())
+    parts = {x: found.filter(pc.equal(found.column("l"), x)) for x in langs}
+    counts = {x: (t.column("g").to_numpy().astype(np.uint64), t.column("n").to_numpy().astype(np.float64)) for x, t in parts.items()}
+    return build_model(langs, counts, order) if langs else None
 
 
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),

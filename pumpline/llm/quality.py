@@ -27,8 +27,8 @@ BUCKETS = 1 << 15
 DIM = 16
 GRAMS = (3, 4, 5)
 KEEP_SCORE = 0.7
-MAX_PER_LABEL = 2000       # documents of each label that training uses
-MAX_TRAIN_ENTRIES = 16_000_000  # their (bucket, count) pairs
+MAX_PER_LABEL = 1000       # documents of each label that training uses
+MAX_TRAIN_ENTRIES = 6_000_000  # their (bucket, count) pairs
 
 _BUCKET, _TOP = np.uint64(BUCKETS - 1), np.uint64(65 - BUCKETS.bit_length())
 _PAIR, _REPEAT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x632BE59BD9B4E019)
@@ -146,14 +146,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
     if not fits.any():
         return None
     last = lengths[int(np.flatnonzero(fits)[-1])].r
-    rows = found.where(F.col("r") <= last).orderBy("r", "k").limit(2 * max_per_label).toArrow()
-    y = rows.column("y").to_numpy().astype(np.int64)
-    used = np.bincount(y, minlength=2)
-    weight = np.array([size.get(c, 0) / max(1, used[c]) for c in (0, 1)])
-    weight *= len(y) / max(1e-9, (weight * used).sum())
-    ids = [x.values.to_numpy() for x in rows.column("ids")]
-    counts = [x.values.to_numpy() for x in rows.column("counts")]
-    return train(ids, counts, y, weight[y])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches)).sort_by([("r", "ascending"), ("k", "ascending")])
+        y = rows.column("y").to_numpy().astype(np.int64)
+        used = np.bincount(y, minlength=2)
+        weight = np.array([size.get(c, 0) / max(1, used[c]) for c in (0, 1)])
+        weight *= len(y) / max(1e-9, (weight * used).sum())
+        model = train([x.values.to_numpy() for x in rows.column("ids")], [x.values.to_numpy() for x in rows.column("counts")], y, weight[y])
+        yield pa.record_batch([pa.array([model.weights], pa.list_(pa.float32())), pa.array([model.bias])], names=["weights", "bias"])
+
+    # One task trains on the bounded sample; only the model comes to the driver.
+    learned = found.where(F.col("r") <= last).repartition(1).mapInArrow(learn, "weights array<float>, bias double").first()
+    return QualityModel(np.array(learned.weights, dtype=np.float32), learned.bias)
 
 
 def score_quality(docs: DataFrame, model: QualityModel | None, text: str = "text", out: str = "quality_score") -> DataFrame:
