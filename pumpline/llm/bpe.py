@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-KNOWN_PIECES = 400_000  # pieces that a task remembers from batch to batch
+KNOWN_PIECES = 250_000  # pieces that a task remembers from batch to batch
 NEW_PIECES = 100_000    # pieces that are encoded together
 
 

@@ -19,9 +19,19 @@ SPACES = bytes([0x20, *range(0x09, 0x0E)])
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[list(SPACES)] = True
 BLOCK_BYTES = 1 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what one Arrow batch of texts takes, in rows and in bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the test data; queries read their input with it first, so it
+    also bounds the session's Arrow batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -34,7 +34,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WIDTH = 5.0
 LEAST = 50
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 MEASURES = ("chars_per_token", "chars_per_byte_token", "fallback_share", "entropy")
 
 BASE = [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens")]
