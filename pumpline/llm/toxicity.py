@@ -7,8 +7,9 @@ in both, weighted by DECAY to the length of the span they take, gaps included
 digits and the edges of a word are characters of a subsequence, so ``id.iot`` stays close to
 ``idiot``.  Kernels are normalised.
 
-A sentence is a bag of units: its words, runs of single characters read as one
-word, and both without the marks between their letters.  Training sees whether a document is toxic, not which of
+A text's sentences are bags of units: their words, runs of single characters
+read as one word, and both without the marks between their letters.  Only the
+best unit counts, so a document's sentences are taken together.  Training sees whether a document is toxic, not which of
 its units makes it so: it starts from the unit most over-represented in toxic
 documents as each toxic document's witness, trains the machine on witnesses
 against units of other documents, picks the witnesses anew by the machine, adds the
@@ -48,11 +49,11 @@ MAX_PER_LABEL = 2000
 MAX_TRAIN_UNITS = 3_000_000
 ROUNDS = 4
 MISS_COST = 2.0
-KNOWN_UNITS = 500_000
+KNOWN_UNITS = 250_000
 _MARKS = regex.compile(r"[^\p{L}\p{N}]+")
-_SENTENCE = regex.compile(r"[.!?]+(?=\s|$)|\n+")
 _FEATURES = 1 << 20
 OFFSETS = [(0, *inner, far) for far in range(2, SPAN) for k in (1, 2) for inner in combinations(range(1, far), k)]
+_WEIGHTS = np.array([DECAY ** (o[-1] - len(o) + 1) for o in OFFSETS])
 
 
 def _symbol_table() -> np.ndarray:
@@ -78,8 +79,8 @@ class Kernel:
         edge = code == 32
         sym[edge] = 1
         edges = np.cumsum(edge)
-        keys, weights = [], []
-        for offsets in OFFSETS:
+        keys = []
+        for which, offsets in enumerate(OFFSETS):
             far = offsets[-1]
             n = len(sym) - far
             if n <= 0:
@@ -91,17 +92,19 @@ class Kernel:
             for o in offsets:
                 code = code * SYMBOLS + sym[at + o]
             feature = (code * 0x9E3779B1 >> 7) & (_FEATURES - 1) if len(offsets) == 4 else code
-            keys.append((edges[at + offsets[1]] - 1) * _FEATURES + feature)
-            weights.append(np.full(len(at), DECAY ** (far - len(offsets) + 1)))
-        if not keys:
+            keys.append(((edges[at + offsets[1]] - 1) * _FEATURES + feature) * 32 + which)
+        key = np.sort(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.int64)
+        if not len(key):
             return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0),)
-        keys, where = np.unique(np.concatenate(keys), return_inverse=True)
-        w = np.bincount(where, weights=np.concatenate(weights), minlength=len(keys))
-        unit = keys // _FEATURES
+        same = key >> 5
+        first = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
+        w = np.add.reduceat(_WEIGHTS[key & 31], first)
+        same = same[first]
+        unit = same // _FEATURES
         size = np.sqrt(np.bincount(unit, weights=w * w, minlength=len(units)))
-        return unit, keys % _FEATURES, w / size[unit]
+        return unit, same % _FEATURES, w / size[unit]
 
-    def values(self, units: list[str], table: np.ndarray, chunk: int = 50_000) -> np.ndarray:
+    def values(self, units: list[str], table: np.ndarray, chunk: int = 20_000) -> np.ndarray:
         """Per unit the sum of its features' table entries."""
         out = np.zeros(len(units))
         for i in range(0, len(units), chunk):
@@ -119,32 +122,25 @@ class Kernel:
         return out
 
 
-def units_of(sentence: str) -> list[str]:
-    """Words of a lower-cased sentence; three or more single characters in a
-    row are joined to one unit (by spaces, which are inserted characters)."""
-    words = sentence.split()
-    single = [len(w) == 1 for w in words]
-    bare = [b for w in words if not w.isalnum() and len(b := _MARKS.sub("", w)) > 2]
-    if sum(single) < 3:
-        return words + bare
-    out, i = bare, 0
-    while i < len(words):
-        j = i
-        while j < len(words) and single[j]:
-            j += 1
-        if j - i >= 3:
-            out += (" ".join(words[i:j]), "".join(words[i:j]))
-            i = j
-        else:
-            out.append(words[i])
-            i += 1
+def units_of(text: str) -> set[str]:
+    """The units of a text: its lower-cased words, three or more single
+    characters in a row joined (by spaces, which are inserted characters, and
+    without), and every word without the marks in it."""
+    words = text.lower().split()
+    out = set(words)
+    if len([w for w in words if len(w) == 1]) > 2:
+        start = None
+        for i, w in enumerate([*words, ""]):
+            if len(w) == 1:
+                start = i if start is None else start
+            elif start is not None:
+                if i - start > 2:
+                    out |= {" ".join(words[start:i]), "".join(words[start:i])}
+                start = None
+    out |= {b for w in out if not w.isalnum() and len(b := _MARKS.sub("", w)) > 2}
     return out
 
 
-def sentences(text: str) -> list[str]:
-    return [s for s in _SENTENCE.split(text.lower()) if s.strip()]
-
-
 @dataclass
 class ToxicityModel:
     table: np.ndarray  # by feature: its part of the machine's value
@@ -280,7 +276,7 @@ def train(bags: list[list[str]], toxic: np.ndarray, weight: np.ndarray, seed: in
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _bag(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield pa.array([sorted({u for s in sentences(t.as_py()) for u in units_of(s)}) for t in texts], pa.list_(pa.string()))
+        yield pa.array([sorted(units_of(t.as_py())) for t in texts], pa.list_(pa.string()))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
@@ -306,15 +302,28 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
     fits = np.cumsum([x.n for x in lengths]) <= max_units
     if not fits.any():
         return None
-    rows = found.where(F.col("r") <= lengths[int(np.flatnonzero(fits)[-1])].r).toArrow().sort_by([("r", "ascending"), ("k", "ascending")])
-    y = rows.column("y").to_numpy().astype(np.int64)
-    weight = np.array([size.get(c, 0) for c in (0, 1)]) / np.maximum(np.bincount(y, minlength=2), 1)
-    return train(rows.column("bag").to_pylist(), y == 1, weight[y])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches)).sort_by([("r", "ascending"), ("k", "ascending")])
+        y = rows.column("y").to_numpy().astype(np.int64)
+        weight = np.array([size.get(c, 0) for c in (0, 1)]) / np.maximum(np.bincount(y, minlength=2), 1)
+        m = train(rows.column("bag").to_pylist(), y == 1, weight[y])
+        at = np.flatnonzero(m.table)
+        yield pa.record_batch([pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([m.table[at]], pa.list_(pa.float64())),
+                               *[pa.array([x]) for x in (m.bias, m.slope, m.offset, m.empty)]], names=["at", "table", "bias", "slope", "offset", "empty"])
+
+    # One task trains on the bounded sample; only the model comes to the driver.
+    last = lengths[int(np.flatnonzero(fits)[-1])].r
+    learned = found.where(F.col("r") <= last).repartition(1).mapInArrow(
+        learn, "at array<int>, table array<double>, bias double, slope double, offset double, empty double").first()
+    table = np.zeros(_FEATURES)
+    table[learned["at"]] = learned.table
+    return ToxicityModel(table, learned.bias, learned.slope, learned.offset, learned.empty)
 
 
 def text_values(texts: list[str], model: ToxicityModel, kernel: Kernel, known: dict[str, float]) -> np.ndarray:
     """Each text's highest unit's value (-inf without units)."""
-    bags = [{u for s in sentences(t) for u in units_of(s)} for t in texts]
+    bags = [units_of(t) for t in texts]
     fresh = list({u for b in bags for u in b if u not in known})
     if len(known) + len(fresh) > KNOWN_UNITS:
         known.clear()
