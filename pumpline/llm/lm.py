@@ -179,7 +179,15 @@ def fit_language_model(docs: DataFrame, text: str = "text", epochs: int = EPOCHS
     counts = stored(word_counts(texts), "lm-counts")
     ends = texts.count()
     sizes = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    most = counts.orderBy(F.desc("c"), "h").limit(LOOKUP).toArrow()
+    # The most frequent words by steps of their count's logarithm: at most LOOKUP, without a global sort.
+    step = F.floor(8 * F.log2("c"))
+    n, least = 0, None
+    for row in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):
+        n += row.n
+        if n > LOOKUP:
+            break
+        least = row.step
+    most = counts.where(step >= least if least is not None else F.lit(False)).toArrow().sort_by([("c", "descending"), ("h", "ascending")])
     known, known_counts = most.column("h").to_numpy().view(np.uint64), most.column("c").to_numpy()
     top = known[:WORDS]
     rare = counts.join(F.broadcast(docs.sparkSession.createDataFrame([(int(x),) for x in top.view(np.int64)], "h bigint")), "h", "left_anti")
