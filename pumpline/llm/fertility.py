@@ -70,7 +70,7 @@ class Vocabularies:
         for at in range(0, len(fresh), 20_000):
             some = fresh[at:at + 20_000]
             words = [word(i).decode("utf-8", "replace") for i in some]
-            for i, ids, n in zip(some, self.pieces.encode(words, num_threads=1), self.bytes.encode_ordinary_batch([" " + w for w in words], num_threads=1)):
+            for i, ids, n in zip(some, self.pieces.encode(words, num_threads=1), [self.bytes.encode_ordinary(" " + w) for w in words]):
                 self.row[listed[i]] = len(self.ids)
                 self.ids.append(np.array(ids, dtype=np.int32))
                 self.n_bytes.append(len(n))
