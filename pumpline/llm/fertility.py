@@ -6,11 +6,13 @@ byte-fallback tokens, and the entropy of the token distribution against its
 largest possible value.  Normal prose of one language and length lies in a
 narrow band of each; symbol noise, repetition and broken encodings do not.
 
-The bands come from all documents: per group (language, or script where the
-language is not known) and size class (powers of two of the token count) the
-quartiles of each measure, widened by ``WIDTH`` times the distance from the
-median to the quartile.  Groups with under ``LEAST`` documents in a class use
-the group's own bands over all classes, and none if the group is that small.
+The bands come from all distinct texts: per group (language, or script where
+the language is not known) and size class (powers of two of the token count)
+the quartiles of each measure, widened by ``WIDTH`` times the distance from the
+median to the quartile.  However often a text is repeated, it counts once.
+Groups with under ``LEAST`` texts in a class use the group's own bands over all
+classes; groups that small use those of their script, and scripts that small
+those of all texts.  Only an input with under ``LEAST`` texts has no bands.
 
 Words are encoded one by one (neither vocabulary joins words), so each
 distinct word of a task is encoded once.  Plain counts (words, symbols,
@@ -167,9 +169,13 @@ def with_measures(docs: DataFrame, piece_path: str, byte_path: str, text: str =
     return docs.withColumn(out, measured(F.coalesce(F.col(text), F.lit(""))))
 
 
-def script(text: Column) -> Column:
-    """The script of the first letter, of those told apart here."""
-    letter = F.regexp_extract(text, r"(\p{L})", 1)
+def first_letter(text: Column) -> Column:
+    """The first letter of a text, empty without one."""
+    return F.regexp_extract(F.coalesce(text, F.lit("")), r"(\p{L})", 1)
+
+
+def script(letter: Column) -> Column:
+    """The script of a letter, of those told apart here."""
     named = F.when(letter == "", F.lit("none"))
     for name in ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Devanagari", "Han", "Hiragana", "Katakana", "Hangul", "Thai"):
         named = named.when(letter.rlike(rf"\p{{Is{name}}}"), F.lit(name))
@@ -189,16 +195,23 @@ def judge(docs: DataFrame, piece_path: str, byte_path: str, key: str = "doc_id",
     base_failed (under 20 words, or over 30 % of words in repeated windows) and
     kept (not base_failed and every measure inside its band; a measure without
     a band passes)."""
-    group = F.coalesce(F.col(lang).cast("string"), F.concat(F.lit("script:"), script(F.coalesce(F.col(text), F.lit("")))))
-    rows = with_measures(docs.select(F.col(key).alias("k"), F.col(text).alias("t"), group.alias("grp")), piece_path, byte_path, "t", "f")
-    rows = stored(rows.select("k", "grp", "f.*").withColumn("cls", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")), "fertility")
-    usable = rows.where(F.col("n_words") >= MIN_WORDS)
+    rows = with_measures(docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).cast("string").alias("l"), F.xxhash64(text).alias("h"),
+                                     first_letter(F.col(text)).alias("letter")), piece_path, byte_path, "t", "f")
+    rows = rows.withColumn("script", F.concat(F.lit("script:"), script(F.col("letter"))))
+    rows = stored(rows.select("k", "h", "script", F.coalesce("l", "script").alias("grp"), "f.*")
+                  .withColumn("cls", F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))).cast("int")), "fertility")
+    # Copies of a text have the same measures: one of them counts.
+    usable = stored(rows.where(F.col("n_words") >= MIN_WORDS).select("grp", "script", "cls", "h", *MEASURES).dropDuplicates(["grp", "h"]), "fertility-texts")
+    once = usable.dropDuplicates(["h"])
     fine = _bands(usable, ["grp", "cls"], least, width)
     coarse = _bands(usable, ["grp"], least, width).withColumnRenamed("band", "wide")
+    scripts = _bands(once, ["script"], least, width).withColumnRenamed("band", "of_script")
+    every = _bands(once.withColumn("all", F.lit(1)), ["all"], least, width).select(F.col("band").alias("of_all"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     inside = F.lit(True)
     for m in MEASURES:
-        band = F.coalesce(F.col("band"), F.col("wide"))
+        band = F.coalesce("band", "wide", "of_script", "of_all")
         inside = inside & F.coalesce(F.col(m).between(band[m]["low"], band[m]["high"]), F.lit(True))
     return (rows.join(stored(fine, "fertility-bands"), ["grp", "cls"], "left").join(stored(coarse, "fertility-wide"), "grp", "left")
+            .join(stored(scripts, "fertility-scripts"), "script", "left").join(F.broadcast(stored(every, "fertility-all")), F.lit(True), "left")
             .select(F.col("k").alias(key), *[f.name for f in BASE], *MEASURES, failed.alias("base_failed"), (~failed & inside).alias("kept")))

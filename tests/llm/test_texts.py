@@ -305,3 +305,21 @@ def test_encoding_of_odd_documents(odd_docs, no_docs):
         assert r.ids == want and r.n_tokens == len(want)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
     assert bpe.encode_documents(no_docs, WORDS).count() == 0
+
+
+def prose(i):
+    rng = random.Random(i)
+    words = "the of and water house people would about little because through country between important children another mountain".split()
+    return " ".join(rng.choice(words) + rng.choice(["", "", "s", "ly", "ing"]) for _ in range(60))
+
+
+def test_fertility_bands_from_distinct_texts_and_for_small_groups(spark):
+    rows = [(i, prose(i), "en") for i in range(60)] + [(1000 + i, prose(7), "en") for i in range(600)]
+    rng = random.Random(1)
+    rows += [(2000, " ".join("".join(rng.choices("#$%&*|<>", k=rng.randint(2, 9))) for _ in range(60)), "en")] * 300
+    rows += [(3000, prose(3000), "xx"), (3001, "\U00012345#$|% " * 3 + " ".join(f"#{j}$%|\U00012345" for j in range(60)), "xx")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    kept = {r.doc_id: r.kept for r in fertility.judge(docs, PIECES, BYTES).collect()}
+    assert sum(kept[i] for i in range(60)) >= 57 and all(kept[1000 + i] for i in range(600))
+    assert not kept[2000]
+    assert kept[3000] and not kept[3001]
