@@ -194,6 +194,24 @@ def test_topk_equals_brute_force(spark, shard):
     assert topk.exact_topk(table.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("shard", [40, 100_000])
+def test_topk_with_repeated_rows_and_ids(spark, shard):
+    rng = np.random.default_rng(7)
+    rows = [(i, (rng.integers(-99, 99, 6) / 256).tolist()) for i in range(200)] * 2
+    rows += [(0, [0.5] * 6)] * 6 + [(300 + i, [0.5] * 6) for i in range(8)]  # the query first and often among equal vectors
+    rows += [(400, [1.0] + [0.5] * 5), (400, [0.5] * 5 + [1.0]), (400, [1.0] + [0.5] * 5)]  # one id, two vectors, equal scores
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    points = {(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows}
+    want = {}
+    for q in {i for i, _ in points if i % 50 == 0}:
+        scored = {(-sum(a * b for a, b in zip(v, w)), i) for o, v in points if o == q for i, w in points if i != q}
+        want[q] = [(i, -s) for s, i in sorted(scored)[:5]]
+    got = {}
+    for r in sorted(topk.exact_topk(table, F.col("id") % 50 == 0, shard_vectors=shard, query_block=4).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == want and all(len(x) == 5 for x in got.values())
+
+
 def test_tree_spares_distances():
     rng = np.random.default_rng(1)
     v = np.concatenate([rng.normal(c * 100, 5, (300, 6)) for c in range(6)]).astype(np.int64)
