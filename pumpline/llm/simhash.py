@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pumpline.llm.common import _cut, stored, utf8
+from pumpline.llm.common import _cut, free_name, stored, utf8
 from pumpline.llm.components import connected_components
 
 SEED = 42
@@ -253,6 +253,13 @@ def near_links(fps: DataFrame, plan: Plan, hot: int = HOT_BUCKET) -> DataFrame:
     return pairs.unionByName(shared)
 
 
+def _rooted(marked: DataFrame, bits: int, hot: int) -> DataFrame:
+    """(fp, root: its component's smallest fingerprint) of the distinct ``fp`` of ``marked``."""
+    fps = stored(marked.select("fp").distinct(), "simhash-distinct")
+    found = connected_components(near_links(fps, make_plan(fps, bits), hot), "simhash-components")
+    return fps.join(found, fps.fp == found.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
                     bits: int = MAX_BITS, hot: int = HOT_BUCKET) -> DataFrame:
     """One row per row of ``docs``: (``key``, fingerprint as 16 hex digits,
@@ -265,19 +272,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     marked = stored(with_fingerprint(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), "t", "fp", shingle).select("k", "fp"),
                     "simhash-fingerprints")
-    fps = stored(marked.groupBy("fp").agg(F.min("k").alias("least")), "simhash-distinct")
-    found = connected_components(near_links(fps, make_plan(fps, bits), hot), "simhash-components")
-    rooted = fps.join(found, fps.fp == found.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    fps = marked.groupBy("fp").agg(F.min("k").alias("least"))
+    rooted = stored(fps.join(_rooted(marked, bits, hot), "fp"), "simhash-rooted")
     first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(first, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(F.col("k").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def first_of_each_group(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
-                        bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose key is its component's smallest, one row per
-    key (which of several rows of one key stays is not defined further).  Rows
-    without a key cannot be told apart by it and stay."""
-    stay = near_duplicates(docs, key, text, shingle, bits).where(F.col(key) == F.col("component_id")).select(key)
-    kept = docs.join(stay.hint("shuffle_hash"), key, "left_semi").select(*docs.columns).dropDuplicates([key])
-    return kept.unionByName(docs.where(F.col(key).isNull()))
+                        bits: int = MAX_BITS, hot: int = HOT_BUCKET) -> DataFrame:
+    """One row of each component: of the smallest ``key``, then of the smallest
+    hashes of the text and of the whole row, so rows that share a key but not
+    their text are decided each in its own component.
+
+    Rows without a key are not named as copies of rows that have one: of these
+    each component keeps one too, by the same hashes.
+    """
+    at, a, b = (free_name(docs, x) for x in ("_text", "_row", "_back"))
+    marks = {at: F.xxhash64(text), a: F.xxhash64(*docs.columns), b: F.xxhash64(*reversed(docs.columns))}
+    hashed = docs.withColumns(marks)
+    marked = stored(with_fingerprint(hashed.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(at).alias("h"), F.col(a).alias("a"),
+                                                   F.col(b).alias("b")), "t", "fp", shingle).select("k", "fp", "h", "a", "b"), "simhash-fingerprints")
+    # The first row of every fingerprint, then of every component: both grouped minima.
+    least = marked.groupBy("fp", F.isnull("k").alias("unnamed")).agg(F.min(F.struct("k", "h", "a", "b")).alias("least"))
+    stay = least.join(_rooted(marked, bits, hot), "fp").groupBy("root", "unnamed").agg(F.min("least").alias("least")) \
+        .select(F.col("least.a").alias(a), F.col("least.b").alias(b))
+    return hashed.join(stay.hint("shuffle_hash"), [a, b], "left_semi").dropDuplicates([a, b]).select(*docs.columns)

@@ -108,6 +108,21 @@ def test_one_of_each_group_stays(odd_docs, no_docs):
     assert simhash.first_of_each_group(no_docs).count() == 0
 
 
+def test_repeated_and_missing_ids_are_decided_by_their_texts(spark):
+    rng = random.Random(2)
+    text = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(80)) for _ in range(6)]
+    rows = [(1, text[0], "a"), (1, text[1], "a"), (2, text[1], "b"), (3, text[2], "a"), (1, text[0], "a"), (5, text[2], "a"), (5, text[3], "a"), (5, text[3], "b")]
+    rows += [(None, text[4], "a")] * 4 + [(None, text[5], c) for c in "ab"]
+    found = set()
+    for parts in (1, 3, 7):
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(parts)
+        kept = simhash.first_of_each_group(docs).collect()
+        assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == sorted([(1, text[0]), (1, text[1]), (3, text[2]), (5, text[3])])
+        assert sorted(r.text for r in kept if r.doc_id is None) == sorted(text[4:])
+        found.add(tuple(sorted(map(str, kept))))
+    assert len(found) == 1
+
+
 def test_long_texts_in_pieces(monkeypatch):
     text = " ".join(f"w{i % 97} y{i % 31}" for i in range(3000))
     whole = simhash.fingerprint(memoryview(text.encode()))
