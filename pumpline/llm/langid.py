@@ -22,11 +22,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from pumpline.llm.common import KeyIndex, segments, sums, utf8
+from pumpline.llm.common import KeyIndex, segments, stored, sums, utf8
 
 ORDER = 4
 TRAIN_BYTES_PER_LANG = 1_500_000
+HASHES = 1 << 62
 UNDETERMINED = "und"
 
 
@@ -124,35 +126,64 @@ def build_model(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarray
     return PpmModel(langs, order, known, costs, contexts, escapes)
 
 
-def fit_language_model(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = ORDER,
+def _chosen_blocks(rows: DataFrame, train_bytes: int, size: int) -> dict[str, int]:
+    """Per language the largest block hash to train on: the distinct texts'
+    blocks with the smallest hashes, until they hold ``train_bytes``; the first
+    one is always among them."""
+    texts = stored(rows.groupBy("l", "h").agg(F.max(F.octet_length("t")).alias("b")), "language-texts")
+    total = texts.groupBy("l").agg(F.sum("b").alias("total"))
+    blocks = texts.select("l", "h", "b", F.explode(F.sequence(F.lit(0), F.floor((F.col("b") - 1) / size).cast("int"))).alias("i")) \
+        .select("l", _block_hash(F.col("h"), F.col("i")).alias("u"), F.least(F.lit(size), F.col("b") - F.col("i") * size).alias("b"))
+    # Four times the share is certain to hold enough: a bounded number of rows a language is put in order.
+    some = blocks.join(F.broadcast(total), "l").where(F.col("u") < 4.0 * train_bytes / F.col("total") * float(HASHES)).drop("total")
+    before = Window.partitionBy("l").orderBy("u").rowsBetween(Window.unboundedPreceding, -1)
+    used = some.withColumn("before", F.coalesce(F.sum("b").over(before), F.lit(0))).where(F.col("before") < train_bytes)
+    return {r.l: r.u for r in used.groupBy("l").agg(F.max("u").alias("u")).collect()}
+
+
+def _block_hash(text_hash: Column, block: Column) -> Column:
+    return F.pmod(F.xxhash64(text_hash, block), F.lit(HASHES))
+
+
+def fit_language_model(docs: DataFrame, text: str = "text", lang: str = "lang", order: int = ORDER,
                        train_bytes: int = TRAIN_BYTES_PER_LANG) -> PpmModel | None:
-    """Train on a sample of about ``train_bytes`` of text per language, taken
-    by a hash of ``key``.  Rows without text or language teach nothing; None if
-    no row is left."""
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")) \
+    """Train on ``train_bytes`` of text per language, or all if there is less.
+    Texts are sampled in blocks of ``train_bytes`` / 24 by a hash of text and
+    block number, so a language of a few long texts is learned too, and the
+    sample exceeds the bound by less than a block.  Equal texts of a language
+    teach once; keys play no part.  Rows without text or language teach
+    nothing; None if no row is left."""
+    size = max(1, train_bytes // 24)
+    rows = docs.select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(text).alias("h")) \
         .where("t is not null and l is not null and t != ''")
-    totals = {r.l: r.b for r in rows.groupBy("l").agg(F.sum(F.octet_length("t")).alias("b")).collect()}
-    if not totals:
+    upto = _chosen_blocks(rows, train_bytes, size)
+    if not upto:
         return None
-    share = F.create_map(*[x for lang_, b in sorted(totals.items()) for x in (F.lit(lang_), F.lit(min(1.0, train_bytes / b)))])
-    unit = F.pmod(F.xxhash64(F.col("k").cast("string")), F.lit(1 << 30)) / F.lit(1 << 30)
-    sample = rows.where(unit < share[F.col("l")])
+    last = F.create_map(*[x for lang_, u in sorted(upto.items()) for x in (F.lit(lang_), F.lit(u))])
+    numbers = F.sequence(F.lit(0), F.floor((F.octet_length("t") - 1) / size).cast("int"))
+    taken = F.filter(numbers, lambda i: _block_hash(F.col("h"), i) <= last[F.col("l")])
+    begin, data = F.col("i") * size, F.col("t").cast("binary")
+    lead = F.least(begin, F.lit(order))
+    sample = rows.withColumn("taken", taken).where(F.size("taken") > 0).withColumn("i", F.explode("taken")) \
+        .select("l", "h", "i", lead.alias("lead"), F.substring(data, begin - lead + 1, lead + size).alias("piece")).dropDuplicates(["l", "h", "i"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = np.array(batch.column("l").to_pylist(), dtype=object)
             for one in sorted(set(langs)):
-                data, off = utf8(batch.column("t").filter(pa.array(langs == one)))
-                for block in segments(data, off):
-                    buf, starts, ends = _with_context(data, off, block, order)
-                    inside = np.zeros(len(buf) + 1, dtype=np.int8)
-                    inside[starts] = 1
-                    inside[ends] -= 1
-                    grams, n = np.unique(_grams(buf, order + 1)[np.cumsum(inside[:-1]).astype(bool)], return_counts=True)
-                    yield pa.record_batch([pa.array([one] * len(grams)), pa.array(grams.astype(np.int64)), pa.array(n.astype(np.int64))],
-                                          names=["l", "g", "n"])
-
-    found = sample.select("l", "t").mapInArrow(count, "l string, g bigint, n bigint") \
+                part = batch.filter(pa.array(langs == one))
+                before = part.column("lead").to_numpy()
+                # The bytes before a block are context only; a text's first block has spaces there.
+                texts = [b" " * (order - n) + p for n, p in zip(before.tolist(), part.column("piece").to_pylist())]
+                length = np.array([len(x) for x in texts])
+                starts = np.cumsum(length) - length
+                inside = np.ones(length.sum(), dtype=bool)
+                inside[(starts[:, None] + np.arange(order)).ravel()] = False
+                grams, n = np.unique(_grams(np.frombuffer(b"".join(texts).lower(), dtype=np.uint8), order + 1)[inside], return_counts=True)
+                yield pa.record_batch([pa.array([one] * len(grams)), pa.array(grams.astype(np.int64)), pa.array(n.astype(np.int64))],
+                                      names=["l", "g", "n"])
+
+    found = sample.select("l", "lead", "piece").mapInArrow(count, "l string, g bigint, n bigint") \
         .groupBy("l", "g").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(found.column("l").unique().to_pylist())
     parts = {x: found.filter(pc.equal(found.column("l"), x)) for x in langs}

@@ -323,3 +323,23 @@ def test_fertility_bands_from_distinct_texts_and_for_small_groups(spark):
     assert sum(kept[i] for i in range(60)) >= 57 and all(kept[1000 + i] for i in range(600))
     assert not kept[2000]
     assert kept[3000] and not kept[3001]
+
+
+def test_languages_of_few_long_texts_are_learned_within_the_bound(spark, monkeypatch):
+    rng = random.Random(4)
+    en, xx = "the quick brown fox jumps over lazy dog".split(), "zuh qarro vim oktu plenn wassi drog".split()
+    docs = [(i, " ".join(rng.choices(en, k=40)), "en") for i in range(300)]
+    docs += [(1000 + i, " ".join(rng.choices(xx, k=40_000)), "xx") for i in range(2)]
+    docs += [(None, " ".join(rng.choices(en, k=40)) + " zzz", "yy") for _ in range(300)]
+    seen = {}
+    build = langid.build_model
+    monkeypatch.setattr(langid, "build_model", lambda langs, counts, order: seen.update(counts) or build(langs, counts, order))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string").repartition(3)
+    model = langid.fit_language_model(df, train_bytes=2400)
+    assert model.langs == ["en", "xx", "yy"]
+    assert all(2400 <= seen[x][1].sum() < 2400 + 100 for x in model.langs)
+    got = {r.doc_id: r.language.lang_pred for r in langid.predict_language(df.where("lang = 'xx'"), model).collect()}
+    assert got == {1000: "xx", 1001: "xx"}
+    langid.fit_language_model(df.where("lang = 'xx'"), train_bytes=10_000_000)
+    want = sum((Counter(" ".join(["", "", "", "", t]).lower()[i:i + 5] for i in range(len(t))) for _, t, x in docs if x == "xx"), Counter())
+    assert {int(g).to_bytes(5, "big").decode(): int(n) for g, n in zip(*seen["xx"])} == want
