@@ -5,9 +5,11 @@ assistant and all others as named users; the loss mask covers what the
 assistant says.  Turns marked ``system`` belong to every perspective and are
 never a participant.
 
-A rendered dialogue is returned in parts of at most ``PART_TURNS`` turns, so
-no conversation, however long, has to fit one row or task: a part knows where
-it begins in the whole, and the parts joined in order are the whole.
+A rendered dialogue is returned in parts of ``PART_TURNS`` turn numbers, so a
+conversation of many numbers does not have to fit one row: a part knows where
+it begins in the whole, and the parts joined in order are the whole.  A part
+is as large as its turns: all that repeat its numbers, or have none, are in one
+row, as in the SQL twin.
 DataFrame operations only.
 """
 
@@ -45,8 +47,21 @@ def rotate(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
         .withColumn("part", F.coalesce(F.floor(F.col("turn") / part_turns), F.lit(-1)).cast("bigint"))
     parts = said.groupBy("conv", "part").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-1)).alias("turn"), "who", "said"))).alias("turns"))
-    people = said.where("who <> 'system'").select("conv", F.col("who").alias("assistant")).distinct()
-    seen = parts.join(people, parts.conv.eqNullSafe(people.conv)).select(parts.conv.alias("conv"), "part", "turns", "assistant")
+    # Where each part begins, from lengths summed by speaker: no text goes through the window.
+    fixed = F.length(F.lit(BEGIN)) + 1 + F.length(F.lit(STOP))
+    other = F.when(F.col("who") == "system", 6).otherwise(F.length(F.lit("user name=")) + F.length("who"))
+    spoken = said.groupBy("conv", "part", "who").agg(F.count("*").alias("n"), F.sum(F.length("said").cast("bigint")).alias("chars")) \
+        .select("conv", "part", "who", (F.col("n") * (fixed + other) + F.col("chars")).alias("length"),
+                (F.col("n") * (F.length(F.lit("assistant")) - other)).alias("change"))
+    whole = spoken.groupBy("conv", "part").agg(F.sum("length").alias("length"))
+    people = spoken.where("who <> 'system'").select(F.col("conv").alias("c"), F.col("who").alias("assistant")).distinct()
+    own = spoken.where("who <> 'system'").select(F.col("conv").alias("c"), F.col("part").alias("p"), F.col("who").alias("w"), "change")
+    sizes = whole.join(people, F.col("conv").eqNullSafe(F.col("c"))).drop("c")
+    sizes = sizes.join(own, F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")) & (F.col("assistant") == F.col("w")), "left")
+    before = Window.partitionBy("conv", "assistant").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    places = sizes.select(F.col("conv").alias("c"), F.col("part").alias("p"), "assistant",
+                          F.coalesce(F.sum(F.col("length") + F.coalesce("change", F.lit(0))).over(before), F.lit(0)).alias("begins_at"))
+    seen = parts.join(places, F.col("conv").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))).drop("c", "p")
 
     def head(t: Column) -> Column:
         return F.concat(F.lit(BEGIN), F.when(t["who"] == "system", "system").when(t["who"] == F.col("assistant"), "assistant")
@@ -65,9 +80,8 @@ def rotate(turns: DataFrame, conversation: str = "conv_id", turn: str = "turn",
 
     seen = seen.withColumn("walk", F.aggregate("pieces", start, step)).withColumn(
         "rendered", F.concat_ws("", F.transform("pieces", lambda p: F.concat(p["head"], p["body"]))))
-    before = Window.partitionBy("conv", "assistant").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return seen.select(F.col("conv").alias(conversation), "assistant", "part", F.col("turns")[0]["turn"].alias("first_turn"), F.size("turns").alias("n_turns"),
-                       F.coalesce(F.sum(F.col("walk.at").cast("bigint")).over(before), F.lit(0)).alias("begins_at"), "rendered",
+                       "begins_at", "rendered",
                        F.col("walk.spans").alias("spans"))
 
 

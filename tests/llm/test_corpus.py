@@ -274,6 +274,21 @@ def test_perspectives(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def test_places_of_parts_without_text_in_the_window(spark):
+    rng = random.Random(9)
+    turns = [(c, rng.choice([None, *range(300)]), rng.choice(["system", "ann", "bob", "é <|x", None]), "s" * rng.randint(0, 9)) for c in (1, 2, None) for _ in range(400)]
+    turned = chat.rotate(spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string"))
+    plan = turned._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("rendered" in x or "turns" in x for x in plan.split("\n") if x.lstrip(" :+-").startswith("Window"))
+    window = plan[plan.index("Window ["):]
+    assert "collect_list" not in window and "collect_list" in plan
+    done = {}
+    for r in sorted(turned.collect(), key=lambda r: (r.conv_id or 0, r.assistant, r.part)):
+        assert r.begins_at == done.get((r.conv_id, r.assistant), 0)
+        done[r.conv_id, r.assistant] = r.begins_at + len(r.rendered)
+    assert len(done) == 12
+
+
 def test_pipeline_stages_compose(spark, odd_docs, tmp_path):
     import corpus_pipeline
     odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
