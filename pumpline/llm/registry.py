@@ -4,11 +4,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pumpline.llm import bpe, chat, fertility, langid, lm, mixing, quality, simhash, topk, toxicity
+from pumpline.llm import align, bpe, chat, fertility, langid, lexical, lm, mixing, quality, setjoin, simhash, topk, toxicity
 from pumpline.llm.common import is_fold, read_table
 
 ENCODING_VOCABULARY = "word_bpe_49k.json"
 PIECE_VOCABULARY, BYTE_VOCABULARY = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
+ALIGNED_VOCABULARY = "byte_bpe_50k.json"
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +72,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turned.select("conv_id", "assistant", "part", "first_turn", "n_turns", "begins_at", "rendered", mask.alias("mask"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return align.align_tokenizers(docs, public_tokenizers.path(ALIGNED_VOCABULARY), public_tokenizers.path(PIECE_VOCABULARY))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,10 +102,15 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_chat": op10_chat,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_alignment": op12_alignment,
+    "op13_lexical_search": op13_lexical_search,
     "pipeline": pipeline,
 }
 
 ORACLE_SQL = {
     "op8_mixing": mixing.OP8_SQL,
     "op10_chat": chat.OP10_SQL,
+    "op11_ngram_join": setjoin.OP11_SQL,
+    "op13_lexical_search": lexical.OP13_SQL,
 }
