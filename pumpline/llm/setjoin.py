@@ -18,9 +18,10 @@ sets link when their Jaccard similarity is at least ``PERCENT`` percent.
    checked against one leader of theirs (the set with the fewest tokens of
    its own); who links follows the leader.  Lists keep one entry per leader,
    and only leaders are compared.  If leaders link, so do their followers'
-   components.  If not, a follower z of x has at most the leaders' overlap
-   plus its own few tokens that x lacks: only pairs of followers that this
-   bound leaves open are compared themselves.
+   components.  If not, and the followers' few tokens beyond their leaders
+   could make up for it, x is compared with the followers w of the smaller
+   side, and a follower z's answer for w is derived from x's: z can only gain
+   the tokens beyond x that it shares with w.  What this leaves is compared.
 
 Every link between different components is thus found or ruled out, and a
 family of near copies costs rows in proportion to its size.  The 64-bit hashes
@@ -181,9 +182,10 @@ def _family_sets(docs: DataFrame, text: str, words: int, bloom: np.ndarray) -> D
     return stored(made.withColumn("sid", F.monotonically_increasing_id()), "setjoin-sets")
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """(a, b, na, nb, o): sizes and exact overlap of pairs of sids.  Each set
-    ``a`` is sent once for every ``CHUNK`` partners, in front of them."""
+def _overlaps(pairs: DataFrame, sets: DataFrame, name: str, rest_from: int = 101) -> DataFrame:
+    """(a, b, na, nb, o, rest): sizes and exact overlap of pairs of sids, and
+    from a similarity of ``rest_from`` percent on the tokens of b that a lacks.
+    Each set ``a`` is sent once for every ``CHUNK`` partners, in front of them."""
     many = pairs.groupBy("a").agg(F.count("*").alias("m"))
     dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / CHUNK)).alias("part"))
     dealt = stored(dealt, name + "-dealt")
@@ -194,20 +196,23 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, held = None, np.zeros(0, dtype=np.uint64)
         for batch in batches:
-            out = []
+            out, rest = [], []
             for a, b, h in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "h")]):
                 tokens = np.frombuffer(h, dtype=np.uint64)
                 if b is None:
                     here, held = a, tokens
                 else:
                     assert here == a
-                    at = np.minimum(np.searchsorted(held, tokens), len(held) - 1)
-                    out.append((a, b, len(held), len(tokens), int((held[at] == tokens).sum())))
+                    both = held[np.minimum(np.searchsorted(held, tokens), len(held) - 1)] == tokens
+                    o = int(both.sum())
+                    out.append((a, b, len(held), len(tokens), o))
+                    rest.append(tokens[~both].tobytes() if 100 * o >= rest_from * (len(held) + len(tokens) - o) else b"")
             if out:
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b", "na", "nb", "o"])
+                yield pa.record_batch([*[pa.array(c, pa.int64()) for c in zip(*out)], pa.array(rest, pa.binary())],
+                                      names=["a", "b", "na", "nb", "o", "rest"])
 
     sent = front.unionByName(back).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
-    return stored(sent.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, o bigint"), name)
+    return stored(sent.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, o bigint, rest binary"), name)
 
 
 def _links(o, na, nb, percent: int) -> Column:
@@ -234,19 +239,24 @@ def _by_sid():
     return Window.partitionBy("sid")
 
 
-def _followers(entries: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(sid, lead, extra) of sets that link with a leader, ``extra`` counting
-    their tokens that the leader lacks; and these links (a, b)."""
+def _members(entries: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(sid, n, lead, extra, rest) of every set with entries: the leader that
+    it links with, or itself, and its tokens that the leader lacks; and these
+    links (a, b)."""
     live = entries.groupBy("sid").agg(F.first("n").alias("n"), F.first("own").alias("own"))
+    live = stored(live, "setjoin-live")
     keyed = live.join(sets.select("sid", "keys"), "sid").select("sid", F.floor(F.col("own") * 1000 / F.col("n")).alias("rank"),
                                                                 F.posexplode("keys").alias("which", "value"))
     keyed = stored(keyed, "setjoin-keys")
     leader = keyed.groupBy("which", "value").agg(F.min(F.struct("rank", "sid")).alias("best"), F.count("*").alias("m")).where("m > 1")
     pairs = keyed.join(leader, ["which", "value"]).select(F.col("best.sid").alias("a"), F.col("sid").alias("b")).where("a <> b").distinct()
-    found = _overlaps(pairs, sets, "setjoin-leaders").where(_links(F.col("o"), F.col("na"), F.col("nb"), percent))
-    follows = found.groupBy(F.col("b").alias("sid")).agg(F.min(F.struct((F.col("nb") - F.col("o")).alias("extra"), "a")).alias("x")) \
+    found = _overlaps(pairs, sets, "setjoin-leaders", percent).where(_links(F.col("o"), F.col("na"), F.col("nb"), percent))
+    best = found.groupBy(F.col("b").alias("sid")).agg(F.min(F.struct((F.col("nb") - F.col("o")).alias("extra"), "a")).alias("x")) \
         .select("sid", F.col("x.a").alias("lead"), F.col("x.extra").alias("extra"))
-    return stored(follows, "setjoin-followers"), found.select("a", "b")
+    best = best.join(found.select(F.col("b").alias("sid"), F.col("a").alias("lead"), "rest"), ["sid", "lead"])
+    members = live.select("sid", "n").join(best, "sid", "left").select(
+        "sid", "n", F.coalesce("lead", "sid").alias("lead"), F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("rest", F.lit(b"")).alias("rest"))
+    return stored(members, "setjoin-members"), found.select("a", "b")
 
 
 def _fits(x: str, y: str) -> Column:
@@ -270,22 +280,36 @@ def _leader_pairs(entries: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("p.lead", "q.lead").alias("a"), F.greatest("p.lead", "q.lead").alias("b")).distinct()
 
 
-def _open_pairs(compared: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
-    """Pairs of followers that their leaders' overlap does not rule out.
-
-    ``compared``: leaders' pairs that don't link, with their overlap.  A
-    follower's overlap with another's is at most that plus the tokens that
-    each has beyond its leader; only lists with both are read again."""
-    widest = entries.groupBy("lead").agg(F.max("extra").alias("most"), F.min("n").alias("low"))
-    room = compared.join(widest.select(F.col("lead").alias("a"), F.col("most").alias("ma"), F.col("low").alias("la")), "a") \
-        .join(widest.select(F.col("lead").alias("b"), F.col("most").alias("mb"), F.col("low").alias("lb")), "b") \
-        .where((F.col("o") + F.col("ma") + F.col("mb")) * (100 + percent) >= percent * (F.col("la") + F.col("lb"))).select("a", "b", "o")
-    left = entries.select("token", F.col("lead").alias("a"), F.col("sid").alias("za"), F.col("n").alias("na"), F.col("extra").alias("ea"), F.col("cap").alias("ca"))
-    right = entries.select("token", F.col("lead").alias("b"), F.col("sid").alias("zb"), F.col("n").alias("nb"), F.col("extra").alias("eb"), F.col("cap").alias("cb"))
-    both = room.join(left, "a").join(right, ["b", "token"]) \
-        .where((F.col("na") <= F.col("cb")) & (F.col("nb") <= F.col("ca"))
-               & ((F.col("o") + F.col("ea") + F.col("eb")) * (100 + percent) >= percent * (F.col("na") + F.col("nb"))))
-    return both.where("(za, zb) <> (a, b)").select(F.least("za", "zb").alias("a"), F.greatest("za", "zb").alias("b")).distinct()
+def _open_links(compared: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of leaders that don't link.
+
+    ``compared``: these leaders' pairs with their overlap.  Members' overlap
+    is at most that plus the tokens that each has beyond its leader, which
+    settles most pairs.  In the others the leader x of more members is compared
+    with every member w of the other; |z and w| is |x and w|, less what z lacks
+    of it, plus what z and w share beyond x.  So a member z of x may link with
+    w only if it shares enough tokens beyond x, or is smaller than x."""
+    def enough(o, *sizes):
+        return o * (100 + percent) >= percent * sum(sizes)
+
+    widest = members.groupBy("lead").agg(F.max("extra").alias("most"), F.min("n").alias("low"), F.count("*").alias("size"))
+    left, right = (widest.select(*[F.col(c).alias(f"{c}_{side}") for c in widest.columns]) for side in "xy")
+    turned = compared.select(F.col("a").alias("lead_x"), F.col("b").alias("lead_y"), "o") \
+        .unionByName(compared.select(F.col("b").alias("lead_x"), F.col("a").alias("lead_y"), "o"))
+    room = turned.join(left, "lead_x").join(right, "lead_y").where("(size_x, lead_x) > (size_y, lead_y)") \
+        .where(enough(F.col("o") + F.col("most_x") + F.col("most_y"), F.col("low_x"), F.col("low_y")))
+    tries = room.join(members.select(F.col("lead").alias("lead_y"), "sid", "n", "extra"), "lead_y") \
+        .where(enough(F.col("o") + F.col("extra") + F.col("most_x"), F.col("n"), F.col("low_x")))
+    found = _overlaps(tries.select(F.col("lead_x").alias("a"), F.col("sid").alias("b")).distinct(), sets, "setjoin-open", 0)
+    linked = _links(F.col("o"), F.col("na"), F.col("nb"), percent)
+    near = found.where(~linked)
+    follow = members.where("extra > 0 or sid <> lead").withColumnRenamed("lead", "a")
+    beyond = _tokens(near, "rest", ["a", "b", "nb", "o"]).join(_tokens(follow, "rest", ["a", "sid", "n"]), ["a", "token"])
+    gained = beyond.groupBy("sid", "b").agg(F.count("*").alias("c"), F.first("o").alias("o"), F.first("n").alias("n"), F.first("nb").alias("nb")) \
+        .where(enough(F.col("o") + F.col("c"), F.col("n"), F.col("nb"))).select("sid", "b")
+    smaller = near.join(follow, "a").where(enough(F.col("o"), F.col("n"), F.col("nb"))).select("sid", "b")
+    last = _overlaps(gained.unionByName(smaller).distinct().select(F.col("sid").alias("a"), "b"), sets, "setjoin-rest")
+    return found.where(linked).select("a", "b").unionByName(last.where(linked).select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -307,21 +331,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     sets = _family_sets(docs, text, words, _bloom(family, "th"))
 
     entries = _prefixes(sets, percent)
-    follows, star = _followers(entries, sets, percent)
-    entries = entries.join(follows, "sid", "left").select("token", "sid", "n", "cap", F.coalesce("lead", "sid").alias("lead"),
-                                                          F.coalesce("extra", F.lit(0)).alias("extra"))
-    entries = stored(entries, "setjoin-entries")
-    compared = _overlaps(_leader_pairs(entries, percent), sets, "setjoin-compared")
+    members, star = _members(entries, sets, percent)
+    lists = stored(entries.join(members.select("sid", "lead"), "sid").select("token", "n", "cap", "lead"), "setjoin-entries")
+    compared = _overlaps(_leader_pairs(lists, percent), sets, "setjoin-compared")
     linked = _links(F.col("o"), F.col("na"), F.col("nb"), percent)
-    rest = _overlaps(_open_pairs(compared.where(~linked), entries, percent), sets, "setjoin-rest")
-    links = star.unionByName(compared.where(linked).select("a", "b")).unionByName(rest.where(linked).select("a", "b"))
+    links = star.unionByName(compared.where(linked).select("a", "b")).unionByName(_open_links(compared.where(~linked), members, sets, percent))
 
     rooted = sets.join(connected_components(links, "setjoin-components"), F.col("sid") == F.col("node"), "left") \
         .select("d1", "d2", F.coalesce("root", "sid").alias("root"))
     lowest = marked.where("n > 0").groupBy("d1", "d2").agg(F.min("k").alias("lowest")).join(rooted, ["d1", "d2"], "left")
     lowest = stored(lowest, "setjoin-classes")
-    top = lowest.where("root is not null").groupBy("root").agg(F.min("lowest").alias("top"))
-    named = lowest.join(top, "root", "left").select("d1", "d2", F.coalesce("top", "lowest").alias("component_id"))
+    top = lowest.where("root is not null").groupBy("root").agg(F.min("lowest").alias("component_id"))
+    named = lowest.where("root is not null").join(top, "root").select("d1", "d2", "component_id") \
+        .unionByName(lowest.where("root is null").select("d1", "d2", F.col("lowest").alias("component_id")))
     out = marked.select("k", "n", "d1", "d2").join(named, ["d1", "d2"], "left")
     return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("k")).alias("component_id"))
 

@@ -93,16 +93,24 @@ def test_join_finds_links_that_only_followers_have(spark):
 
 
 def test_open_pairs_of_followers_are_compared(spark):
-    """Leaders x and y that don't link, a follower of each that does."""
+    """Leaders that don't link, followers that do: by shared tokens beyond a
+    leader, by being smaller, and across two followers."""
     n = 100
-    sets = {0: range(0, n), 1: range(8, n + 8), 2: range(18, n + 18), 3: range(12, n + 12)}
-    entries = spark.createDataFrame([(t, s, n, 10 ** 6, {0: 0, 1: 0, 2: 2, 3: 2}[s], {0: 0, 1: 8, 2: 0, 3: 6}[s]) for s, r in sets.items() for t in r],
-                                    "token bigint, sid bigint, n bigint, cap bigint, lead bigint, extra bigint")
-    compared = spark.createDataFrame([(0, 2, n, n, n - 18)], "a bigint, b bigint, na bigint, nb bigint, o bigint")
-    got = {tuple(r) for r in setjoin._open_pairs(compared, entries, 85).collect()}
-    assert (1, 3) in got
-    far = spark.createDataFrame([(0, 2, n, n, 10)], "a bigint, b bigint, na bigint, nb bigint, o bigint")
-    assert setjoin._open_pairs(far, entries, 85).count() == 0
+    sets = {0: range(0, n), 1: range(8, n + 8), 2: range(18, n + 18), 3: range(12, n + 12), 4: range(20, n), 5: range(18, n + 2)}
+    lead = {0: 0, 1: 0, 4: 0, 2: 2, 3: 2, 5: 2}
+    rows = [(s, len(r), lead[s], len(set(r) - set(sets[lead[s]])), np.array(sorted(set(r) - set(sets[lead[s]])), dtype=np.uint64).tobytes(),
+             np.array(r, dtype=np.uint64).tobytes()) for s, r in sets.items()]
+    members = spark.createDataFrame(rows, "sid bigint, n bigint, lead bigint, extra bigint, rest binary, h binary")
+
+    def links(o):
+        compared = spark.createDataFrame([(0, 2, n, n, o)], "a bigint, b bigint, na bigint, nb bigint, o bigint")
+        return {tuple(sorted(r)) for r in setjoin._open_links(compared, members.drop("h"), members.select("sid", "h"), 85).collect()}
+
+    want = {(x, y) for x in sets for y in sets if x < y and lead[x] != lead[y]
+            and 100 * len(set(sets[x]) & set(sets[y])) >= 85 * len(set(sets[x]) | set(sets[y]))}
+    assert (1, 3) in want and (4, 5) in want
+    assert links(n - 18) == want
+    assert links(10) == set()
 
 
 def test_join_of_a_large_family_stays_linear(spark):
@@ -118,8 +126,8 @@ def test_join_of_a_large_family_stays_linear(spark):
     marked = setjoin._digests(docs, "doc_id", "text", 4, 85)
     sets = setjoin._family_sets(docs, "text", 4, setjoin._bloom(marked, "th"))
     entries = setjoin._prefixes(sets, 85)
-    follows, _ = setjoin._followers(entries, sets, 85)
-    entries = entries.join(follows, "sid", "left").select("token", "sid", "n", "cap", F.coalesce("lead", "sid").alias("lead"))
+    members, _ = setjoin._members(entries, sets, 85)
+    entries = entries.join(members.select("sid", "lead"), "sid")
     assert setjoin._leader_pairs(entries, 85).count() < 400
 
 
