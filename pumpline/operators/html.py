@@ -6,23 +6,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# Start tags as HTML writes them: a name, then attributes after white space,
-# each a name with perhaps "=" and a value in double, single or no quotes.
-_QUOTED = r"""(?:"[^"]*"|'[^']*')"""
-_BARE = r"""[^\s>"']"""
-_OTHERS = rf"(?:\s+(?:{_BARE}+|{_QUOTED}{_BARE}*)(?:{_QUOTED}{_BARE}*)*)*?"
-VALUE = r"""("[^"]*"|'[^']*'|[^\s"'=<>`]+)"""
+# A start tag after its name: values in quotes after "=" may hold ">", all else
+# ends there.  Every repetition is possessive, so a match takes one step per
+# character and no stack however long the tag; an unclosed tag matches too
+# (without its ">") and is skipped as a whole, never scanned again.
+_BODY = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+# One attribute: a name, then perhaps "=" and a value in double, single or no quotes.
+_ATTRIBUTE = r"""([^\s/>="'][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
 
 
-def attr_pattern(tag: str, attr: str) -> str:
-    """Case-insensitive pattern of a ``tag`` start tag with ``attr``; group 1
-    is the value as written, quotes included (see ``unquoted``)."""
-    return rf"(?i)<{tag}{_OTHERS}\s+{attr}\s*=\s*{VALUE}"
+def start_tags(html: Column, tag: str) -> Column:
+    """The text of every complete ``tag`` start tag, in order."""
+    found = F.regexp_extract_all(html, F.lit(rf"(?i)<{tag}(?=[\s/>]){_BODY}>?+"), F.lit(0))
+    return F.filter(found, lambda t: t.endswith(">"))
+
+
+def attr_value(start_tag: Column, tag: str, attr: str) -> Column:
+    """The value of the first attribute of that name in one start tag, without
+    its quotes; null if it is missing or has no value."""
+    inner = F.substr(start_tag, F.lit(len(tag) + 2), F.length(start_tag) - F.lit(len(tag) + 2))
+    names = F.transform(F.regexp_extract_all(inner, F.lit(_ATTRIBUTE), F.lit(1)), F.lower)
+    at = F.array_position(names, attr.lower()).cast("int") - 1
+    return unquoted(F.nullif(F.get(F.regexp_extract_all(inner, F.lit(_ATTRIBUTE), F.lit(2)), at), F.lit("")))
+
+
+def attr_values(html: Column, tag: str, attr: str) -> Column:
+    """``attr_value`` of every start tag that has one, in order."""
+    return F.filter(F.transform(start_tags(html, tag), lambda t: attr_value(t, tag, attr)), lambda v: v.isNotNull())
 
 
 def unquoted(value: Column) -> Column:
     """An attribute value without the quotes around it."""
-    return F.regexp_replace(value, r"""^["']|["']$""", "")
+    quoted = value.startswith('"') | value.startswith("'")
+    return F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
 SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
@@ -86,41 +102,57 @@ def page_links(pages: DataFrame, tag: str = "a", attr: str = "href", id_col: str
     first-occurrence rule a group by (page, url) whose partial aggregation
     runs before the shuffle.
     """
-    found = pages.select(id_col, url_col,
-                         F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(attr_pattern(tag, attr)), 1))
-                         .alias("raw_pos", "raw_link"))
-    found = found.withColumn("raw_link", unquoted(F.col("raw_link"))).filter(F.col("raw_link") != "")
+    found = pages.select(id_col, url_col, F.posexplode(attr_values(F.col(html_col), tag, attr)).alias("raw_pos", "raw_link")) \
+        .filter(F.col("raw_link") != "")
     resolved = found.withColumn("link", resolve_url(F.col(url_col), F.col("raw_link")))
     return resolved.groupBy(id_col, "link").agg(F.min("raw_pos").alias("first_pos"))
 
 
-def _meta_pair(name: str, value: str) -> list[str]:
-    """Patterns for the content of the meta tag whose ``name`` is ``value``,
-    for either order of the two attributes."""
-    named = rf"\s+{name}\s*=\s*[\"']?{value}[\"']?"
-    return [rf"(?i)<meta{_OTHERS}{named}{_OTHERS}\s+content\s*=\s*{VALUE}",
-            rf"(?i)<meta{_OTHERS}\s+content\s*=\s*{VALUE}{_OTHERS}{named}[\s/>]"]
+def attribute(tag: str, attr: str):
+    """Finder of the first ``attr`` value of a ``tag``."""
+    return lambda html: F.get(attr_values(html, tag, attr), 0)
+
+
+def meta_content(name: str, value: str):
+    """Finder of the content of the first meta tag whose ``name`` is ``value``."""
+    def find(html: Column) -> Column:
+        pairs = F.transform(start_tags(html, "meta"), lambda t: F.struct(F.lower(attr_value(t, "meta", name)).alias("n"),
+                                                                        attr_value(t, "meta", "content").alias("v")))
+        return F.get(F.filter(pairs, lambda p: (p["n"] == value.lower()) & p["v"].isNotNull()), 0)["v"]
+    return find
+
+
+def meta_charset(html: Column) -> Column:
+    """The charset that the content of a meta tag names after a semicolon."""
+    named = F.transform(attr_values(html, "meta", "content"), lambda v: F.regexp_extract(v, r"(?i);\s*+charset\s*+=\s*+([a-z0-9_-]++)", 1))
+    return F.get(F.filter(named, lambda v: v != ""), 0)
+
 
+def element_text(tag: str):
+    """Finder of the text of the first ``tag`` that holds text only."""
+    pattern = rf"(?i)<{tag}(?=[\s/>]){_BODY}(>[^<]*+</{tag}\s*+>)?+"
 
-def _element_text(tag: str) -> str:
-    return rf"(?i)<{tag}{_OTHERS}\s*>([^<]*)</{tag}\s*>"
+    def find(html: Column) -> Column:
+        closed = F.filter(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), lambda t: t != "")
+        return F.regexp_extract(F.get(closed, 0), r"^>([^<]*+)<", 1)
+    return find
 
 
-# Ordered patterns for the page fields (first match wins).
-TITLE_PATTERNS = [*_meta_pair("property", "og:title"), _element_text("title"), _element_text("h1")]
-CHARSET_PATTERNS = [attr_pattern("meta", "charset"),
-                    rf"(?i)<meta{_OTHERS}\s+content\s*=\s*[\"'][^\"'>]*;\s*charset\s*=\s*([A-Za-z0-9_-]+)"]
-LANG_PATTERNS = [attr_pattern("html", "lang")]
+# Ordered finders of the page fields (first match wins).
+TITLE = [meta_content("property", "og:title"), element_text("title"), element_text("h1")]
+CHARSET = [attribute("meta", "charset"), meta_charset]
+LANG = [attribute("html", "lang")]
 
 
-def first_match(text: Column, patterns: list[str], group: int = 1) -> Column:
-    """Group ``group`` of the first pattern that matches and is not empty,
-    else null; values of attributes come without their quotes."""
-    found = [(F.regexp_extract(text, p, group), p) for p in patterns]
-    return F.coalesce(*[F.nullif(unquoted(v) if VALUE in p else v, F.lit("")) for v, p in found])
+def first_match(text: Column, finders: list, group: int = 1) -> Column:
+    """The first result that is not empty, else null.  A finder is a function
+    of the text, or a pattern whose group ``group`` is taken."""
+    found = [F.regexp_extract(text, f, group) if isinstance(f, str) else f(text) for f in finders]
+    return F.coalesce(*[F.nullif(v, F.lit("")) for v in found])
 
 
-def first_match_extract(pages: DataFrame, fields: dict[str, list[str]] | None = None,
+def first_match_extract(pages: DataFrame, fields: dict[str, list] | None = None,
                         id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    fields = fields or {"title": TITLE_PATTERNS, "charset": CHARSET_PATTERNS, "lang": LANG_PATTERNS}
-    return pages.select(id_col, *[first_match(F.col(html_col), pats).alias(name) for name, pats in fields.items()])
+    """The named fields of every page, each by its ordered finders."""
+    fields = fields or {"title": TITLE, "charset": CHARSET, "lang": LANG}
+    return pages.select(id_col, *[first_match(F.col(html_col), finders).alias(name) for name, finders in fields.items()])

@@ -157,6 +157,29 @@ def test_titles_in_either_attribute_order(spark):
     assert {r.page_id: r.title for r in html.first_match_extract(df).collect()} == {1: "T1", 2: "T2", 3: "T3", 4: "T4", 5: None}
 
 
+def test_long_and_unclosed_tags(spark):
+    """Linear time and no deep recursion on tags of any length."""
+    many = " ".join(f'data-a{i}="v{i} > x"' for i in range(10_000))
+    pages = [(1, f"<a {many} href='/far'>x</a><a href=/near>"), (2, "<a " + "word " * 200_000), (3, '<a title="open ' + "word " * 200_000 + "<a href='/in'>"),
+             (4, "<a " * 100_000 + "href=/last>"), (5, "<a href" + " " * 500_000 + "= '/spaced'>"), (6, '<a href="/once" href="/twice"><a href><a href=><a HREF=/up/>'),
+             (7, "<title " * 50_000 + ">T</title>"), (8, None), (9, ""), (10, "<html lang=pt " + "x " * 100_000 + "><meta " + many + " charset=utf-8>")]
+    df = spark.createDataFrame([(i, "https://h.example.com/", h) for i, h in pages], "page_id bigint, url string, html string")
+    got = {}
+    for r in html.page_links(df).collect():
+        got.setdefault(r.page_id, {})[r.first_pos] = r.link.removeprefix("https://h.example.com")
+    assert got == {1: {0: "/far", 1: "/near"}, 3: {0: "/in"}, 4: {0: "/last"}, 5: {0: "/spaced"}, 6: {0: "/once", 1: "/up/"}}
+    fields = {r.page_id: (r.title, r.charset, r.lang) for r in html.first_match_extract(df).collect()}
+    assert fields[7] == ("T", None, None) and fields[10] == (None, "utf-8", "pt") and fields[8] == (None, None, None)
+
+
+def test_charset_in_the_content_of_a_meta_tag(spark):
+    pages = [(1, "<meta http-equiv=x content='text/html; charset=ISO-8859-1'>"), (2, '<meta content="a"><meta content="b;CHARSET = x_1">'),
+             (3, "<meta content='text/html'>"), (4, "<title></title><h1>H</h1>")]
+    df = spark.createDataFrame(pages, "page_id bigint, html string")
+    assert [(r.charset, r.title) for r in html.first_match_extract(df).orderBy("page_id").collect()] == [
+        ("ISO-8859-1", None), ("x_1", None), (None, None), (None, "H")]
+
+
 def test_means_use_prices_as_they_are(spark):
     """Prices with five and eight decimals are not rounded before the mean."""
     from pumpline.operators import gold as goldops, series

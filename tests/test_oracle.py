@@ -6,7 +6,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from pumpline.plans.registry import ORACLE_SQL
 
 TABLES = ["region", "nation", "customer", "events", "pages"]
 
@@ -38,9 +39,13 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
-def test_query_matches_oracle(spark, con, sf_small, name):
-    s = queries()[name](spark, sf_small).toArrow()
-    d = con.sql(oracle_sql()[name]).to_arrow_table()
+def assert_matches(spark, con, sf, query, sql):
+    s = query(spark, sf).toArrow()
+    d = con.sql(sql).to_arrow_table()
     assert {f.name: str(f.type) for f in s.schema} == {f.name: str(f.type) for f in d.schema}
     assert _rows(s.to_pandas()) == _rows(d.to_pandas())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_matches_oracle(spark, con, sf_small, name):
+    assert_matches(spark, con, sf_small, queries()[name], ORACLE_SQL[name])
