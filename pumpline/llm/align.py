@@ -10,9 +10,9 @@ ends at the token that ends with its group.  Doubling all pointers at once
 chain, for all tokens of a block together; the terminal labels the group.
 
 Neither tokenizer joins characters over a space between two other characters,
-so texts are cut at such spaces into units, and each distinct unit of a batch
-is tokenised and aligned once; both sides end a token before such a space.
-A document's figures are sums over its units.
+so texts are cut at such spaces into units, and each distinct unit that a task
+does not know yet is tokenised and aligned once; both sides end a token before
+such a space.  A document's figures are sums over its units.
 
 How often each pair of ids overlaps is counted over the corpus with a grouped
 sum.  Documents keep their distinct pairs; the counts come back to them as a
@@ -23,7 +23,6 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from pumpline.llm.common import stored
 
 LOOKUP = 4_000_000     # pairs of a table that is broadcast: 64 MB
-KNOWN_UNITS = 100_000  # aligned units that a task keeps
+KNOWN_UNITS = 250_000  # aligned units that a task keeps
 KNOWN_CHARS = 64       # longest unit that is kept
 BLOCK_CHARS = 1 << 18  # text that is aligned at a time
 
@@ -74,10 +73,17 @@ class Tokenizers:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
         self.a_size, self.b_size = (np.array([len(x) for x in y], dtype=np.int64) for y in (self.a_bytes, self.b_bytes))
+        # Every id as text with "," after it, and with the mark that ends its side of a group.
+        self.a_text, self.b_text = ([[b"%d%s" % (t, mark) for mark in (b",", end) for t in range(len(x))]
+                                     for x, end in ((self.a_bytes, b"|"), (self.b_bytes, b";"))])
 
-    def encode(self, units: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of both sides for each unit, one thread."""
-        return [(self.a.encode(" " + u, add_special_tokens=False).ids, self.b.encode(u)) for u in units]
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of both sides for space + text; None where a side's bytes differ from that."""
+        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        whole = b" " + text.encode("utf-8", "surrogatepass")
+        if not text or b"".join([self.a_bytes[t] for t in a]) != whole or b"".join([self.b_bytes[t] for t in b]) != whole:
+            return None
+        return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
 
 
 def groups_of(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,51 +105,53 @@ def groups_of(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndar
     return label[:na], label[na:]
 
 
-@dataclass
-class Aligned:
-    """One unit: sizes, its groups as text, its overlapping id pairs (repeats included)."""
-    n_a: int
-    n_b: int
-    n_groups: int
-    text: bytes
-    pairs: np.ndarray
+# A unit's answer: its tokens of A and B and its groups, packed in one number
+# (40 bits each); its groups as text; its overlapping pairs, as bytes.
+Aligned = tuple[int, bytes, bytes]
+_FIELD = 40
 
 
 def align(both: Tokenizers, units: list[str]) -> list[Aligned | None]:
-    """Aligns ``units``; None where a side's bytes are not space + unit."""
-    ids = both.encode(units)
+    """Aligns ``units``; None where a side's bytes are not space + unit.
+    Units without white space at their ends are tokenised in one text, which
+    both sides cut between them; if that is not given back, each by itself."""
     out: list[Aligned | None] = [None] * len(units)
-    fine = []
-    for i, (unit, (a, b)) in enumerate(zip(units, ids)):
-        whole = b" " + unit.encode("utf-8", "surrogatepass")
-        if b"".join([both.a_bytes[t] for t in a]) == whole and b"".join([both.b_bytes[t] for t in b]) == whole:
-            fine.append(i)
-    if not fine:
-        return out
-    a = np.fromiter((t for i in fine for t in ids[i][0]), dtype=np.int64)
-    b = np.fromiter((t for i in fine for t in ids[i][1]), dtype=np.int64)
-    a_end, b_end = np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b])
-    # An entry of no bytes would end where the one before it ends; neither vocabulary uses one.
+    plain = [i for i, u in enumerate(units) if u and not u[0].isspace() and not u[-1].isspace()]
+    ids = both.encode(" ".join([units[i] for i in plain])) if len(plain) > 1 else None
+    if ids is not None:
+        for i, x in zip(plain, _aligned(both, *ids, [len(units[i].encode()) + 1 for i in plain])):
+            out[i] = x
+        plain = set(plain)
+    else:
+        plain = ()
+    for i, u in enumerate(units):
+        if i not in plain and (ids := both.encode(u)) is not None:
+            out[i] = _aligned(both, *ids, [len(u.encode()) + 1])[0]
+    return out
+
+
+def _aligned(both: Tokenizers, a: np.ndarray, b: np.ndarray, sizes: list[int]) -> list[Aligned]:
+    """Answers of units of these sizes in bytes, whose tokens follow each other."""
+    a_end, b_end, unit_end = np.cumsum(both.a_size[a]), np.cumsum(both.b_size[b]), np.cumsum(sizes)
     a_group, b_group = groups_of(a_end, b_end)
-    a_at = np.cumsum([0, *(len(ids[i][0]) for i in fine)])
-    b_at = np.cumsum([0, *(len(ids[i][1]) for i in fine)])
     first = np.searchsorted(b_end, a_end - both.a_size[a], side="right")
     wide = np.searchsorted(b_end, a_end) - first + 1  # B tokens that each A token overlaps
     begin = np.concatenate([[0], np.cumsum(wide)])
     partner = np.repeat(first - begin[:-1], wide) + np.arange(begin[-1])
-    pairs = np.repeat(a, wide) * len(both.b_bytes) + b[partner]
+    pairs = (np.repeat(a, wide) * len(both.b_bytes) + b[partner]).tobytes()
     # Text: within a group the A ids, then the B ids; "," between, "|" after A's, ";" after B's.
     a_last, b_last = np.append(a_group[1:] != a_group[:-1], True), np.append(b_group[1:] != b_group[:-1], True)
-    marked_a = [b"%d%s" % (t, b"|" if e else b",") for t, e in zip(a.tolist(), a_last.tolist())]
-    marked_b = [b"%d%s" % (t, b";" if e else b",") for t, e in zip(b.tolist(), b_last.tolist())]
-    place_a = np.arange(len(a)) + np.searchsorted(b_group, a_group)
-    place_b = np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")
     words = np.empty(len(a) + len(b), dtype=object)
-    words[place_a], words[place_b] = marked_a, marked_b
+    words[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = [both.a_text[t] for t in (a + a_last * len(both.a_bytes)).tolist()]
+    words[np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")] = [both.b_text[t] for t in (b + b_last * len(both.b_bytes)).tolist()]
     words = words.tolist()
-    for k, i in enumerate(fine):
-        s, e, t, f = int(a_at[k]), int(a_at[k + 1]), int(b_at[k]), int(b_at[k + 1])
-        out[i] = Aligned(e - s, f - t, int(a_group[e - 1] - a_group[s]) + 1, b"".join(words[s + t:e + f])[:-1], pairs[begin[s]:begin[e]])
+    to_a, to_b = np.searchsorted(a_end, unit_end) + 1, np.searchsorted(b_end, unit_end) + 1
+    groups = a_group[to_a - 1] + 1
+    ends = zip(to_a.tolist(), to_b.tolist(), groups.tolist(), begin[to_a].tolist())
+    out, s, t, g, p = [], 0, 0, 0, 0
+    for e, f, h, q in ends:
+        out.append(((e - s) + ((f - t) << _FIELD) + ((h - g) << 2 * _FIELD), b"".join(words[s + t:e + f])[:-1], pairs[8 * p:8 * q]))
+        s, t, g, p = e, f, h, q
     return out
 
 
@@ -151,16 +159,18 @@ class _Sums:
     """What a document's units add up to; a unit that is not given back leaves it without tokens."""
 
     def __init__(self):
-        self.n, self.pairs, self.digest, self.ok = np.zeros(4, dtype=np.int64), [], hashlib.sha256(), True
+        self.n, self.links, self.pairs, self.digest, self.ok = 0, 0, [], hashlib.sha256(), True
 
     def add(self, units: list[Aligned | None]) -> None:
         self.ok = self.ok and None not in units
         if self.ok:
-            if self.n[0]:
+            n, text, pairs = zip(*units)
+            if self.n:
                 self.digest.update(b";")
-            self.digest.update(b";".join([x.text for x in units]))
-            pairs = np.concatenate([x.pairs for x in units])
-            self.n += sum(x.n_a for x in units), sum(x.n_b for x in units), sum(x.n_groups for x in units), len(pairs)
+            self.digest.update(b";".join(text))
+            pairs = np.frombuffer(b"".join(pairs), dtype=np.int64)
+            self.n += sum(n)
+            self.links += len(pairs)
             self.pairs.append(np.unique(pairs, return_counts=True))
 
     def row(self) -> tuple:
@@ -170,7 +180,8 @@ class _Sums:
         if len(self.pairs) > 1:
             kinds, at = np.unique(np.concatenate([k for k, _ in self.pairs]), return_inverse=True)
             times = np.bincount(at, weights=np.concatenate([t for _, t in self.pairs]))
-        return *self.n.tolist(), self.digest.hexdigest(), kinds, times.astype(np.int32)
+        mask = (1 << _FIELD) - 1
+        return self.n & mask, self.n >> _FIELD & mask, self.n >> 2 * _FIELD, self.links, self.digest.hexdigest(), kinds, times.astype(np.int32)
 
 
 def _blocks(texts: pa.Array) -> Iterator[list[tuple[int, list[str]]]]:
@@ -211,7 +222,7 @@ def aligned_documents(docs: DataFrame, a_path: str, b_path: str, key: str = "doc
                     fresh = list({u for _, units in block for u in units})
                 new = dict(zip(fresh, align(both, fresh)))
                 for row, units in block:
-                    rows[row].add([known.get(u) or new.get(u) for u in units])
+                    rows[row].add([known[u] if u in known else new[u] for u in units])
                 known.update((u, x) for u, x in new.items() if len(u) <= KNOWN_CHARS and x)
             cols = list(zip(*(r.row() for r in rows))) or [()] * 7
             yield pa.record_batch([batch.column("k"), *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.string()),
