@@ -1,12 +1,12 @@
 """Registered streaming queries.
 
-The streams run over the raw tree derived from the driver's tables
-(``plans.snapshots``) with ``availableNow`` triggers: each processes every
-file present, in several micro-batches, and stops.  The tree's files come in
-no order of event time, so the watermark here spans the whole history and no
-row is late.  The chain (silver -> dedup -> gold / daily / window
-means) runs once per application and sf and is reused by later queries.
-Their SQL twins are the batch answers over the same rows.
+The runs of the raw tree derived from the driver's tables (``plans.snapshots``)
+are delivered in ``ROUNDS`` rounds in the order of their collection, as a
+collector would, and the chain (silver -> gold and dedup -> daily and price
+drops) runs after each round with ``availableNow`` triggers, under the 72 h
+watermark of production.  It runs once per application and sf and is reused by
+later queries.  The SQL twins are the batch answers over the same rows as far
+as the watermark has come: what is final.
 """
 
 from __future__ import annotations
@@ -14,27 +14,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import GOLD_KEY
-from ..session import app_key
+from ..schema import GOLD_KEY, OBS_KEY, QUERY_HOURS, SILVER_COLUMNS
+from ..session import app_key, scratch_path
+from ..sinks import raw as rawsink
 from ..sources.raw import scan_table
 from ..streaming import jobs
-from .raw_registry import _raw_ctes, raw_silver, tree
+from .raw_registry import _raw_ctes, raw, raw_silver, tree
+from .snapshots import run_number
 
 DROP_HOURS, DROP_PCT, SLIDE_HOURS = 24, 3.0, 12
-RAW_FILES, FILES, WATERMARK = 40, 6, "3650 days"
-_OBS = jobs.OBS_COLUMNS
+ROUNDS, SHORT_HOURS = 3, 12
 _CHAIN: dict[str, dict[str, str]] = {}
 
 
+def _delivered(spark: SparkSession, sf: str, root: str):
+    """Put the tree's runs under ``root``, a round at a time, oldest collections first."""
+    runs = raw(spark, sf).withColumn("_c", run_number())
+    n = runs.agg(F.max("_c")).first()[0] + 1
+    for i in range(ROUNDS):
+        rawsink.write_raw_jsonl(runs.filter(F.floor((n - 1 - F.col("_c")) * ROUNDS / n) == i).drop("_c"), root)
+        yield i
+
+
 def chain(spark: SparkSession, sf: str) -> dict[str, str]:
     key = f"{app_key(spark)}|{sf}"
-    c = _CHAIN.get(key)
-    if c is None:
-        ch = jobs.run_chain(spark, tree(spark, sf).data_root, window_hours=DROP_HOURS, watermark=WATERMARK,
-                            raw_files_per_trigger=RAW_FILES, files_per_trigger=FILES)
-        c = {"silver": ch.silver, "dedup": ch.dedup, "gold": ch.gold, "daily": ch.daily, "windows": ch.windows}
-        _CHAIN[key] = c
-    return c
+    if key not in _CHAIN:
+        root = scratch_path(spark, "stream-chain")
+        late = 0
+        for _ in _delivered(spark, sf, f"{root}/incoming"):
+            ch = jobs.run_chain(spark, f"{root}/incoming", out_root=root, window_hours=DROP_HOURS, pct_drop=DROP_PCT)
+            run = jobs.stream_dedup(spark, ch.silver, out=f"{root}/short", watermark=f"{SHORT_HOURS} hours")
+            late += jobs.watermark_drops(run)
+        _CHAIN[key] = {"silver": ch.silver, "dedup": ch.dedup, "gold": ch.gold, "daily": ch.daily, "drops": ch.drops, "late": late}
+    return _CHAIN[key]
 
 
 _LAYERS: dict[str, object] = {}
@@ -43,7 +55,6 @@ _LAYERS: dict[str, object] = {}
 def stream_layers(spark: SparkSession, sf: str):
     """Layers filled by the streaming merge, 40 files per micro-batch so the
     merge runs over many epochs."""
-    from ..session import scratch_path
     from . import medallion
     key = f"{app_key(spark)}|{sf}"
     if key not in _LAYERS:
@@ -54,12 +65,10 @@ def stream_layers(spark: SparkSession, sf: str):
 
 
 def q_stream_layers_silver(spark, sf) -> DataFrame:
-    from ..schema import SILVER_COLUMNS
     return spark.read.parquet(stream_layers(spark, sf).silver).select(*SILVER_COLUMNS)
 
 
 def q_stream_layers_gold(spark, sf) -> DataFrame:
-    from ..schema import SILVER_COLUMNS
     return scan_table(spark, stream_layers(spark, sf).gold).select(*SILVER_COLUMNS)
 
 
@@ -68,16 +77,15 @@ def q_stream_layers_timeseries_base(spark, sf) -> DataFrame:
 
 
 def q_stream_bronze_silver(spark, sf) -> DataFrame:
-    from ..schema import SILVER_COLUMNS
     return spark.read.parquet(chain(spark, sf)["silver"]).select(*SILVER_COLUMNS)
 
 
 def q_stream_dedup(spark, sf) -> DataFrame:
-    return spark.read.parquet(chain(spark, sf)["dedup"]).select(*_OBS)
+    return spark.read.parquet(chain(spark, sf)["dedup"]).select(*SILVER_COLUMNS)
 
 
 def q_stream_gold_latest(spark, sf) -> DataFrame:
-    return jobs.read_gold(spark, chain(spark, sf)["gold"]).select(*_OBS)
+    return jobs.read_gold(spark, chain(spark, sf)["gold"]).select(*SILVER_COLUMNS)
 
 
 def q_stream_daily(spark, sf) -> DataFrame:
@@ -86,16 +94,19 @@ def q_stream_daily(spark, sf) -> DataFrame:
 
 
 def q_stream_price_drop(spark, sf) -> DataFrame:
-    means = jobs.read_windows(spark, chain(spark, sf)["windows"])
-    return jobs.window_drops(means, hours=DROP_HOURS, pct_drop=DROP_PCT)
+    return spark.read.parquet(chain(spark, sf)["drops"])
 
 
 def q_stream_price_drop_sliding(spark, sf) -> DataFrame:
     c = chain(spark, sf)
     if "sliding" not in c:
-        c["sliding"] = jobs.stream_window_means(spark, c["dedup"], hours=DROP_HOURS, slide_hours=SLIDE_HOURS,
-                                                watermark=WATERMARK, max_files_per_trigger=FILES).output
-    return jobs.window_drops(jobs.read_windows(spark, c["sliding"]), hours=DROP_HOURS, pct_drop=DROP_PCT)
+        c["sliding"] = jobs.stream_price_drop(spark, c["dedup"], hours=DROP_HOURS, pct_drop=DROP_PCT, slide_hours=SLIDE_HOURS).output
+    return spark.read.parquet(c["sliding"])
+
+
+def q_stream_late_rows(spark, sf) -> DataFrame:
+    """Observations of each round that a watermark of SHORT_HOURS drops as late."""
+    return spark.range(1).select(F.lit(chain(spark, sf)["late"]).cast("bigint").alias("late_rows"))
 
 
 def q_late_data_report(spark, sf) -> DataFrame:
@@ -118,42 +129,56 @@ QUERIES = {
     "stream_daily": q_stream_daily,
     "stream_price_drop": q_stream_price_drop,
     "stream_price_drop_sliding": q_stream_price_drop_sliding,
+    "stream_late_rows": q_stream_late_rows,
     "late_data_report": q_late_data_report,
 }
 
-_OBS_SQL = ", ".join(_OBS)
+_COLS_SQL = ", ".join(SILVER_COLUMNS)
 _BUCKET_US = DROP_HOURS * 3_600_000_000
 _SLIDE_US = SLIDE_HOURS * 3_600_000_000
-_WIN = f"make_timestamp((epoch_us(price_ts) // {_BUCKET_US}) * {_BUCKET_US})"
 _MEAN = "avg(price_unit)"
 
+
+def _passed(hours: int = QUERY_HOURS, time: str = "price_ts") -> str:
+    """The watermark once the rows at hand are read, in whole milliseconds."""
+    return f"date_trunc('millisecond', max({time})) - INTERVAL {hours} HOUR"
+
+
+# What dedup has emitted, and the ends of the windows that are final there.
+_FINAL = f""", final AS (SELECT * FROM silver WHERE price_ts <= (SELECT {_passed()} FROM silver)),
+closed AS (SELECT {_passed()} AS t FROM final)"""
+
+
+def _drops_sql(starts: str, source: str) -> str:
+    return _raw_ctes(f"""{_FINAL}
+, w AS (SELECT fuel_type, cnpj, {starts} AS ws, max(station_name) AS station_name, max(city) AS city, max(uf) AS uf, {_MEAN} AS m
+        FROM {source} GROUP BY ALL)
+SELECT c.fuel_type, c.cnpj, c.station_name, c.city, c.uf, c.ws AS window_start, c.m AS avg_last, p.m AS avg_prev,
+       100 * (1 - c.m / p.m) AS pct_drop
+FROM w c JOIN w p ON c.fuel_type = p.fuel_type AND c.cnpj = p.cnpj AND c.ws = p.ws + INTERVAL {DROP_HOURS} HOUR
+WHERE 100 * (1 - c.m / p.m) >= {DROP_PCT} AND c.ws + INTERVAL {DROP_HOURS} HOUR <= (SELECT t FROM closed)""")
+
+
 ORACLE_SQL = {
-    "stream_bronze_silver": _raw_ctes("SELECT * EXCLUDE () FROM raw_silver".replace(" EXCLUDE ()", "")),
-    "stream_dedup": _raw_ctes(f"SELECT {_OBS_SQL} FROM silver"),
-    "stream_gold_latest": _raw_ctes(f"""SELECT {_OBS_SQL} FROM (
+    "stream_bronze_silver": _raw_ctes("SELECT * FROM raw_silver"),
+    "stream_dedup": _raw_ctes(f"{_FINAL} SELECT {_COLS_SQL} FROM final"),
+    "stream_gold_latest": _raw_ctes(f"""SELECT {_COLS_SQL} FROM (
   SELECT *, row_number() OVER (PARTITION BY {", ".join(GOLD_KEY)} ORDER BY price_ts DESC) AS rn FROM silver)
 WHERE rn = 1"""),
-    "stream_daily": _raw_ctes(f"""
+    "stream_daily": _raw_ctes(f"""{_FINAL}
 SELECT CAST(date_trunc('day', price_ts) AS TIMESTAMP) AS day, fuel_type, {_MEAN} AS avg_price_unit,
        min(price_unit) AS min_price_unit, max(price_unit) AS max_price_unit, count(*) AS samples
-FROM silver GROUP BY ALL"""),
-    "stream_price_drop": _raw_ctes(f"""
-, w AS (SELECT fuel_type, cnpj, {_WIN} AS window_start, max(station_name) AS station_name, max(city) AS city,
-               max(uf) AS uf, {_MEAN} AS m FROM silver GROUP BY fuel_type, cnpj, {_WIN})
-SELECT c.fuel_type, c.cnpj, c.station_name, c.city, c.uf, c.window_start, c.m AS avg_last, p.m AS avg_prev,
-       (p.m - c.m) / nullif(p.m, 0) * 100 AS pct_drop
-FROM w c JOIN w p ON c.fuel_type = p.fuel_type AND c.cnpj = p.cnpj
- AND c.window_start = p.window_start + INTERVAL {DROP_HOURS} HOUR
-WHERE (p.m - c.m) / nullif(p.m, 0) * 100 >= {DROP_PCT}"""),
-    "stream_price_drop_sliding": _raw_ctes(f"""
-, w AS (SELECT fuel_type, cnpj, ws, max(station_name) AS station_name, max(city) AS city, max(uf) AS uf, {_MEAN} AS m
-        FROM (SELECT *, unnest(range({DROP_HOURS // SLIDE_HOURS})) AS k FROM silver) s,
-             LATERAL (SELECT make_timestamp((epoch_us(price_ts) // {_SLIDE_US} - k) * {_SLIDE_US}) AS ws) l
-        GROUP BY fuel_type, cnpj, ws)
-SELECT c.fuel_type, c.cnpj, c.station_name, c.city, c.uf, c.ws AS window_start, c.m AS avg_last, p.m AS avg_prev,
-       100 * (1 - c.m / p.m) AS pct_drop
-FROM w c JOIN w p ON c.fuel_type = p.fuel_type AND c.cnpj = p.cnpj AND c.ws = p.ws + INTERVAL {DROP_HOURS} HOUR
-WHERE 100 * (1 - c.m / p.m) >= {DROP_PCT}"""),
+FROM final GROUP BY ALL"""),
+    "stream_price_drop": _drops_sql(f"make_timestamp((epoch_us(price_ts) // {_BUCKET_US}) * {_BUCKET_US})", "final"),
+    "stream_price_drop_sliding": _drops_sql(f"make_timestamp((epoch_us(price_ts) // {_SLIDE_US} - k) * {_SLIDE_US})",
+                                            f"(SELECT *, unnest(range({DROP_HOURS // SLIDE_HOURS})) AS k FROM final)"),
+    "stream_late_rows": _raw_ctes(f"""
+, n AS (SELECT max(collection) + 1 AS n FROM snap),
+r AS (SELECT *, (n - 1 - collection) * {ROUNDS} // n AS round FROM snap, n),
+m AS (SELECT round, max(max(price_ts)) OVER (ORDER BY round) AS t FROM r GROUP BY round)
+SELECT count(*) AS late_rows
+FROM (SELECT DISTINCT r.round, {", ".join(OBS_KEY)} FROM r JOIN m ON m.round = r.round - 1
+      WHERE price_ts <= date_trunc('millisecond', m.t) - INTERVAL {SHORT_HOURS} HOUR)"""),
     "late_data_report": _raw_ctes("""
 , l AS (SELECT fuel_type, (epoch_us(collected_at) - epoch_us(price_ts)) // 1000000 AS s FROM raw_silver)
 SELECT fuel_type, count(*) AS rows, max(s) / 3600.0 AS max_lag_h, sum(s) / count(s) / 3600.0 AS mean_lag_h,
@@ -163,7 +188,6 @@ SELECT fuel_type, count(*) AS rows, max(s) / 3600.0 AS max_lag_h, sum(s) / count
        true AS quantiles_near_exact
 FROM l GROUP BY fuel_type"""),
 }
-ORACLE_SQL["stream_bronze_silver"] = _raw_ctes("SELECT * FROM raw_silver")
 
 
 def _layer_sql():

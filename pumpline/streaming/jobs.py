@@ -1,5 +1,5 @@
 """Structured Streaming forms of ingestion, dedup, latest price and daily
-aggregates.
+aggregates, price drops.
 
 Stages are chained through files, the way a medallion layout runs in
 production: raw JSONL -> silver stream (parquet sink) -> dedup stream ->
@@ -27,6 +27,7 @@ from ..functions.timeconv import instant_to_utc_ntz, utc_ntz_to_instant
 from ..operators.silver import silver_flatten, silver_typed
 from ..schema import GOLD_KEY, OBS_KEY, QUERY_HOURS, RAW_SCHEMA, SILVER_COLUMNS
 from ..session import app_key, scratch_path
+from ..sinks import versions
 from ..sources.raw import DATA_GLOB
 
 WATERMARK = f"{QUERY_HOURS} hours"
@@ -129,52 +130,65 @@ def silver_stream(spark: SparkSession, silver_path: str, max_files_per_trigger:
 
 def stream_dedup(spark: SparkSession, silver_path: str, out: str | None = None, watermark: str = WATERMARK,
                  max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamRun:
-    """Drop re-collected observations across runs.
-
-    State holds each observation key until the watermark (newest event time
-    seen minus ``watermark``) passes it, so state size is the keys of one
-    watermark span, not of the history.  The first copy to arrive is kept.
-    A copy arriving after the watermark passed its event time is dropped as
-    late (counted in the query progress as rows dropped by watermark).
+    """One row per observation, its earliest collection, emitted once it is
+    final: when the watermark (newest event time seen minus ``watermark``)
+    has passed the observation.
+
+    The copies of a key are reduced within each task before the shuffle, so a
+    hot key costs one row per task and batch; the state keeps the earliest
+    copy of every key of one watermark span.  A copy arriving after its
+    observation is final is dropped as late (counted in the query progress).
     """
     out = out or scratch_path(spark, "stream-dedup")
     s = (silver_stream(spark, silver_path, max_files_per_trigger)
          .filter(F.col("event_time").isNotNull() & F.col("cnpj").isNotNull() & F.col("product_code").isNotNull())
-         .withWatermark("event_time", watermark)
-         .dropDuplicatesWithinWatermark(OBS_KEY))
-    w = s.writeStream.format("parquet").option("path", out).outputMode("append")
+         .withWatermark("event_time", watermark))
+    rest = [c for c in s.columns if c not in (*OBS_KEY, "event_time")]
+    first = s.groupBy(*OBS_KEY, "event_time").agg(F.min_by(F.struct(*rest), F.struct("collected_at", "run_id")).alias("_row"))
+    rows = first.select(*OBS_KEY, "_row.*").select(*[c for c in s.columns if c != "event_time"])
+    w = rows.writeStream.format("parquet").option("path", out).outputMode("append")
     return _run(w, out, out + "-ckpt", available_now)
 
 
-def stream_gold_latest(spark: SparkSession, dedup_path: str, out: str | None = None,
+def stream_gold_latest(spark: SparkSession, silver_path: str, out: str | None = None,
                        available_now: bool = True, wait: bool = True, max_files_per_trigger: int | None = None) -> StreamRun:
     """Latest row per (cnpj, product_code), kept current by a streaming
-    aggregation (one state row per key: the number of station products, not
-    of observations).
-
-    Each epoch writes the complete current table to ``out/epoch=<n>`` with
-    overwrite, so a retried epoch rewrites the same folder; readers take the
-    newest epoch (``read_gold``).
+    aggregation over all collected copies (one state row per key: the number
+    of station products, not of observations).  Of an observation's copies
+    the earliest collection counts, as after dedup.
+
+    Update mode: an epoch holds the keys that it touched.  They are merged
+    into the stored table by replacing the buckets of their stations only,
+    as a new version beside the old one, so an epoch writes what it touches
+    and a retried epoch leaves the same rows (``read_gold``).
     """
     out = out or scratch_path(spark, "stream-gold")
-    s = silver_stream(spark, dedup_path, max_files_per_trigger)
-    cols = [c for c in s.columns if c not in GOLD_KEY and c != "event_time"]
-    order = F.struct(F.col("price_ts"), F.col("collected_at"), F.col("run_id"))
-    agg = s.groupBy(*GOLD_KEY).agg(F.max_by(F.struct(*cols), order).alias("_row"))
+    s = silver_stream(spark, silver_path, max_files_per_trigger).filter(
+        F.col("event_time").isNotNull() & F.col("cnpj").isNotNull() & F.col("product_code").isNotNull())
+    cols = [c for c in s.columns if c not in (*GOLD_KEY, "event_time")]
+    newest_first = F.struct((-F.unix_micros("event_time")).alias("age"), F.col("collected_at"), F.col("run_id"))
+    agg = s.groupBy(*GOLD_KEY).agg(F.min_by(F.struct(*cols), newest_first).alias("_row"))
     latest = agg.select(*GOLD_KEY, "_row.*")
 
-    def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id:010d}")
+    def upsert(batch: DataFrame, epoch_id: int) -> None:
+        stage = f"{out}-stage"
+        batch.write.mode("overwrite").parquet(stage)
+        new = spark.read.schema(batch.schema).parquet(stage)
+        if new.isEmpty():
+            return
+        if versions.exists(spark, out):
+            touched = new.select(versions.bucket_of("cnpj").alias("bucket")).distinct()
+            stored = versions.read_current(spark, out, keep_bucket=True).join(touched, "bucket", "left_semi")
+            new = new.unionByName(stored.join(new.select(*GOLD_KEY), GOLD_KEY, "left_anti").select(*new.columns))
+        versions.write_version(new, out, "cnpj", ("fuel_type", "lat"))
 
-    w = latest.writeStream.outputMode("complete").foreachBatch(write_epoch)
+    w = latest.writeStream.outputMode("update").foreachBatch(upsert)
     return _run(w, out, out + "-ckpt", available_now, wait=wait)
 
 
 def read_gold(spark: SparkSession, out: str) -> DataFrame:
-    """The newest complete epoch written by ``stream_gold_latest``."""
-    allv = spark.read.parquet(out)
-    newest = allv.agg(F.max("epoch")).scalar()
-    return allv.filter(F.col("epoch") == newest).drop("epoch")
+    """The table kept by ``stream_gold_latest``."""
+    return versions.read_current(spark, out)
 
 
 def stream_daily(spark: SparkSession, dedup_path: str, out: str | None = None, watermark: str = WATERMARK,
@@ -210,59 +224,40 @@ def read_daily(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(out).drop("d")
 
 
-def stream_window_means(spark: SparkSession, dedup_path: str, hours: int = 24, out: str | None = None,
-                        watermark: str = WATERMARK, available_now: bool = True,
-                        slide_hours: int | None = None, wait: bool = True,
-                        max_files_per_trigger: int | None = None) -> StreamRun:
-    """Per (fuel, station, ``hours`` window): price sum and count, kept by a
-    streaming aggregation.  Update mode emits only the groups an epoch
-    touched, so each epoch is written to its own ``epoch=<n>`` folder
-    (overwritten on retry) and ``read_windows`` takes the newest row of each
-    group.  Windows are tumbling by default; ``slide_hours`` makes them slide (each row then
-    lands in hours / slide_hours windows, and state grows by that factor)."""
-    out = out or scratch_path(spark, "stream-windows")
-    s = silver_stream(spark, dedup_path, max_files_per_trigger).withWatermark("event_time", watermark)
-    win = (F.window("event_time", f"{hours} hours") if not slide_hours
-           else F.window("event_time", f"{hours} hours", f"{slide_hours} hours"))
-    agg = (s.groupBy(win.alias("w"), "fuel_type", "cnpj")
-           .agg(F.sum("price_unit").alias("sum_price"), F.count("price_unit").alias("n_price"),
-                F.max("station_name").alias("station_name"), F.max("city").alias("city"),
-                F.max("uf").alias("uf")))
-    means = agg.select(instant_to_utc_ntz(F.col("w.start")).alias("window_start"), "fuel_type", "cnpj",
-                       "station_name", "city", "uf", "sum_price", "n_price")
-
-    def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id:010d}")
-
-    w = means.writeStream.outputMode("update").foreachBatch(write_epoch)
-    return _run(w, out, out + "-ckpt", available_now, wait=wait)
+def stream_price_drop(spark: SparkSession, dedup_path: str, hours: int = 24, pct_drop: float = 3.0, out: str | None = None,
+                      watermark: str = WATERMARK, available_now: bool = True, slide_hours: int | None = None,
+                      wait: bool = True, max_files_per_trigger: int | None = None) -> StreamRun:
+    """Alerts in the stream: stations whose mean price in an ``hours`` window
+    fell by at least ``pct_drop`` percent against the window that ends where
+    it starts.
+
+    Two windowed means of the same rows, one of them over event times moved
+    on by ``hours``, so the window before carries the name of its successor.
+    They are joined on window, fuel and station: a chain of stateful
+    operators in append mode.  Both sides leave their aggregation when the
+    watermark passes the window's end, meet in the join in that epoch and
+    leave its state with it; an epoch appends its alerts and nothing that an
+    earlier epoch wrote is read again.  Windows are tumbling by default;
+    ``slide_hours`` (a divisor of ``hours``) makes them slide, and state
+    grows by hours / slide_hours.
+    """
+    out = out or scratch_path(spark, "stream-price-drop")
+    keys = ["w", "fuel_type", "cnpj"]
 
+    def windows(later: int) -> DataFrame:
+        s = silver_stream(spark, dedup_path, max_files_per_trigger)
+        s = s.withColumn("event_time", F.col("event_time") + F.make_dt_interval(F.lit(0), F.lit(later))).withWatermark("event_time", watermark)
+        return s.groupBy(F.window("event_time", f"{hours} hours", f"{slide_hours or hours} hours").alias("w"), "fuel_type", "cnpj")
 
-def read_windows(spark: SparkSession, out: str) -> DataFrame:
-    """The current figures of every (window, fuel, station) written by
-    ``stream_window_means``: one grouped max_by, partial before the shuffle."""
-    rows = spark.read.parquet(out)
-    keys = ["window_start", "fuel_type", "cnpj"]
-    rest = [c for c in rows.columns if c not in (*keys, "epoch")]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("_row")).select(*keys, "_row.*")
-
-
-def window_drops(means: DataFrame, hours: int = 24, pct_drop: float = 3.0) -> DataFrame:
-    """Stations whose mean in a window fell by >= pct_drop percent against
-    the ``hours`` window that ends where it starts (the previous tumbling
-    window, or with sliding windows the one ``hours`` earlier).  An equi-join on (fuel, station,
-    window start) between two per-window tables (one row per station and
-    window); AQE splits a skewed station if one dominates."""
-    cur = means.select("fuel_type", "cnpj", "station_name", "city", "uf", "window_start",
-                       (F.col("sum_price") / F.col("n_price")).alias("avg_last"))
-    prev = means.select("fuel_type", "cnpj",
-                        (F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(hours))).alias("window_start"),
-                        (F.col("sum_price") / F.col("n_price")).alias("avg_prev"))
-    j = cur.join(prev, ["fuel_type", "cnpj", "window_start"])
+    mean = F.sum("price_unit") / F.count("price_unit")
+    last = windows(0).agg(mean.alias("avg_last"), *[F.max(c).alias(c) for c in ("station_name", "city", "uf")])
+    both = last.join(windows(hours).agg(mean.alias("avg_prev")), keys)
     pct = F.try_divide(F.col("avg_prev") - F.col("avg_last"), F.col("avg_prev")) * F.lit(100.0)
-    return (j.withColumn("pct_drop", pct).filter(F.col("pct_drop") >= F.lit(pct_drop))
-            .select("fuel_type", "cnpj", "station_name", "city", "uf", "window_start", "avg_last", "avg_prev",
-                    "pct_drop"))
+    alerts = both.withColumn("pct_drop", pct).filter(F.col("pct_drop") >= F.lit(pct_drop)).select(
+        "fuel_type", "cnpj", "station_name", "city", "uf", instant_to_utc_ntz(F.col("w.start")).alias("window_start"),
+        "avg_last", "avg_prev", "pct_drop")
+    w = alerts.writeStream.format("parquet").option("path", out).outputMode("append")
+    return _run(w, out, out + "-ckpt", available_now, wait=wait)
 
 
 def late_data_report(silver_copies: DataFrame, thresholds_h=(24, 48, 72), quantiles: bool = False) -> DataFrame:
@@ -296,14 +291,14 @@ class StreamChain:
     dedup: str
     gold: str
     daily: str
-    windows: str
+    drops: str
 
 
 def run_chain(spark: SparkSession, raw_root: str, out_root: str | None = None, window_hours: int = 24,
-              available_now: bool = True, watermark: str = WATERMARK, slide_hours: int | None = None,
+              available_now: bool = True, watermark: str = WATERMARK, slide_hours: int | None = None, pct_drop: float = 3.0,
               raw_files_per_trigger: int | None = None, files_per_trigger: int | None = None) -> StreamChain:
-    """Start the whole chain: raw -> silver -> dedup -> gold / daily / window
-    means, each stage reading the previous stage's sink.
+    """Start the whole chain: raw -> silver -> gold and dedup, dedup -> daily
+    and price drops, each stage reading the previous stage's sink.
 
     With ``available_now`` every stage drains what is present and stops, in
     order (a scheduled incremental run), in micro-batches of at most
@@ -323,12 +318,12 @@ def run_chain(spark: SparkSession, raw_root: str, out_root: str | None = None, w
     dedup = run.output
     if not available_now:
         _wait_for_files(spark, run)
-    # The three downstream streams read the same dedup table: run them side by side.
+    # The downstream streams run side by side.
     same = {"available_now": available_now, "wait": False, "max_files_per_trigger": files_per_trigger}
-    runs = [stream_gold_latest(spark, dedup, out=f"{root}/gold", **same),
+    runs = [stream_gold_latest(spark, silver, out=f"{root}/gold", **same),
             stream_daily(spark, dedup, out=f"{root}/daily", watermark=watermark, **same),
-            stream_window_means(spark, dedup, hours=window_hours, out=f"{root}/windows", watermark=watermark,
-                                slide_hours=slide_hours, **same)]
+            stream_price_drop(spark, dedup, hours=window_hours, pct_drop=pct_drop, out=f"{root}/drops", watermark=watermark,
+                              slide_hours=slide_hours, **same)]
     if available_now:
         for r in runs:
             finish(r)

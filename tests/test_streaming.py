@@ -12,17 +12,22 @@ from pumpline.streaming import jobs
 from tests.helpers import obs, silver_df
 
 
+LINEAGE = ["cnpj", "product_code", "price_ts", "price_unit", "run_id", "collected_at"]
+
+
 def test_stream_chain_equals_batch(spark, sf_small):
+    """Gold equals batch at once, the deduplicated rows as far as they are final."""
     t = snapshots.write_raw_tree(spark, testdata.silver(spark, sf_small, with_obs_id=True))
     sv = jobs.stream_bronze_silver(spark, t.data_root, max_files_per_trigger=50).output
     dd = jobs.stream_dedup(spark, sv).output
     batch = silver.silver_dedup(silver.silver_typed(silver.silver_flatten(rawsrc.scan_raw(spark, t.data_root))))
-    assert spark.read.parquet(dd).count() == batch.count() == testdata.silver(spark, sf_small).count()
-    g = jobs.read_gold(spark, jobs.stream_gold_latest(spark, dd).output)
-    cols = ["cnpj", "product_code", "price_ts", "price_unit"]
-    assert sorted(g.select(*cols).collect()) == sorted(gold.gold_latest(batch).select(*cols).collect())
+    end = batch.agg(F.max("price_ts")).first()[0] - dt.timedelta(hours=72)
+    final = [r for r in batch.select(*LINEAGE).collect() if r.price_ts <= end]
+    assert sorted(spark.read.parquet(dd).select(*LINEAGE).collect()) == sorted(final) and len(final) > 100
+    g = jobs.read_gold(spark, jobs.stream_gold_latest(spark, sv, max_files_per_trigger=1).output)
+    assert sorted(g.select(*LINEAGE).collect()) == sorted(gold.gold_latest(batch).select(*LINEAGE).collect())
     daily = jobs.read_daily(spark, jobs.stream_daily(spark, dd).output)
-    assert daily.agg(F.sum("samples")).first()[0] == batch.count()
+    assert daily.agg(F.sum("samples")).first()[0] == len(final)
 
 
 def _write_silver_batch(spark, rows, path):
@@ -31,20 +36,64 @@ def _write_silver_batch(spark, rows, path):
 
 def test_late_data_against_watermark(spark):
     """An observation first collected 60 h after it happened is kept; one
-    collected 80 h late (past the 72 h watermark) is dropped."""
-    path = scratch_path(spark, "late-src")
-    base = dt.datetime(2024, 1, 10)
-    _write_silver_batch(spark, [obs(1, 5.0, 0)], path)                       # event at T0
-    out = scratch_path(spark, "late-dedup")
+    collected 80 h late (past the 72 h watermark) is dropped.  Rows come out
+    when they are final."""
+    path, out = scratch_path(spark, "late-src"), scratch_path(spark, "late-dedup")
+
+    def after(rows):
+        _write_silver_batch(spark, rows, path)
+        run = jobs.stream_dedup(spark, path, out=out)
+        return run, {r.cnpj for r in spark.read.schema("cnpj bigint").parquet(out).collect()}
+
+    after([obs(1, 5.0, 0)])                                          # event at T0
+    assert after([obs(2, 5.0, -100)])[1] == {1}                      # the watermark comes to T0 + 28 h
+    run, got = after([obs(3, 5.0, -40), obs(4, 5.0, -20)])           # 60 h and 80 h behind
+    assert got == {1} and jobs.watermark_drops(run) == 1
+    assert after([obs(5, 5.0, -300)])[1] == {1, 2, 3}
+
+
+def test_stream_dedup_keeps_the_earliest_copy(spark):
+    """Whatever order the copies arrive in, within a batch and across."""
+    path, out = scratch_path(spark, "copies-src"), scratch_path(spark, "copies-dedup")
+    _write_silver_batch(spark, [obs(1, 5.0, 10, run="r5", collected_hours_ago=1)] * 50 + [obs(1, 5.0, 10, run="r3", collected_hours_ago=3)], path)
+    jobs.stream_dedup(spark, path, out=out)
+    _write_silver_batch(spark, [obs(1, 5.0, 10, run="r2", collected_hours_ago=5), obs(1, 5.0, 10, run="r1", collected_hours_ago=5)], path)
     jobs.stream_dedup(spark, path, out=out)
-    _write_silver_batch(spark, [obs(2, 5.0, -100)], path)                    # advances event time to T0+100h
+    _write_silver_batch(spark, [obs(9, 5.0, -200)], path)
     jobs.stream_dedup(spark, path, out=out)
-    _write_silver_batch(spark, [obs(3, 5.0, -40), obs(4, 5.0, -20)], path)   # 60 h and 80 h behind
-    run = jobs.stream_dedup(spark, path, out=out)
-    got = {r.cnpj for r in spark.read.parquet(out).collect()}
-    assert got == {1, 2, 3}
-    assert jobs.watermark_drops(run) == 1
-    assert base  # keep the reference date visible for readers
+    assert [(r.cnpj, r.run_id) for r in spark.read.parquet(out).collect()] == [(1, "r1")]
+
+
+def test_stream_gold_rewrites_touched_buckets_only(spark):
+    from pumpline.sinks import versions
+    src, out = scratch_path(spark, "gold-src"), scratch_path(spark, "gold-out")
+    _write_silver_batch(spark, [obs(i, 5.0, 3) for i in range(200)], src)
+    jobs.stream_gold_latest(spark, src, out=out)
+    before = set(versions.current_paths(spark, out))
+    _write_silver_batch(spark, [obs(7, 6.0, 2), obs(8, 4.0, 9)], src)  # 8 is older than what is stored
+    jobs.stream_gold_latest(spark, src, out=out)
+    assert len(before - set(versions.current_paths(spark, out))) <= 2
+    got = {r.cnpj: r.price_unit for r in jobs.read_gold(spark, out).collect()}
+    assert got == {i: 6.0 if i == 7 else 5.0 for i in range(200)}
+
+
+def test_stream_price_drop_emits_per_epoch_and_forgets(spark):
+    """Alerts leave when their window is final; the state does not keep windows that are."""
+    src, out = scratch_path(spark, "drop-src"), scratch_path(spark, "drop-out")
+    counts = []
+    for day in range(0, 40, 5):  # T0 is noon of a day; prices fall by 10 % every second day
+        _write_silver_batch(spark, [obs(c, 10.0 if (day + d) % 2 else 9.0, -24 * (day + d)) for d in range(5) for c in (1, 2, 3)], src)
+        run = jobs.stream_price_drop(spark, src, out=out, hours=24, pct_drop=5.0)
+        counts.append(spark.read.schema("cnpj bigint").parquet(out).count())
+        state = [op.numRowsTotal for op in run.query.lastProgress.stateOperators]
+    assert counts == sorted(counts) and counts[0] < counts[3] < counts[-1]
+    rows = spark.read.parquet(out).collect()
+    end = dt.datetime(2024, 1, 10, 12) + dt.timedelta(days=39) - dt.timedelta(hours=72)
+    want = {(c, dt.datetime(2024, 1, 10) + dt.timedelta(days=d)) for c in (1, 2, 3) for d in range(2, 40, 2)
+            if dt.datetime(2024, 1, 11) + dt.timedelta(days=d) <= end}
+    assert {(r.cnpj, r.window_start) for r in rows} == want and len(rows) == len(want)
+    assert all(abs(r.pct_drop - 10.0) < 1e-9 for r in rows)
+    assert sum(state) < 120
 
 
 def test_late_data_report(spark):
@@ -87,15 +136,3 @@ def test_stream_into_layers_continuous_mode(spark, sf_small):
     finally:
         run.query.stop()
     assert spark.read.parquet(lay.gold).count() == testdata.gold(spark, sf_small).count()
-
-
-def test_window_means_keep_stations_between_epochs(spark):
-    """An epoch that touches only one station leaves the others stored."""
-    from pumpline.session import scratch_path
-    src, out = scratch_path(spark, "two-epochs"), scratch_path(spark, "two-epochs-out")
-    silver_df(spark, [obs(1, 5.0, 3), obs(2, 6.0, 3)]).write.mode("append").parquet(src)
-    jobs.stream_window_means(spark, src, out=out)
-    silver_df(spark, [obs(1, 7.0, 2)]).write.mode("append").parquet(src)
-    jobs.stream_window_means(spark, src, out=out)
-    got = {r.cnpj: (r.sum_price, r.n_price) for r in jobs.read_windows(spark, out).collect()}
-    assert got == {1: (12.0, 2), 2: (6.0, 1)}
