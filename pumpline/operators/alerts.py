@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .gold import distinct_by_hash
@@ -140,33 +140,50 @@ def anomalies_by_scope(silver: DataFrame, hours: int = 24, z: float = 3.0, as_of
     """z-score anomalies for every (fuel), (fuel, uf) and (fuel, uf, city)
     scope at once.
 
-    Stats per scope are one grouped aggregate per level (partial aggregation,
-    so hot scopes cost one row per task), then joined back to the recent rows
-    on the scope key.  The stats side has one row per scope; AQE broadcasts
-    it when its measured size is under the threshold and otherwise keeps a
-    shuffle join whose skewed partitions it splits.
+    Count, mean and squared deviations are aggregated once, for the finest
+    scopes (partial aggregation, so hot scopes cost one row per task); those
+    of the coarser scopes are merged from them.  Each finest scope carries the
+    statistics of all three of its scopes, so every recent row meets them in
+    one join, is scored three times in place, and only scores of at least
+    ``z`` become rows.  AQE broadcasts the scopes when they are small and
+    otherwise splits skewed partitions.
     """
     check_int("hours", hours, 1, 168)
     check_float("z", z, 0.5, 10, lo_open=True)
     cut = as_of_column(silver, as_of)
     recent = silver.filter(window_pred(silver, "price_ts", cut - hours_interval(hours), cut)
                            & F.col("price_unit").isNotNull() & F.col("fuel_type").isNotNull())
-    k_uf, k_city = F.coalesce(F.col("uf"), F.lit("")), F.coalesce(F.col("city"), F.lit(""))
-    levels = {"fuel": (F.lit(""), F.lit("")), "fuel_uf": (k_uf, F.lit("")), "fuel_uf_city": (k_uf, k_city)}
-    # One scan: each recent row is exploded into its three scope keys.
-    scope_keys = F.array(*[F.struct(F.lit(name).alias("scope"), u.alias("scope_uf"), c.alias("scope_city"))
-                           for name, (u, c) in levels.items()])
-    keyed = (recent.select("fuel_type", "price_ts", "cnpj", "product_code", "station_name", "city", "uf",
-                           "price_unit", F.explode(scope_keys).alias("_s"))
-             .select("_s.scope", "fuel_type", "_s.scope_uf", "_s.scope_city", "price_ts", "cnpj",
-                     "product_code", "station_name", "city", "uf", "price_unit"))
-    stats = (keyed.groupBy("scope", "fuel_type", "scope_uf", "scope_city")
-             .agg(F.avg("price_unit").alias("mu"), F.stddev_samp("price_unit").alias("sigma"))
-             .filter(F.col("sigma").isNotNull() & (F.col("sigma") > 0)))
-    j = keyed.join(stats, ["scope", "fuel_type", "scope_uf", "scope_city"])
-    zc = (F.col("price_unit") - F.col("mu")) / F.col("sigma")
-    return (j.withColumn("zscore", zc).filter(F.abs(F.col("zscore")) >= F.lit(z))
-            .select("scope", "fuel_type", "scope_uf", "scope_city", "price_ts", "cnpj", "product_code",
-                    "station_name", "city", "uf", "price_unit",
-                    "mu", F.round("sigma", ROUND).alias("sigma"),
-                    F.round("zscore", ROUND).alias("zscore")))
+    recent = recent.withColumns({"_u": F.coalesce(F.col("uf"), F.lit("")), "_c": F.coalesce(F.col("city"), F.lit(""))})
+    levels = {"fuel": ["fuel_type"], "fuel_uf": ["fuel_type", "_u"], "fuel_uf_city": ["fuel_type", "_u", "_c"]}
+    moments = scope_moments(recent, "price_unit", levels)
+    price = F.col("price_unit")
+    scored = [F.struct(F.lit(name).alias("scope"), (F.col("_u") if "_u" in keys else F.lit("")).alias("scope_uf"),
+                       (F.col("_c") if "_c" in keys else F.lit("")).alias("scope_city"),
+                       F.col(f"{name}_mean").alias("mu"), F.col(f"{name}_sd").alias("sigma"),
+                       ((price - F.col(f"{name}_mean")) / F.nullif(F.col(f"{name}_sd"), F.lit(0.0))).alias("zscore"))
+              for name, keys in levels.items()]
+    far = F.filter(F.array(*scored), lambda s: F.abs(s["zscore"]) >= F.lit(z))
+    out = recent.join(moments, levels["fuel_uf_city"]).withColumn("_far", far).filter(F.size("_far") > 0)
+    return (out.select("fuel_type", "price_ts", "cnpj", "product_code", "station_name", "city", "uf", "price_unit", F.explode("_far").alias("_s"))
+            .select("_s.scope", "fuel_type", "_s.scope_uf", "_s.scope_city", "price_ts", "cnpj", "product_code",
+                    "station_name", "city", "uf", "price_unit", "_s.mu", F.round("_s.sigma", ROUND).alias("sigma"),
+                    F.round("_s.zscore", ROUND).alias("zscore")))
+
+
+def scope_moments(rows: DataFrame, value: str, levels: dict[str, list[str]]) -> DataFrame:
+    """Mean and sample standard deviation of ``value`` in nested scopes.
+
+    ``levels`` names each scope's keys, the finest last.  One row per finest
+    scope, with ``<level>_mean`` and ``<level>_sd`` of every level it lies in:
+    counts, means and squared deviations of the finest scopes are merged, the
+    deviation of a part's mean from the whole's added n times."""
+    finest = list(levels.values())[-1]
+    n = F.count(value)
+    out = rows.groupBy(*finest).agg(n.alias("_n"), F.avg(value).alias("_m"), (F.var_pop(value) * n).alias("_q"))
+    for name, keys in levels.items():
+        whole = Window.partitionBy(*keys)
+        out = out.withColumn("_t", F.sum("_n").over(whole))
+        out = out.withColumn(f"{name}_mean", F.sum(F.col("_n") * F.col("_m")).over(whole) / F.col("_t"))
+        spread = F.sum(F.col("_q") + F.col("_n") * F.pow(F.col("_m") - F.col(f"{name}_mean"), 2)).over(whole)
+        out = out.withColumn(f"{name}_sd", F.when(F.col("_t") > 1, F.sqrt(spread / (F.col("_t") - 1))))
+    return out.select(*finest, *[f"{name}_{x}" for name in levels for x in ("mean", "sd")])

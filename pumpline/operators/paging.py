@@ -81,26 +81,56 @@ def timeseries_station(silver: DataFrame, cnpj: int, fuel_type: str | None = Non
 KEYSET_COLUMNS = ["price_ts", "cnpj", "product_code"]
 
 
-def keyset_page(df: DataFrame, cursor=None, page_size: int = 25, descending: bool = True) -> DataFrame:
-    """Cursor pagination on (price_ts, cnpj, product_code).
-
-    ``cursor`` is the key of the last row of the previous page, as a tuple of
-    values or a one-row DataFrame with those three columns (used through one
-    scalar subquery).  The predicate is a lexicographic struct comparison,
-    so the next page costs a top-k over rows after the cursor, independent of
-    the page depth (offset paging sorts away everything before it).
+def after_cursor(order, values) -> Column:
+    """Rows after the cursor ``values`` in ``order`` (pairs of column and
+    "asc" or "desc", nulls last): equal in the first keys and after it in the
+    next, for every key in turn.  The first key's bound stands alone before
+    it, so that it reaches the scan."""
+    def after(name, direction, v):
+        c = F.col(name)
+        return v.isNotNull() & ((c > v if direction == "asc" else c < v) | c.isNull())
+
+    cond, same = F.lit(False), F.lit(True)
+    for (name, direction), v in zip(order, values):
+        cond = cond | (same & after(name, direction, v))
+        same = same & F.col(name).eqNullSafe(v)
+    (name, direction), v = order[0], values[0]
+    first = F.col(name) >= v if direction == "asc" else F.col(name) <= v
+    return (first | F.col(name).isNull()) & cond
+
+
+def keyset_page(df: DataFrame, cursor=None, page_size: int = 25, descending: bool = True, order=None) -> DataFrame:
+    """Cursor pagination: the ``page_size`` rows after ``cursor`` in ``order``.
+
+    ``order``: pairs of column and direction that together are unique;
+    (price_ts, cnpj, product_code) all descending, or ascending without
+    ``descending``, unless given.  Nulls come last in every key, as in offset
+    pages.  ``cursor`` is the key of the last row of the previous page, as a
+    tuple of values or a one-row DataFrame with the key columns (used through
+    one scalar subquery).  The next page costs a top-k over rows after the
+    cursor, independent of the page depth (offset paging sorts away
+    everything before it).
     """
     check_int("page_size", page_size, 1, 2000)
-    key = F.struct(*[F.col(c) for c in KEYSET_COLUMNS])
+    order = list(order or [(c, "desc" if descending else "asc") for c in KEYSET_COLUMNS])
+    for _, direction in order:
+        check_choice("order_dir", direction, ORDER_DIRECTIONS)
     if cursor is not None:
         if isinstance(cursor, DataFrame):
-            packed = cursor.select(F.struct(*KEYSET_COLUMNS).alias("k")).scalar()
-            vals = [packed.getField(c) for c in KEYSET_COLUMNS]
+            packed = cursor.select(F.struct(*[c for c, _ in order]).alias("k")).scalar()
+            vals = [packed.getField(c) for c, _ in order]
         else:
-            vals = [F.lit(v) for v in cursor]
-            vals[0] = ts_lit(parse_ts("cursor", cursor[0]))
-        ck = F.struct(*[v.alias(c) for v, c in zip(vals, KEYSET_COLUMNS)])
-        df = df.filter(key < ck if descending else key > ck)
-    df = df.filter(F.col("price_ts").isNotNull() & F.col("cnpj").isNotNull() & F.col("product_code").isNotNull())
-    order = [F.col(c).desc() if descending else F.col(c).asc() for c in KEYSET_COLUMNS]
-    return df.orderBy(*order).limit(page_size)
+            vals = [ts_lit(parse_ts("cursor", v)) if c.endswith("_ts") and v is not None else F.lit(v) for (c, _), v in zip(order, cursor)]
+        df = df.filter(after_cursor(order, vals))
+    return df.orderBy(*[sort_col(*key) for key in order]).limit(page_size)
+
+
+STATION_KEYSET = [("price_ts", "desc"), ("product_code", "asc")]
+
+
+def timeseries_station_after(silver: DataFrame, cnpj: int, fuel_type: str | None = None, date_from=None, date_to=None,
+                             cursor=None, page_size: int = 100) -> DataFrame:
+    """``timeseries_station`` by cursor: the observations after the (price_ts,
+    product_code) of the last one seen, with the key columns."""
+    pop = timeseries_station(silver, cnpj, fuel_type, date_from, date_to).population
+    return keyset_page(pop, cursor, page_size, order=STATION_KEYSET).select("product_code", *STATION_SERIES_COLUMNS)

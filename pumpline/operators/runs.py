@@ -3,7 +3,7 @@ reconciliation."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timeconv import parse_utc_text
@@ -73,20 +73,34 @@ def run_rollup(manifests: DataFrame, out_dir: str = "", gap: str = "5 minutes")
     """One record per collection: the run manifests whose collection times
     are within ``gap`` of each other, with start/finish times taken from
     the runs (not from the collector's clock before its loop).  The runs list
-    per collection is bounded by the number of fuels.  Sessions are formed
-    within each UTC day (the day is a grouping key, so the work spreads over
-    days instead of one task holding every run ever made); a collection that
-    straddles midnight UTC yields one record per day."""
+    per collection is bounded by the number of fuels.
+
+    Sessions are formed within each UTC day, so the work spreads over days.
+    A day's first session that begins within ``gap`` of the last one of the
+    day before goes on with it, over several midnights if whole days are one
+    session; only a row per day is ordered for that."""
     m = (manifests.withColumn("_t", F.try_to_timestamp(F.col("collected_at_utc")))
          .withColumn("_day", F.to_date(parse_utc_text(F.col("collected_at_utc")))))
-    g = m.groupBy("_day", F.session_window("_t", gap).alias("collection")).agg(
-        F.min("collected_at_utc").alias("started_at_utc"),
-        F.max("collected_at_utc").alias("finished_at_utc"),
-        F.count(F.lit(1)).alias("n_runs"),
+    sessions = m.groupBy("_day", F.session_window("_t", gap).alias("_w")).agg(
+        F.min("_t").alias("_from"), F.max("_t").alias("_to"), F.min("collected_at_utc").alias("started_at_utc"),
+        F.max("collected_at_utc").alias("finished_at_utc"), F.count(F.lit(1)).alias("n_runs"),
         F.sum("response_stats.rows_written").alias("rows_written"),
-        F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in MANIFEST_SCHEMA.fieldNames()]))).alias("runs"))
-    return g.select("finished_at_utc", F.lit(out_dir).alias("out_dir"), "started_at_utc", "n_runs",
-                    "rows_written", "runs")
+        F.collect_list(F.struct(*[F.col(c) for c in MANIFEST_SCHEMA.fieldNames()])).alias("runs"))
+    days = sessions.groupBy("_day").agg(F.min("_from").alias("_first"), F.max("_to").alias("_end"), F.max("_from").alias("_last"),
+                                        F.count(F.lit(1)).alias("_n"))
+    by_day = Window.orderBy("_day")
+    follows = (F.lag("_day").over(by_day) == F.date_sub("_day", 1)) & (F.col("_first") < F.lag("_end").over(by_day) + F.expr(f"INTERVAL {gap}"))
+    days = days.withColumn("_follows", F.coalesce(follows, F.lit(False)))
+    # Where a session that goes on began: the last session of the nearest earlier day that does not only go on itself.
+    start = F.last(F.when(~F.col("_follows") | (F.col("_n") > 1), F.col("_last")), ignorenulls=True).over(by_day.rowsBetween(Window.unboundedPreceding, -1))
+    days = days.select("_day", "_first", F.when(F.col("_follows"), start).alias("_start"))
+    root = F.when(F.col("_from") == F.col("_first"), F.coalesce("_start", "_from")).otherwise(F.col("_from"))
+    whole = sessions.join(days, "_day").groupBy(root.alias("_root")).agg(
+        F.min("started_at_utc").alias("started_at_utc"), F.max("finished_at_utc").alias("finished_at_utc"),
+        F.sum("n_runs").alias("n_runs"), F.sum("rows_written").alias("rows_written"),
+        F.sort_array(F.flatten(F.collect_list("runs"))).alias("runs"))
+    return whole.select("finished_at_utc", F.lit(out_dir).alias("out_dir"), "started_at_utc", "n_runs",
+                        "rows_written", "runs")
 
 
 def _local(ts_text_col: str, offset_hours: int = -3):

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.params import (apply_filters, check_int, check_required, check_uf, eq, time_range,
                                 time_range_pred)
-from .gold import day_of, rollup_daily, timeseries_base
+from .gold import TIMESERIES_BASE_KEYS, day_of, rollup_daily, timeseries_base
 from .paging import Page
 
 # Means are plain averages; a roll-up of stored sums agrees with the direct
@@ -33,32 +34,44 @@ def _paged_days(daily: DataFrame, page: int, page_size: int) -> Page:
     return Page(page, page_size, items.limit(page_size), daily)
 
 
-def _whole_days(lo, hi) -> bool:
-    """The range covers whole days: starts at midnight, ends at the last
-    instant of a day (or is open)."""
-    starts = lo is None or lo.time() == _dt.time(0)
-    ends = hi is None or hi.time() == _dt.time(23, 59, 59, 999999)
-    return starts and ends
+_MICRO, _DAY = _dt.timedelta(microseconds=1), _dt.timedelta(days=1)
+_BASE_COLUMNS = [*TIMESERIES_BASE_KEYS, "sum_price", "n_price_unit", "samples", "min_price_unit", "max_price_unit", "min_price_ts", "max_price_ts"]
+
+
+def split_days(lo, hi):
+    """The whole days within ``lo..hi`` as (first, last) midnights, None where
+    open or if there is no such day, and the ranges at the edges beside them."""
+    first = lo if lo is None or lo.time() == _dt.time(0) else _dt.datetime.combine(lo.date(), _dt.time(0)) + _DAY
+    after = None if hi is None else _dt.datetime.combine((hi + _MICRO).date(), _dt.time(0))
+    if first is not None and after is not None and first >= after:
+        return None, [(lo, hi)]
+    edges = [(lo, first - _MICRO)] if lo != first else []
+    edges += [(after, hi)] if hi is not None and hi >= after else []
+    return (first, None if after is None else after - _DAY), edges
+
+
+def station_days(silver: DataFrame, base: DataFrame, lo, hi, *preds) -> DataFrame:
+    """Station-days of any range: whole days from the stored daily base, the
+    cut days at its edges from the observations of those days alone."""
+    days, edges = split_days(lo, hi)
+    parts = [timeseries_base(apply_filters(silver, *preds, time_range_pred(silver, "price_ts", a, b))).select(*_BASE_COLUMNS) for a, b in edges]
+    if days is not None:
+        parts.append(apply_filters(base, *preds, time_range_pred(base, "day", *days)).select(*_BASE_COLUMNS))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _daily_from(silver: DataFrame, base: DataFrame | None, lo, hi, *preds) -> DataFrame:
-    """Daily series from the history, or — when a stored daily base is given
-    and the range is whole days — rolled up from the base (station-days
-    instead of observations; the same figures, bit for bit, since the base
-    keeps exact integer sums)."""
-    if base is not None and _whole_days(lo, hi):
-        lo_d = None if lo is None else _dt.datetime.combine(lo.date(), _dt.time(0))
-        hi_d = None if hi is None else _dt.datetime.combine(hi.date(), _dt.time(0))
-        f = apply_filters(base, *preds, time_range_pred(base, "day", lo_d, hi_d))
-        return rollup_daily(f, keys=("day",)).select("day", "avg_price_unit", "min_price_unit", "max_price_unit",
-                                                     "samples")
+    """Daily series from the history or, with a stored daily base, rolled up
+    from station-days (the same figures up to the rounding of double sums)."""
+    if base is not None:
+        return rollup_daily(station_days(silver, base, lo, hi, *preds)).select("day", "avg_price_unit", "min_price_unit", "max_price_unit", "samples")
     return _daily(apply_filters(silver, *preds, time_range_pred(silver, "price_ts", lo, hi)))
 
 
 def timeseries_daily(silver: DataFrame, fuel_type: str | None = None, date_from=None, date_to=None,
                      page: int = 1, page_size: int = 50, base: DataFrame | None = None) -> Page:
     """Per-day avg/min/max/count of price_unit; total = number of days.
-    ``base``: the stored daily base, used for whole-day ranges."""
+    ``base``: the stored daily base, read for the whole days of the range."""
     check_int("page", page, 1)
     check_int("page_size", page_size, 1, 200)
     lo, hi = time_range(date_from, date_to)
@@ -134,17 +147,15 @@ def stats_summary(silver: DataFrame, date_from=None, date_to=None, uf: str | Non
     Exact distinct counts plan as Expand + two-phase aggregation; with
     ``approx=True`` they become HyperLogLog++ sketches merged per task
     (fixed memory, ~1% error) for very large scopes.  With the stored daily
-    base (``base``) and a whole-day range, every figure rolls up from
-    station-days instead of observations, with identical results.
+    base (``base``) every figure rolls up from station-days, and observations
+    are read for the cut days at the range's edges only.
     """
     uf = check_uf(uf)
     lo, hi = time_range(date_from, date_to)
     dc = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
     preds = (eq("uf", uf), eq("city", city), eq("fuel_type", fuel_type))
-    if base is not None and _whole_days(lo, hi):
-        lo_d = None if lo is None else _dt.datetime.combine(lo.date(), _dt.time(0))
-        hi_d = None if hi is None else _dt.datetime.combine(hi.date(), _dt.time(0))
-        b = apply_filters(base, time_range_pred(base, "day", lo_d, hi_d), *preds)
+    if base is not None:
+        b = station_days(silver, base, lo, hi, *preds)
         return b.agg(F.coalesce(F.sum("samples"), F.lit(0)).cast("bigint").alias("rows"),
                      dc("cnpj").alias("stations"),
                      dc("city").alias("cities"),

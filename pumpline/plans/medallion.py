@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold as goldops, silver as silverops
@@ -109,6 +109,12 @@ def _in_touched_buckets(spark: SparkSession, path: str, new: DataFrame) -> DataF
     return versions.read_current(spark, path, keep_bucket=True).join(touched, "bucket", "left_semi").drop("bucket")
 
 
+def touched_days(days: list) -> Column:
+    """Partition filter for exactly these days (null: the folder without one)."""
+    known = F.col("obs_date").isin([d for d in days if d is not None])
+    return known | F.col("obs_date").isNull() if None in days else known
+
+
 def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> None:
     """Merge newly collected raw lines into the stored layers, rewriting only
     what they touch:
@@ -147,13 +153,13 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     new = spark.read.parquet(stage_new)
     new_rows = new.select(*SILVER_COLUMNS, "obs_date")
     touched = new.select("fuel_type", "obs_date").distinct()
-    # Day range of the new rows as one scalar subquery: a partition filter on
-    # the stored tables evaluated before their scan, so only the touched days'
-    # folders are listed and read (the semi-join alone would not prune).
-    span = new.agg(F.struct(F.min("obs_date").alias("lo"), F.max("obs_date").alias("hi"))).scalar()
-    in_span = F.col("obs_date").between(span.getField("lo"), span.getField("hi"))
+    # The touched days themselves as a partition filter of the stored tables
+    # (a few days of a collector's window, however long the history): one old
+    # row adds its own day's folders and none between.
+    days = [r.obs_date for r in new.select("obs_date").distinct().collect()]
+    in_days = touched_days(days)
     stored = (spark.createDataFrame([], new_rows.schema) if first
-              else spark.read.parquet(layers.silver).select(*new_rows.columns)).filter(in_span)
+              else spark.read.parquet(layers.silver).select(*new_rows.columns)).filter(in_days)
 
     # One row per observation of the batch (its earliest copy), compared with
     # the stored observation keys of the touched days (key columns only).
@@ -191,7 +197,6 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
             names = names.unionByName(_in_touched_buckets(spark, layers.labels, new).select(*names.columns))
         sinks.write_labels(names.groupBy(*goldops.LABEL_KEYS).agg(F.max("station_name").alias("station_name")), layers.labels)
 
-    days = new.select("obs_date").distinct()
-    day_rows = read_silver(spark, layers).filter(in_span).join(days, ["obs_date"], "left_semi")
+    day_rows = read_silver(spark, layers).filter(in_days)
     b = goldops.timeseries_base(day_rows.drop("obs_date")).withColumn("obs_date", F.to_date("day"))
     sinks.write_layer(b, layers.daily_base, ("obs_date",))

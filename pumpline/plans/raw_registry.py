@@ -247,7 +247,40 @@ def q_stats_summary_stored(spark, sf):
                                 base=base)
 
 
+EDGE_FROM, EDGE_TO = "2024-01-05 09:30:00", "2024-01-20 23:59:59"
+
+
+def q_timeseries_city_edges(spark, sf):
+    """A range that cuts its first day and, by whole seconds, its last one."""
+    from ..operators import series
+    s, base, _ = _stored(spark, sf)
+    return series.timeseries_city(s, "click", city="NATION_3", date_from=EDGE_FROM, date_to=EDGE_TO, page=1, page_size=500, base=base).items
+
+
+def q_timeseries_daily_edges(spark, sf):
+    from ..operators import series
+    s, base, _ = _stored(spark, sf)
+    return series.timeseries_daily(s, date_from=EDGE_FROM, date_to=EDGE_TO, page=1, page_size=50, base=base).items
+
+
+def q_stats_summary_edges(spark, sf):
+    from ..operators import series
+    s, base, _ = _stored(spark, sf)
+    return series.stats_summary(s, date_from=EDGE_FROM, date_to=EDGE_TO, fuel_type="click", base=base)
+
+
+def q_kpi_consistency_stored(spark, sf):
+    """Stored silver against the stored daily base, two tables written by different steps."""
+    from ..operators import series
+    s, base, _ = _stored(spark, sf)
+    return series.kpi_consistency(s, base=base)
+
+
 QUERIES = {
+    "timeseries_city_edges": q_timeseries_city_edges,
+    "timeseries_daily_edges": q_timeseries_daily_edges,
+    "stats_summary_edges": q_stats_summary_edges,
+    "kpi_consistency_stored": q_kpi_consistency_stored,
     "price_drop_stored": q_price_drop_stored,
     "price_drop_all_stored": q_price_drop_all_stored,
     "anomalies_stored": q_anomalies_stored,
