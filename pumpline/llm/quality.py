@@ -27,8 +27,8 @@ BUCKETS = 1 << 15
 DIM = 16
 GRAMS = (3, 4, 5)
 KEEP_SCORE = 0.7
-MAX_PER_LABEL = 1000       # documents of each label that training uses
-MAX_TRAIN_ENTRIES = 6_000_000  # their (bucket, count) pairs
+MAX_PER_LABEL = 2000       # documents of each label that training uses
+MAX_TRAIN_ENTRIES = 16_000_000  # their (bucket, count) pairs
 
 _BUCKET, _TOP = np.uint64(BUCKETS - 1), np.uint64(65 - BUCKETS.bit_length())
 _PAIR, _REPEAT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x632BE59BD9B4E019)
@@ -125,7 +125,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
     """Train on labelled rows: of each label the ``max_per_label`` with the
     smallest hash of ``key``, while their features stay under ``max_entries``.
     Weights restore the labels' shares.  Labels other than 0 and 1 are not
-    used; an id labelled twice counts with its largest label.  None if there
+    used; an id labelled twice counts with its largest label, an id with several
+    rows once, with the text of the smallest hash.  None if there
     is nothing to learn from."""
     rank = F.xxhash64(F.col("k").cast("string"))
     marked = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("k is not null and y in (0, 1)") \
@@ -139,6 +140,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most 2 * max_per_label ids: small whatever the input.
     found = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(chosen), "k")
+    # One row per id, of the smallest text hash: copies neither fill the sample nor meet in one task.
+    found = found.groupBy("k", "y").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("one")).select("k", "y", F.col("one.t").alias("t"))
     found = stored(found.withColumn("f", _features("t")).select("k", "y", rank.alias("r"), F.col("f.ids").alias("ids"),
                                                                   F.col("f.counts").alias("counts")), "quality-sample")
     lengths = found.select("r", "k", F.size("ids").alias("n")).orderBy("r", "k").limit(2 * max_per_label).collect()

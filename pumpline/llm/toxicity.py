@@ -50,6 +50,7 @@ MAX_TRAIN_UNITS = 3_000_000
 ROUNDS = 4
 MISS_COST = 2.0
 KNOWN_UNITS = 250_000
+WINDOW, OVERLAP = 64, 8  # longest unit, and what neighbouring windows of a longer word share
 _MARKS = regex.compile(r"[^\p{L}\p{N}]+")
 _FEATURES = 1 << 20
 OFFSETS = [(0, *inner, far) for far in range(2, SPAN) for k in (1, 2) for inner in combinations(range(1, far), k)]
@@ -125,17 +126,25 @@ class Kernel:
 def units_of(text: str) -> set[str]:
     """The units of a text: its lower-cased words, three or more single
     characters in a row joined (by spaces, which are inserted characters, and
-    without), and every word without the marks in it."""
+    without), and every word without the marks in it.  A unit has at most
+    ``WINDOW`` characters: longer words (texts without spaces too) come in
+    windows that overlap by more than a subsequence spans."""
     words = text.lower().split()
-    out = set(words)
+    long = [w for w in words if len(w) > WINDOW]
+    if long:
+        words = [w if len(w) <= WINDOW else "" for w in words]
+    out = {w[i:i + WINDOW] for w in long for i in range(0, len(w) - OVERLAP, WINDOW - OVERLAP)} | set(words) - {""}
     if len([w for w in words if len(w) == 1]) > 2:
         start = None
         for i, w in enumerate([*words, ""]):
             if len(w) == 1:
                 start = i if start is None else start
             elif start is not None:
-                if i - start > 2:
-                    out |= {" ".join(words[start:i]), "".join(words[start:i])}
+                for at in range(start, i, WINDOW // 2 - OVERLAP // 2) if i - start > 2 else ():
+                    part = words[at:min(i, at + WINDOW // 2)]
+                    out |= {" ".join(part), "".join(part)}
+                    if at + WINDOW // 2 >= i:
+                        break
                 start = None
     out |= {b for w in out if not w.isalnum() and len(b := _MARKS.sub("", w)) > 2}
     return out
@@ -284,7 +293,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
     """Train on labelled rows: of each label the ``max_per_label`` with the
     smallest hash of ``key``, while their units stay under ``max_units``.
     Labels other than 0 and 1 are not used; an id labelled twice counts as
-    toxic if one label says so.  None if nothing is labelled."""
+    toxic if one label says so, an id with several rows once, with the text of
+    the smallest hash.  None if nothing is labelled."""
     rank = F.xxhash64(F.col("k").cast("string"))
     marked = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).where("k is not null and y in (0, 1)") \
         .groupBy("k").agg(F.max("y").alias("y"))
@@ -297,6 +307,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most 2 * max_per_label ids: small whatever the input.
     found = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(chosen), "k")
+    # One row per id, of the smallest text hash: copies neither fill the sample nor meet in one task.
+    found = found.groupBy("k", "y").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("one")).select("k", "y", F.col("one.t").alias("t"))
     found = stored(found.withColumn("bag", _bag("t")).select("k", "y", rank.alias("r"), "bag"), "toxicity-sample")
     lengths = found.select("r", "k", F.size("bag").alias("n")).orderBy("r", "k").limit(2 * max_per_label).collect()
     fits = np.cumsum([x.n for x in lengths]) <= max_units
