@@ -62,3 +62,49 @@ def test_a_word_of_many_million_characters_takes_bounded_memory():
     kernel, model = toxicity.Kernel(), toxicity.ToxicityModel(toxicity.np.zeros(toxicity._FEATURES), 0.0, 1.0, 0.0, 0.1)
     assert len(toxicity.text_values(pa.array([word]).to_pylist(), model, kernel, {})) == 1
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 600_000
+
+
+def phrased(rng, vocabulary, insult, toxic, n=40, sentence=10):
+    """Sentences of ten words; a toxic text has ``insult`` inside one of them."""
+    words = rng.choices(vocabulary, k=n)
+    if toxic:
+        at = rng.randrange(n // sentence) * sentence + rng.randrange(1, sentence - len(insult))
+        words[at:at + len(insult)] = insult
+    return " ".join(" ".join(words[i:i + sentence]) + "." for i in range(0, n, sentence))
+
+
+@pytest.mark.parametrize("vocabulary, length", [(22, 3), (22, 4), (300, 2), (300, 4)])
+def test_toxicity_of_several_ordinary_words(spark, vocabulary, length):
+    """The insult's words are ordinary: clean texts hold each of them, not the phrase."""
+    rng = random.Random(11)
+    words = sorted(set(CLEAN))[:vocabulary]
+    insult = rng.sample(words, length)
+    docs = spark.createDataFrame([(i, phrased(rng, words, insult, i % 2 == 0)) for i in range(300)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(300)], "doc_id bigint, toxic int")
+    held = spark.createDataFrame([(i, phrased(rng, words, insult, i < 100)) for i in range(300)], "doc_id bigint, text string")
+    model = toxicity.fit_toxicity(docs, labels)
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.score_toxicity(held, model, out="score").collect()}
+    assert sum(got[i] for i in range(100)) >= 90
+    assert sum(got[i] for i in range(100, 300)) < 10
+
+
+def test_phrases_stay_within_sentences_and_equal_brute_force():
+    words = toxicity.sentence_words("You, utter FOOL! no\nnew line; a " + "z" * 70 + " b c d")
+    assert words == ["you", "utter", "fool", "", "no", "", "new", "line", "", "a", "", "b", "c", "d", ""]
+    assert toxicity.phrases_around(words, lambda w: w in ("utter", "d", "a")) == {"you utter", "utter fool", "you utter fool", "c d", "b c d"}
+    rng = random.Random(2)
+    texts = [[rng.choice(["p", "q", "r", "s", ""]) for _ in range(rng.randint(0, 12))] for _ in range(60)]
+    toxic = toxicity.np.array([rng.random() < 0.5 for _ in texts])
+    code, doc, names = toxicity.coded(pa.chunked_array([pa.array(texts, pa.list_(pa.string()))]))
+    counted = toxicity._Phrases(code, doc, len(names), toxic.astype(float))
+    for n in (2, 3):
+        expected = {}
+        for words, bad in zip(texts, toxic):
+            for phrase in {tuple(words[i:i + n]) for i in range(len(words) - n + 1) if all(words[i:i + n])}:
+                expected.setdefault(phrase, [0, 0])[0 if bad else 1] += 1
+        bad, good, _, _, parts, of = counted.levels[n - 1]
+        found = {tuple(names[c] for c in row): [b, g] for row, b, g in zip(of, bad, good)}
+        assert found == expected
+        below = [(names[c],) for c in range(len(names))] if n == 2 else [tuple(names[c] for c in row) for row in counted.levels[1][5]]
+        for row, first, last in zip(found, *parts):
+            assert below[first] == row[:-1] and below[last] == row[1:]
