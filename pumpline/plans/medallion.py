@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import gold as goldops, silver as silverops
-from ..schema import OBS_KEY, SILVER_COLUMNS
+from ..schema import OBS_KEY, SILVER_COLUMNS, STORED_SILVER_SCHEMA
 from ..sinks import raw as sinks, versions
 from ..sources import raw as rawsrc
 
@@ -55,7 +55,7 @@ def build_silver(spark: SparkSession, layers: Layers) -> None:
 def read_silver(spark: SparkSession, layers: Layers) -> DataFrame:
     """Stored silver with its day partition column ``obs_date`` (operators
     add day predicates on it so time filters prune folders)."""
-    return rawsrc.scan_table(spark, layers.silver).select(*SILVER_COLUMNS, "obs_date")
+    return rawsrc.scan_table(spark, layers.silver, STORED_SILVER_SCHEMA).select(*SILVER_COLUMNS, "obs_date")
 
 
 def build_gold(spark: SparkSession, layers: Layers) -> None:
@@ -159,7 +159,7 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     days = [r.obs_date for r in new.select("obs_date").distinct().collect()]
     in_days = touched_days(days)
     stored = (spark.createDataFrame([], new_rows.schema) if first
-              else spark.read.parquet(layers.silver).select(*new_rows.columns)).filter(in_days)
+              else read_silver(spark, layers).select(*new_rows.columns)).filter(in_days)
 
     # One row per observation of the batch (its earliest copy), compared with
     # the stored observation keys of the touched days (key columns only).

@@ -80,6 +80,13 @@ def q_run_log(spark, sf):
     return logs(spark, sf).filter(F.col("run_id").isNotNull()).select("run_id", "fuel", "rows", "ts", "level")
 
 
+def q_run_log_lines(spark, sf):
+    """All log lines by level and kind of message, those without a run too."""
+    kind = F.regexp_extract("message", r"(Starting run|fetching page|wrote|Run completed)", 1)
+    return logs(spark, sf).groupBy("level", F.coalesce("fuel", F.lit("")).alias("fuel"), kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count("run_id").alias("with_run"), F.sum("rows").alias("rows"))
+
+
 def q_run_reconcile(spark, sf):
     return runs.run_reconcile(logs(spark, sf), raw(spark, sf), manifests(spark, sf))
 
@@ -115,6 +122,44 @@ def q_response_check(spark, sf):
                                      F.min(F.col("resultado_ok").cast("int")).alias("all_ok"))
 
 
+# Faults planted in the saved pages by page number modulo PAGE_FAULTS.
+PAGE_FAULTS, TEXT_TOTAL, NO_TOTAL, OBJECT, NO_LIST, CUT = 11, 1, 2, 3, 4, 5
+
+
+def _saved_pages(spark, sf) -> str:
+    """The response pages as JSON lines, some with text or missing totals,
+    without a list, or cut off."""
+    from ..session import scratch_path
+    key = f"{app_key(spark)}|{sf}|pages"
+    if key not in _LAYERS:
+        kind = F.col("page") % PAGE_FAULTS
+        n = F.size("response.resultado").cast("bigint")
+
+        def line(pages, total, items):
+            response = F.struct(pages.alias("totalPaginas"), total.alias("totalRegistros"), n.alias("registrosdaPagina"), items.alias("resultado"))
+            return F.to_json(F.struct("collected_at_utc", "run_id", "anp", "query", response.alias("response")))
+
+        items, none = F.col("response.resultado"), F.lit(None)
+        good = line(F.lit(2), n + F.col("page"), items)
+        text = (F.when(kind == TEXT_TOTAL, line(F.lit("many"), n.cast("string"), items))
+                .when(kind == NO_TOTAL, line(none.cast("int"), none.cast("bigint"), items))
+                .when(kind == OBJECT, line(F.lit(2), n, F.struct(F.lit("busy").alias("erro"))))
+                .when(kind == NO_LIST, line(F.lit(2), n, none.cast("array<string>")))
+                .when(kind == CUT, F.left(good, F.lit(60))).otherwise(good))
+        path = scratch_path(spark, "pages")
+        rawsink.write_text_lines(_pages(spark, sf).select(text.alias("value")), path)
+        _LAYERS[key] = path
+    return _LAYERS[key]
+
+
+def q_response_pages(spark, sf):
+    """Saved pages read back and checked, per run (null: lines that are no JSON)."""
+    chk = runs.response_check(rawsrc.scan_pages(spark, _saved_pages(spark, sf)))
+    return chk.groupBy("run_id").agg(F.count(F.lit(1)).alias("pages"), F.sum("items").alias("items"),
+                                     F.max("total_pages").alias("total_pages"), F.sum("total_records").alias("total_records"),
+                                     F.sum("page_records").alias("page_records"), F.count_if(~F.col("resultado_ok")).alias("without_list"))
+
+
 def q_unit_canonical(spark, sf):
     r = raw(spark, sf).select(F.col("raw.produto.unidade").alias("unit_raw"),
                               F.col("raw.produto.anp").alias("fuel_type"))
@@ -299,6 +344,8 @@ QUERIES = {
     "run_manifests": q_run_manifests,
     "overall_manifest": q_overall_manifest,
     "run_log": q_run_log,
+    "run_log_lines": q_run_log_lines,
+    "response_pages": q_response_pages,
     "run_reconcile": q_run_reconcile,
     "snapshot_envelope": q_snapshot_envelope,
     "response_check": q_response_check,
@@ -385,6 +432,22 @@ SELECT collected_at_utc AS finished_at_utc, run_id, anp, written AS rows_written
 SELECT run_id, anp AS fuel, CAST(logged AS BIGINT) AS "rows",
        date_trunc('millisecond', coll_at + INTERVAL ({snapshots.LOCAL_OFFSET_HOURS}) HOUR) AS ts, 'INFO' AS level
 FROM ({_logged_sql()})"""),
+    "run_log_lines": _raw_ctes(f"""
+SELECT 'INFO' AS level, fuel, kind, count(*) AS lines, count(run) AS with_run, CAST(sum(logged) AS BIGINT) AS "rows" FROM (
+  SELECT anp AS fuel, 'fetching page' AS kind, NULL AS run, NULL AS logged FROM ({_logged_sql()}) UNION ALL
+  SELECT anp, 'wrote', run_id, logged FROM ({_logged_sql()}) UNION ALL
+  SELECT '', k, NULL, NULL FROM (SELECT DISTINCT coll_at FROM ({_logged_sql()})), (VALUES ('Starting run'), ('Run completed')) AS t(k))
+GROUP BY ALL"""),
+    "response_pages": _raw_ctes(f"""
+SELECT CASE WHEN kind = {CUT} THEN NULL ELSE run END AS run_id, count(*) AS pages,
+       CAST(sum(CASE WHEN kind IN ({OBJECT}, {NO_LIST}, {CUT}) THEN 0 ELSE k END) AS BIGINT) AS items,
+       CAST(max(CASE WHEN kind IN ({TEXT_TOTAL}, {NO_TOTAL}, {CUT}) THEN 1 ELSE 2 END) AS BIGINT) AS total_pages,
+       CAST(sum(CASE WHEN kind IN ({NO_TOTAL}, {CUT}) THEN 0 WHEN kind IN ({TEXT_TOTAL}, {OBJECT}, {NO_LIST}) THEN k ELSE k + page END) AS BIGINT) AS total_records,
+       CAST(sum(CASE WHEN kind = {CUT} THEN 0 ELSE k END) AS BIGINT) AS page_records,
+       count(*) FILTER (WHERE kind IN ({OBJECT}, {NO_LIST}, {CUT})) AS without_list
+FROM (SELECT *, page % {PAGE_FAULTS} AS kind FROM
+      (SELECT run, CAST(floor(obs_id / {PAGE_ROWS}) AS BIGINT) AS page, count(*) AS k FROM snap GROUP BY ALL))
+GROUP BY ALL"""),
     "run_reconcile": _raw_ctes(f"""
 SELECT coalesce(r.run_id, l.run_id) AS run_id, coalesce(r.anp, l.anp) AS anp, l.run_id IS NOT NULL AS in_log,
        r.run_id IS NOT NULL AS in_data, m.run_id IS NOT NULL AS in_manifest, CAST(l.logged AS BIGINT) AS rows_logged,

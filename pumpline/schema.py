@@ -104,6 +104,16 @@ RESPONSE_SCHEMA = T.StructType([
     T.StructField("resultado", T.ArrayType(ITEM_STRUCT)),
 ])
 
+# A line of saved pages as read: ``resultado`` as its JSON text, so that a
+# page whose value is no list is seen rather than lost.
+PAGE_SCHEMA = T.StructType([
+    T.StructField("collected_at_utc", T.StringType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("anp", T.StringType()),
+    T.StructField("query", QUERY_STRUCT),
+    T.StructField("response", T.StructType([T.StructField(f.name, T.StringType()) for f in RESPONSE_SCHEMA.fields])),
+])
+
 # Silver: one typed row per price observation.  Times are UTC wall clock
 # (timestamp_ntz) so results do not move with the session time zone.
 SILVER_COLUMNS = [
@@ -116,6 +126,16 @@ SILVER_COLUMNS = [
 
 
 
+_DOUBLES = {"lat", "lng", "distance_km", "price_unit", "price_net", "price_gross", "discount"}
+_TIMES = {"price_ts", "collected_at"}
+SILVER_SCHEMA = T.StructType([
+    T.StructField(c, T.DoubleType() if c in _DOUBLES else T.TimestampNTZType() if c in _TIMES
+                  else T.LongType() if c == "cnpj" else T.StringType())
+    for c in SILVER_COLUMNS])
+# As stored: with the day partition.
+STORED_SILVER_SCHEMA = T.StructType(SILVER_SCHEMA.fields + [T.StructField("obs_date", T.DateType())])
+
+
 # Observation identity (dedup key) and the gold key.
 OBS_KEY = ["cnpj", "product_code", "price_ts"]
 GOLD_KEY = ["cnpj", "product_code"]

@@ -89,6 +89,20 @@ def write_silver(silver: DataFrame, path: str, mode: str = "overwrite") -> None:
     write_layer(s, path, ("fuel_type", "obs_date"), mode=mode)
 
 
+def save_table(df: DataFrame, name: str, path: str, partition_by=()) -> None:
+    """Store ``df`` as the catalog table ``name`` with its data at ``path``:
+    the catalog keeps the columns' types, partition columns included.  The
+    table is made on the first call; later calls replace the partitions that
+    ``df`` holds (a table without partitions as a whole)."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        w = df.write.format("parquet").option("path", path)
+        (w.partitionBy(*partition_by) if partition_by else w).saveAsTable(name)
+    else:
+        columns = spark.table(name).columns
+        df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+
+
 def write_gold(gold: DataFrame, path: str) -> None:
     """Gold in buckets of stations, sorted by fuel and latitude inside: each
     row group covers a narrow latitude band, so the radius search's bounding

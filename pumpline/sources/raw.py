@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..sinks import versions
 from pyspark.sql import types as T
 
-from ..schema import MANIFEST_SCHEMA, OVERALL_MANIFEST_SCHEMA, RAW_SCHEMA
+from ..schema import ITEM_STRUCT, MANIFEST_SCHEMA, OVERALL_MANIFEST_SCHEMA, PAGE_SCHEMA, RAW_SCHEMA
 
 # Snapshot files as the collector names them (data.jsonl) or as Spark's JSON
 # writer does (part-*.json); manifest.json in the same folders is excluded.
@@ -36,6 +36,30 @@ def scan_raw(spark: SparkSession, root: str, glob: str = DATA_GLOB, keep_corrupt
     return reader.schema(schema).json(root)
 
 
+def scan_pages(spark: SparkSession, root: str, strict: bool = False) -> DataFrame:
+    """Saved response pages, one JSON document a line, as ``response_check``
+    and ``snapshot_envelope`` take them.
+
+    Totals are read as text, whatever their JSON type.  ``resultado`` is a
+    list of items, or null where it is missing or no list; with ``strict`` a
+    page whose ``resultado`` is there but no list fails the job.  A line
+    that is not valid JSON keeps its text in ``_corrupt_record``, its other
+    columns are null.
+    """
+    schema = T.StructType(PAGE_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    lines = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(root)
+    valid = F.col(CORRUPT_COLUMN).isNull()
+    text = F.col("response.resultado")
+    is_list = F.ltrim(text).startswith("[")
+    items = F.when(is_list, F.from_json(text, T.ArrayType(ITEM_STRUCT)))
+    if strict:
+        items = F.when(text.isNull() | is_list, items).otherwise(
+            F.raise_error(F.concat(F.lit("response page without a list in resultado, run "), F.coalesce("run_id", F.lit("?")))))
+    response = F.col("response").withField("resultado", items)
+    return lines.select(*[F.when(valid, F.col(f.name)).alias(f.name) for f in PAGE_SCHEMA.fields if f.name != "response"],
+                        F.when(valid & F.col("response").isNotNull(), response).alias("response"), CORRUPT_COLUMN)
+
+
 def scan_manifest(spark: SparkSession, root: str, glob: str = "manifest.json", multiline: bool = True) -> DataFrame:
     """Per-run manifests: one row per manifest file (collector layout: pretty
     printed manifest.json beside data.jsonl) or per line (Spark-written)."""
@@ -83,10 +107,12 @@ def scan_run_log(spark: SparkSession, root: str, glob: str = "*.log") -> DataFra
     )
 
 
-def scan_table(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """A stored layer by catalog name (``catalog.table``) or by path."""
+def scan_table(spark: SparkSession, name_or_path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored layer by catalog name (``catalog.table``) or by path.  By
+    path, ``schema`` fixes the types that folder names would otherwise be
+    read as (all-numeric fuel codes stay text); a catalog table has its own."""
     if "/" in name_or_path or name_or_path.startswith("file:"):
         if versions.current_paths(spark, name_or_path):
             return versions.read_current(spark, name_or_path)
-        return spark.read.parquet(name_or_path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(name_or_path)
     return spark.read.table(name_or_path)
