@@ -25,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,10 +84,11 @@ def load(path: str) -> Vocabulary:
                       keys[order], order, merged, left, right, {i: t for t, i in [*vocab.items(), *special.items()]})
 
 
-def encode_pieces(pieces: list[bytes], v: Vocabulary) -> list[np.ndarray]:
-    """The ids of each piece (UTF-8, not empty), all pieces merged together."""
+def encode_pieces(pieces: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the pieces (UTF-8, not empty), all merged together, in one
+    array, and where in it each piece ends."""
     if not pieces:
-        return []
+        return np.array([], dtype=np.int64), np.array([], dtype=np.int64)
     size = np.array([len(p) for p in pieces])
     ends = np.cumsum(size)
     data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
@@ -108,12 +110,12 @@ def encode_pieces(pieces: list[bytes], v: Vocabulary) -> list[np.ndarray]:
         rank, places = v.ranks[at[known]], places[known]
         order = np.argsort(rank, kind="stable")
         rank, places = rank[order], places[order]
-        cuts = np.flatnonzero(np.diff(rank)) + 1
-        for r, some in zip(rank[np.concatenate([[0], cuts])].tolist() if len(rank) else [], np.split(places, cuts)):
+        cuts = [0, *(np.flatnonzero(rank[1:] != rank[:-1]) + 1).tolist(), len(rank)] if len(rank) else [0]
+        for r, i, j in zip(rank[cuts[:-1]].tolist(), cuts, cuts[1:]):
             if r not in index:
                 index[r] = []
                 heapq.heappush(active, r)
-            index[r].append(some)
+            index[r].append(places[i:j])
 
     if len(v.keys):
         extend(np.flatnonzero(after >= 0))
@@ -144,8 +146,7 @@ def encode_pieces(pieces: list[bytes], v: Vocabulary) -> list[np.ndarray]:
         prev = before[at]
         extend(np.unique(np.concatenate([prev[prev >= 0], at[tail]])))
     alive = np.flatnonzero(sym >= 0)
-    cut = np.searchsorted(alive, ends[:-1])
-    return np.split(sym[alive], cut)
+    return sym[alive], np.searchsorted(alive, ends)
 
 
 class Encoder:
@@ -153,62 +154,79 @@ class Encoder:
 
     def __init__(self, path: str):
         self.v = load(path)
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.ids: dict[str, str] = {}    # by known piece: its ids, joined by a space
+        self.plain: dict[str, str] = {}  # ... and what decoding gives for it
         self.marks = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.v.special, key=len, reverse=True)) + ")") if self.v.special else None
-        self.white = regex.compile(r"\s+")
-        self.seen: set[str] = set()  # characters met so far
-        self.new: dict[int, str] = {}  # those that are letters or digits only in a later Unicode version than Python's
+        self.normalizer = Tokenizer.from_file(path).normalizer
+        self.letter, self.digit = [pre_tokenizers.Split(Regex(c), "removed") for c in (r"\p{L}", r"\p{N}")]
+        self.seen: set[str] = set()      # characters met so far
+        self.later: dict[int, str] = {}  # those without a category in Python's version of Unicode, with one that stands for their class
+        self.odd: set[str] = set()       # these, and marks that combine
 
     def pieces(self, text: str) -> list[str]:
         """The split pieces of a text; special tokens come as they are."""
+        if not any(s in text for s in self.v.special):
+            return self.split(text)
         out = []
-        for part in self.marks.split(text) if self.marks else [text]:
+        for part in self.marks.split(text):
             if part in self.v.special:
                 out.append(part)
             elif part:
-                out += self.split(_lower(self.white.sub(" ", unicodedata.normalize("NFC", part))))
+                out += self.split(part)
         return out
 
     def split(self, text: str) -> list[str]:
-        """The matches of the split pattern, whose classes follow Python's
-        version of Unicode: the regex package may already know more letters."""
-        if not text.isascii():
-            fresh = set(text) - self.seen
-            self.seen |= fresh
-            self.new |= {ord(c): "\ue000" for c in fresh if unicodedata.category(c) == "Cn" and regex.match(r"[\p{L}\p{N}]", c)}
-            if self.new and not self.new.keys().isdisjoint(map(ord, set(text))):
-                return [text[m.start():m.end()] for m in self.v.pattern.finditer(text.translate(self.new))]
-        return self.v.pattern.findall(text)
+        """The matches of the split pattern in the normalised text.  No match
+        holds white space, so its runs need not be replaced before.
+
+        The tokenizers library follows other versions of Unicode than Python
+        and the regex package.  A text that composing could change, or with
+        characters that Python does not know, is normalised by the library's
+        own normaliser; such characters match as what the library takes them
+        for.
+        """
+        if text.isascii():
+            return self.v.pattern.findall(text.lower())
+        self.meet(text)
+        if self.odd.isdisjoint(text) and unicodedata.is_normalized("NFC", text):
+            return self.v.pattern.findall(_lower(text))
+        text = self.normalizer.normalize_str(text)
+        self.meet(text)
+        if self.odd.isdisjoint(text):
+            return self.v.pattern.findall(text)
+        return [text[m.start():m.end()] for m in self.v.pattern.finditer(text.translate(self.later))]
+
+    def meet(self, text: str) -> None:
+        fresh = set(text) - self.seen
+        self.seen |= fresh
+        self.odd |= {c for c in fresh if unicodedata.category(c) == "Cn" or unicodedata.combining(c)}
+        for c in fresh:
+            if unicodedata.category(c) == "Cn":
+                self.later[ord(c)] = "\u4e00" if not self.letter.pre_tokenize_str(c) else "\u0663" if not self.digit.pre_tokenize_str(c) else "\ue000"
 
     def learn(self, pieces: set[str]) -> None:
-        fresh = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(fresh) > KNOWN_PIECES:
-            self.known = {p: self.known[p] for p in pieces if p in self.known}
+        fresh = list(pieces - self.ids.keys())
+        if len(self.ids) + len(fresh) > KNOWN_PIECES:
+            kept = pieces & self.ids.keys()
+            self.ids, self.plain = [{p: known[p] for p in kept} for known in (self.ids, self.plain)]
+        for special in self.v.special.keys() & fresh:
+            self.ids[special], self.plain[special] = str(self.v.special[special]), special
+        fresh = [p for p in fresh if p not in self.v.special]
         for i in range(0, len(fresh), NEW_PIECES):
             some = fresh[i:i + NEW_PIECES]
-            for piece, ids in zip(some, encode_pieces([p.encode() for p in some], self.v)):
-                if piece in self.v.special:
-                    ids = [self.v.special[piece]]
-                listed = [int(x) for x in ids]
-                self.known[piece] = (len(listed), " ".join(map(str, listed)), decode(listed, self.v))
+            ids, ends = encode_pieces([p.encode() for p in some], self.v)
+            ids, ends = ids.tolist(), ends.tolist()
+            listed, plain = list(map(str, ids)), [self.v.plain[x] for x in ids]
+            for piece, b, e in zip(some, [0, *ends], ends):
+                self.ids[piece], self.plain[piece] = " ".join(listed[b:e]), " ".join(plain[b:e])
 
     def encode(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
         """Per text the number of ids, the ids as text, and the decoded text."""
         split = [self.pieces(t) for t in texts]
-        self.learn({p for one in split for p in one})
-        n, ids, plain = [], [], []
-        for one in split:
-            got = [self.known[p] for p in one]
-            n.append(sum(g[0] for g in got))
-            ids.append(" ".join([g[1] for g in got]))
-            plain.append(" ".join([g[2] for g in got]))
-        return n, ids, plain
-
-
-def decode(ids: list[int], v: Vocabulary) -> str:
-    """What the library gives for a vocabulary without a decoder: the tokens
-    as they are written, joined by one space."""
-    return " ".join([v.plain[i] for i in ids])
+        self.learn(set().union(*split))
+        ids = [" ".join(map(self.ids.__getitem__, one)) for one in split]
+        plain = [" ".join(map(self.plain.__getitem__, one)) for one in split]
+        return [x.count(" ") + 1 if x else 0 for x in ids], ids, plain
 
 
 def _chunks(texts: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:

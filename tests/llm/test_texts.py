@@ -293,6 +293,20 @@ def test_encoding_equals_the_library():
         assert back == theirs.decode(want, skip_special_tokens=False)
 
 
+def test_encoding_equals_the_library_on_every_code_point():
+    """Planes 0 to 3 and 14: between letters, between digits, alone and beside
+    what combines with it; also those that Python's Unicode does not know."""
+    from tokenizers import Tokenizer
+    theirs, enc = Tokenizer.from_file(WORDS), bpe.Encoder(WORDS)
+    points = [c for c in [*range(0x40000), *range(0xE0000, 0xE1000)] if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 40_000):
+        some = points[i:i + 40_000]
+        texts = [" ".join(f"a{chr(c)}b 1{chr(c)}2 {chr(c)}\u00e9{chr(c)}\u0301!" for c in some[j:j + 16]) for j in range(0, len(some), 16)]
+        want = [" ".join(map(str, e.ids)) for e in theirs.encode_batch(texts, add_special_tokens=False)]
+        got = enc.encode(texts)[1]
+        assert [hex(some[16 * j]) for j, (g, w) in enumerate(zip(got, want)) if g != w] == []
+
+
 def test_encoding_of_odd_documents(odd_docs, no_docs):
     from tokenizers import Tokenizer
     theirs = Tokenizer.from_file(WORDS)
