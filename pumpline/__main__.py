@@ -56,7 +56,7 @@ def main(argv=None) -> int:
         if args.continuous:
             spark.streams.awaitAnyTermination()
     else:
-        chain = jobs.run_chain(spark, args.raw, args.out, available_now=not args.continuous)
+        chain = jobs.run_chain(spark, args.raw, args.out, available_now=not args.continuous, with_open=not args.continuous)
         if args.continuous:
             spark.streams.awaitAnyTermination()
         print(chain)

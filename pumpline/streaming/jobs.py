@@ -128,8 +128,16 @@ def silver_stream(spark: SparkSession, silver_path: str, max_files_per_trigger:
     return r.parquet(silver_path).withColumn("event_time", utc_ntz_to_instant(F.col("price_ts")))
 
 
+def _first_copies(s: DataFrame) -> DataFrame:
+    """The earliest collected copy of each observation of ``s`` (silver with
+    event_time)."""
+    rest = [c for c in s.columns if c not in (*OBS_KEY, "event_time")]
+    first = s.groupBy(*OBS_KEY, "event_time").agg(F.min_by(F.struct(*rest), F.struct("collected_at", "run_id")).alias("_row"))
+    return first.select(*OBS_KEY, "_row.*").select(*[c for c in s.columns if c != "event_time"])
+
+
 def stream_dedup(spark: SparkSession, silver_path: str, out: str | None = None, watermark: str = WATERMARK,
-                 max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamRun:
+                 max_files_per_trigger: int | None = None, available_now: bool = True, checkpoint: str | None = None) -> StreamRun:
     """One row per observation, its earliest collection, emitted once it is
     final: when the watermark (newest event time seen minus ``watermark``)
     has passed the observation.
@@ -143,11 +151,21 @@ def stream_dedup(spark: SparkSession, silver_path: str, out: str | None = None,
     s = (silver_stream(spark, silver_path, max_files_per_trigger)
          .filter(F.col("event_time").isNotNull() & F.col("cnpj").isNotNull() & F.col("product_code").isNotNull())
          .withWatermark("event_time", watermark))
-    rest = [c for c in s.columns if c not in (*OBS_KEY, "event_time")]
-    first = s.groupBy(*OBS_KEY, "event_time").agg(F.min_by(F.struct(*rest), F.struct("collected_at", "run_id")).alias("_row"))
-    rows = first.select(*OBS_KEY, "_row.*").select(*[c for c in s.columns if c != "event_time"])
-    w = rows.writeStream.format("parquet").option("path", out).outputMode("append")
-    return _run(w, out, out + "-ckpt", available_now)
+    w = _first_copies(s).writeStream.format("parquet").option("path", out).outputMode("append")
+    return _run(w, out, checkpoint or out + "-ckpt", available_now)
+
+
+def write_open(spark: SparkSession, dedup: StreamRun, silver_path: str, out: str) -> None:
+    """What a drained ``stream_dedup`` still holds back: the earliest copies,
+    so far, of the observations newer than its watermark.  ``out`` is replaced
+    as a whole; it never holds more than a watermark span, and no observation
+    that the stream has emitted.  A drain without a new epoch leaves it as it is."""
+    progress = dedup.query.lastProgress
+    if progress is None or "watermark" not in progress.eventTime:
+        return
+    passed = F.lit(progress.eventTime["watermark"].rstrip("Z").replace("T", " ")).cast("timestamp_ntz")
+    s = spark.read.parquet(silver_path).filter((F.col("price_ts") > passed) & F.col("cnpj").isNotNull() & F.col("product_code").isNotNull())
+    _first_copies(s.withColumn("event_time", utc_ntz_to_instant(F.col("price_ts")))).write.mode("overwrite").parquet(out)
 
 
 def stream_gold_latest(spark: SparkSession, silver_path: str, out: str | None = None,
@@ -296,7 +314,7 @@ class StreamChain:
 
 def run_chain(spark: SparkSession, raw_root: str, out_root: str | None = None, window_hours: int = 24,
               available_now: bool = True, watermark: str = WATERMARK, slide_hours: int | None = None, pct_drop: float = 3.0,
-              raw_files_per_trigger: int | None = None, files_per_trigger: int | None = None) -> StreamChain:
+              raw_files_per_trigger: int | None = None, files_per_trigger: int | None = None, with_open: bool = False) -> StreamChain:
     """Start the whole chain: raw -> silver -> gold and dedup, dedup -> daily
     and price drops, each stage reading the previous stage's sink.
 
@@ -306,6 +324,10 @@ def run_chain(spark: SparkSession, raw_root: str, out_root: str | None = None, w
     stages after.  Otherwise the stages run
     continuously; the downstream stages are started once their source table
     has its first files.
+
+    The dedup table has two folders: ``state=final``, which the stream appends
+    to and the stages after it read, and, after a drain ``with_open``,
+    ``state=open`` with the observations that are not final yet.
     """
     root = (out_root or scratch_path(spark, "stream-chain")).rstrip("/")
     run = stream_bronze_silver(spark, raw_root, out=f"{root}/silver", available_now=available_now,
@@ -313,11 +335,13 @@ def run_chain(spark: SparkSession, raw_root: str, out_root: str | None = None, w
     silver = run.output
     if not available_now:
         _wait_for_files(spark, run)
-    run = stream_dedup(spark, silver, out=f"{root}/dedup", watermark=watermark, available_now=available_now,
-                       max_files_per_trigger=files_per_trigger)
+    run = stream_dedup(spark, silver, out=f"{root}/dedup/state=final", watermark=watermark, available_now=available_now,
+                       max_files_per_trigger=files_per_trigger, checkpoint=f"{root}/dedup-ckpt")
     dedup = run.output
     if not available_now:
         _wait_for_files(spark, run)
+    elif with_open:
+        write_open(spark, run, silver, f"{root}/dedup/state=open")
     # The downstream streams run side by side.
     same = {"available_now": available_now, "wait": False, "max_files_per_trigger": files_per_trigger}
     runs = [stream_gold_latest(spark, silver, out=f"{root}/gold", **same),
