@@ -1,7 +1,8 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 DataFrame operations only.  Documents of a source queue in the order of a hash
-of their key, as often as ``cap`` times.  A copy's virtual finish time is the
+of their key, size and number among rows equal in both, as often as ``cap``
+times.  A copy's virtual finish time is the
 source's words up to and with it, divided by the source's target; all copies
 are range-sorted by that time, and the queue ends where the total budget is
 used up.  A source's words thus grow in proportion to its target.
@@ -56,12 +57,21 @@ def mix_sources(docs: DataFrame, key: str = "doc_id", text: str = "text", source
 
     A document without words is never taken.  Repeated rows queue one by one;
     the order among rows equal in key, source and size is of no consequence.
-    The order depends on nothing but keys and sizes, so reruns agree.
+    They are numbered by the stored table's read tasks and, within a task, in
+    it; the number goes into the hash, so that rows without a key, or with one
+    that repeats, spread over all ranges.  The order depends on nothing but
+    keys, sizes and how often they occur, so reruns agree.
     """
     kn, sn = F.col(key).isNull(), F.col(source).isNull()
-    sized = stored(docs.select(F.col(key).alias("k"), sn.cast("int").alias("sn"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("sv"),
-                               F.md5(F.when(kn, F.lit("")).otherwise(F.col(key).cast("string")).cast("binary")).alias("h"),
-                               word_count(F.col(text)).alias("size")).withColumn("r", F.substring("h", 1, 3)), "mix-sizes")
+    sized = stored(docs.select(F.col(key).alias("k"), kn.cast("int").alias("kn"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("kv"),
+                               sn.cast("int").alias("sn"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("sv"),
+                               word_count(F.col(text)).alias("size"), F.spark_partition_id().alias("task")), "mix-sizes")
+    equal = ["kn", "kv", "sn", "sv", "size"]
+    earlier = Window.partitionBy(*equal).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    groups = sized.groupBy(*equal, "task").agg(F.count("*").alias("n")).withColumn("others", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    number = F.col("others") + F.row_number().over(Window.partitionBy(*equal, "task").orderBy("k"))
+    sized = sized.join(groups, [*equal, "task"]).withColumn("h", F.md5(F.concat_ws(":", "kv", "size", number).cast("binary")))
+    sized = stored(sized.select("k", "sn", "sv", "h", "size", F.substring("h", 1, 3).alias("r")), "mix-hashed")
     who = ["sn", "sv"]
     ranges = sized.groupBy(*who, "r").agg(F.sum("size").alias("words"))
     targets = source_targets(ranges.groupBy(*who).agg(F.sum("words").alias("source_size")), weights, cap)
@@ -95,9 +105,9 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
                     cap: int = CAP) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with the
     columns of ``docs``.  Rows equal in key, source and size share their copies
-    evenly."""
-    kn, kv, sn, sv, size, copies, rows, row, mine, copy = [free_name(docs, f"_{c}") for c in
-                                                            ("kn", "kv", "sn", "sv", "size", "copies", "rows", "row", "mine", "copy")]
+    evenly.  Such rows meet in one task only if their texts are equal too."""
+    kn, kv, sn, sv, size, copies, rows, ahead, part, row, mine, copy = [
+        free_name(docs, f"_{c}") for c in ("kn", "kv", "sn", "sv", "size", "copies", "rows", "ahead", "part", "row", "mine", "copy")]
 
     def keyed(df: DataFrame, words: Column) -> DataFrame:
         return df.withColumns({kn: F.col(key).isNull().cast("int"), kv: F.coalesce(F.col(key).cast("string"), F.lit("")),
@@ -106,18 +116,25 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", so
     same = [kn, kv, sn, sv, size]
     share = keyed(mix_sources(docs, key, text, source, weights, cap).where("taken > 0"), F.col("size")).groupBy(*same) \
         .agg(F.sum(F.col("taken") / F.col("size")).cast("bigint").alias(copies))
-    one_of = Window.partitionBy(*same)
-    numbered = keyed(docs, word_count(F.col(text))).withColumn(rows, F.count("*").over(one_of)).withColumn(row, F.row_number().over(one_of.orderBy(*same)))
+    # Each part (rows of one text) of a group of equal rows: its rows, those of the parts before and the group's copies.
+    split = keyed(docs, word_count(F.col(text))).withColumn(part, F.xxhash64(F.col(text)))
+    group = Window.partitionBy(*same)
+    parts = split.groupBy(*same, part).agg(F.count("*").alias(row)) \
+        .withColumn(rows, F.sum(row).over(group)) \
+        .withColumn(ahead, F.coalesce(F.sum(row).over(group.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop(row)
+    numbered = split.withColumn(row, F.row_number().over(Window.partitionBy(*same, part).orderBy(*same))) \
+        .join(parts.join(share, same), [*same, part]).withColumn(row, F.col(ahead) + F.col(row))
     given = F.floor(F.col(copies) * F.col(row) / F.col(rows)) - F.floor(F.col(copies) * (F.col(row) - 1) / F.col(rows))
-    return (numbered.join(share, same).withColumn(mine, given).where(F.col(mine) > 0)
+    return (numbered.withColumn(mine, given).where(F.col(mine) > 0)
             .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(mine).cast("int")))).select(*docs.columns))
 
 
 OP8_SQL = rf"""
 WITH sized AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
-         CAST(coalesce(len(regexp_extract_all(text, '{WORD_PATTERN}')), 0) AS BIGINT) AS size
-  FROM documents),
+  SELECT *, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size || ':'
+                || row_number() OVER (PARTITION BY doc_id, source, size)) AS h
+  FROM (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{WORD_PATTERN}')), 0) AS BIGINT) AS size
+        FROM documents)),
 placed AS (
   SELECT *, row_number() OVER q AS place,
          CAST(sum(size) OVER (PARTITION BY source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) AS words

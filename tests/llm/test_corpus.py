@@ -167,6 +167,31 @@ def test_mix_follows_targets(spark):
     assert sum(sizes.values()) - 45 <= sum(r.taken for r in out) <= sum(sizes.values())
 
 
+def test_mix_spreads_rows_without_an_id(spark, monkeypatch):
+    """Null and repeated ids, texts equal or not: no range is large, results equal the SQL twin."""
+    import duckdb
+    rows = [(None, "same words here", "a")] * 2000 + [(None, "w " * (1 + i % 9), "a") for i in range(1000)] + [(7, "x y", "b")] * 500
+    rows += [(i, "some words " * (i % 4), "b" if i % 3 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    seen, stored = {}, mixing.stored
+
+    def spy(df, name):
+        seen[name] = stored(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(mixing, "stored", spy)
+    got = sorted(tuple(r) for r in mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken").fillna(-1, ["doc_id"]).collect())
+    assert seen["mix-hashed"].groupBy("sn", "sv", "r").count().agg(F.max("count")).first()[0] <= 10
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = sorted((-1 if r[0] is None else r[0], *r[1:]) for r in con.execute(mixing.OP8_SQL).fetchall())
+    assert len(got) == len(rows) and got == want
+    mixed = mixing.mixed_documents(docs)
+    words = {k: n for k, n in mixed.groupBy(F.coalesce("source", F.lit("-"))).agg(F.sum(mixing.word_count(F.col("text")))).collect()}
+    taken = {k: n for k, n in mixing.mix_sources(docs).groupBy(F.coalesce("source", F.lit("-"))).agg(F.sum("taken")).collect()}
+    assert words == taken
+
+
 def test_mix_of_odd_documents(odd_docs, no_docs):
     rows = mixing.mix_sources(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(0 <= r.taken <= 3 * r.size for r in rows)
