@@ -63,6 +63,7 @@ GATE_SLACK = 0.3
 ROUNDS = 4
 MISS_COST = 2.0
 KNOWN_UNITS = 250_000
+ROWS = 512  # units whose features are held as dense rows at once
 WINDOW, OVERLAP = 64, 8  # longest unit, and what neighbouring windows of a longer word share
 _MARKS = regex.compile(r"[^\p{L}\p{N}]+")
 _ENDS = frozenset(".!?;\u2026\u3002\uff01\uff1f")
@@ -138,6 +139,10 @@ class Kernel:
         out[unit[ok], at[ok]] = w[ok]
         return out
 
+    def mapped(self, units: list[str], columns: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+        """``dense`` rows times ``matrix``, dense for ``ROWS`` units at a time."""
+        return np.concatenate([self.dense(units[i:i + ROWS], columns) @ matrix for i in range(0, len(units), ROWS)])
+
 
 def units_of(text: str) -> set[str]:
     """The units of a text: its lower-cased words, three or more single
@@ -388,6 +393,7 @@ def train(bags: list[list[str]], toxic: np.ndarray, weight: np.ndarray, seed: in
         near_phrases = [" ".join(names[c] for c in words) for words in counted.clean_around(inside, 1000)] if phrases else []
         near_phrases = [p for p in near_phrases if not any(f" {q} " in f" {p} " for q in phrases)]
         near_phrases += sorted({w for p in phrases for w in p.split()} & set(n_good))
+        del counted, found
 
     known = set(proven)
     unsure = [b for i, b in zip(bad_at, bad) if i not in told and known.isdisjoint(b)]
@@ -415,7 +421,7 @@ def train(bags: list[list[str]], toxic: np.ndarray, weight: np.ndarray, seed: in
         pos.update({u: n for u, n in padded.items() if u not in n_good})
         neg = list(dict.fromkeys([u for u in near_phrases if u not in pos] + [clean[i] for i in sorted(negative) if clean[i] not in pos]))
         names = [*pos, *neg]
-        x = kernel.dense(names, columns) @ whiten
+        x = kernel.mapped(names, columns, whiten)
         y = np.array([1.0] * len(pos) + [-1.0] * len(neg))
         draw = np.ones(len(neg)) + np.isin(neg, near_phrases) * (len(neg) / (4 * max(len(near_phrases), 1)))
         w, bias = _train_linear(x, y, np.concatenate([np.sqrt(list(pos.values())), draw]))
@@ -489,7 +495,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
         rows = pa.Table.from_batches(list(batches)).sort_by([("r", "ascending"), ("k", "ascending")])
         y = rows.column("y").to_numpy().astype(np.int64)
         weight = np.array([size.get(c, 0) for c in (0, 1)]) / np.maximum(np.bincount(y, minlength=2), 1)
-        m = train(rows.column("bag").to_pylist(), y == 1, weight[y], sequences=coded(rows.column("words").slice(0, in_words)))
+        bags, sequences = shared_lists(rows.column("bag")), coded(rows.column("words").slice(0, in_words))
+        del rows
+        m = train(bags, y == 1, weight[y], sequences=sequences)
         at = np.flatnonzero(m.table)
         yield pa.record_batch([pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([m.table[at]], pa.list_(pa.float64())),
                                *[pa.array([x]) for x in (m.bias, m.slope, m.offset, m.empty, m.gate)]],
@@ -504,6 +512,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: st
     return ToxicityModel(table, learned.bias, learned.slope, learned.offset, learned.empty, learned.gate)
 
 
+def shared_lists(column: pa.ChunkedArray) -> list[list[str]]:
+    """String lists in which equal strings are one object."""
+    lists = column.combine_chunks()
+    flat = lists.flatten().dictionary_encode()
+    texts = np.array(flat.dictionary.to_pylist(), dtype=object)[flat.indices.to_numpy(zero_copy_only=False)]
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+    return [texts[i:j].tolist() for i, j in zip([0, *ends[:-1]], ends)]
+
+
 def coded(words: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Word lists as codes (-1 for the empty string), the list each word is of,
     and the words by code."""

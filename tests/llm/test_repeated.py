@@ -2,6 +2,7 @@
 
 import random
 import resource
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -108,3 +109,20 @@ def test_phrases_stay_within_sentences_and_equal_brute_force():
         below = [(names[c],) for c in range(len(names))] if n == 2 else [tuple(names[c] for c in row) for row in counted.levels[1][5]]
         for row, first, last in zip(found, *parts):
             assert below[first] == row[:-1] and below[last] == row[1:]
+
+
+def test_toxicity_training_holds_few_dense_rows():
+    """Thousands of negative units against tens of thousands of features, a block of rows at a time."""
+    rng = toxicity.np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 9)) for _ in range(9000)]
+    toxic = toxicity.np.arange(300) % 2 == 0
+    texts = [[*rng.choice(words, 60, replace=False), *(["numpty"] if bad else [])] for bad in toxic]
+    bags = toxicity.shared_lists(pa.chunked_array([pa.array(texts, pa.list_(pa.string()))]))
+    assert bags == texts
+    tracemalloc.start()
+    model = toxicity.train(bags, toxic, toxicity.np.ones(len(toxic)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6
+    got = toxicity.text_values(["a numpty", words[0]], model, toxicity.Kernel(), {})
+    assert got[0] > got[1]
