@@ -136,3 +136,34 @@ def test_stream_into_layers_continuous_mode(spark, sf_small):
     finally:
         run.query.stop()
     assert spark.read.parquet(lay.gold).count() == testdata.gold(spark, sf_small).count()
+
+
+def test_daily_and_drops_hold_what_is_not_final_too(spark):
+    """All days and windows come out, whatever the watermark still holds back; also after a drain that makes nothing final."""
+    src, out = scratch_path(spark, "open-src"), scratch_path(spark, "open-out")
+    rows = []
+
+    def drain(hours):
+        new = [obs(c, 10.0 if h // 24 % 2 else 9.0, 12 - h) for h in hours for c in (1, 2)]  # h hours after midnight before T0
+        rows.extend((r[4], r[15], r[16]) for r in new)
+        _write_silver_batch(spark, new * 2, src)
+        run = jobs.stream_dedup(spark, src, out=f"{out}/state=final", checkpoint=f"{out}/ckpt")
+        jobs.write_open(spark, run, src, f"{out}/state=open")
+        daily = jobs.stream_daily(spark, f"{out}/state=final", out=f"{out}/daily").output
+        drops = jobs.stream_price_drop(spark, f"{out}/state=final", out=f"{out}/drops", hours=24, pct_drop=5.0).output
+        days = {r.day: (r.samples, r.avg_price_unit) for r in jobs.read_daily(spark, daily, f"{out}/state=open").collect()}
+        got = jobs.read_drops(spark, drops, f"{out}/state=final", f"{out}/state=open", hours=24, pct_drop=5.0).collect()
+        assert sum(n for n, _ in days.values()) == len(rows)
+        prices = {}
+        for cnpj, ts, price in rows:
+            prices.setdefault((cnpj, dt.datetime(ts.year, ts.month, ts.day)), []).append(price)
+        assert {d for _, d in prices} == set(days)
+        mean = {k: sum(p) / len(p) for k, p in prices.items()}
+        want = {k for k, m in mean.items() if (before := mean.get((k[0], k[1] - dt.timedelta(days=1)))) and m <= 0.95 * before}
+        assert {(r.cnpj, r.window_start) for r in got} == want and len(got) == len(want)
+        return days, got
+
+    first, _ = drain(range(0, 30, 5))             # nothing is final yet
+    days, got = drain(range(33, 240, 7))
+    again, more = drain([175])                    # changes a day that is open, makes nothing final
+    assert len(first) == 2 and len(days) == 10 and len(got) == 8 and days != again
