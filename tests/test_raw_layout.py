@@ -137,3 +137,26 @@ def test_corrupt_lines_are_counted(spark, tree):
     assert (q["run-c"].lines, q["run-c"].corrupt_lines, q["run-c"].lines_without_item) == (3, 1, 1)
     # an unparseable time is present text: it is caught after typing (silver_validate key_missing)
     assert q["run-a"].corrupt_lines == 0 and q["run-b"].lines_without_key == 0
+
+
+def test_run_folders_are_compressed_and_whole(spark, sf_small):
+    """Lines are mostly repeated names; they read back as the rows they are made of."""
+    import glob
+    import gzip
+    import os
+
+    from pumpline.operators.silver import silver_flatten, silver_typed
+    from pumpline.plans import snapshots
+    from pumpline.schema import SILVER_COLUMNS
+    from pumpline.session import scratch_path
+    from pumpline.sources import raw as rawsrc, testdata
+    snap = snapshots.snapshot_rows(testdata.silver(spark, sf_small, with_obs_id=True))
+    root = scratch_path(spark, "narrow")
+    snapshots.write_runs(snap, root)
+    files = glob.glob(f"{root.removeprefix('file:')}/**/part-*", recursive=True)
+    text = sum(len(gzip.open(f).read()) for f in files)
+    assert text > 500 * snap.count() and sum(map(os.path.getsize, files)) < text / 3
+    read = rawsrc.scan_raw(spark, root)
+    assert read.count() == snap.count() == snap.select("obs_id", "run_id").distinct().count()
+    rows = silver_typed(silver_flatten(read)).select(*SILVER_COLUMNS).exceptAll(snap.select(*SILVER_COLUMNS))
+    assert rows.isEmpty()
