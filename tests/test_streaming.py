@@ -167,3 +167,17 @@ def test_daily_and_drops_hold_what_is_not_final_too(spark):
     days, got = drain(range(33, 240, 7))
     again, more = drain([175])                    # changes a day that is open, makes nothing final
     assert len(first) == 2 and len(days) == 10 and len(got) == 8 and days != again
+
+
+def test_state_partitions_do_not_follow_the_session(spark):
+    """Tasks report figures of every state partition, so their number is bounded; a checkpoint keeps its own."""
+    path, out = scratch_path(spark, "parts-src"), scratch_path(spark, "parts-dedup")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "300")
+        _write_silver_batch(spark, [obs(1, 5.0, 0)], path)
+        run = jobs.stream_dedup(spark, path, out=out)
+        assert {op.numShufflePartitions for op in run.query.lastProgress.stateOperators} == {jobs.STATE_PARTITIONS}
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "300"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
