@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 from pumpline.llm.common import stored
 
 LOOKUP = 4_000_000     # pairs of a table that is broadcast: 64 MB
-KNOWN_UNITS = 250_000  # aligned units that a task keeps
+KNOWN_UNITS = 250_000  # aligned units that a task keeps, but for those of the last block
 KNOWN_CHARS = 64       # longest unit that is kept
 BLOCK_CHARS = 1 << 18  # text that is aligned at a time
 
-# A space between two characters neither of which is white space.
+# A space between two characters neither of which is white space, and a space beside white space.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
+_NO_BREAK = re.compile(r" \s|\s ")
 
 
 @lru_cache(maxsize=4)
@@ -74,12 +75,13 @@ class Tokenizers:
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
         self.a_size, self.b_size = (np.array([len(x) for x in y], dtype=np.int64) for y in (self.a_bytes, self.b_bytes))
         # Every id as text with "," after it, and with the mark that ends its side of a group.
-        self.a_text, self.b_text = ([[b"%d%s" % (t, mark) for mark in (b",", end) for t in range(len(x))]
-                                     for x, end in ((self.a_bytes, b"|"), (self.b_bytes, b";"))])
+        self.a_text, self.b_text = (np.array([b"%d%s" % (t, mark) for mark in (b",", end) for t in range(len(x))], dtype=object)
+                                    for x, end in ((self.a_bytes, b"|"), (self.b_bytes, b";")))
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides for space + text; None where a side's bytes differ from that."""
-        a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        # The fast form leaves out the offsets of tokens.
+        a, b = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
         whole = b" " + text.encode("utf-8", "surrogatepass")
         if not text or b"".join([self.a_bytes[t] for t in a]) != whole or b"".join([self.b_bytes[t] for t in b]) != whole:
             return None
@@ -105,10 +107,9 @@ def groups_of(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndar
     return label[:na], label[na:]
 
 
-# A unit's answer: its tokens of A and B and its groups, packed in one number
-# (40 bits each); its groups as text; its overlapping pairs, as bytes.
-Aligned = tuple[int, bytes, bytes]
-_FIELD = 40
+# A unit's answer: how many tokens of A and B and how many groups it has; its
+# groups as text; its overlapping pairs, as bytes.
+Aligned = tuple[int, int, int, bytes, bytes]
 
 
 def align(both: Tokenizers, units: list[str]) -> list[Aligned | None]:
@@ -116,7 +117,7 @@ def align(both: Tokenizers, units: list[str]) -> list[Aligned | None]:
     Units without white space at their ends are tokenised in one text, which
     both sides cut between them; if that is not given back, each by itself."""
     out: list[Aligned | None] = [None] * len(units)
-    plain = [i for i, u in enumerate(units) if u and not u[0].isspace() and not u[-1].isspace()]
+    plain = [i for i, u in enumerate(units) if u and u == u.strip()]
     ids = both.encode(" ".join([units[i] for i in plain])) if len(plain) > 1 else None
     if ids is not None:
         for i, x in zip(plain, _aligned(both, *ids, [len(units[i].encode()) + 1 for i in plain])):
@@ -142,15 +143,15 @@ def _aligned(both: Tokenizers, a: np.ndarray, b: np.ndarray, sizes: list[int]) -
     # Text: within a group the A ids, then the B ids; "," between, "|" after A's, ";" after B's.
     a_last, b_last = np.append(a_group[1:] != a_group[:-1], True), np.append(b_group[1:] != b_group[:-1], True)
     words = np.empty(len(a) + len(b), dtype=object)
-    words[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = [both.a_text[t] for t in (a + a_last * len(both.a_bytes)).tolist()]
-    words[np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")] = [both.b_text[t] for t in (b + b_last * len(both.b_bytes)).tolist()]
+    words[np.arange(len(a)) + np.searchsorted(b_group, a_group)] = both.a_text[a + a_last * len(both.a_bytes)]
+    words[np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")] = both.b_text[b + b_last * len(both.b_bytes)]
     words = words.tolist()
     to_a, to_b = np.searchsorted(a_end, unit_end) + 1, np.searchsorted(b_end, unit_end) + 1
     groups = a_group[to_a - 1] + 1
     ends = zip(to_a.tolist(), to_b.tolist(), groups.tolist(), begin[to_a].tolist())
     out, s, t, g, p = [], 0, 0, 0, 0
     for e, f, h, q in ends:
-        out.append(((e - s) + ((f - t) << _FIELD) + ((h - g) << 2 * _FIELD), b"".join(words[s + t:e + f])[:-1], pairs[8 * p:8 * q]))
+        out.append((e - s, f - t, h - g, b"".join(words[s + t:e + f])[:-1], pairs[8 * p:8 * q]))
         s, t, g, p = e, f, h, q
     return out
 
@@ -159,17 +160,17 @@ class _Sums:
     """What a document's units add up to; a unit that is not given back leaves it without tokens."""
 
     def __init__(self):
-        self.n, self.links, self.pairs, self.digest, self.ok = 0, 0, [], hashlib.sha256(), True
+        self.n_a, self.n_b, self.groups, self.links, self.pairs, self.digest, self.ok = 0, 0, 0, 0, [], hashlib.sha256(), True
 
     def add(self, units: list[Aligned | None]) -> None:
         self.ok = self.ok and None not in units
         if self.ok:
-            n, text, pairs = zip(*units)
-            if self.n:
+            n_a, n_b, groups, text, pairs = zip(*units)
+            if self.pairs:
                 self.digest.update(b";")
             self.digest.update(b";".join(text))
             pairs = np.frombuffer(b"".join(pairs), dtype=np.int64)
-            self.n += sum(n)
+            self.n_a, self.n_b, self.groups = self.n_a + sum(n_a), self.n_b + sum(n_b), self.groups + sum(groups)
             self.links += len(pairs)
             self.pairs.append(np.unique(pairs, return_counts=True))
 
@@ -180,8 +181,38 @@ class _Sums:
         if len(self.pairs) > 1:
             kinds, at = np.unique(np.concatenate([k for k, _ in self.pairs]), return_inverse=True)
             times = np.bincount(at, weights=np.concatenate([t for _, t in self.pairs]))
-        mask = (1 << _FIELD) - 1
-        return self.n & mask, self.n >> _FIELD & mask, self.n >> 2 * _FIELD, self.links, self.digest.hexdigest(), kinds, times.astype(np.int32)
+        return self.n_a, self.n_b, self.groups, self.links, self.digest.hexdigest(), kinds, times.astype(np.int32)
+
+
+def _units(text: str) -> list[str]:
+    """``text`` cut at its breaks."""
+    return text.split(" ") if text[0] != " " != text[-1] and not _NO_BREAK.search(text) else _BREAK.split(text)
+
+
+class _Known:
+    """Answers of units, in a newer and an older part.  When the newer is full
+    the older one goes, but for what has been met again since."""
+
+    def __init__(self):
+        self.new: dict[str, Aligned | None] = {}
+        self.old: dict[str, Aligned | None] = {}
+
+    def learn(self, both: Tokenizers, units: set[str]) -> list[str]:
+        """Puts the answers of all ``units`` into ``new``; returns those tokenised now."""
+        missing = units.difference(self.new)
+        again = [u for u in missing if u in self.old]
+        self.new.update((u, self.old[u]) for u in again)
+        fresh = list(missing.difference(again))
+        self.new.update(zip(fresh, align(both, fresh)))
+        return fresh
+
+    def trim(self, fresh: list[str]) -> None:
+        """Lets go of what is not kept: long units, and those that are not given back."""
+        for u in fresh:
+            if len(u) > KNOWN_CHARS or not self.new[u]:
+                del self.new[u]
+        if len(self.new) > KNOWN_UNITS // 2:
+            self.old, self.new = self.new, {}
 
 
 def _blocks(texts: pa.Array) -> Iterator[list[tuple[int, list[str]]]]:
@@ -194,7 +225,7 @@ def _blocks(texts: pa.Array) -> Iterator[list[tuple[int, list[str]]]]:
             cut = _BREAK.search(text, at + BLOCK_CHARS)
             piece = text[at:cut.start()] if cut else text[at:]
             at = cut.end() if cut else len(text)
-            block.append((row, _BREAK.split(piece)))
+            block.append((row, _units(piece)))
             size += len(piece)
             if size >= BLOCK_CHARS:
                 yield block
@@ -212,18 +243,14 @@ def aligned_documents(docs: DataFrame, a_path: str, b_path: str, key: str = "doc
     and how often each occurs.  Stored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both, known = _loaded(a_path, b_path), {}
+        both, known = _loaded(a_path, b_path), _Known()
         for batch in batches:
             rows = [_Sums() for _ in range(len(batch))]
             for block in _blocks(batch.column("t")):
-                fresh = list({u for _, units in block for u in units if u not in known})
-                if len(known) + len(fresh) > KNOWN_UNITS:
-                    known = {}
-                    fresh = list({u for _, units in block for u in units})
-                new = dict(zip(fresh, align(both, fresh)))
+                fresh = known.learn(both, set().union(*(units for _, units in block)))
                 for row, units in block:
-                    rows[row].add([known[u] if u in known else new[u] for u in units])
-                known.update((u, x) for u, x in new.items() if len(u) <= KNOWN_CHARS and x)
+                    rows[row].add([known.new[u] for u in units])
+                known.trim(fresh)
             cols = list(zip(*(r.row() for r in rows))) or [()] * 7
             yield pa.record_batch([batch.column("k"), *[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.string()),
                                    pa.array(cols[5], pa.list_(pa.int64())), pa.array(cols[6], pa.list_(pa.int32()))],
