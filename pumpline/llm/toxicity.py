@@ -63,7 +63,7 @@ GATE_SLACK = 0.3
 ROUNDS = 4
 MISS_COST = 2.0
 KNOWN_UNITS = 250_000
-ROWS = 512  # units whose features are held as dense rows at once
+ROWS = 128  # units whose features are held as dense rows at once
 WINDOW, OVERLAP = 64, 8  # longest unit, and what neighbouring windows of a longer word share
 _MARKS = regex.compile(r"[^\p{L}\p{N}]+")
 _ENDS = frozenset(".!?;\u2026\u3002\uff01\uff1f")
@@ -96,20 +96,28 @@ class Kernel:
         sym[edge] = 1
         edges = np.cumsum(edge)
         keys = []
-        for which, offsets in enumerate(OFFSETS):
-            far = offsets[-1]
+        for far in range(2, SPAN):
             n = len(sym) - far
             if n <= 0:
                 continue
             at = np.flatnonzero((edges[far - 1:-1] == edges[:n]) & (sym[:n] > 0) & (sym[far:] > 0))
-            for o in offsets[1:-1]:
-                at = at[sym[at + o] > 1]
-            code = np.zeros(len(at), dtype=np.int64)
-            for o in offsets:
-                code = code * SYMBOLS + sym[at + o]
-            feature = (code * 0x9E3779B1 >> 7) & (_FEATURES - 1) if len(offsets) == 4 else code
-            keys.append(((edges[at + offsets[1]] - 1) * _FEATURES + feature) * 32 + which)
-        key = np.sort(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.int64)
+            unit = (edges[at] - 1) * _FEATURES  # no edge lies within a span, so all of it is of the unit after ``at``
+            taken = {o: sym[at + o] for o in range(far + 1)}
+            inner = {o: taken[o] > 1 for o in range(1, far)}
+            for which, offsets in enumerate(OFFSETS):
+                if offsets[-1] != far:
+                    continue
+                code = taken[0]
+                for o in offsets[1:]:
+                    code = code * SYMBOLS + taken[o]
+                if len(offsets) == 4:
+                    code = (code * 0x9E3779B1 >> 7) & (_FEATURES - 1)
+                ok = inner[offsets[1]] & inner[offsets[-2]]
+                key = (unit + code) * 32 + which
+                keys.append(key if ok.all() else key[ok])
+        key = np.concatenate(keys) if keys else np.zeros(0, dtype=np.int64)
+        del keys
+        key.sort()
         if not len(key):
             return (np.zeros(0, dtype=np.int64),) * 2 + (np.zeros(0),)
         same = key >> 5
@@ -120,7 +128,7 @@ class Kernel:
         size = np.sqrt(np.bincount(unit, weights=w * w, minlength=len(units)))
         return unit, same % _FEATURES, w / size[unit]
 
-    def values(self, units: list[str], table: np.ndarray, chunk: int = 200_000) -> np.ndarray:
+    def values(self, units: list[str], table: np.ndarray, chunk: int = 50_000) -> np.ndarray:
         """Per unit the sum of its features' table entries, in chunks of so many characters."""
         out = np.zeros(len(units))
         piece = np.cumsum([len(u) + 1 for u in units], dtype=np.int64) // chunk
@@ -151,11 +159,14 @@ def units_of(text: str) -> set[str]:
     ``WINDOW`` characters: longer words (texts without spaces too) come in
     windows that overlap by more than a subsequence spans."""
     words = text.lower().split()
-    long = [w for w in words if len(w) > WINDOW]
-    if long:
-        words = [w if len(w) <= WINDOW else "" for w in words]
-    out = {w[i:i + WINDOW] for w in long for i in range(0, len(w) - OVERLAP, WINDOW - OVERLAP)} | set(words) - {""}
-    if len([w for w in words if len(w) == 1]) > 2:
+    sizes = list(map(len, words))
+    out = set(words)
+    if max(sizes, default=0) > WINDOW:
+        long = {w for w in out if len(w) > WINDOW}
+        words = [w if w not in long else "" for w in words]
+        out = {w[i:i + WINDOW] for w in long for i in range(0, len(w) - OVERLAP, WINDOW - OVERLAP)} | out - long
+    # Three or more single characters in a row, looked for in one pass.
+    if sizes.count(1) > 2 and b"\x01\x01\x01" in bytes(map((1).__eq__, sizes)):
         start = None
         for i, w in enumerate([*words, ""]):
             if len(w) == 1:
@@ -410,6 +421,7 @@ def train(bags: list[list[str]], toxic: np.ndarray, weight: np.ndarray, seed: in
     values, vectors = np.linalg.eigh(z @ z.T)
     some = values > 1e-6 * values.max()
     whiten = z.T @ (vectors[:, some] / np.sqrt(values[some]))  # features -> Nystrom features
+    del z, vectors
     negative = set(rng.choice(len(clean), min(len(clean), 4000), replace=False, p=count / count.sum()).tolist())
     witness = [max(b, key=lambda u: (surprise[u], u)) for b in unsure]
     units_bad = sorted({u for b in unsure for u in b})
@@ -538,18 +550,19 @@ def unit_values(bags: list, sequences: list[list[str]], model: ToxicityModel, ke
     """Each text's highest unit's value (-inf without units): of its bag, and
     with a gate of the phrases in its word sequence too.  ``known`` keeps values."""
     def learn(units: set[str]) -> None:
-        fresh = [u for u in units if u not in known]
+        fresh = list(units.difference(known))
         known.update(zip(fresh, (kernel.values(fresh, model.table) + model.bias).tolist()))
 
     if len(known) > KNOWN_UNITS:
         known.clear()
-    learn({u for b in bags for u in b})
+    learn(set().union(*bags))
     gated = [()] * len(bags)
     if np.isfinite(model.gate):
         learn({w for words in sequences for w in words if w})
         gated = [phrases_around(words, lambda w: known[w] >= model.gate) for words in sequences]
         learn({p for found in gated for p in found})
-    return np.array([max([known[u] for u in (*b, *more)]) if b else -np.inf for b, more in zip(bags, gated)])
+    value = known.__getitem__
+    return np.array([max(map(value, (*b, *more) if more else b)) if b else -np.inf for b, more in zip(bags, gated)])
 
 
 def text_values(texts: list[str], model: ToxicityModel, kernel: Kernel, known: dict[str, float]) -> np.ndarray:
