@@ -29,6 +29,22 @@ def gold_latest(silver: DataFrame) -> DataFrame:
     return keyed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def gold_latest_of_copies(copies: DataFrame) -> DataFrame:
+    """``gold_latest`` of the deduplicated ``copies``, in one step.
+
+    An observation has one price_ts within its station product, so the first
+    collection of the newest price_ts is the row that ``silver_dedup`` keeps
+    and ``gold_latest`` takes; rows are brought together once, a row per
+    station product and map task.
+    """
+    w = Window.partitionBy(*GOLD_KEY).orderBy(
+        F.col("price_ts").desc_nulls_last(),
+        F.col("collected_at").asc_nulls_last(),
+        F.col("run_id").asc_nulls_last())
+    keyed = copies.filter(F.col("cnpj").isNotNull() & F.col("product_code").isNotNull() & F.col("price_ts").isNotNull())
+    return keyed.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
 def latest_as_of(silver: DataFrame, as_of="max") -> DataFrame:
     """gold_latest as it stood at ``as_of`` (rows after it are ignored)."""
     cut = as_of_column(silver, as_of)

@@ -169,10 +169,10 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
         F.struct(F.col("collected_at"), F.col("run_id")) < F.struct(F.col("_s_col"), F.col("_s_run")))
     if earlier.isEmpty():
         # Common case: append the genuinely new observations only.  A retried
-        # batch finds them stored already and appends nothing.
-        fresh_stage = layers.stage("fresh")
-        batch.join(stored.select(*OBS_KEY), OBS_KEY, "left_anti").write.mode("overwrite").parquet(fresh_stage)
-        sinks.write_silver(spark.read.parquet(fresh_stage).drop("obs_date"), layers.silver, mode="append")
+        # batch finds them stored already and appends nothing.  Appending leaves
+        # the files that are read here as they are, so nothing is staged.
+        fresh = batch.join(stored.select(*OBS_KEY), OBS_KEY, "left_anti")
+        sinks.write_silver(fresh.drop("obs_date"), layers.silver, mode="append")
     else:
         # A run arrived out of order with an earlier collection of stored
         # observations: rewrite the touched partitions so the earliest copy wins.
@@ -189,7 +189,7 @@ def merge_new_rows(spark: SparkSession, new_raw: DataFrame, layers: Layers) -> N
     candidates = new.select(*SILVER_COLUMNS)
     if not first:
         candidates = candidates.unionByName(_in_touched_buckets(spark, layers.gold, new).select(*SILVER_COLUMNS))
-    sinks.write_gold(goldops.gold_latest(silverops.silver_dedup(candidates)), layers.gold)
+    sinks.write_gold(goldops.gold_latest_of_copies(candidates), layers.gold)
 
     if layers.labels:
         names = goldops.station_labels(new)
