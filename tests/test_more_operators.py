@@ -1,10 +1,13 @@
 """More operator cases: URL resolution, first match, slug, idempotent
 re-write, source listing, top-n per group, gold size."""
 
+import contextlib
+import io
+
 from pyspark.sql import functions as F
 
 from pumpline.operators import gold, html, nearby, silver
-from pumpline.plans import snapshots
+from pumpline.plans import snapshots, stream_registry
 from pumpline.session import scratch_path
 from pumpline.sinks import raw as rawsink
 from pumpline.sources import raw as rawsrc, testdata
@@ -77,6 +80,39 @@ def test_snapshot_rows_cover_each_observation(spark, sf_small):
     assert snap.filter(~(lag & within)).count() == 0
 
 
+def test_snapshot_rows_of_some_collections(spark, sf_small):
+    """Each range holds the rows of the whole, and leaves out other days' events where they are read."""
+    obs_df = testdata.silver(spark, sf_small, with_obs_id=True)
+    whole = snapshots.snapshot_rows(obs_df)
+    newest, n = snapshots.collected_span(obs_df)
+    assert n == whole.agg(F.max("collection")).first()[0] + 1
+    for lo, hi in [(0, 0), (0, 4), (3, 7), (n - 2, n - 1), (0, n - 1), (n, n + 3)]:
+        want = whole.filter(F.col("collection").between(lo, hi))
+        for known in (newest, None):
+            some = snapshots.snapshot_rows(obs_df, collections=(lo, hi), newest=known)
+            assert some.exceptAll(want).count() == 0 and want.exceptAll(some).count() == 0
+    some = snapshots.snapshot_rows(obs_df, collections=(3, 7), newest=newest)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        some.explain("formatted")
+    assert "GreaterThan(ts," in buf.getvalue() and "LessThanOrEqual(ts," in buf.getvalue()
+
+
+def test_rounds_deliver_each_run_once(spark, sf_small, tmp_path):
+    """The rounds bring the runs of all collections, the oldest ones first."""
+    seen, counts = set(), []
+    for _ in stream_registry._delivered(spark, sf_small, str(tmp_path / "in")):
+        runs = {r.run_id for r in rawsrc.scan_raw(spark, str(tmp_path / "in")).select("run_id").distinct().collect()}
+        if seen:
+            assert max(runs - seen) < min(seen)  # collection 0 is the newest
+        seen = runs
+        counts.append(len(runs))
+    whole = snapshots.snapshot_rows(testdata.silver(spark, sf_small, with_obs_id=True))
+    assert len(counts) == stream_registry.ROUNDS and counts == sorted(set(counts))
+    assert seen == {r.run_id for r in whole.select("run_id").distinct().collect()}
+    assert rawsrc.scan_raw(spark, str(tmp_path / "in")).count() == whole.count()
+
+
 def test_source_listing_pages(spark):
     rows = [obs(i, 5.0 + i / 100, i % 80, lat=-12.97 + i / 1000, lng=-38.5) for i in range(60)]
     s = silver_df(spark, rows)
