@@ -181,3 +181,17 @@ def test_state_partitions_do_not_follow_the_session(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "300"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_sliding_drops_keep_their_state_on_disk(spark, tmp_path):
+    """Sliding windows over a long history outgrow the heap; same alerts, state in RocksDB."""
+    rows = [obs(c, p, h) for c in range(6) for p, h in ((5.0, 160), (4.0 + c / 5, 136), (4.0, 112), (4.0, 2))]
+    src = str(tmp_path / "dedup")
+    silver_df(spark, rows).write.parquet(src)
+    run = jobs.stream_price_drop(spark, src, slide_hours=12, out=str(tmp_path / "drops"))
+    assert "RocksDBStateStoreProvider" in (tmp_path / "drops-ckpt" / "offsets" / "0").read_text()
+    got = {(r.cnpj, str(r.window_start)) for r in spark.read.parquet(run.output).collect()}
+    batch = jobs._drop_alerts(lambda later: jobs._timed(spark.read.parquet(src)).withColumn("event_time", jobs._moved(later)), 24, 3.0, 12)
+    passed = max(r[15] for r in rows) - dt.timedelta(hours=72)
+    want = {(r.cnpj, str(r.window_start)) for r in batch.collect() if r.window_start + dt.timedelta(hours=24) <= passed}
+    assert got == want and got
